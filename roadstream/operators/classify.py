@@ -1,5 +1,8 @@
 """Congestion classifiers on features that are known before the reading."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -48,9 +51,13 @@ def training_table(
     coded = encode_road_type(add_calendar(table))
     names = [c for c in coded.columns if "lag_" in c or "rolling_" in c]
     names += [*CALENDAR, "speed_limit", *[f"is_{t}" for t in p.ROAD_TYPES]]
-    features = [F.col(c).cast("double").alias(c) for c in names]
-    label = F.col("congestion_code").cast("int").alias("label")
-    return coded.select(*KEYS, "split", label, *features).na.drop(subset=names)
+    kinds = dict(coded.dtypes)
+    numbers = [c if kinds[c] == "double" else F.col(c).cast("double").alias(c) for c in names]
+    # One condition per column: the optimizer handles a single one over all of them
+    # (as na.drop makes) in time exponential in the number of columns.
+    complete = reduce(and_, [F.col(c).isNotNull() for c in names])
+    label = F.col("congestion_code").alias("label")
+    return coded.filter(complete).select(*KEYS, "split", label, *numbers)
 
 
 def feature_columns(table: DataFrame) -> list[str]:

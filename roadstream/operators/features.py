@@ -67,7 +67,7 @@ def add_calendar(df: DataFrame) -> DataFrame:
 
 def lag_columns(series: Series, lags=p.LAGS) -> dict[str, Column]:
     return {
-        f"{name}_lag_{k}": F.lag(column, k).over(series.window).cast("double")
+        f"{name}_lag_{k}": F.lag(F.col(column).cast("double"), k).over(series.window)
         for k in lags
         for name, column in MEASURES.items()
     }
@@ -80,7 +80,7 @@ def rolling_columns(series: Series, windows=p.ROLLING, shift: int = 0) -> dict[s
         frame = series.window.rowsBetween(-(n - 1) - shift, -shift)
         out[f"speed_rolling_mean_{n}"] = F.avg("speed_kmh").over(frame)
         out[f"speed_rolling_std_{n}"] = F.stddev_samp("speed_kmh").over(frame)
-        out[f"volume_rolling_max_{n}"] = F.max("volume_vehicles").over(frame).cast("double")
+        out[f"volume_rolling_max_{n}"] = F.max(F.col("volume_vehicles").cast("double")).over(frame)
     return out
 
 

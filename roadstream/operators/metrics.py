@@ -111,7 +111,10 @@ def auc_ovr_weighted(
     first, then a running sum counts the negatives below each; ties count half.
     """
     by = by or []
-    each = df.select(*by, "label", F.posexplode("scores").alias("class", "score"))
+    pairs = F.array(
+        *[F.struct(F.lit(k).alias("class"), F.get("scores", F.lit(k)).alias("score")) for k in CLASSES]
+    )
+    each = df.select(*by, "label", F.inline(pairs))
     counts = each.groupBy(*by, "class", "score").agg(
         F.count_if(F.col("label") == F.col("class")).alias("positives"),
         F.count_if(F.col("label") != F.col("class")).alias("negatives"),

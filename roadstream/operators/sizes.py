@@ -1,6 +1,6 @@
 """Size checks, and joins that choose their strategy from them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadstream import params as p
@@ -54,6 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared folder, for steps that read it repeatedly."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def prefix_sum(
     df: DataFrame,
     by: list[str],
@@ -70,8 +76,6 @@ def prefix_sum(
     a row is stored data; each part adds its own running sum to the total of the
     parts before it. No task then holds more than one part.
     """
-    from pyspark.sql import Window
-
     ahead = (Window.unboundedPreceding, -1)
 
     def before(keys: list[str], ordering: list[str], column: str):
@@ -80,13 +84,9 @@ def prefix_sum(
 
     if is_small(df, rows_at_most, limit):
         return df.withColumn(output, before(by, order, value))
-    spark = df.sparkSession
-    checkpoint_dir(spark)
     parts = max(2, -(-df.count() // limit))
-    placed = (
-        df.repartitionByRange(parts, *by, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
+    placed = checkpointed(
+        df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum(value).alias("_sum"))
     offsets = totals.select(*by, "_part", before(by, ["_part"], "_sum").alias("_offset"))

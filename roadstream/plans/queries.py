@@ -27,6 +27,7 @@ from roadstream.operators import (
     signals,
     splits,
 )
+from roadstream.operators.sizes import checkpointed
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
 from roadstream.sources.events import TrafficTables, raw_measures
@@ -51,7 +52,8 @@ def tidy(df: DataFrame) -> DataFrame:
         if kind.startswith("timestamp"):
             return clock_micros(df, name).alias(f"{name}_us")
         if kind in ("double", "float"):
-            return F.round(c, 6).alias(name)
+            # Two steps: sums that differ in the last bit may not part at a tie.
+            return F.round(F.round(c, 9), 6).alias(name)
         if kind in ("int", "smallint", "tinyint"):
             return c.cast("bigint").alias(name)
         return c
@@ -454,7 +456,8 @@ def _forest(t: TrafficTables):
 
 
 def tested(t: TrafficTables, name: str, model) -> DataFrame:
-    return classify.predict(name, model, training(t).filter("split = 'test'"))
+    # Written, because the metrics read the predictions twice.
+    return checkpointed(classify.predict(name, model, training(t).filter("split = 'test'")))
 
 
 @query
