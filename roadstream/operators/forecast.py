@@ -11,8 +11,7 @@ from roadstream.operators.features import supervised_windows
 from roadstream.operators.series import Series, SeriesPlan, plan_series, windowed
 from roadstream.operators.sizes import dimension_join
 
-TEST = F.col("split") == "test"
-TRAIN = F.col("split") == "train"
+TEST, TRAIN = "split = 'test'", "split = 'train'"
 KEYS = ["segment_id", "timestamp"]
 
 
@@ -187,7 +186,8 @@ def fourier_seasonal(
     known = F.when(F.col("actual") > 0, F.ln("actual"))
     rows = history.withColumns({**terms, "log_actual": known})
     means = (
-        rows.filter(TRAIN & F.col("log_actual").isNotNull())
+        rows.filter(TRAIN)
+        .filter(F.col("log_actual").isNotNull())
         .groupBy("segment_id")
         .agg(*[F.avg(c).alias(f"mean_{c}") for c in [*names, "log_actual"]])
     )

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from roadstream import params as p
 from roadstream.functions import traffic
 
-CONGESTED = traffic.is_congested(F.col("congestion_code"))
+
+def congested() -> Column:
+    return traffic.is_congested(F.col("congestion_code"))
 
 
 def level_distribution(labelled: DataFrame) -> DataFrame:
@@ -48,7 +50,7 @@ def segment_stats(labelled: DataFrame) -> DataFrame:
         F.avg("speed_kmh").alias("avg_speed"),
         F.avg("volume_vehicles").alias("avg_volume"),
         F.max("volume_vehicles").alias("peak_volume"),
-        (F.avg(CONGESTED) * 100).alias("congested_pct"),
+        (F.avg(congested()) * 100).alias("congested_pct"),
     )
 
 
@@ -58,7 +60,7 @@ def hotspots(labelled: DataFrame, k: int = 10) -> DataFrame:
 
 
 def congested_share(labelled: DataFrame) -> DataFrame:
-    return labelled.agg(F.avg(CONGESTED).alias("congested_share"))
+    return labelled.agg(F.avg(congested()).alias("congested_share"))
 
 
 def peak_metrics(labelled: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def peak_metrics(labelled: DataFrame) -> DataFrame:
         peak(F.col("volume_vehicles")).alias("avg_volume"),
         peak(F.col("speed_kmh")).alias("avg_speed"),
         peak(F.col("density_vehicles_per_km")).alias("avg_density"),
-        peak(CONGESTED).alias("congested_share"),
+        peak(congested()).alias("congested_share"),
     )
 
 
@@ -124,7 +126,7 @@ def hour_heatmap(labelled: DataFrame) -> DataFrame:
     """Congested percentage of each segment, one column per hour of the day."""
     hour = F.col("hour")
     return labelled.groupBy("segment_id").agg(
-        *[(F.avg(F.when(hour == h, CONGESTED)) * 100).alias(f"h{h:02d}") for h in range(24)]
+        *[(F.avg(F.when(hour == h, congested())) * 100).alias(f"h{h:02d}") for h in range(24)]
     )
 
 

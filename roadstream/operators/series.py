@@ -230,4 +230,5 @@ def running(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carry = F.broadcast(combine(sums, earlier).select(*block, *carried))
-    return finish(blocks.join(carry, block, "left")).drop(*carried, *_HELPERS)
+    joined = blocks.join(carry, block, "left").select(*blocks.columns, *carried)
+    return finish(joined).drop(*carried, *_HELPERS)

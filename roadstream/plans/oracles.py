@@ -63,8 +63,8 @@ KEYS = "segment_id, epoch_us(timestamp) AS timestamp_us"
 
 
 def r(expression: str, name: str) -> str:
-    """Rounded like the registered results; 0.0 is added to turn -0.0 into 0.0."""
-    return f"round(round(({expression})::DOUBLE, 9), 6)+0.0::DOUBLE AS {name}"
+    """Rounded like the registered results: to nine places, then half up to six."""
+    return f"round(({expression})::DOUBLE::DECIMAL(38,9), 6)::DOUBLE AS {name}"
 
 
 def rs(*names: str) -> str:

@@ -303,7 +303,7 @@ def hour_heatmap(t: TrafficTables) -> DataFrame:
 def forecast_alerts(t: TrafficTables) -> DataFrame:
     # Predicted percentage of a test row: the segment's training share in that hour.
     code = features.add_congestion_labels(t.readings, t.roads, t.roads_at_most)
-    share = code.withColumn("congested", profile.CONGESTED * 100.0)
+    share = code.withColumn("congested", profile.congested() * 100.0)
     history = forecast.split_history(share, value="congested", plan=t.plan)
     predicted = forecast.seasonal_profile(history, t.plan.rows)
     return profile.forecast_alerts(predicted.withColumnRenamed("forecast", "predicted"))

@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from roadstream import params as p
 from roadstream.functions import traffic
 from roadstream.operators.features import with_labels
-from roadstream.operators.profile import CONGESTED
+from roadstream.operators.profile import congested
 from roadstream.operators.sizes import checkpoint_dir
 
 LATE = "30 minutes"
@@ -66,7 +66,7 @@ def congestion_alerts(
     """Segments and sliding windows whose congested share is above the threshold."""
     return (
         labelled.groupBy("segment_id", F.window("timestamp", width, slide).alias("w"))
-        .agg(F.avg(CONGESTED).alias("congested_share"), F.count("*").alias("readings"))
+        .agg(F.avg(congested()).alias("congested_share"), F.count("*").alias("readings"))
         .filter(F.col("congested_share") > threshold)
         .select(
             "segment_id",
