@@ -5,11 +5,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadstream.operators.features import forward_fill
-from roadstream.operators.series import SeriesPlan
+from roadstream.operators.features import forward_fill, series_feature_names
+from roadstream.operators.series import SeriesPlan, plan_series
 from roadstream.operators.sizes import SMALL_ROWS
 
-BINS = 1024
+BINS = 4096
 
 
 def null_report(df: DataFrame) -> DataFrame:
@@ -20,7 +20,7 @@ def null_report(df: DataFrame) -> DataFrame:
 
 
 def exact_medians(
-    df: DataFrame, columns: list[str], limit: int = SMALL_ROWS
+    df: DataFrame, columns: list[str], rows: int | None = None, limit: int = SMALL_ROWS
 ) -> dict[str, float | None]:
     """Exact interpolated median of each column.
 
@@ -30,8 +30,7 @@ def exact_medians(
     holds the middle rank, until the two middle values are known. A pass returns
     at most ``BINS`` rows per column.
     """
-    rows = df.count()
-    if rows <= limit:
+    if (df.count() if rows is None else rows) <= limit:
         row = df.agg(*[F.percentile(c, 0.5).alias(c) for c in columns]).first()
         return {c: row[c] for c in columns}
     stats = df.agg(
@@ -111,13 +110,19 @@ def fill_missing(
 
     Numbers become double and take the median of their column over all segments,
     other types take 0. A number column without any value stays null.
+
+    The other columns are checked for nulls without computing the series features.
+    Each series starts with unknown lags, so those columns always need a median.
     """
-    filled = forward_fill(df, plan=plan)
-    nulls = null_report(filled).first()
+    plan = plan or plan_series(df)
+    series = series_feature_names(df)
     types = dict(df.dtypes)
-    gaps = [c for c in df.columns if nulls[c]]
-    numeric = [c for c in gaps if types[c] in ("int", "bigint", "float", "double")]
-    medians = exact_medians(filled, numeric, limit) if numeric else {}
+    others = df.drop(*series)
+    nulls = null_report(others).first()
+    gaps = [c for c in others.columns if nulls[c]]
+    numeric = [c for c in [*series, *gaps] if types[c] in ("int", "bigint", "float", "double")]
+    filled = forward_fill(df, series, plan)
+    medians = exact_medians(filled, numeric, plan.rows, limit) if numeric else {}
     fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numeric}
     fills.update({c: F.coalesce(c, F.lit(False)) for c in gaps if types[c] == "boolean"})
     fills.update({c: F.coalesce(c, F.lit("0")) for c in gaps if types[c] == "string"})

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roadstream.functions.clock import clock_micros
-from roadstream.operators.sizes import SEGMENT, SMALL_ROWS, TIMESTAMP
+from roadstream.operators.sizes import SMALL_ROWS
+from roadstream.params import SEGMENT, TIMESTAMP
 
 MAX_BLOCKS = 20_000
 CELLS_PER_BLOCK = 16

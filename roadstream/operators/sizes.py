@@ -3,8 +3,6 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadstream import params as p
-
 # A table of at most this many narrow rows (about 100 MB) may be broadcast, sit
 # in one window partition or come to the driver. Larger ones never do.
 SMALL_ROWS = 1_000_000
@@ -89,14 +87,12 @@ def prefix_sum(
         df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum(value).alias("_sum"))
-    offsets = totals.select(*by, "_part", before(by, ["_part"], "_sum").alias("_offset"))
+    ahead_of_part = before(by, ["_part"], "_sum").alias("_ahead")
     # A group's neighbours share its part, so there are at most groups + parts rows.
     return (
-        dimension_join(placed, offsets, by + ["_part"], limit=limit)
+        dimension_join(
+            placed, totals.select(*by, "_part", ahead_of_part), by + ["_part"], limit=limit
+        )
         .withColumn("_within", before(by + ["_part"], order, value))
-        .withColumn(output, F.col("_offset") + F.col("_within"))
-        .drop("_part", "_offset", "_within")
+        .select(*df.columns, (F.col("_ahead") + F.col("_within")).alias(output))
     )
-
-
-SEGMENT, TIMESTAMP = p.SEGMENT, p.TIMESTAMP

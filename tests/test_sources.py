@@ -26,7 +26,10 @@ def test_round_trip(spark, tmp_path):
     tables.save_table(roads, str(tmp_path), "road_network", csv=True)
     tables.save_table(readings, str(tmp_path), "traffic_data")
     loaded = tables.load_tables(spark, str(tmp_path), ("road_network", "traffic_data"))
-    assert {f.name for f in loaded["traffic_data"].schema} == {f.name for f in TRAFFIC_DATA}
+    assert {f.name for f in loaded["traffic_data"].schema} == {
+        "date",
+        *TRAFFIC_DATA.names,
+    }
     back = loaded["traffic_data"].select(readings.columns)
     assert back.count() == readings.count()
     assert back.filter("hour = 3 AND speed_kmh IS NOT NULL").count() == 0
