@@ -76,6 +76,10 @@ def congestion_code(level: Column) -> Column:
     return code.cast("int")
 
 
+def level_name(code: Column) -> Column:
+    return F.get(F.array(*map(F.lit, p.LEVELS)), code)
+
+
 def is_congested(code: Column) -> Column:
     """1 for heavy or severe readings; a missing code counts as not congested."""
     return F.coalesce((code >= p.CONGESTED_CODE).cast("int"), F.lit(0))

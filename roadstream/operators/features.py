@@ -109,6 +109,7 @@ def add_series_features(
     windows=p.ROLLING,
     shift: int = 0,
     plan: SeriesPlan | None = None,
+    keep_blocks: bool = False,
 ) -> DataFrame:
     """Lags and rolling statistics together: one shuffle and one sort for both."""
     return windowed(
@@ -118,6 +119,7 @@ def add_series_features(
         ),
         lookback=max(max(lags), max(windows) - 1 + shift),
         plan=plan,
+        keep_blocks=keep_blocks,
     )
 
 

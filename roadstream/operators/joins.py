@@ -24,18 +24,22 @@ def map_status(
     labelled: DataFrame, roads: DataFrame, roads_at_most: int | None = None
 ) -> DataFrame:
     """One marker per road that has a reading: place, latest values, colour, text."""
-    latest = latest_per_segment(
-        labelled, ["speed_kmh", "volume_vehicles", "congestion_level"]
-    ).drop("timestamp")
+    # The code stands for the level, as a number.
+    latest = latest_per_segment(labelled, ["speed_kmh", "volume_vehicles", "congestion_code"])
     places = roads.select("segment_id", "latitude", "longitude")
     level = F.col("congestion_level")
-    return dimension_join(latest, places, "segment_id", rows_at_most=roads_at_most).withColumns(
-        {
-            "color": traffic.status_color(level),
-            "status": traffic.status_text(
-                F.col("segment_id"), F.col("speed_kmh"), F.col("volume_vehicles"), level
-            ),
-        }
+    return (
+        dimension_join(latest, places, "segment_id", rows_at_most=roads_at_most)
+        .withColumn("congestion_level", traffic.level_name(F.col("congestion_code")))
+        .withColumns(
+            {
+                "color": traffic.status_color(level),
+                "status": traffic.status_text(
+                    F.col("segment_id"), F.col("speed_kmh"), F.col("volume_vehicles"), level
+                ),
+            }
+        )
+        .drop("timestamp", "congestion_code")
     )
 
 

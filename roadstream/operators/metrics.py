@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream import params as p
@@ -150,9 +150,10 @@ def forecast_metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def forecast_report(df: DataFrame) -> DataFrame:
     """Metrics of every model, with a mark on the one with the least RMSE."""
-    metrics = forecast_metrics(df, ["model"])
-    best = best_model(metrics, "rmse", lowest=True).select("model", F.lit(True).alias("is_best"))
-    return metrics.join(F.broadcast(best), "model", "left").fillna({"is_best": False})
+    rank = F.struct("rmse", "model")
+    # One row per model, so one window partition.
+    best = F.min(rank).over(Window.partitionBy())
+    return forecast_metrics(df, ["model"]).withColumn("is_best", rank == best)
 
 
 def best_model(metrics: DataFrame, metric: str = "accuracy", lowest: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.operators.features import forward_fill, series_feature_names
-from roadstream.operators.series import SeriesPlan, plan_series
+from roadstream.operators.series import HELPERS, SeriesPlan, plan_series
 from roadstream.operators.sizes import SMALL_ROWS
 
 BINS = 4096
@@ -117,7 +117,7 @@ def fill_missing(
     plan = plan or plan_series(df)
     series = series_feature_names(df)
     types = dict(df.dtypes)
-    others = df.drop(*series)
+    others = df.drop(*series, *HELPERS)
     nulls = null_report(others).first()
     gaps = [c for c in others.columns if nulls[c]]
     numeric = [c for c in [*series, *gaps] if types[c] in ("int", "bigint", "float", "double")]

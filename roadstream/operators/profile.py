@@ -85,16 +85,16 @@ def latest_per_segment(
     """Latest state of each segment.
 
     ``column`` takes the last known value of every column, ``row`` the last row
-    as it is.
+    as it is. Numbers aggregate in a hash table; text makes Spark sort its input.
     """
     names = [c for c in columns or df.columns if c not in ("segment_id", "timestamp")]
     ts = F.col("timestamp")
-    if mode == "row":
-        last = F.max_by(F.struct("timestamp", *names), ts).alias("last")
-        return df.groupBy("segment_id").agg(last).select("segment_id", "last.*")
+
+    def at(name: str) -> Column:
+        return ts if mode == "row" else F.when(F.col(name).isNotNull(), ts)
+
     return df.groupBy("segment_id").agg(
-        F.max(ts).alias("timestamp"),
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), ts)).alias(c) for c in names],
+        F.max(ts).alias("timestamp"), *[F.max_by(c, at(c)).alias(c) for c in names]
     )
 
 

@@ -26,7 +26,7 @@ from roadstream.params import SEGMENT, TIMESTAMP
 
 MAX_BLOCKS = 20_000
 CELLS_PER_BLOCK = 16
-_HELPERS = ("_block", "_own", "_base", "_total")
+HELPERS = ("_block", "_own", "_base", "_total")
 
 
 @dataclass(frozen=True)
@@ -181,16 +181,18 @@ def windowed(
     lookback: int = 0,
     lookahead: int = 0,
     plan: SeriesPlan | None = None,
+    keep_blocks: bool = False,
 ) -> DataFrame:
     """Apply ``build`` to each series; its frames reach at most the stated rows.
 
-    ``build`` adds columns and keeps every row.
+    ``build`` adds columns and keeps every row. ``keep_blocks`` leaves the block
+    columns of a cut series in place, so that ``running`` needs no second shuffle.
     """
     plan = plan or plan_series(df)
     if not plan.split:
         return build(df, _series((), False))
-    built = build(_spread(df, plan, lookback, lookahead), _series((), True))
-    return built.filter("_own").drop(*_HELPERS)
+    built = build(_spread(df, plan, lookback, lookahead), _series((), True)).filter("_own")
+    return built if keep_blocks else built.drop(*HELPERS)
 
 
 def running(
@@ -217,7 +219,8 @@ def running(
     if not plan.split:
         unset = {name: F.lit(None) for name in carried}
         return finish(within(df, inner).withColumns(unset)).drop(*carried)
-    blocks = within(_spread(df, plan, 0, 0), inner)
+    placed = df if "_block" in df.columns else _spread(df, plan, 0, 0)
+    blocks = within(placed, inner)
     block = [SEGMENT, *keys, "_block"]
     # One row per block of a long series (and per extra key): bounded by the plan.
     sums = (
@@ -232,4 +235,4 @@ def running(
     )
     carry = F.broadcast(combine(sums, earlier).select(*block, *carried))
     joined = blocks.join(carry, block, "left").select(*blocks.columns, *carried)
-    return finish(joined).drop(*carried, *_HELPERS)
+    return finish(joined).drop(*carried, *HELPERS)

@@ -33,7 +33,7 @@ def processed_table(
     """Labels, calendar, lags and rolling statistics, with missing values filled."""
     plan = plan or plan_series(readings)
     labelled = add_congestion_labels(readings, roads, roads_at_most)
-    features = add_series_features(add_calendar(labelled), plan=plan)
+    features = add_series_features(add_calendar(labelled), plan=plan, keep_blocks=True)
     return fill_missing(features, plan)
 
 

@@ -35,23 +35,34 @@ def synth_road_network(segments: DataFrame, seed: int = p.SEED) -> DataFrame:
     ).withColumn("speed_limit", limit)
 
 
-def dense_panel(roads: DataFrame, start: str, end: str, minutes: int = 15) -> DataFrame:
-    """Each row of ``roads`` at each grid time from start to end, both included."""
-    times = F.expr(
-        f"sequence(timestamp_ntz'{start}', timestamp_ntz'{end}', INTERVAL {minutes} MINUTES)"
+def dense_panel(
+    roads: DataFrame, start: str, end: str, minutes: int = 15, tasks: int | None = None
+) -> DataFrame:
+    """Each row of ``roads`` at each grid time from start to end, both included.
+
+    The grid is made in two steps, about a day and then its times, with the days
+    of all roads spread over ``tasks`` in between: a few roads over a long time
+    keep every task busy.
+    """
+    spark = roads.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_day = -(-24 * 60 // minutes)
+    last = F.expr(f"timestamp_ntz'{end}'")
+    step = F.expr(f"INTERVAL {minutes} MINUTES")
+    day = F.expr(f"INTERVAL {minutes * per_day} MINUTES")
+    days = F.sequence(F.expr(f"timestamp_ntz'{start}'"), last, day)
+    spread = roads.select("*", F.explode(days).alias("_day")).repartition(
+        tasks, "segment_id", "_day"
     )
-    return roads.select("*", F.explode(times).alias("timestamp"))
+    times = F.sequence("_day", F.least(F.col("_day") + step * (per_day - 1), last), step)
+    return spread.select(*roads.columns, F.explode(times).alias("timestamp"))
 
 
 def synth_readings(
     roads: DataFrame, start: str, end: str, minutes: int = 15, seed: int = p.SEED
 ) -> DataFrame:
-    """Readings on the grid: time-of-day pattern, noise, weather and accidents.
-
-    The few wide road rows are spread first, so that the rows they explode into
-    are made by all tasks.
-    """
-    panel = dense_panel(roads.hint("rebalance", "segment_id"), start, end, minutes)
+    """Readings on the grid: time-of-day pattern, noise, weather and accidents."""
+    panel = dense_panel(roads, start, end, minutes)
     ts = F.col("timestamp")
     noise = uniforms(F.col("segment_id"), clock_micros(panel, "timestamp"), seed=seed)
     weather = noise[2] < p.WEATHER_SHARE

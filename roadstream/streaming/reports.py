@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from roadstream import params as p
 from roadstream.functions import traffic
 from roadstream.operators.features import with_labels
-from roadstream.operators.profile import congested
+from roadstream.operators.profile import congested, latest_per_segment
 from roadstream.operators.sizes import checkpoint_dir
 
 LATE = "30 minutes"
@@ -80,8 +80,7 @@ def congestion_alerts(
 
 def latest_state(readings: DataFrame) -> DataFrame:
     """The last reading of each segment; the state holds one row per segment."""
-    last = F.max_by(F.struct("timestamp", "speed_kmh", "volume_vehicles"), "timestamp")
-    return readings.groupBy("segment_id").agg(last.alias("last")).select("segment_id", "last.*")
+    return latest_per_segment(readings, ["speed_kmh", "volume_vehicles"], mode="row")
 
 
 def with_road(stream: DataFrame, roads: DataFrame) -> DataFrame:

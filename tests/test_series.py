@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from roadstream.operators import classify, features, forecast, scenario, splits
 from roadstream.operators.series import plan_series
+from roadstream.plans.features import processed_table
 from roadstream.plans.queries import optimized
 
 ROAD_LIMITS = "segment_id string, speed_limit double, road_type string"
@@ -90,6 +91,16 @@ def test_cut_of_every_series_equals_whole(traffic):
     assert rows(features.add_series_features(traffic.readings, plan=cut)) == expected
 
 
+def test_cut_processed_table_equals_whole_and_shuffles_once(traffic):
+    cut = plan_series(traffic.readings, block_rows=9)
+    expected = rows(processed_table(traffic.readings, traffic.roads, traffic.plan, 1000))
+    made = processed_table(traffic.readings, traffic.roads, cut, 1000)
+    assert rows(made) == expected
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    wide = plan.split("BroadcastExchange")[0]
+    assert wide.count("Exchange hashpartitioning(segment_id") == 1
+
+
 def test_cut_queue_equals_whole(traffic):
     plans = scenario.scenario_union(optimized(traffic))
     cut = plan_series(traffic.readings, block_rows=9)
