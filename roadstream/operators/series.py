@@ -222,9 +222,12 @@ def running(
     placed = df if "_block" in df.columns else _spread(df, plan, 0, 0)
     blocks = within(placed, inner)
     block = [SEGMENT, *keys, "_block"]
-    # One row per block of a long series (and per extra key): bounded by the plan.
+    # Only long series have earlier blocks. The condition is on the partition key,
+    # so it moves below the windows and the shuffle that led to ``df``. One row per
+    # block (and per extra key) is left: bounded by the plan.
+    long = plan.cells[SEGMENT].unique().tolist()
     sums = (
-        blocks.filter(F.col("_total").isNotNull())
+        blocks.filter(F.col(SEGMENT).isin(long))
         .groupBy(*block)
         .agg(*[column.alias(name) for name, column in summarise.items()])
     )

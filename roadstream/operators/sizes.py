@@ -1,5 +1,7 @@
 """Size checks, and joins that choose their strategy from them."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +54,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """A new folder for one run, below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder, for steps that read it repeatedly."""
     checkpoint_dir(df.sparkSession)

@@ -202,6 +202,11 @@ define(
 TRAFFIC = f"""{KEYS}, volume_vehicles, has_accident, day_of_week, hour, is_weekend, is_rush_hour,
   {rs("speed_kmh", "density_vehicles_per_km", "travel_time_min")}"""
 define("derived_measures", f"SELECT {TRAFFIC} FROM traffic")
+define(
+    "save_load_tables",
+    f"""SELECT {TRAFFIC} FROM traffic
+    WHERE timestamp>=TIMESTAMP '2024-01-08' AND timestamp<TIMESTAMP '2024-01-15'""",
+)
 define("rush_hour_flag", f"SELECT {KEYS}, is_rush_hour FROM traffic")
 define(
     "build_signals",

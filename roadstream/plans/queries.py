@@ -27,9 +27,10 @@ from roadstream.operators import (
     signals,
     splits,
 )
-from roadstream.operators.sizes import checkpointed
+from roadstream.operators.sizes import checkpointed, run_folder
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
+from roadstream.sources.tables import load_table, save_table
 from roadstream.sources.events import TrafficTables, raw_measures
 from roadstream.streaming import reports
 
@@ -108,6 +109,13 @@ def derived_measures(t: TrafficTables) -> DataFrame:
     return synthetic.derived_measures(t.raw)
 
 
+@query
+def save_load_tables(t: TrafficTables) -> DataFrame:
+    folder = run_folder(t.spark)
+    save_table(t.readings, folder, "traffic_data")
+    return load_table(t.spark, folder, "traffic_data", days=("2024-01-08", "2024-01-14"))
+
+
 @query
 def rush_hour_flag(t: TrafficTables) -> DataFrame:
     flag = traffic.rush_hour(F.hour("timestamp")).alias("is_rush_hour")
@@ -658,17 +666,17 @@ def event_stream(t: TrafficTables) -> DataFrame:
 
 @query
 def stream_interval_avg(t: TrafficTables) -> DataFrame:
-    folder = reports.run_folder(t.spark)
+    folder = run_folder(t.spark)
     return reports.run_append(reports.interval_averages(event_stream(t)), folder)
 
 
 @query
 def stream_latest(t: TrafficTables) -> DataFrame:
     latest = reports.status(reports.latest_state(event_stream(t)), t.roads)
-    return reports.run_latest(latest, reports.run_folder(t.spark))
+    return reports.run_latest(latest, run_folder(t.spark))
 
 
 @query
 def stream_alerts(t: TrafficTables) -> DataFrame:
     labelled = reports.with_road(event_stream(t), t.roads)
-    return reports.run_append(reports.congestion_alerts(labelled), reports.run_folder(t.spark))
+    return reports.run_append(reports.congestion_alerts(labelled), run_folder(t.spark))

@@ -8,20 +8,36 @@ from roadstream.functions.traffic import nan_to_null
 from roadstream.schema import SCHEMAS
 
 
+DAY = "date"  # folder column of tables laid out by day
+
+
 def _known_values(df: DataFrame) -> DataFrame:
     """NaN becomes null, which every operator treats as missing."""
     floats = [c for c, kind in df.dtypes if kind in ("float", "double")]
     return df.withColumns({c: nan_to_null(F.col(c)) for c in floats}) if floats else df
 
 
-def load_table(spark: SparkSession, folder: str, name: str, file_format: str = "parquet"):
-    """One table; the raw tables have a declared schema, so nothing is inferred."""
+def load_table(
+    spark: SparkSession,
+    folder: str,
+    name: str,
+    file_format: str = "parquet",
+    days: tuple[str, str] | None = None,
+) -> DataFrame:
+    """One table; the raw tables have a declared schema, so nothing is inferred.
+
+    ``days`` (first, last) of a table laid out by day reads only those folders.
+    """
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
     if file_format == "csv":
         reader = reader.option("header", True)
-    return _known_values(reader.format(file_format).load(f"{folder}/{name}"))
+    table = reader.format(file_format).load(f"{folder}/{name}")
+    if days is not None:
+        first, last = (F.lit(day).cast("date") for day in days)
+        table = table.filter(F.col(DAY).between(first, last))
+    return _known_values(table.drop(DAY))
 
 
 def load_tables(spark: SparkSession, folder: str, names=tuple(SCHEMAS)) -> dict[str, DataFrame]:
@@ -37,8 +53,8 @@ def save_table(df: DataFrame, folder: str, name: str, csv: bool = False) -> None
     """
     out = df
     if "timestamp" in df.columns:
-        out = df.withColumn("date", F.to_date("timestamp")).hint("rebalance", "date")
-        out.write.mode("overwrite").partitionBy("date").parquet(f"{folder}/{name}")
+        out = df.withColumn(DAY, F.to_date("timestamp")).hint("rebalance", DAY)
+        out.write.mode("overwrite").partitionBy(DAY).parquet(f"{folder}/{name}")
     else:
         out.write.mode("overwrite").parquet(f"{folder}/{name}")
     if csv:

@@ -3,8 +3,6 @@
 Watermarks need TIMESTAMP, so streams carry the reading time in that type.
 """
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -13,7 +11,6 @@ from roadstream import params as p
 from roadstream.functions import traffic
 from roadstream.operators.features import with_labels
 from roadstream.operators.profile import congested, latest_per_segment
-from roadstream.operators.sizes import checkpoint_dir
 
 LATE = "30 minutes"
 
@@ -95,11 +92,6 @@ def status(stream: DataFrame, roads: DataFrame) -> DataFrame:
     return with_road(stream, roads).withColumn("color", colour)
 
 
-def run_folder(spark: SparkSession) -> str:
-    """A new folder for one run, below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
-
-
 def run_append(stream: DataFrame, folder: str) -> DataFrame:
     """Process all available input into Parquet files and return them."""
     query = (

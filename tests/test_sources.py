@@ -26,10 +26,9 @@ def test_round_trip(spark, tmp_path):
     tables.save_table(roads, str(tmp_path), "road_network", csv=True)
     tables.save_table(readings, str(tmp_path), "traffic_data")
     loaded = tables.load_tables(spark, str(tmp_path), ("road_network", "traffic_data"))
-    assert {f.name for f in loaded["traffic_data"].schema} == {
-        "date",
-        *TRAFFIC_DATA.names,
-    }
+    assert {f.name for f in loaded["traffic_data"].schema} == set(
+        TRAFFIC_DATA.names
+    )
     back = loaded["traffic_data"].select(readings.columns)
     assert back.count() == readings.count()
     assert back.filter("hour = 3 AND speed_kmh IS NOT NULL").count() == 0
@@ -42,9 +41,8 @@ def test_round_trip(spark, tmp_path):
 def test_day_filter_reads_one_folder(spark, tmp_path):
     _, readings = generated(spark, 3)
     tables.save_table(readings, str(tmp_path), "t")
-    one = spark.read.parquet(f"{tmp_path}/t").filter("date = '2024-01-02'")
+    one = tables.load_table(spark, str(tmp_path), "t", days=("2024-01-02", "2024-01-02"))
     assert one.count() == 3 * 96
-    assert len(one.inputFiles()) >= 1
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
 
