@@ -46,7 +46,7 @@ def _slot(df: DataFrame) -> DataFrame:
 
 
 def with_profile(
-    test: DataFrame, train: DataFrame, rows_at_most: int | None = None
+    test: DataFrame, train: DataFrame, plan: SeriesPlan | None = None
 ) -> DataFrame:
     """Add ``profile``: the segment's training mean for the weekday and hour.
 
@@ -62,16 +62,18 @@ def with_profile(
     )
     keys = ["segment_id", "day_of_week", "hour"]
     by_slot = slots.select(*keys, F.try_divide("s", "n").alias("slot_mean"))
-    joined = dimension_join(_slot(test), by_slot, keys, "left", rows_at_most)
-    joined = dimension_join(joined, overall, "segment_id", "left", rows_at_most)
+    segments = plan.segments_at_most if plan else None
+    slots_at_most = min(plan.rows, plan.segments_at_most * 7 * 24) if plan else None
+    joined = dimension_join(_slot(test), by_slot, keys, "left", slots_at_most)
+    joined = dimension_join(joined, overall, "segment_id", "left", segments)
     return joined.withColumn("profile", F.coalesce("slot_mean", "overall")).drop(
         "slot_mean", "overall", "day_of_week", "hour"
     )
 
 
-def seasonal_profile(history: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def seasonal_profile(history: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """Forecast of a test row: the training mean of its weekday and hour."""
-    return with_profile(history.filter(TEST), history.filter(TRAIN), rows_at_most).select(
+    return with_profile(history.filter(TEST), history.filter(TRAIN), plan).select(
         *KEYS, "actual", F.col("profile").alias("forecast")
     )
 
@@ -90,38 +92,37 @@ def ar1_coefficients(history: DataFrame) -> DataFrame:
     )
 
 
-def ar1_per_segment(history: DataFrame, rows_at_most: int | None = None) -> DataFrame:
-    """One-step forecast of test rows by the segment's own line.
+def with_ar1(
+    test: DataFrame, history: DataFrame, plan: SeriesPlan | None = None
+) -> DataFrame:
+    """Add ``ar1``: the value that the segment's own line gives for the one before.
 
-    A segment whose line is not defined forecasts its training mean.
+    A segment whose line is not defined takes its training mean.
     """
-    joined = dimension_join(
-        history.filter(TEST),
-        ar1_coefficients(history),
-        "segment_id",
-        "left",
-        rows_at_most,
-    )
-    line = F.when(F.col("slope") == 0, F.col("intercept")).otherwise(
-        F.col("intercept") + F.col("slope") * F.col("lag_1")
+    lines = ar1_coefficients(history)
+    segments = plan.segments_at_most if plan else None
+    slope, intercept = F.col("slope"), F.col("intercept")
+    line = F.when(slope == 0, intercept).otherwise(intercept + slope * F.col("lag_1"))
+    return dimension_join(test, lines, "segment_id", "left", segments).withColumn("ar1", line)
+
+
+def ar1_per_segment(history: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
+    """One-step forecast of test rows by the segment's own line."""
+    return with_ar1(history.filter(TEST), history, plan).select(
+        *KEYS, "actual", F.col("ar1").alias("forecast")
     )
-    return joined.select(*KEYS, "actual", line.alias("forecast"))
 
 
-def baseline_forecasts(history: DataFrame, rows_at_most: int | None = None) -> DataFrame:
+def baseline_forecasts(history: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
     """Naive, profile and AR(1) forecasts of the test rows, as (model, ..., forecast)."""
-    test = with_profile(history.filter(TEST), history.filter(TRAIN), rows_at_most)
-    lines = ar1_coefficients(history)
-    joined = dimension_join(test, lines, "segment_id", "left", rows_at_most)
-    line = F.when(F.col("slope") == 0, F.col("intercept")).otherwise(
-        F.col("intercept") + F.col("slope") * F.col("lag_1")
-    )
+    test = with_profile(history.filter(TEST), history.filter(TRAIN), plan)
+    joined = with_ar1(test, history, plan)
     return joined.select(
         *KEYS,
         "actual",
         F.col("lag_1").alias("seasonal_naive"),
         F.col("profile").alias("seasonal_profile"),
-        line.alias("ar1"),
+        "ar1",
     ).unpivot(
         [*KEYS, "actual"], ["seasonal_naive", "seasonal_profile", "ar1"], "model", "forecast"
     )
@@ -191,7 +192,7 @@ def fourier_seasonal(
         .groupBy("segment_id")
         .agg(*[F.avg(c).alias(f"mean_{c}") for c in [*names, "log_actual"]])
     )
-    centred = dimension_join(rows, means, "segment_id", rows_at_most=plan.rows).withColumns(
+    centred = dimension_join(rows, means, "segment_id", rows_at_most=plan.segments_at_most).withColumns(
         {c: F.col(c) - F.col(f"mean_{c}") for c in [*names, "log_actual"]}
     )
     assembler, model = _regression(centred.filter(TRAIN), names, "log_actual")

@@ -31,9 +31,10 @@ HELPERS = ("_block", "_own", "_base", "_total")
 
 @dataclass(frozen=True)
 class SeriesPlan:
-    """Row count of the data and the histogram of its long series."""
+    """Row and segment counts of the data and the histogram of its long series."""
 
     rows: int
+    segments_at_most: int
     block_rows: int
     steps: list[pd.DataFrame] = field(default_factory=list)
     cells: pd.DataFrame | None = None
@@ -76,15 +77,20 @@ def plan_series(df: DataFrame, block_rows: int | None = None) -> SeriesPlan:
     if block_rows is None:
         block_rows = max(SMALL_ROWS, rows // MAX_BLOCKS)
     if rows <= block_rows:
-        return SeriesPlan(rows, block_rows)
+        return SeriesPlan(rows, rows, block_rows)
     t = clock_micros(df, TIMESTAMP)
     spans = df.groupBy(SEGMENT).agg(
         F.count("*").alias("n"), F.min(t).alias("_cell"), F.max(t).alias("last")
     )
-    # Each long series has more than block_rows rows: at most rows / block_rows of them.
-    long = spans.filter(F.col("n") > block_rows).toPandas()
-    if long.empty:
-        return SeriesPlan(rows, block_rows)
+    # A long series has more than block_rows rows, so there are at most
+    # rows / block_rows of them: the list is short.
+    is_long = F.col("n") > block_rows
+    segments, found = spans.agg(
+        F.count("*"), F.collect_list(F.when(is_long, F.struct(SEGMENT, "n", "_cell", "last")))
+    ).first()
+    if not found:
+        return SeriesPlan(rows, segments, block_rows)
+    long = pd.DataFrame([row.asDict() for row in found])
 
     cell_rows = max(1, block_rows // CELLS_PER_BLOCK)
     span, steps = long["last"] - long["_cell"] + 1, []
@@ -102,7 +108,7 @@ def plan_series(df: DataFrame, block_rows: int | None = None) -> SeriesPlan:
         refined = steps[-1]
         heavy = _heavy_parts(cells, refined, block_rows)
         if heavy.empty:
-            return SeriesPlan(rows, block_rows, steps, cells)
+            return SeriesPlan(rows, segments, block_rows, steps, cells)
         span = heavy["_width"]
 
 

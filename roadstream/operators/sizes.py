@@ -76,8 +76,8 @@ def prefix_sum(
 ) -> DataFrame:
     """Sum of ``value`` over the rows before this one, per ``by``, in ``order``.
 
-    ``order`` is unique within ``by``. A small table takes one window. A larger
-    one is range-partitioned by the order and written, so that the part number of
+    ``order`` is unique within ``by``. A table known to be small takes one window.
+    Any other is written once and counted. A large one is range-partitioned by the order and written, so that the part number of
     a row is stored data; each part adds its own running sum to the total of the
     parts before it. No task then holds more than one part.
     """
@@ -87,11 +87,15 @@ def prefix_sum(
         window = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*ahead)
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    if is_small(df, rows_at_most, limit):
+    if rows_at_most is not None and rows_at_most <= limit:
         return df.withColumn(output, before(by, order, value))
-    parts = max(2, -(-df.count() // limit))
+    stored = checkpointed(df)
+    rows = stored.count()
+    if rows <= limit:
+        return stored.withColumn(output, before(by, order, value))
+    parts = max(2, -(-rows // limit))
     placed = checkpointed(
-        df.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
+        stored.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum(value).alias("_sum"))
     ahead_of_part = before(by, ["_part"], "_sum").alias("_ahead")

@@ -33,12 +33,14 @@ def positional_split(
     plan = plan or plan_series(df)
     counts = df.groupBy("segment_id").agg(F.count("*").alias("_n"))
     offsets = prefix_sum(
-        counts, [], ["segment_id"], "_n", "_offset", rows_at_most=plan.rows, limit=limit
+        counts, [], ["segment_id"], "_n", "_offset", plan.segments_at_most, limit
     ).select("segment_id", "_offset")
     positioned = windowed(df, lambda d, s: d.withColumn("_position", s.position), plan=plan)
     split = named_split(F.col("_offset") + F.col("_position"), F.lit(plan.rows), test, validation)
     return (
-        dimension_join(positioned, offsets, "segment_id", rows_at_most=plan.rows, limit=limit)
+        dimension_join(
+            positioned, offsets, "segment_id", rows_at_most=plan.segments_at_most, limit=limit
+        )
         .withColumn("split", split)
         .drop("_offset", "_position")
     )

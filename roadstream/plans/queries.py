@@ -30,8 +30,8 @@ from roadstream.operators import (
 from roadstream.operators.sizes import checkpointed, run_folder
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
-from roadstream.sources.tables import load_table, save_table
 from roadstream.sources.events import TrafficTables, raw_measures
+from roadstream.sources.tables import load_table, save_table
 from roadstream.streaming import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -313,7 +313,7 @@ def forecast_alerts(t: TrafficTables) -> DataFrame:
     code = features.add_congestion_labels(t.readings, t.roads, t.roads_at_most)
     share = code.withColumn("congested", profile.congested() * 100.0)
     history = forecast.split_history(share, value="congested", plan=t.plan)
-    predicted = forecast.seasonal_profile(history, t.plan.rows)
+    predicted = forecast.seasonal_profile(history, t.plan)
     return profile.forecast_alerts(predicted.withColumnRenamed("forecast", "predicted"))
 
 
@@ -519,12 +519,12 @@ def seasonal_naive(t: TrafficTables) -> DataFrame:
 
 @query
 def seasonal_profile(t: TrafficTables) -> DataFrame:
-    return forecast.seasonal_profile(history(t), t.plan.rows)
+    return forecast.seasonal_profile(history(t), t.plan)
 
 
 @query
 def ar1_per_segment(t: TrafficTables) -> DataFrame:
-    return forecast.ar1_per_segment(history(t), t.plan.rows)
+    return forecast.ar1_per_segment(history(t), t.plan)
 
 
 @query
@@ -549,12 +549,12 @@ def direct_multi_horizon(t: TrafficTables) -> DataFrame:
 
 @query
 def forecast_metrics(t: TrafficTables) -> DataFrame:
-    return metrics.forecast_metrics(forecast.ar1_per_segment(history(t), t.plan.rows))
+    return metrics.forecast_metrics(forecast.ar1_per_segment(history(t), t.plan))
 
 
 @query
 def forecast_report(t: TrafficTables) -> DataFrame:
-    return metrics.forecast_report(forecast.baseline_forecasts(history(t), t.plan.rows))
+    return metrics.forecast_report(forecast.baseline_forecasts(history(t), t.plan))
 
 
 # Signals and scenarios

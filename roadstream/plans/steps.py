@@ -97,7 +97,7 @@ def train_forecasts(study: Study) -> DataFrame:
         "direct_multi_horizon": forecast.direct_multi_horizon(readings, plan=plan).drop("step"),
     }
     columns = ["model", "segment_id", "timestamp", "actual", "forecast"]
-    parts = [forecast.baseline_forecasts(history, plan.rows)]
+    parts = [forecast.baseline_forecasts(history, plan)]
     parts += [df.withColumn("model", F.lit(name)) for name, df in fitted.items()]
     found = study.save(_union([part.select(columns) for part in parts]), "forecasts")
     return study.save(metrics.forecast_report(found), "forecast_metrics")

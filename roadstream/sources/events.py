@@ -81,8 +81,8 @@ class TrafficTables:
 
     @property
     def roads_at_most(self) -> int:
-        """There are no more segments than readings."""
-        return self.plan.rows
+        """The roads are the segments that have readings."""
+        return self.plan.segments_at_most
 
     @cached_property
     def labelled(self) -> DataFrame:

@@ -61,7 +61,7 @@ def test_medians_by_refinement(spark, n):
 def test_positional_split_of_many_segments(traffic):
     expected = rows(splits.positional_split(traffic.readings, plan=traffic.plan))
     plan = traffic.plan
-    large = splits.positional_split(traffic.readings, plan=type(plan)(plan.rows, 10**6), limit=4)
+    large = splits.positional_split(traffic.readings, plan=type(plan)(plan.rows, 15, 10**6), limit=4)
     assert rows(large) == expected
 
 
