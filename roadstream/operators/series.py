@@ -8,6 +8,8 @@ block), each block together with the few rows around it that its frames reach,
 and ``running`` carries unbounded frames across blocks. Both are exact, and both
 move every wide row through one shuffle.
 
+Segment and time together identify a reading, which makes the order total.
+
 The plan holds counts only: at most ``CELLS_PER_BLOCK * MAX_BLOCKS`` histogram
 cells per refinement, whatever the size of the data.
 """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # A table of at most this many narrow rows (about 100 MB) may be broadcast, sit
 # in one window partition or come to the driver. Larger ones never do.
 SMALL_ROWS = 1_000_000
-SALTS = 32
+MAX_HOT_KEYS = 20_000
 
 
 def is_small(df: DataFrame, rows_at_most: int | None = None, limit: int = SMALL_ROWS) -> bool:
@@ -29,28 +29,34 @@ def dimension_join(
     """Many-to-one join of a fact with a table that has one row per key.
 
     A dimension that passes the size check is broadcast, so the fact stays where
-    it is. A larger one is shuffled with salted keys: each fact row takes one of
-    ``SALTS`` salts from its own contents, each dimension row is repeated once
-    per salt, and a key that holds a third of the fact spreads over 32 tasks.
+    it is. Beyond that, the keys with more than ``limit`` fact rows (at most
+    ``MAX_HOT_KEYS`` of them) meet their few dimension rows in a broadcast join,
+    where any number of tasks share a key, and the other keys are shuffled.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a many-to-one join: {how}")
     if is_small(dimension, rows_at_most, limit):
         return fact.join(F.broadcast(dimension), keys, how)
-    salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(SALTS)).cast("int"))
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated.hint("shuffle_merge"), keys + ["_salt"], how).drop("_salt")
+    hot_rows = max(limit, fact.count() // MAX_HOT_KEYS)
+    per_key = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
+    hot = F.broadcast(per_key.filter(F.col("_n") > hot_rows).select(*keys))
+    few = F.broadcast(dimension.join(hot, keys, "left_semi"))
+    on_hot = fact.join(hot, keys, "left_semi").join(few, keys, how)
+    others = fact.join(hot, keys, "left_anti")
+    return on_hot.unionByName(others.join(dimension.hint("shuffle_merge"), keys, how))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the session names; outside local mode it must be set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = "/tmp/roadstream-checkpoints"
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -95,7 +101,9 @@ def prefix_sum(
         return stored.withColumn(output, before(by, order, value))
     parts = max(2, -(-rows // limit))
     placed = checkpointed(
-        stored.repartitionByRange(parts, *by, *order).withColumn("_part", F.spark_partition_id())
+        stored.repartitionByRange(parts, *by, *order).withColumn(
+            "_part", F.spark_partition_id()
+        )
     )
     totals = placed.groupBy(*by, "_part").agg(F.sum(value).alias("_sum"))
     ahead_of_part = before(by, ["_part"], "_sum").alias("_ahead")

@@ -204,8 +204,7 @@ TRAFFIC = f"""{KEYS}, volume_vehicles, has_accident, day_of_week, hour, is_weeke
 define("derived_measures", f"SELECT {TRAFFIC} FROM traffic")
 define(
     "save_load_tables",
-    f"""SELECT {TRAFFIC} FROM traffic
-    WHERE timestamp>=TIMESTAMP '2024-01-08' AND timestamp<TIMESTAMP '2024-01-15'""",
+    f"SELECT {TRAFFIC} FROM traffic",
 )
 define("rush_hour_flag", f"SELECT {KEYS}, is_rush_hour FROM traffic")
 define(
@@ -601,7 +600,7 @@ def best_plan(values: str, name: str) -> str:
 PLAN_COLUMNS = f"segment_id, green_ns, green_ew, {rs('objective_value')}"
 CORNERS = best_plan("[20, 120]", "best")
 define(
-    "timing_objective_current",
+    "timing_objective",
     f"SELECT segment_id, {r(objective('50', '50'), 'objective_value')} FROM volumes",
     PEAK,
     VOLUMES,
