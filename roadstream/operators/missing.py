@@ -1,6 +1,8 @@
 """Missing values: report, exact medians, fill."""
 
 import math
+from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from roadstream.operators.series import HELPERS, SeriesPlan, plan_series
 from roadstream.operators.sizes import SMALL_ROWS
 
 BINS = 16384
+# percentile_approx is off by at most 1 / ACCURACY of the rows.
+ACCURACY = 10_000
 
 
 def null_report(df: DataFrame) -> DataFrame:
@@ -19,16 +23,43 @@ def null_report(df: DataFrame) -> DataFrame:
     return counts.withColumn("total", total.cast("bigint"))
 
 
+@dataclass(frozen=True)
+class _Range:
+    """Part of a column's values that is being counted.
+
+    ``outside`` counts the values beyond both ends as well, as one bin each.
+    """
+
+    column: str
+    low: float
+    high: float
+    outside: bool = False
+
+    def bin(self) -> Column:
+        """Number of the value's bin; it grows with the value, rounding included."""
+        value = F.col(self.column).cast("double")
+        if self.high > self.low:
+            inside = F.floor((value - self.low) / (self.high - self.low) * (BINS - 1))
+        else:
+            inside = F.lit(0)
+        number = F.when(value.between(self.low, self.high), inside.cast("bigint"))
+        if self.outside:
+            number = number.when(value < self.low, -1).when(value > self.high, BINS)
+        return number
+
+
 def exact_medians(
     df: DataFrame, columns: list[str], rows: int | None = None, limit: int = SMALL_ROWS
 ) -> dict[str, float | None]:
     """Exact interpolated median of each column.
 
     ``percentile`` keeps every distinct value of a column in one task. Up to
-    ``limit`` rows that takes one pass. Above, each pass counts the rows of all
-    columns in ``BINS`` bins, and the next pass looks only inside the bin that
-    holds the middle rank, until the two middle values are known. A pass returns
-    at most ``BINS`` rows per column.
+    ``limit`` rows that takes one pass. Above, an approximate percentile gives a
+    narrow range around the middle. The next pass counts, for all columns, the
+    rows below it, above it and in ``BINS`` bins inside; each further pass cuts
+    the bin that holds a middle rank, until the middle values are known. The
+    counts decide, so a poor first range costs a pass and not the result. A pass
+    returns at most ``BINS`` + 2 rows per range.
     """
     if (df.count() if rows is None else rows) <= limit:
         # As rows, so that the columns are spread over the tasks.
@@ -42,73 +73,65 @@ def exact_medians(
             .agg(F.percentile("value", 0.5).alias("median"))
         )
         return {c: None for c in columns} | {row.name: row.median for row in medians.collect()}
-    stats = df.agg(
-        *[f(c).alias(f"{name}_{c}") for c in columns for name, f in _STATS.items()]
+
+    near = [0.5 - 2 / ACCURACY, 0.5 + 2 / ACCURACY]
+    first = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.percentile_approx(c, near, ACCURACY).alias(f"near_{c}") for c in columns],
     ).first()
-    medians: dict[str, float | None] = {}
-    # (column, rank) -> (lowest value, highest value, rank inside that range)
-    open_ranges = {}
+    wanted: dict[_Range, set[int]] = {}
     for c in columns:
-        n, low, high = (stats[f"{name}_{c}"] for name in _STATS)
-        for rank in {(n - 1) // 2, n // 2} if n else ():
-            open_ranges[c, rank] = (float(low), float(high), rank)
-        if not n:
-            medians[c] = None
-    found: dict[tuple[str, int], float] = {}
-    while open_ranges:
-        bins = _bin_counts(df, open_ranges)
-        narrowed = {}
-        for key, (_, _, rank) in open_ranges.items():
-            for count, low, high in bins[key]:
-                if rank < count:
-                    break
-                rank -= count
-            if low == high:
-                found[key] = low
-            elif rank == 0:
-                found[key] = low
-            elif rank == count - 1:
-                found[key] = high
-            else:
-                narrowed[key] = (low, high, rank)
-        open_ranges = narrowed
-    for c in columns:
-        values = [value for (name, _), value in found.items() if name == c]
-        if values:
-            medians[c] = math.fsum(values) / len(values)
-    return medians
-
-
-_STATS = {"n": F.count, "low": F.min, "high": F.max}
-
-
-def _bin_counts(df: DataFrame, ranges: dict) -> dict:
-    """(rows, least, greatest) of each non-empty bin, in order, per open range."""
-    keys = list(ranges)
-
-    def item(i: int) -> Column:
-        low, high, _ = ranges[keys[i]]
-        value = F.col(keys[i][0]).cast("double")
-        inside = value.between(low, high)
-        # Monotone in the value, so bins are ranges even after rounding.
-        number = F.floor((value - low) / (high - low) * (BINS - 1)) if high > low else F.lit(0)
-        return F.when(
-            inside,
+        if n := first[f"n_{c}"]:
+            low, high = map(float, first[f"near_{c}"])
+            wanted[_Range(c, low, high, outside=True)] = {(n - 1) // 2, n // 2}
+    found = defaultdict(list)
+    while wanted:
+        bins, narrowed = _bin_counts(df, list(wanted)), defaultdict(set)
+        for part, ranks in wanted.items():
+            for rank in ranks:
+                count, low, high, rank = _holder(bins[part], rank)
+                if rank == 0 or low == high:
+                    found[part.column].append(low)
+                elif rank == count - 1:
+                    found[part.column].append(high)
+                else:
+                    narrowed[_Range(part.column, low, high)].add(rank)
+        wanted = narrowed
+    return {c: math.fsum(found[c]) / len(found[c]) if found[c] else None for c in columns}
+
+
+def _holder(bins: list[tuple], rank: int) -> tuple:
+    """The bin (rows, least, greatest) with the row of a rank, and its rank inside."""
+    for count, low, high in bins:
+        if rank < count:
+            return count, low, high, rank
+        rank -= count
+    raise ValueError("rank beyond the counted rows")
+
+
+def _bin_counts(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[tuple]]:
+    """(rows, least, greatest) of each non-empty bin of each range, in order."""
+    items = [
+        F.when(
+            part.bin().isNotNull(),
             F.struct(
-                F.lit(i).alias("key"), number.cast("bigint").alias("bin"), value.alias("value")
+                F.lit(i).alias("part"),
+                part.bin().alias("bin"),
+                F.col(part.column).cast("double").alias("value"),
             ),
         )
-
-    pairs = df.select(F.explode(F.array(*[item(i) for i in range(len(keys))])).alias("item"))
+        for i, part in enumerate(ranges)
+    ]
     counted = (
-        pairs.filter("item IS NOT NULL")
-        .groupBy("item.key", "item.bin")
+        df.select(F.explode(F.array(*items)).alias("item"))
+        .filter("item IS NOT NULL")
+        .groupBy("item.part", "item.bin")
         .agg(F.count("*").alias("n"), F.min("item.value"), F.max("item.value"))
         .collect()
     )
-    out: dict = {key: [] for key in keys}
-    for key, _, n, low, high in sorted(counted):
-        out[keys[key]].append((n, low, high))
+    out = defaultdict(list)
+    for part, _, n, low, high in sorted(counted):
+        out[ranges[part]].append((n, low, high))
     return out
 
 

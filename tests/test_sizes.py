@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from roadstream.operators import metrics, splits
+from roadstream.operators import metrics, missing, splits
 from roadstream.operators.missing import exact_medians
 from roadstream.operators.sizes import dimension_join, prefix_sum
 
@@ -60,6 +60,14 @@ def test_medians_by_refinement(spark, n):
     assert small["empty"] is None and large["empty"] is None
 
 
+def test_medians_do_not_need_a_good_first_range(spark, monkeypatch):
+    monkeypatch.setattr(missing, "ACCURACY", 8)
+    monkeypatch.setattr(missing, "BINS", 3)
+    df = spark.range(2000).select(F.exp(F.col("id") % 701 / 10).alias("v"))
+    expected = exact_medians(df, ["v"])
+    assert exact_medians(df, ["v"], limit=0)["v"] == pytest.approx(expected["v"], rel=1e-15)
+
+
 def test_positional_split_of_many_segments(traffic):
     expected = rows(splits.positional_split(traffic.readings, plan=traffic.plan))
     plan = traffic.plan
