@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import bpe, token_counts
+from roadstream.llm import bpe, mixing, quality, samples, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +46,72 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_tokens",
         (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"),
     )
+
+
+def trained(spark, sf_dir, module, docs, modulus, held_out):
+    """Model of ``module`` on the labelled rows that are not held out."""
+    in_training = samples.id_remainder("doc_id", modulus) != held_out
+    return module.fit(docs, table(spark, sf_dir, "labels"), in_training)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = trained(spark, sf_dir, toxicity, docs, 4, 2)
+    held_out = (samples.id_remainder("doc_id", 4) == 2).alias("held_out")
+    return toxicity.classify(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = trained(spark, sf_dir, quality, docs, 5, 0)
+    held_out = (samples.id_remainder("doc_id", 5) == 0).alias("held_out")
+    return quality.classify(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+    )
+
+
+ORACLES["op6_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('=' || source, '') AS k,
+    coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+  FROM documents),
+s AS (SELECT k, sum(size) AS n FROM d GROUP BY k),
+w AS (
+  SELECT k, n, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY k = '', k) - 1) % 3 + 1]::DOUBLE AS w
+  FROM s),
+r AS (
+  SELECT *, 2.0::DOUBLE * n AS cap, 2.0::DOUBLE * n / w AS ratio,
+    (1.5::DOUBLE * sum(n) OVER ()
+      - coalesce(sum(2.0::DOUBLE * n) OVER (ORDER BY 2.0::DOUBLE * n / w, k
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY 2.0::DOUBLE * n / w, k
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS lv
+  FROM w),
+t AS (
+  SELECT k, n, least(w * (SELECT arg_min(lv, (ratio, k)) FROM r WHERE lv <= ratio), cap) AS target
+  FROM r),
+b AS (
+  SELECT *, CASE WHEN n > 0 THEN floor(target / n)::BIGINT ELSE 0 END AS times FROM t),
+p AS (SELECT k, place, sum(size) AS ps FROM d GROUP BY k, place),
+c AS (
+  SELECT p.k, p.place, p.ps, target - times * n AS budget,
+    sum(p.ps) OVER (PARTITION BY p.k ORDER BY p.place) AS upto
+  FROM p JOIN b ON p.k = b.k),
+x AS (
+  SELECT k, place, upto <= budget OR
+    (upto - ps <= budget AND ps > 0 AND 2 * (budget - (upto - ps)) >= ps) AS more
+  FROM c)
+SELECT d.doc_id, d.size::BIGINT AS size, b.n::BIGINT AS source_size,
+  round(b.target, 6) AS target,
+  (d.size * (b.times + x.more::INT))::BIGINT AS taken
+FROM d JOIN b ON d.k = b.k JOIN x ON x.k = d.k AND x.place = d.place
+"""
