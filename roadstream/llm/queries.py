@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import bpe, mixing, quality, samples, token_counts, toxicity
+from roadstream.llm import bpe, jaccard, mixing, quality, samples, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,8 @@ SELECT d.doc_id, d.size::BIGINT AS size, b.n::BIGINT AS source_size,
   (d.size * (b.times + x.more::INT))::BIGINT AS taken
 FROM d JOIN b ON d.k = b.k JOIN x ON x.k = d.k AND x.place = d.place
 """
+
+
+@query
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
