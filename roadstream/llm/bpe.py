@@ -11,6 +11,8 @@ columns, repeated rows and their order stay; an output column replaces one of th
 same name. Texts are encoded whole, however long.
 """
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,11 +25,15 @@ SLICE = 256  # texts handled at once within a batch
 
 def propose(word: bytes, tables: dict) -> list[int]:
     """Greedy longest match."""
-    ids, longest = tables["ids"], tables["longest"]
+    get, longest = tables["ids"].get, tables["longest"]
+    if (token := get(word)) is not None:
+        return [token]
     tokens, start, end = [], 0, len(word)
     while start < end:
-        stop = min(end, start + longest[word[start]])
-        while (token := ids.get(word[start:stop])) is None:
+        stop = start + longest[word[start]]
+        if stop > end:
+            stop = end
+        while (token := get(word[start:stop])) is None:
             stop -= 1
         tokens.append(token)
         start = stop
@@ -63,7 +69,7 @@ def compatible(first: np.ndarray, second: np.ndarray, tables: dict) -> np.ndarra
 def encode_words(words: list[bytes], tables: dict) -> list[list[int]]:
     """Token ids of each pre-token."""
     if not tables["one_way"]:  # a token with two merges has no single history
-        return [v.merge_exact(w, tables) for w in words]
+        return v.merge_all(words, tables)
     proposed = [propose(w, tables) for w in words]
     if not proposed:
         return []
@@ -74,26 +80,26 @@ def encode_words(words: list[bytes], tables: dict) -> list[list[int]]:
     within = owner[1:] == owner[:-1]
     fits = compatible(flat[:-1][within], flat[1:][within], tables)
     failed[owner[1:][within][~fits]] = True
-    for i in np.flatnonzero(failed):
-        proposed[i] = v.merge_exact(words[i], tables)
+    again = np.flatnonzero(failed).tolist()
+    for i, tokens in zip(again, v.merge_all([words[i] for i in again], tables), strict=True):
+        proposed[i] = tokens
     return proposed
 
 
 def encode_texts(texts: list[str | None], tables: dict) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
-    known: dict[str, bytes] = tables.setdefault("kept_chunks", {})
-    if len(known) > v.KEPT_CHUNKS:
-        known.clear()
+    known: dict[str, bytes] = v.kept(tables, "chunks")
+    ids: dict[str, bytes] = v.kept(tables, "words")
     special = v.special_pattern(tables)
     parts = [[t] if special is None else special.split(t) for t in (t or "" for t in texts)]
     chunks = [[v.CHUNK.findall(p) for p in own[::2]] for own in parts]
-    fresh = list({c for own in chunks for part in own for c in part} - known.keys())
-    pieces = [[p.encode() for p in v.PIECES.findall(c)] for c in fresh]
-    words = list({p for own in pieces for p in own})
-    ids = {
-        w: np.array(t, "<u4").tobytes()
-        for w, t in zip(words, encode_words(words, tables), strict=True)
-    }
+    seen = set().union(*(part for own in chunks for part in own))
+    fresh = [c for c in seen if c not in known]
+    pieces = [v.PIECES.findall(c) for c in fresh]
+    words = [p for p in set().union(*pieces) if p not in ids]
+    coded_words = encode_words([w.encode() for w in words], tables)
+    for word, tokens in zip(words, coded_words, strict=True):
+        ids[word] = struct.pack(f"<{len(tokens)}I", *tokens)
     for chunk, own in zip(fresh, pieces, strict=True):
         known[chunk] = b"".join([ids[p] for p in own])
     names = {s: np.array([i], "<u4").tobytes() for s, i in tables["specials"].items()}

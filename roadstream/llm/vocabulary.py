@@ -21,7 +21,8 @@ CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 PIECES = regex.compile(PRE_TOKEN)
 
 NO_RANK = 1 << 40
-KEPT_CHUNKS = 300_000  # kept results of a worker, about 60 MB; then it starts anew
+SHORT = 48  # bytes of words that are merged in a simple scan
+KEPT = 500_000  # results of one kind a worker keeps, about 90 MB; then it starts anew
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -98,6 +99,7 @@ def merge_tables(
         "pairs": pairs,
         "pair_keys": keys[order],
         "pair_ranks": ranks[order],
+        "pair_whole": np.array([w for _, w in pairs.values()] or [0], np.int64)[order],
         "rank": rank,
         "left": left,
         "right": right,
@@ -115,7 +117,7 @@ def merge_exact(word: bytes, tables: dict) -> list[int]:
     """Token ids of a pre-token: the lowest rank merges first, leftmost on ties."""
     byte_ids, pairs = tables["byte_ids"], tables["pairs"]
     tokens = [byte_ids[b] for b in word]
-    if len(tokens) > 48:
+    if len(tokens) > SHORT:
         return _merge_long(tokens, pairs)
     none = (NO_RANK, -1)
     found = [pairs.get(p, none) for p in zip(tokens, tokens[1:], strict=False)]
@@ -161,7 +163,67 @@ def _merge_long(tokens: list[int], pairs: dict) -> list[int]:
     return [t for t in tokens if t >= 0]
 
 
+def merge_all(words: list[bytes], tables: dict) -> list[list[int]]:
+    """``merge_exact`` of many words, a merge of every word at a time."""
+    out: list[list[int]] = [[]] * len(words)
+    short = [i for i, w in enumerate(words) if len(w) <= SHORT]
+    for i, w in enumerate(words):
+        if len(w) > SHORT:
+            out[i] = merge_exact(w, tables)
+    raw = np.frombuffer(b"".join([words[i] for i in short]), np.uint8)
+    tokens = np.array(tables["byte_ids"], np.int64)[raw]
+    owner = np.repeat(np.array(short, np.int64), [len(words[i]) for i in short])
+    keys, ranks, whole = tables["pair_keys"], tables["pair_ranks"], tables["pair_whole"]
+
+    def looked_up(at: np.ndarray) -> np.ndarray:
+        """Place in the pair tables of the tokens at ``at`` and after, or -1."""
+        key = (tokens[at] << 32) | tokens[at + 1]
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where((keys[place] == key) & (owner[at] == owner[at + 1]), place, -1)
+
+    pair = np.full(len(tokens), -1, np.int64)
+    pair[:-1] = looked_up(np.arange(len(tokens) - 1))
+    while len(tokens):
+        rank = np.where(pair >= 0, ranks[pair], NO_RANK)
+        start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+        least = np.minimum.reduceat(rank, start)
+        size = np.diff(np.append(start, len(owner)))
+        done = np.repeat(least == NO_RANK, size)
+        if done.any():
+            finished = np.flatnonzero(least == NO_RANK)
+            values = tokens[done].tolist()
+            upto = np.cumsum(size[finished]).tolist()
+            for word, a, b in zip(
+                owner[start[finished]].tolist(), [0, *upto], upto, strict=False
+            ):
+                out[word] = values[a:b]
+            tokens, owner, pair, rank = (x[~done] for x in (tokens, owner, pair, rank))
+            size, least = size[least < NO_RANK], least[least < NO_RANK]
+            if not len(tokens):
+                break
+        hits = np.flatnonzero(rank == np.repeat(least, size))
+        hits = hits[np.concatenate([[True], owner[hits[1:]] != owner[hits[:-1]]])]
+        tokens[hits] = whole[pair[hits]]
+        keep = np.ones(len(tokens), bool)
+        keep[hits + 1] = False
+        tokens, owner, pair = tokens[keep], owner[keep], pair[keep]
+        hits -= np.arange(len(hits))
+        changed = np.concatenate([hits, hits[hits > 0] - 1])
+        pair[changed[changed == len(tokens) - 1]] = -1
+        changed = changed[changed < len(tokens) - 1]
+        pair[changed] = looked_up(changed)
+    return out
+
+
 def special_pattern(tables: dict) -> re.Pattern | None:
     """Pattern that splits a text at special strings, the longest first."""
     names = sorted(tables["specials"], key=len, reverse=True)
     return re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
+
+
+def kept(tables: dict, kind: str) -> dict:
+    """What this worker keeps of one kind of result."""
+    known = tables.setdefault(f"kept_{kind}", {})
+    if len(known) > KEPT:
+        known.clear()
+    return known
