@@ -26,25 +26,31 @@ def whole_tokens(tables: dict) -> frozenset[bytes]:
 
 def count_tokens(texts: list[str | None], tables: dict) -> list[int]:
     """Number of tokens of each text."""
-    known: dict[str, int] = tables.setdefault("kept_counts", {})
-    if len(known) > v.KEPT_CHUNKS:
-        known.clear()
+    known: dict[str, int] = v.kept(tables, "counts")
+    merged: dict[str, int] = v.kept(tables, "merged")
     whole = tables.get("whole") or tables.setdefault("whole", whole_tokens(tables))
     special = v.special_pattern(tables)
-    counts = []
-    for text in texts:
-        parts = [text or ""] if special is None else special.split(text or "")
-        total = len(parts) // 2  # the special strings between
-        for part in parts[::2]:
-            chunks = v.CHUNK.findall(part)
-            for chunk in set(chunks) - known.keys():
-                pieces = (p.encode() for p in v.PIECES.findall(chunk))
-                known[chunk] = sum(
-                    1 if p in whole else len(v.merge_exact(p, tables)) for p in pieces
-                )
-            total += sum([known[c] for c in chunks])
-        counts.append(total)
-    return counts
+    parts = [[t] if special is None else special.split(t) for t in (t or "" for t in texts)]
+    chunks = [[c for p in own[::2] for c in v.CHUNK.findall(p)] for own in parts]
+    fresh = [c for c in set().union(*chunks) if c not in known]
+    pieces = [v.PIECES.findall(c) for c in fresh]
+    rest = []
+    for piece in set().union(*pieces):
+        if piece in merged:
+            continue
+        if (raw := piece.encode()) in whole:
+            merged[piece] = 1
+        else:
+            rest.append((piece, raw))
+    for (piece, _), tokens in zip(rest, v.merge_all([w for _, w in rest], tables), strict=True):
+        merged[piece] = len(tokens)
+    for chunk, own in zip(fresh, pieces, strict=True):
+        known[chunk] = sum([merged[p] for p in own])
+    # Every second part is a special string, one token.
+    return [
+        len(own) // 2 + sum([known[c] for c in cut])
+        for own, cut in zip(parts, chunks, strict=True)
+    ]
 
 
 def token_count(text: Column | str, shared) -> Column:
