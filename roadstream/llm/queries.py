@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadstream.llm import bpe, jaccard, mixing, quality, samples, token_counts, toxicity
+from roadstream.llm import (
+    bpe,
+    jaccard,
+    lm,
+    mixing,
+    quality,
+    samples,
+    syncmers,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -120,3 +130,27 @@ FROM d JOIN b ON d.k = b.k JOIN x ON x.k = d.k AND x.place = d.place
 @query
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    edited = syncmers.with_edit(syncmers.with_next(docs))
+    return edited.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.as_text("anchors").alias("fingerprint"),
+        syncmers.as_text("edited_anchors").alias("edited_fingerprint"),
+        syncmers.likeness("anchors", "edited_anchors").alias("near_edited"),
+        syncmers.likeness("anchors", "next_anchors").alias("near_next"),
+    )
+
+
+@query
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = samples.id_remainder("doc_id", 7) == 2
+    scored = lm.score(docs, ~held_out)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", held_out.alias("held_out"), *columns)
