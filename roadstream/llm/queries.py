@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm import (
+    ann,
     bpe,
     jaccard,
     lm,
@@ -16,7 +17,9 @@ from roadstream.llm import (
     syncmers,
     token_counts,
     toxicity,
+    warc,
 )
+from roadstream.operators.sizes import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -154,3 +157,18 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score(docs, ~held_out)
     columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select("doc_id", held_out.alias("held_out"), *columns)
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{run_folder(spark)}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    index = warc.capture_index(warc.capture_runs(spark, folder))
+    columns = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return index.select("page_id", *columns, "url_key", "captured", "part", "position")
+
+
+@query
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.neighbours(vectors, F.col("vec_id") % 100 == 0, 10)
