@@ -1,8 +1,71 @@
-"""Documents through five stages, each written as Parquet before the next."""
+"""Documents made ready for training in five stages.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its
+result is written as Parquet and read again. Toxic documents go, then those of low
+quality, then all but one of each group of near duplicates; the sources are mixed to
+their target weights, some documents twice, others not at all; the rest is encoded.
+The classifiers learn from the labelled rows of ``sf_dir`` that are among ``docs`` and
+not held out. An empty table passes through all stages.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roadstream.llm import bpe, jaccard, mixing, quality, samples, toxicity
+from roadstream.llm.queries import VOCABULARY
+from roadstream.operators.sizes import run_folder
+
+THRESHOLD = 0.3
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels, samples.id_remainder("doc_id", 4) != 2)
+    return docs.filter(toxicity.score("text", model, docs) < THRESHOLD)
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels, samples.id_remainder("doc_id", 5) != 0)
+    return docs.filter(quality.score("text", model, docs) >= THRESHOLD)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeated(mixing.mix(docs)).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with their token ids, and whether these decode to the text."""
+    coded = bpe.round_trip(docs, VOCABULARY, ids="_ids", back="_back")
+    same = F.col("_back") == F.coalesce("text", F.lit(""))
+    return coded.select(
+        *docs.columns,
+        bpe.n_tokens("_ids").alias("n_tokens"),
+        bpe.id_list("_ids").alias("token_ids"),
+        same.alias("decodes"),
+    )
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("mixing", mix_sources),
+    ("bpe", encode),
+]
+
+# The classifiers and the sketch join have no counterpart in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
