@@ -186,3 +186,16 @@ def n_tokens(packed: Column | str) -> Column:
     """Number of tokens in packed ids."""
     column = F.col(packed) if isinstance(packed, str) else packed
     return (F.octet_length(column) / 4).cast("long")
+
+
+def id_list(packed: Column | str) -> Column:
+    """Packed ids as an array of int."""
+
+    @F.arrow_udf("array<int>")
+    def list_udf(ids: pa.Array) -> pa.Array:
+        sizes = [len(i.as_py() or b"") // 4 for i in ids]
+        flat = np.frombuffer(b"".join([i.as_py() or b"" for i in ids]), "<i4")
+        upto = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(upto), pa.array(flat))
+
+    return list_udf(packed)

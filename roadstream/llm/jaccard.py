@@ -409,3 +409,20 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 75) -> DataFrame
     return found.select(
         "doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, k: int = K, percent: int = 75) -> DataFrame:
+    """The documents whose id is that of their component, each once.
+
+    Rows with a null id all stay. Rows with equal ids and texts count as one document.
+    """
+    found = near_duplicates(docs, k, percent)
+    kept = stored(found.filter("doc_id = component_id").select("doc_id").distinct())
+    copies = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
+    named = (
+        docs.join(kept, "doc_id", "left_semi")
+        .withColumn("_text", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+        .withColumn("_copy", F.row_number().over(copies))
+        .filter("_copy = 1")
+    )
+    return named.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
