@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roadstream.operators.features import forward_fill, series_feature_names
 from roadstream.operators.series import HELPERS, SeriesPlan, plan_series
-from roadstream.operators.sizes import SMALL_ROWS
+from roadstream.operators.sizes import SMALL_ROWS, checkpointed
 
 BINS = 16384
 # percentile_approx is off by at most 1 / ACCURACY of the rows.
@@ -42,10 +42,7 @@ class _Range:
             inside = F.floor((value - self.low) / (self.high - self.low) * (BINS - 1))
         else:
             inside = F.lit(0)
-        number = F.when(value.between(self.low, self.high), inside.cast("bigint"))
-        if self.outside:
-            number = number.when(value < self.low, -1).when(value > self.high, BINS)
-        return number
+        return F.when(value.between(self.low, self.high), inside.cast("bigint"))
 
 
 def exact_medians(
@@ -58,8 +55,10 @@ def exact_medians(
     narrow range around the middle. The next pass counts, for all columns, the
     rows below it, above it and in ``BINS`` bins inside; each further pass cuts
     the bin that holds a middle rank, until the middle values are known. The
-    counts decide, so a poor first range costs a pass and not the result. A pass
-    returns at most ``BINS`` + 2 rows per range.
+    counts decide, so a poor first range costs a pass and not the result. Only
+    values inside the ranges, few of each column, become rows of their own. A pass
+    returns at most ``BINS`` rows per range and one row of counts. The passes read
+    ``df`` again each time, so it should be a written table.
     """
     if (df.count() if rows is None else rows) <= limit:
         # As rows, so that the columns are spread over the tasks.
@@ -111,6 +110,19 @@ def _holder(bins: list[tuple], rank: int) -> tuple:
 
 def _bin_counts(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[tuple]]:
     """(rows, least, greatest) of each non-empty bin of each range, in order."""
+    out: dict[_Range, list[tuple]] = defaultdict(list)
+    beyond = {}
+    for i, part in enumerate(ranges):
+        if part.outside:
+            value = F.col(part.column).cast("double")
+            for side, inside in (("a", value < part.low), ("b", value > part.high)):
+                held = F.when(inside, value)
+                beyond[i, side] = F.struct(F.count(held), F.min(held), F.max(held))
+    ends = {}
+    if beyond:
+        columns = [c.alias(f"{side}{i}") for (i, side), c in beyond.items()]
+        row = df.agg(*columns).first()
+        ends = {key: tuple(row[f"{key[1]}{key[0]}"]) for key in beyond}
     items = [
         F.when(
             part.bin().isNotNull(),
@@ -123,38 +135,57 @@ def _bin_counts(df: DataFrame, ranges: list[_Range]) -> dict[_Range, list[tuple]
         for i, part in enumerate(ranges)
     ]
     counted = (
-        df.select(F.explode(F.array(*items)).alias("item"))
-        .filter("item IS NOT NULL")
+        df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("item"))
         .groupBy("item.part", "item.bin")
         .agg(F.count("*").alias("n"), F.min("item.value"), F.max("item.value"))
         .collect()
     )
-    out = defaultdict(list)
     for part, _, n, low, high in sorted(counted):
         out[ranges[part]].append((n, low, high))
+    for i, part in enumerate(ranges):
+        if part.outside:
+            both = [ends[i, "a"], *out[part], ends[i, "b"]]
+            out[part] = [one for one in both if one[0]]
     return out
 
 
+def approximate_medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
+    """Median of each column to one part in ``ACCURACY`` of the rows, in one pass."""
+    row = df.agg(
+        *[F.percentile_approx(F.col(c).cast("double"), 0.5, ACCURACY).alias(c) for c in columns]
+    ).first()
+    return row.asDict()
+
+
 def fill_missing(
-    df: DataFrame, plan: SeriesPlan | None = None, limit: int = SMALL_ROWS
+    df: DataFrame,
+    plan: SeriesPlan | None = None,
+    limit: int = SMALL_ROWS,
+    approx: bool = False,
 ) -> DataFrame:
     """Forward-fill the series features, then fill what is left.
 
     Numbers become double and take the median of their column over all segments,
     other types take 0. A number column without any value stays null.
 
-    The other columns are checked for nulls without computing the series features.
-    Each series starts with unknown lags, so those columns always need a median.
+    The forward-filled table is written once to the shared folder; null counts,
+    medians and the result read it there, so the windows are computed once. Each
+    series starts with unknown lags, so those columns always need a median.
+    ``approx`` takes approximate medians in one pass.
     """
     plan = plan or plan_series(df)
     series = series_feature_names(df)
     types = dict(df.dtypes)
-    others = df.drop(*series, *HELPERS)
+    filled = checkpointed(forward_fill(df, series, plan))
+    others = filled.drop(*series, *HELPERS)
     nulls = null_report(others).first()
     gaps = [c for c in others.columns if nulls[c]]
     numeric = [c for c in [*series, *gaps] if types[c] in ("int", "bigint", "float", "double")]
-    filled = forward_fill(df, series, plan)
-    medians = exact_medians(filled, numeric, plan.rows, limit) if numeric else {}
+    medians: dict[str, float | None] = {}
+    if numeric and approx:
+        medians = approximate_medians(filled, numeric)
+    elif numeric:
+        medians = exact_medians(filled, numeric, plan.rows, limit)
     fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numeric}
     fills.update({c: F.coalesce(c, F.lit(False)) for c in gaps if types[c] == "boolean"})
     fills.update({c: F.coalesce(c, F.lit("0")) for c in gaps if types[c] == "string"})

@@ -1,24 +1,34 @@
 """Signals, and the choice of their green times."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream import params as p
 from roadstream.functions import signal as timing
 from roadstream.operators.joins import signal_metrics
+from roadstream.operators.sizes import prefix_sum
 
 
 def signal_segments(roads: DataFrame) -> DataFrame:
     return roads.filter("has_traffic_signal")
 
 
-def build_signals(roads: DataFrame, count: int = p.SIGNAL_COUNT) -> DataFrame:
-    """The first ``count`` signalised segments, numbered, with the standard timing."""
-    # The limit is a distributed top-n; only its rows reach the one window partition.
-    first = signal_segments(roads).orderBy("segment_id").limit(count)
-    number = F.row_number().over(Window.partitionBy().orderBy("segment_id")) - 1
-    return first.select(
-        F.format_string("SIG_%03d", number).alias("signal_id"),
+def build_signals(
+    roads: DataFrame, count: int | None = p.SIGNAL_COUNT, roads_at_most: int | None = None
+) -> DataFrame:
+    """Signalised segments, numbered by segment, with the standard timing.
+
+    ``count`` takes only the first ones; None takes all.
+    """
+    chosen = signal_segments(roads)
+    if count is not None:
+        # The limit is a distributed top-n; only its rows reach the one window partition.
+        chosen, roads_at_most = chosen.orderBy("segment_id").limit(count), count
+    numbered = prefix_sum(
+        chosen.withColumn("_one", F.lit(1)), [], ["segment_id"], "_one", "_number", roads_at_most
+    )
+    return numbered.select(
+        F.format_string("SIG_%03d", "_number").alias("signal_id"),
         "segment_id",
         "latitude",
         "longitude",

@@ -55,8 +55,7 @@ signal AS (
   SELECT printf('SIG_%03d', row_number() OVER (ORDER BY segment_id)-1) AS signal_id, segment_id,
     latitude, longitude, 120::BIGINT AS cycle_length, 50::BIGINT AS green_time_ns,
     50::BIGINT AS green_time_ew, 3::BIGINT AS yellow_time, 2::BIGINT AS all_red_time
-  FROM road WHERE has_traffic_signal
-  QUALIFY row_number() OVER (ORDER BY segment_id) <= 30)"""
+  FROM road WHERE has_traffic_signal)"""
 
 W = "(PARTITION BY segment_id ORDER BY timestamp)"
 KEYS = "segment_id, epoch_us(timestamp) AS timestamp_us"
@@ -133,7 +132,7 @@ FLAGS = "(day_of_week IN (5,6))::BIGINT AS is_weekend, is_rush_hour::BIGINT AS i
 # Sources
 
 GRID = """panel AS (SELECT *, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-  TIMESTAMP '2024-01-30 00:00:00', INTERVAL 360 MINUTES)) AS timestamp FROM {0})"""
+  TIMESTAMP '2024-01-30 00:00:00', INTERVAL 15 MINUTES)) AS timestamp FROM {0})"""
 
 
 def draw(key: str, i: int) -> str:
@@ -210,7 +209,7 @@ define("rush_hour_flag", f"SELECT {KEYS}, is_rush_hour FROM traffic")
 define(
     "build_signals",
     f"""SELECT signal_id, segment_id, cycle_length, green_time_ns, green_time_ew, yellow_time,
-    all_red_time, {rs("latitude", "longitude")} FROM signal""",
+    all_red_time, {rs("latitude", "longitude")} FROM signal ORDER BY segment_id LIMIT 30""",
 )
 
 # Projections and filters
@@ -284,8 +283,11 @@ define(
 )
 define(
     "signals_without_data",
-    """SELECT signal_id, segment_id FROM signal
-    WHERE segment_id NOT IN (SELECT segment_id FROM traffic WHERE volume_vehicles>1900)""",
+    """SELECT signal_id, segment_id FROM (
+      SELECT printf('SIG_%03d', row_number() OVER (ORDER BY segment_id)-1) AS signal_id, segment_id
+      FROM (SELECT DISTINCT printf('SEG_%04d', c_custkey) AS segment_id FROM customer
+        WHERE c_custkey%10<3))
+    WHERE segment_id NOT IN (SELECT segment_id FROM traffic)""",
 )
 
 # Aggregations
@@ -322,7 +324,7 @@ LATEST_COLUMNS = f"{KEYS}, {rs('speed_kmh')}, volume_vehicles, congestion_level"
 define(
     "latest_per_segment",
     f"SELECT {LATEST_COLUMNS} FROM latest",
-    LATEST.format(speed=f"{LAST_SPEED} FILTER (WHERE congestion_code<2)"),
+    LATEST.format(speed=LAST_SPEED),
 )
 define(
     "latest_row_per_segment",
@@ -378,28 +380,27 @@ define("lag_features", f"SELECT {KEYS}, {rs(*[n for n, _ in lag_list()])} FROM f
 for kind in ("mean", "std", "max"):
     names = [n for n, _ in rolling_list() if kind in n]
     define(f"rolling_{kind}", f"SELECT {KEYS}, {rs(*names)} FROM features", FEATURE_CTE)
-ROLLING_NAMES = [n for n, _ in rolling_list()]
 define(
     "forward_fill",
     f"SELECT {KEYS}, "
     + ", ".join(
         r(
-            f"last_value(CASE WHEN congestion_code<3 THEN {c} END IGNORE NULLS) OVER "
+            f"last_value({c} IGNORE NULLS) OVER "
             "(PARTITION BY segment_id ORDER BY timestamp "
             "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
             c,
         )
-        for c in ROLLING_NAMES
+        for c in FEATURE_NAMES
     )
     + " FROM features",
     FEATURE_CTE,
 )
 
 
-def cents(first: int, last: int) -> str:
+def speeds(first: int, last: int) -> str:
     sides = [f"{abs(k)} {'PRECEDING' if k < 0 else 'FOLLOWING'}" for k in (first, last)]
     return (
-        "array_to_string(list(round(speed_kmh*100)::BIGINT) OVER (PARTITION BY segment_id "
+        "array_to_string(list(speed_kmh::VARCHAR) OVER (PARTITION BY segment_id "
         f"ORDER BY timestamp ROWS BETWEEN {sides[0]} AND {sides[1]}), ',')"
     )
 
@@ -408,7 +409,7 @@ define(
     "supervised_windows",
     f"""SELECT {KEYS}, x, y, CASE WHEN i-24 < floor((n-28)*0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split
     FROM windows WHERE i>=24 AND i<n-4""",
-    f"""windows AS (SELECT segment_id, timestamp, {cents(-24, -1)} AS x, {cents(0, 3)} AS y,
+    f"""windows AS (SELECT segment_id, timestamp, {speeds(-24, -1)} AS x, {speeds(0, 3)} AS y,
       row_number() OVER {W}-1 AS i, count(*) OVER (PARTITION BY segment_id) AS n FROM traffic)""",
 )
 CUTS = """CASE WHEN i<floor(n*(1::DOUBLE-0.2::DOUBLE-0.1::DOUBLE)) THEN 'train'
@@ -578,8 +579,8 @@ define(
 
 # Signals and scenarios
 
-VOLUMES = """volumes AS (SELECT segment_id, avg_volume*0.1::DOUBLE AS ns,
-  avg_volume*0.1::DOUBLE*0.8::DOUBLE AS ew FROM peak)"""
+VOLUMES = """volumes AS (SELECT segment_id, avg_volume AS ns,
+  avg_volume*0.8::DOUBLE AS ew FROM peak)"""
 
 
 def objective(green_ns: str, green_ew: str) -> str:
@@ -756,16 +757,15 @@ define(
     STATS.format("relabelled"),
 )
 
-# Streams: windows that end before the final watermark have been emitted.
+# Streams
 
-CLOSED = "window_end<=(SELECT epoch_us(max(timestamp)) FROM traffic)-1800000000"
 define(
     "stream_interval_avg",
     f"""SELECT segment_id, window_start AS window_start_us, window_end AS window_end_us,
     {r("avg(speed_kmh)", "avg_speed")}, {r("avg(volume_vehicles)", "avg_volume")}, count(*) AS readings
     FROM (SELECT *, window_start+900000000 AS window_end FROM (
       SELECT *, epoch_us(timestamp)//900000000*900000000 AS window_start FROM traffic))
-    WHERE {CLOSED} GROUP BY segment_id, window_start, window_end""",
+    GROUP BY segment_id, window_start, window_end""",
 )
 define(
     "stream_latest",
@@ -780,6 +780,6 @@ define(
     FROM (SELECT *, window_start+3600000000 AS window_end FROM (
       SELECT l.*, epoch_us(timestamp)//900000000*900000000-k*900000000::BIGINT AS window_start
       FROM labelled l, (SELECT unnest([0,1,2,3]) AS k)))
-    WHERE {CLOSED} GROUP BY segment_id, window_start, window_end
+    GROUP BY segment_id, window_start, window_end
     HAVING avg((congestion_code>=2)::INT)>0.7::DOUBLE""",
 )

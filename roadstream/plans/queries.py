@@ -5,7 +5,6 @@ BIGINT, so that results compare by value.
 """
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +28,17 @@ from roadstream.operators import (
 from roadstream.operators.sizes import checkpointed, run_folder
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
-from roadstream.sources.events import TrafficTables, raw_measures
+from roadstream.sources.events import TrafficTables, raw_measures, road_columns
 from roadstream.sources.tables import load_table, save_table
 from roadstream.streaming import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-GRID = ("2024-01-01 00:00:00", "2024-01-30 00:00:00", 360)
+GRID = ("2024-01-01 00:00:00", "2024-01-30 00:00:00", 15)
 RULE_LAGS = (1, 2, 4)
-VOLUME_SCALE = 0.1
 
 
-@lru_cache(maxsize=16)
 def tables(spark: SparkSession, folder: str) -> TrafficTables:
     return TrafficTables(spark, folder)
 
@@ -126,7 +123,7 @@ def rush_hour_flag(t: TrafficTables) -> DataFrame:
 
 @query
 def build_signals(t: TrafficTables) -> DataFrame:
-    return t.signals
+    return signals.build_signals(t.roads)
 
 
 # Projections and filters
@@ -213,16 +210,18 @@ def map_status(t: TrafficTables) -> DataFrame:
 
 @query
 def signal_metrics_join(t: TrafficTables) -> DataFrame:
-    return joins.signal_metrics(t.signals, t.labelled, p.SIGNAL_COUNT).select(
+    return joins.signal_metrics(t.signals, t.labelled, t.roads_at_most).select(
         "signal_id", "segment_id", "avg_volume", "avg_speed", "avg_density", "congested_share"
     )
 
 
 @query
 def signals_without_data(t: TrafficTables) -> DataFrame:
-    # Every given signal has readings; only very busy ones count here.
-    busy = t.readings.filter(F.col("volume_vehicles") > 1900)
-    return joins.signals_without_data(t.signals, busy).select("signal_id", "segment_id")
+    # A road for each customer; only those that are users have readings.
+    customers = t.spark.read.parquet(f"{t.folder}/customer.parquet")
+    roads = road_columns(customers.select(F.col("c_custkey").alias("user_id")).distinct())
+    placed = signals.build_signals(roads, None)
+    return joins.signals_without_data(placed, t.readings).select("signal_id", "segment_id")
 
 
 # Aggregations
@@ -259,19 +258,23 @@ def peak_metrics(t: TrafficTables) -> DataFrame:
     return profile.peak_metrics(t.labelled)
 
 
+# The code stands for the level: numbers aggregate in a hash table, text does not.
+LATEST = ["speed_kmh", "volume_vehicles", "congestion_code"]
+
+
+def named_level(df: DataFrame) -> DataFrame:
+    level = traffic.level_name(F.col("congestion_code")).alias("congestion_level")
+    return df.select("*", level).drop("congestion_code")
+
+
 @query
 def latest_per_segment(t: TrafficTables) -> DataFrame:
-    # Slow readings only count as known, so that the last known value is not the last row.
-    known = t.labelled.withColumn(
-        "speed_kmh", F.when(F.col("congestion_code") < 2, F.col("speed_kmh"))
-    )
-    return profile.latest_per_segment(known, ["speed_kmh", "volume_vehicles", "congestion_level"])
+    return named_level(profile.latest_per_segment(t.labelled, LATEST))
 
 
 @query
 def latest_row_per_segment(t: TrafficTables) -> DataFrame:
-    names = ["speed_kmh", "volume_vehicles", "congestion_level"]
-    return profile.latest_per_segment(t.labelled, names, mode="row")
+    return named_level(profile.latest_per_segment(t.labelled, LATEST, mode="row"))
 
 
 @query
@@ -356,20 +359,15 @@ def rolling_max(t: TrafficTables) -> DataFrame:
 
 @query
 def forward_fill(t: TrafficTables) -> DataFrame:
-    # Rolling values of slow readings count as unknown, which leaves gaps to fill.
-    rolled = features.add_rolling(t.labelled, plan=t.plan)
-    names = features.series_feature_names(rolled)
-    gaps = {c: F.when(F.col("congestion_code") < 3, F.col(c)) for c in names}
-    return keyed(features.forward_fill(rolled.withColumns(gaps), plan=t.plan), *names)
+    names = features.series_feature_names(t.features)
+    return keyed(features.forward_fill(t.features, plan=t.plan), *names)
 
 
 @query
 def supervised_windows(t: TrafficTables) -> DataFrame:
-    # Speeds have two decimals; as hundredths the arrays compare exactly.
+    # As text, in full, the arrays compare in SQL.
     def text(name: str) -> Column:
-        return F.array_join(
-            F.transform(name, lambda v: F.round(v * 100).cast("bigint").cast("string")), ","
-        ).alias(name)
+        return F.array_join(F.transform(name, lambda v: v.cast("string")), ",").alias(name)
 
     windows = features.supervised_windows(t.readings, plan=t.plan)
     return keyed(windows, text("x"), text("y"), "split")
@@ -461,46 +459,56 @@ def training(t: TrafficTables) -> DataFrame:
     return classify.training_table(t.labelled, plan=t.plan)
 
 
-@lru_cache(maxsize=4)
-def _forest(t: TrafficTables):
-    return classify.random_forest(training(t), trees=20, depth=8)
+def written_training(t: TrafficTables) -> DataFrame:
+    """The training table written once, for the passes of a fit."""
+    return checkpointed(training(t))
 
 
-def tested(t: TrafficTables, name: str, model) -> DataFrame:
+def _forest(rows: DataFrame):
+    return classify.random_forest(rows, trees=20, depth=8)
+
+
+def tested(rows: DataFrame, name: str, model) -> DataFrame:
     # Written, because the metrics read the predictions twice.
-    return checkpointed(classify.predict(name, model, training(t).filter("split = 'test'")))
+    return checkpointed(classify.predict(name, model, rows.filter("split = 'test'")))
 
 
 @query
 def random_forest(t: TrafficTables) -> DataFrame:
-    return classify.evaluate(tested(t, "random_forest", _forest(t)), t.plan.rows)
+    rows = written_training(t)
+    return classify.evaluate(tested(rows, "random_forest", _forest(rows)), t.plan.rows)
 
 
 @query
 def boosted_trees(t: TrafficTables) -> DataFrame:
-    model = classify.boosted_trees(training(t), rounds=10, depth=4, rate=0.2)
-    return classify.evaluate(tested(t, "boosted_trees", model), t.plan.rows)
+    rows = written_training(t)
+    model = classify.boosted_trees(rows, rounds=10, depth=4, rate=0.2)
+    return classify.evaluate(tested(rows, "boosted_trees", model), t.plan.rows)
 
 
 @query
 def neural_classifier(t: TrafficTables) -> DataFrame:
-    model = classify.neural_classifier(training(t), rounds=30)
-    return classify.evaluate(tested(t, "neural_network", model), t.plan.rows)
+    rows = written_training(t)
+    model = classify.neural_classifier(rows)
+    return classify.evaluate(tested(rows, "neural_network", model), t.plan.rows)
 
 
 @query
 def predict(t: TrafficTables) -> DataFrame:
-    return keyed(tested(t, "random_forest", _forest(t)), "label", "prediction", "scores")
+    rows = written_training(t)
+    return keyed(tested(rows, "random_forest", _forest(rows)), "label", "prediction", "scores")
 
 
 @query
 def feature_importance(t: TrafficTables) -> DataFrame:
-    return classify.feature_importance(_forest(t), training(t))
+    rows = written_training(t)
+    return classify.feature_importance(_forest(rows), rows)
 
 
 @query
 def top_features(t: TrafficTables) -> DataFrame:
-    return classify.top_features(classify.feature_importance(_forest(t), training(t)))
+    rows = written_training(t)
+    return classify.top_features(classify.feature_importance(_forest(rows), rows))
 
 
 # Forecasts
@@ -565,11 +573,11 @@ def forecast_report(t: TrafficTables) -> DataFrame:
 
 def volumes(t: TrafficTables) -> DataFrame:
     """Peak volumes of every segment, not only of those with a signal."""
-    return signals.with_volumes(profile.peak_metrics(t.labelled), VOLUME_SCALE)
+    return signals.with_volumes(profile.peak_metrics(t.labelled))
 
 
 def optimized(t: TrafficTables) -> DataFrame:
-    return signals.optimize_signals(t.signals, t.labelled, VOLUME_SCALE, p.SIGNAL_COUNT)
+    return signals.optimize_signals(t.signals, t.labelled, signals_at_most=t.roads_at_most)
 
 
 @query
@@ -617,8 +625,8 @@ def timing_change(t: TrafficTables) -> DataFrame:
 
 
 def queues(t: TrafficTables) -> DataFrame:
-    plans = scenario.scenario_union(optimized(t))
-    return scenario.queue_balance(t.readings, plans, 2 * p.SIGNAL_COUNT, t.plan)
+    plans = checkpointed(scenario.scenario_union(optimized(t)))
+    return scenario.queue_balance(t.readings, plans, 2 * t.roads_at_most, t.plan)
 
 
 @query
@@ -667,10 +675,13 @@ def event_stream(t: TrafficTables) -> DataFrame:
     return reports.timed(synthetic.derived_measures(raw_measures(files)))
 
 
+WINDOW = ["segment_id", "window_start", "window_end"]
+
+
 @query
 def stream_interval_avg(t: TrafficTables) -> DataFrame:
-    folder = run_folder(t.spark)
-    return reports.run_append(reports.interval_averages(event_stream(t)), folder)
+    averages = reports.interval_averages(event_stream(t))
+    return reports.run_latest(averages, run_folder(t.spark), WINDOW)
 
 
 @query
@@ -682,4 +693,5 @@ def stream_latest(t: TrafficTables) -> DataFrame:
 @query
 def stream_alerts(t: TrafficTables) -> DataFrame:
     labelled = reports.with_road(event_stream(t), t.roads)
-    return reports.run_append(reports.congestion_alerts(labelled), run_folder(t.spark))
+    shares = reports.run_latest(reports.congested_windows(labelled), run_folder(t.spark), WINDOW)
+    return reports.alerts(shares)

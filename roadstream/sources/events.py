@@ -10,10 +10,11 @@ from roadstream.functions.traffic import nan_to_null
 from roadstream.operators.features import add_congestion_labels, add_series_features
 from roadstream.operators.series import SeriesPlan, plan_series
 from roadstream.operators.signals import build_signals
+from roadstream.operators.sizes import checkpointed
 from roadstream.sources.synthetic import derived_measures
 
 
-def _road_columns(df: DataFrame) -> DataFrame:
+def road_columns(df: DataFrame) -> DataFrame:
     """Road attributes as arithmetic of the segment number."""
     user = F.col("user_id")
     kind = user % 5
@@ -36,7 +37,7 @@ def _road_columns(df: DataFrame) -> DataFrame:
 def raw_measures(events: DataFrame) -> DataFrame:
     """Unclamped speed and volume of each event, with the attributes of its road."""
     volume = 20 * F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    return _road_columns(events).withColumns(
+    return road_columns(events).withColumns(
         {
             "timestamp": F.col("ts"),
             "speed": nan_to_null(F.col("value")),
@@ -67,16 +68,18 @@ class TrafficTables:
 
     @cached_property
     def roads(self) -> DataFrame:
+        """Written once, so that joins and streams read the small table, not the events."""
         segments = self.events.select("user_id").distinct()
-        return _road_columns(segments).drop("user_id")
+        return checkpointed(road_columns(segments).drop("user_id"))
 
     @cached_property
     def signals(self) -> DataFrame:
-        return build_signals(self.roads)
+        """A signal on every segment that has one."""
+        return checkpointed(build_signals(self.roads, None, self.roads_at_most))
 
     @cached_property
     def plan(self) -> SeriesPlan:
-        """Row count and long series, counted once for all queries on the folder."""
+        """Row count and long series, counted once for the queries on this object."""
         return plan_series(self.readings)
 
     @property

@@ -54,17 +54,13 @@ def interval_averages(readings: DataFrame, width: str = "15 minutes") -> DataFra
     )
 
 
-def congestion_alerts(
-    labelled: DataFrame,
-    threshold: float = p.ALERT_THRESHOLD / 100,
-    width: str = "1 hour",
-    slide: str = "15 minutes",
+def congested_windows(
+    labelled: DataFrame, width: str = "1 hour", slide: str = "15 minutes"
 ) -> DataFrame:
-    """Segments and sliding windows whose congested share is above the threshold."""
+    """Congested share of each segment and sliding window."""
     return (
         labelled.groupBy("segment_id", F.window("timestamp", width, slide).alias("w"))
         .agg(F.avg(congested()).alias("congested_share"), F.count("*").alias("readings"))
-        .filter(F.col("congested_share") > threshold)
         .select(
             "segment_id",
             F.col("w.start").alias("window_start"),
@@ -75,6 +71,25 @@ def congestion_alerts(
     )
 
 
+def alerts(windows: DataFrame, threshold: float = p.ALERT_THRESHOLD / 100) -> DataFrame:
+    """The windows whose congested share is above the threshold."""
+    return windows.filter(F.col("congested_share") > threshold)
+
+
+def congestion_alerts(
+    labelled: DataFrame,
+    threshold: float = p.ALERT_THRESHOLD / 100,
+    width: str = "1 hour",
+    slide: str = "15 minutes",
+) -> DataFrame:
+    """Segments and sliding windows whose congested share is above the threshold.
+
+    For an append stream, which gives a window once it is closed. In an update stream a
+    share may fall again, so there ``alerts`` comes after ``run_latest``.
+    """
+    return alerts(congested_windows(labelled, width, slide), threshold)
+
+
 def latest_state(readings: DataFrame) -> DataFrame:
     """The last reading of each segment; the state holds one row per segment."""
     return latest_per_segment(readings, ["speed_kmh", "volume_vehicles"], mode="row")
@@ -93,7 +108,11 @@ def status(stream: DataFrame, roads: DataFrame) -> DataFrame:
 
 
 def run_append(stream: DataFrame, folder: str) -> DataFrame:
-    """Process all available input into Parquet files and return them."""
+    """Process all available input into Parquet files and return them.
+
+    Windows that the last watermark leaves open are not among them; ``run_latest`` gives
+    those too.
+    """
     query = (
         stream.writeStream.outputMode("append")
         .format("parquet")
@@ -106,8 +125,10 @@ def run_append(stream: DataFrame, folder: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
-def run_latest(stream: DataFrame, folder: str, key: str = "segment_id") -> DataFrame:
-    """Process all available input of an update stream and return the last rows.
+def run_latest(
+    stream: DataFrame, folder: str, key: str | list[str] = "segment_id"
+) -> DataFrame:
+    """Process all available input of an update stream and return the last row of each key.
 
     Each batch writes its changed rows to a folder of its own, so that a repeated
     batch replaces what it wrote before.
@@ -126,6 +147,7 @@ def run_latest(stream: DataFrame, folder: str, key: str = "segment_id") -> DataF
     )
     query.awaitTermination()
     changes = stream.sparkSession.read.schema(schema).parquet(f"{folder}/out")
-    names = [c for c in changes.columns if c not in (key, "batch")]
+    keys = [key] if isinstance(key, str) else key
+    names = [c for c in changes.columns if c not in (*keys, "batch")]
     last = F.max_by(F.struct(*names), "batch").alias("last")
-    return changes.groupBy(key).agg(last).select(key, "last.*")
+    return changes.groupBy(*keys).agg(last).select(*keys, "last.*")
