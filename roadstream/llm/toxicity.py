@@ -187,8 +187,9 @@ def score(text: Column | str, model: Model, df: DataFrame) -> Column:
             if len(known) > KEPT_WORDS:
                 known.clear()
             words = set((text.as_py() or "").lower().split())
-            for word in words - known.keys():
-                known[word] = sum([weights[b] for b in buckets(word)])
+            for word in words:
+                if word not in known:
+                    known[word] = sum([weights[b] for b in buckets(word)])
             out[i] = math.fsum([known[w] for w in words]) + tables["intercept"]
         return pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))
 
