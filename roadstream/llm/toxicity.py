@@ -5,7 +5,8 @@ A document's features are the character n-grams of its distinct lower-cased word
 number of distinct words that hold it. Values are scaled by the naive Bayes log
 ratio of the bucket's shares in toxic and other documents; a logistic regression
 on the scaled values gives the weights. Buckets whose shares do not differ
-significantly get ratio 0, so that long texts gather no noise.
+significantly get ratio 0, as do all but the ``MOST_FEATURES`` surest, so that long
+texts gather no noise and the sample's chosen features are few.
 
 The model is a table of ``2 ** BITS`` weights. As it is linear, a word's score is
 the sum of its n-grams' weights, and a text's the sum over its distinct words.
@@ -31,7 +32,8 @@ from roadstream.llm.store import stored
 BITS = 18
 SIZES = (3, 4, 5)
 ROWS_PER_CLASS = 5000  # bound of the labelled sample
-MIN_Z = 4.0
+MIN_Z = 2.5
+MOST_FEATURES = 2000  # those whose shares differ most surely
 PENALTY = 1.0
 KEPT_WORDS = 400_000  # kept word scores of a worker, about 50 MB
 
@@ -84,7 +86,9 @@ def log_ratios(counts: np.ndarray, rows: tuple[int, int]) -> np.ndarray:
     share = (counts + 1) / (np.array(rows)[:, None] + 2)
     spread = np.sqrt(((1 - share) / (share * (np.array(rows)[:, None] + 2))).sum(axis=0))
     ratio = np.log(share[1] / share[0])
-    return np.where(np.abs(ratio) >= MIN_Z * spread, ratio, 0.0)
+    sure = np.abs(ratio) / spread
+    least = max(MIN_Z, np.partition(sure, -MOST_FEATURES)[-MOST_FEATURES])
+    return np.where(sure >= least, ratio, 0.0)
 
 
 def _selected_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -92,20 +96,20 @@ def _selected_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, .
     shared = sample.sparkSession.sparkContext.broadcast(chosen)
 
     def rows(batches):
-        keep = shared.value
+        keep, ints = shared.value, pa.list_(pa.int32())
         for batch in batches:
             found = [features(t) for t in batch.column("text").to_pylist()]
             inside = [np.isin(b, keep) for b, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([b[i] for (b, _), i in zip(found, inside, strict=True)]),
-                    pa.array([c[i] for (_, c), i in zip(found, inside, strict=True)]),
+                    pa.array([b[i] for (b, _), i in zip(found, inside, strict=True)], ints),
+                    pa.array([c[i] for (_, c), i in zip(found, inside, strict=True)], ints),
                     batch.column("_label"),
                 ],
                 ["b", "c", "label"],
             )
 
-    schema = "b array<long>, c array<long>, label int"
+    schema = "b array<int>, c array<int>, label int"
     got = sample.select("text", "_label").mapInArrow(rows, schema).toPandas()
     lengths = [len(b) for b in got.b]
     flat = [np.concatenate([np.asarray(x, float) for x in got[k]] or [[]]) for k in "bc"]
