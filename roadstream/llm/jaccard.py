@@ -17,9 +17,11 @@ size. The method, exact up to collisions of 64-bit hashes:
   Pairs pass if their parity bit sketches (a bit is flipped by each shingle that
   hashes to it, so their Hamming distance is a lower bound of D too) allow the
   similarity; then the sets themselves are compared.
-* Groups that are not within one component yet are left. More pivots of each are
-  paired with the others of the group, from the smallest components on, until every
-  pair that shares a key is compared or within one component.
+* Groups whose other nodes are not within one component yet are left. Pivots of each,
+  from the smallest components on, are held against the others of the group by size
+  and sketch, a block of the group at a time, and what passes is compared, until every
+  pair that shares a key is compared or within one component. A pair is passed on from
+  one of the groups it shares, not from all.
 
 Rows: a null or empty text, or one without words, has size 0 and is its own
 component. With a null id a row takes no part; its component is null. Rows with
@@ -27,6 +29,7 @@ equal ids are told apart by their sets. Other columns are ignored.
 """
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +45,9 @@ K = 5
 SLICE = 64
 SAMPLE_ROWS = 4000  # documents looked at to tell common shingles; affects speed only
 COMMON = 4  # of them that hold a common shingle
-PIVOTS = 16  # of a group in the second round; four times as many in each later one
+PIVOTS = 256  # of a group in the second round; 16 times as many in each later one
+BLOCK = 1024  # nodes of a group that a step holds, beside the pivots
+LISTED_KEYS = 64  # of a node, to tell in which of the shared groups a pair counts
 BLOOM_BITS = 1 << 26  # at most
 
 EMPTY = np.uint64(0x5BF03635F0935AD1)
@@ -317,14 +322,106 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.filter(match("_sa", "_sb")).select("a", "b")
 
 
-def _checked_links(docs, pairs, nodes, percent, k) -> DataFrame:
-    near = stored(likely(pairs, nodes, percent))
+def _checked_links(docs, near, nodes, percent, k) -> DataFrame:
+    """The links among the pairs ``near``, from the sets themselves."""
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     wanted = stored(nodes.join(ends, "node", "left_semi").select("node", "doc_id"))
     sets = stored(shingle_rows(docs, wanted, k))
     return stored(linked(near, sets, percent))
 
 
+def _unsettled(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (key, node, label, rank, n) of the groups with several components.
+
+    ``rank`` counts from the group's smallest component on; ``n`` is the group's size.
+    """
+    by_key = Window.partitionBy("key")
+    by_size = by_key.orderBy("_size", "label", "node")
+    return (
+        left.join(labels, "node", "left")
+        .withColumn("label", F.coalesce("label", "node"))
+        .withColumn("_several", F.min("label").over(by_key) != F.max("label").over(by_key))
+        .filter("_several")
+        .withColumn("_size", F.count("*").over(Window.partitionBy("key", "label")))
+        .withColumn("n", F.count("*").over(by_key))
+        .withColumn("rank", F.row_number().over(by_size))
+        .select("key", "node", "label", "rank", "n")
+    )
+
+
+def _folded(sketches: list[bytes], length: int) -> np.ndarray:
+    """Sketches of one length as rows of 64-bit words, folded to ``length`` bytes."""
+    rows = np.frombuffer(b"".join(sketches), np.uint64).reshape(len(sketches), -1)
+    while rows.shape[1] * 8 > length:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] ^ rows[:, half:]
+    return rows
+
+
+def _run_pairs(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Pairs of a pivot and a member of one block that may be similar.
+
+    ``rows``: (key, block, pivot, node, label, rank, size, sketch, keys).
+    """
+    sides = []
+    for is_pivot in (True, False):
+        by_length: dict[int, list[tuple]] = {}
+        for row in rows:
+            if row[2] == is_pivot:
+                by_length.setdefault(len(row[7]), []).append(row)
+        sides.append(by_length)
+    for length, pivots in sides[0].items():
+        for other, members in sides[1].items():
+            short = min(length, other)
+            left = _folded([r[7] for r in pivots], short)
+            right = _folded([r[7] for r in members], short)
+            label, rank, size = (np.array([r[i] for r in members]) for i in (4, 5, 6))
+            for pivot, sketch in zip(pivots, left, strict=True):
+                both = pivot[6] + size
+                most = (both - np.bitwise_count(right ^ sketch).sum(axis=1, dtype=np.int64)) / 2
+                fits = (label != pivot[4]) & (rank > pivot[5])
+                fits &= 100 * np.minimum(size, pivot[6]) >= percent * np.maximum(size, pivot[6])
+                fits &= 100 * most >= percent * (both - most)
+                for i in np.flatnonzero(fits):
+                    shared = set(pivot[8]).intersection(members[i][8])
+                    if not shared or min(shared) == pivot[0]:
+                        yield min(pivot[3], members[i][3]), max(pivot[3], members[i][3])
+
+
+def _group_pairs(left: DataFrame, nodes: DataFrame, percent: int, pivots: int) -> DataFrame:
+    """Pairs (a, b) of pivots and other nodes of their groups that may be similar."""
+    listed = left.groupBy("node").agg(
+        F.slice(F.sort_array(F.collect_list("key")), 1, LISTED_KEYS).alias("keys")
+    )
+    known = listed.join(nodes.select("node", "size", "sketch"), "node")
+    rows = left.join(known, "node")
+    place = F.floor((F.col("rank") - 1) / BLOCK)
+    last = F.floor((F.col("n") - 1) / BLOCK)
+    columns = ["key", "block", "pivot", "node", "label", "rank", "size", "sketch", "keys"]
+    members = rows.withColumns({"block": place, "pivot": F.lit(False)}).select(columns)
+    copies = (
+        rows.filter(F.col("rank") <= pivots)
+        .withColumns({"block": F.explode(F.sequence(F.lit(0), last)), "pivot": F.lit(True)})
+        .select(columns)
+    )
+
+    def pairs(batches):
+        flat = (
+            row
+            for batch in batches
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        )
+        for _, run in groupby(flat, key=lambda row: row[:2]):
+            found = list(_run_pairs(list(run), percent))
+            if found:
+                a, b = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    dealt = members.union(copies).repartition("key", "block")
+    in_runs = dealt.sortWithinPartitions("key", "block", "pivot", "rank")
+    return in_runs.mapInArrow(pairs, "a long, b long").distinct()
+
+
 def similar_nodes(docs: DataFrame, nodes: DataFrame, k: int = K, percent: int = 75) -> DataFrame:
     """``node`` and ``label`` of all nodes with a link; see the module's text.
 
@@ -338,43 +435,22 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, k: int = K, percent: int =
         .select("key", "node", "pivot")
         .dropDuplicates(["key", "node"])
     )
-    pairs = stored(
-        shared.filter("node <> pivot")
-        .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-        .distinct()
-    )
-    links = _checked_links(docs, pairs, nodes, percent, k)
-    left, checked, pivots = shared.select("key", "node"), pairs, PIVOTS
+    others = shared.filter("node <> pivot")
+    pairs = stored(others.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    near = stored(likely(pairs, nodes, percent))
+    links, checked = _checked_links(docs, near, nodes, percent, k), near
+    left, pivots = others.select("key", "node"), PIVOTS
     while True:
         labels = components(links)
-        known = left.join(labels, "node", "left").withColumn(
-            "label", F.coalesce("label", "node")
-        )
-        several = F.min("label").over(by_key) != F.max("label").over(by_key)
-        by_size = by_key.orderBy("_size", "label", "node")
-        left = stored(
-            known.withColumn("_several", several)
-            .filter("_several")
-            .withColumn("_size", F.count("*").over(Window.partitionBy("key", "label")))
-            .withColumn("_rank", F.row_number().over(by_size))
-            .select("key", "node", "label", "_rank")
-        )
+        left = stored(_unsettled(left, labels))
         if left.isEmpty():
             return labels
-        some = left.filter(F.col("_rank") <= pivots)
-        met = some.alias("p").join(left.alias("q"), "key")
-        pairs = (
-            met.filter("p._rank < q._rank and p.label <> q.label")
-            .select(
-                F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")
-            )
-            .distinct()
-        )
-        pairs = stored(pairs.join(checked, ["a", "b"], "left_anti"))
-        links = stored(links.union(_checked_links(docs, pairs, nodes, percent, k)))
-        checked = checked.union(pairs)
-        left = left.filter(F.col("_rank") > pivots).select("key", "node")
-        pivots *= 4
+        near = _group_pairs(left, nodes, percent, pivots).join(checked, ["a", "b"], "left_anti")
+        near = stored(near)
+        links = stored(links.union(_checked_links(docs, near, nodes, percent, k)))
+        checked = checked.union(near)
+        left = left.filter(F.col("rank") > pivots).select("key", "node")
+        pivots *= 16
 
 
 def near_duplicates(docs: DataFrame, k: int = K, percent: int = 75) -> DataFrame:
