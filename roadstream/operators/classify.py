@@ -105,12 +105,11 @@ def neural_classifier(
     hidden=(128, 64, 32),
     rounds: int = 50,
     block: int = 64,
-    rate: float = 0.001,
     seed: int = p.SEED,
 ) -> PipelineModel:
     layers = [len(feature_columns(table)), *hidden, len(p.LEVELS)]
     network = MultilayerPerceptronClassifier(
-        layers=layers, maxIter=rounds, blockSize=block, stepSize=rate, seed=seed
+        layers=layers, maxIter=rounds, blockSize=block, seed=seed
     )
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
     return Pipeline(stages=[assembler(table, "raw"), scaler, network]).fit(_train(table))

@@ -3,7 +3,7 @@
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream import params as p
@@ -113,19 +113,73 @@ def ar1_per_segment(history: DataFrame, plan: SeriesPlan | None = None) -> DataF
     )
 
 
+def ar1_lines(history: DataFrame) -> DataFrame:
+    """Each segment's line with its last known training value and that value's position."""
+    known = history.filter(TRAIN).filter(F.col("actual").isNotNull())
+    last = known.groupBy("segment_id").agg(
+        F.max("position").alias("last_position"), F.max_by("actual", "position").alias("last")
+    )
+    return ar1_coefficients(history).join(last, "segment_id")
+
+
+def ar1_ahead(steps: Column) -> Column:
+    """Value of the line of ``ar1_lines`` so many steps after its last value.
+
+    The steps of a line have a closed form: the distance to its fixed point shrinks by
+    the slope at each; with slope 1 each adds the intercept.
+    """
+    slope, intercept, last = F.col("slope"), F.col("intercept"), F.col("last")
+    fixed = intercept / F.when(slope != 1, 1 - slope)
+    return F.when(slope == 1, last + steps * intercept).otherwise(
+        fixed + F.pow(slope, steps.cast("double")) * (last - fixed)
+    )
+
+
+def ar1_span(history: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
+    """Forecast of every test row from the end of training alone."""
+    segments = plan.segments_at_most if plan else None
+    test = history.filter(TEST)
+    joined = dimension_join(test, ar1_lines(history), "segment_id", rows_at_most=segments)
+    value = ar1_ahead(F.col("position") - F.col("last_position"))
+    return joined.select(*KEYS, "actual", value.alias("forecast"))
+
+
+def ar1_future(
+    df: DataFrame, history: DataFrame, steps: int = p.HORIZON, plan: SeriesPlan | None = None
+) -> DataFrame:
+    """Forecast of the times of ``future_frame``, from the last known reading on."""
+    known = df.filter(F.col("speed_kmh").isNotNull())
+    last = known.groupBy("segment_id").agg(F.max_by("speed_kmh", "timestamp").alias("last"))
+    lines = ar1_coefficients(history).join(last, "segment_id")
+    times = Window.partitionBy("segment_id").orderBy("timestamp")
+    ahead = future_frame(df, steps).withColumn("step", F.row_number().over(times))
+    segments = plan.segments_at_most if plan else None
+    joined = dimension_join(ahead, lines, "segment_id", rows_at_most=segments)
+    return joined.select(*KEYS, "step", ar1_ahead(F.col("step")).alias("forecast"))
+
+
 def baseline_forecasts(history: DataFrame, plan: SeriesPlan | None = None) -> DataFrame:
-    """Naive, profile and AR(1) forecasts of the test rows, as (model, ..., forecast)."""
+    """Naive, profile and AR(1) forecasts of the test rows, as (kind, model, ..., forecast).
+
+    ``one_step`` models see the reading before each test row, ``span`` models only the
+    training rows.
+    """
+    segments = plan.segments_at_most if plan else None
     test = with_profile(history.filter(TEST), history.filter(TRAIN), plan)
-    joined = with_ar1(test, history, plan)
-    return joined.select(
+    joined = dimension_join(test, ar1_lines(history), "segment_id", "left", segments)
+    slope, intercept = F.col("slope"), F.col("intercept")
+    line = F.when(slope == 0, intercept).otherwise(intercept + slope * F.col("lag_1"))
+    models = ["seasonal_naive", "seasonal_profile", "ar1", "ar1_span"]
+    long = joined.select(
         *KEYS,
         "actual",
         F.col("lag_1").alias("seasonal_naive"),
         F.col("profile").alias("seasonal_profile"),
-        "ar1",
-    ).unpivot(
-        [*KEYS, "actual"], ["seasonal_naive", "seasonal_profile", "ar1"], "model", "forecast"
-    )
+        line.alias("ar1"),
+        ar1_ahead(F.col("position") - F.col("last_position")).alias("ar1_span"),
+    ).unpivot([*KEYS, "actual"], models, "model", "forecast")
+    span = F.col("model").isin("seasonal_profile", "ar1_span")
+    return long.withColumn("kind", F.when(span, "span").otherwise("one_step"))
 
 
 def future_frame(df: DataFrame, steps: int = p.HORIZON, minutes: int = 15) -> DataFrame:

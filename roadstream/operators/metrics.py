@@ -149,11 +149,10 @@ def forecast_metrics(df: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 
 def forecast_report(df: DataFrame) -> DataFrame:
-    """Metrics of every model, with a mark on the one with the least RMSE."""
+    """Metrics of every model, with a mark on the one of its kind with the least RMSE."""
     rank = F.struct("rmse", "model")
-    # One row per model, so one window partition.
-    best = F.min(rank).over(Window.partitionBy())
-    return forecast_metrics(df, ["model"]).withColumn("is_best", rank == best)
+    best = F.min(rank).over(Window.partitionBy("kind"))
+    return forecast_metrics(df, ["kind", "model"]).withColumn("is_best", rank == best)
 
 
 def best_model(metrics: DataFrame, metric: str = "accuracy", lowest: bool = False) -> DataFrame:

@@ -24,10 +24,15 @@ def scaler_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
     return one_row.select(F.inline(rows))
 
 
-def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
-    """z-scores for every split; a constant feature becomes 0."""
+def apply_scaler(df: DataFrame, statistics: DataFrame) -> DataFrame:
+    """z-scores by saved statistics, one row per feature; a constant feature becomes 0."""
     out = {}
-    for feature, mean, std in scaler_statistics(df, columns).collect():
+    for feature, mean, std in statistics.select("feature", "mean", "std").collect():
         if mean is not None:
             out[feature] = (F.col(feature) - mean) / (std or 1.0)
     return df.withColumns(out) if out else df
+
+
+def standard_scale(df: DataFrame, columns: list[str]) -> DataFrame:
+    """z-scores for every split, with statistics of the training rows."""
+    return apply_scaler(df, scaler_statistics(df, columns))

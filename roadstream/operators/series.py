@@ -133,26 +133,26 @@ def _targets(plan: SeriesPlan, lookback: int, lookahead: int) -> pd.DataFrame:
     for segment, cells in plan.cells.groupby(SEGMENT, sort=False):
         counts, starts = cells["n"].to_numpy(), cells["_cell"].to_numpy()
         before = np.cumsum(counts) - counts
-        blocks = before // plan.block_rows
-        for block in np.unique(blocks):
-            own = np.flatnonzero(blocks == block)
-            first, last = own[0], own[-1]
-            begin, end = before[first], before[last] + counts[last]
-            low = max(0, np.searchsorted(before, begin - lookback, side="right") - 1)
-            high = np.searchsorted(before, end + lookahead, side="left") - 1
-            read = np.arange(low, high + 1)
-            out.append(
-                pd.DataFrame(
-                    {
-                        SEGMENT: segment,
-                        "_cell": starts[read],
-                        "_block": block,
-                        "_own": (read >= first) & (read <= last),
-                        "_base": before[low],
-                        "_total": counts.sum(),
-                    }
-                )
+        block, first = np.unique(before // plan.block_rows, return_index=True)
+        last = np.append(first[1:], len(counts)) - 1
+        begin, end = before[first], before[last] + counts[last]
+        low = np.maximum(0, np.searchsorted(before, begin - lookback, side="right") - 1)
+        high = np.searchsorted(before, end + lookahead, side="left") - 1
+        size = high - low + 1
+        turn = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        read = np.repeat(low, size) + turn
+        out.append(
+            pd.DataFrame(
+                {
+                    SEGMENT: segment,
+                    "_cell": starts[read],
+                    "_block": np.repeat(block, size),
+                    "_own": (read >= np.repeat(first, size)) & (read <= np.repeat(last, size)),
+                    "_base": np.repeat(before[low], size),
+                    "_total": counts.sum(),
+                }
             )
+        )
     return pd.concat(out, ignore_index=True)
 
 

@@ -1,6 +1,8 @@
 """Size checks, and joins that choose their strategy from them."""
 
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -8,7 +10,6 @@ from pyspark.sql import functions as F
 # A table of at most this many narrow rows (about 100 MB) may be broadcast, sit
 # in one window partition or come to the driver. Larger ones never do.
 SMALL_ROWS = 1_000_000
-MAX_HOT_KEYS = 20_000
 
 
 def is_small(df: DataFrame, rows_at_most: int | None = None, limit: int = SMALL_ROWS) -> bool:
@@ -29,22 +30,20 @@ def dimension_join(
     """Many-to-one join of a fact with a table that has one row per key.
 
     A dimension that passes the size check is broadcast, so the fact stays where
-    it is. Beyond that, the keys with more than ``limit`` fact rows (at most
-    ``MAX_HOT_KEYS`` of them) meet their few dimension rows in a broadcast join,
-    where any number of tasks share a key, and the other keys are shuffled.
+    it is. Beyond that, both sides are shuffled in a sort-merge join, whose skewed
+    partitions adaptive execution splits, as no aggregate stands between. Rows with
+    a null key match nothing; they stay out of the shuffle.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a many-to-one join: {how}")
     if is_small(dimension, rows_at_most, limit):
         return fact.join(F.broadcast(dimension), keys, how)
-    hot_rows = max(limit, fact.count() // MAX_HOT_KEYS)
-    per_key = fact.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = F.broadcast(per_key.filter(F.col("_n") > hot_rows).select(*keys))
-    few = F.broadcast(dimension.join(hot, keys, "left_semi"))
-    on_hot = fact.join(hot, keys, "left_semi").join(few, keys, how)
-    others = fact.join(hot, keys, "left_anti")
-    return on_hot.unionByName(others.join(dimension.hint("shuffle_merge"), keys, how))
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    joined = fact.filter(known).join(dimension.hint("shuffle_merge"), keys, how)
+    if how in ("inner", "left_semi"):
+        return joined
+    return joined.unionByName(fact.filter(~known), allowMissingColumns=True)
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -17,13 +17,6 @@ from roadstream.operators.series import SeriesPlan, plan_series
 from roadstream.operators.splits import positional_split, random_split, temporal_split
 
 
-@dataclass(frozen=True)
-class FeatureTables:
-    processed: DataFrame
-    scaled: DataFrame
-    features: list[str]
-
-
 def processed_table(
     readings: DataFrame,
     roads: DataFrame,
@@ -47,6 +40,27 @@ def split_table(
     return cut(table, plan=plan)
 
 
+def feature_rows(
+    processed: DataFrame,
+    task: str = "classification",
+    split: str = "temporal",
+    plan: SeriesPlan | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """Feature rows of a processed table as doubles, split; and the features' names."""
+    rows = split_table(prepare_features_target(encode_road_type(processed), task), split, plan)
+    keys = ("segment_id", "timestamp", "label", "split")
+    features = [c for c in rows.columns if c not in keys]
+    numbers = [rows[c].cast("double").alias(c) for c in features]
+    return rows.select(*[c for c in keys if c in rows.columns], *numbers), features
+
+
+@dataclass(frozen=True)
+class FeatureTables:
+    processed: DataFrame
+    scaled: DataFrame
+    features: list[str]
+
+
 def feature_tables(
     readings: DataFrame,
     roads: DataFrame,
@@ -57,10 +71,5 @@ def feature_tables(
     """The processed table, and its feature rows split and scaled."""
     plan = plan_series(readings)
     processed = processed_table(readings, roads, plan, roads_at_most)
-    rows = split_table(
-        prepare_features_target(encode_road_type(processed), task), split, plan
-    )
-    keys = ("segment_id", "timestamp", "label", "split")
-    features = [c for c in rows.columns if c not in keys]
-    numeric = rows.select(*keys, *[rows[c].cast("double").alias(c) for c in features])
-    return FeatureTables(processed, standard_scale(numeric, features), features)
+    rows, features = feature_rows(processed, task, split, plan)
+    return FeatureTables(processed, standard_scale(rows, features), features)

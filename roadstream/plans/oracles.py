@@ -4,16 +4,19 @@ Written from the definitions, on the whole given tables: plain windows over the
 segment, row-numbered candidates, joins instead of in-row work.
 """
 
-from roadstream import params as p
-
 ORACLES: dict[str, str] = {}
 
-LAGS, WINDOWS = p.LAGS, p.ROLLING
+LAGS, WINDOWS = (1, 2, 3, 6, 12, 24), (4, 8, 12)
 MEASURES = (
     ("speed", "speed_kmh"),
     ("volume", "volume_vehicles"),
     ("density", "density_vehicles_per_km"),
 )
+# Volume and speed factors of the demand pattern.
+PATTERN = {
+    "weekend": (0.6, 1.0), "morning": (1.8, 0.6), "evening": (2.0, 0.5),
+    "midday": (1.2, 0.85), "night": (0.3, 1.0), "normal": (1.0, 0.9),
+}
 CLASSES = range(4)
 
 BASE = """
@@ -164,7 +167,7 @@ define(
 
 
 def pattern(i: int) -> str:
-    f = {name: f"{factors[i]}::DOUBLE" for name, factors in p.PATTERN.items()}
+    f = {name: f"{factors[i]}::DOUBLE" for name, factors in PATTERN.items()}
     return f"""(CASE WHEN dow>=5 THEN {f["weekend"]} WHEN hr>=7 AND hr<9 THEN {f["morning"]}
       WHEN hr>=17 AND hr<19 THEN {f["evening"]} WHEN hr>=10 AND hr<15 THEN {f["midday"]}
       WHEN hr>=22 OR hr<6 THEN {f["night"]} ELSE {f["normal"]} END)"""
@@ -441,10 +444,13 @@ SCALED = ("speed_kmh", "volume_vehicles", "density_vehicles_per_km", "hour")
 define(
     "standard_scale",
     f"SELECT {KEYS}, split, "
-    + ", ".join(r(f"(t.{c}-s.m_{c})/(CASE WHEN s.d_{c}=0 THEN 1 ELSE s.d_{c} END)", c) for c in SCALED)
-    + " FROM temporal t, statistics s",
-    TEMPORAL,
-    "statistics AS (SELECT "
+    + ", ".join(
+        r(f"({c}-(SELECT m_{c} FROM statistics))/(SELECT CASE d_{c} WHEN 0 THEN 1 ELSE d_{c} END FROM statistics)", c)
+        for c in SCALED
+    )
+    + " FROM temporal",
+    TEMPORAL.replace("temporal AS (", "temporal AS MATERIALIZED ("),
+    "statistics AS MATERIALIZED (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in SCALED)
     + " FROM temporal WHERE split='train')",
 )
@@ -513,6 +519,13 @@ define(
     RULES,
     CLASS_CTE,
 )
+SCORES = ", ".join(f"1/(1+abs(ratio-{c}::DOUBLE))" for c in CENTERS)
+define(
+    "argmax",
+    f"""SELECT {KEYS}, model, list_position(scores, list_max(scores))::BIGINT-1 AS best
+    FROM (SELECT *, [{SCORES}] AS scores FROM rules)""",
+    RULES,
+)
 define(
     "auc_ovr_weighted",
     f"""SELECT model, {r("sum(wins/(p*n)*p)/sum(p)", "auc")} FROM (
@@ -553,16 +566,37 @@ define("seasonal_naive", f"SELECT {FORECAST} FROM naive", HISTORY, NAIVE)
 define("seasonal_profile", f"SELECT {FORECAST} FROM profile", HISTORY, PROFILE)
 define("ar1_per_segment", f"SELECT {FORECAST} FROM ar1", HISTORY, AR1)
 define("forecast_metrics", f"SELECT {ERRORS} FROM ar1", HISTORY, AR1)
+AHEAD = """CASE WHEN slope=1 THEN last+h*intercept
+  ELSE intercept/(1-slope)+pow(slope, h)*(last-intercept/(1-slope)) END AS forecast"""
+SPAN = f"""lasts AS (SELECT segment_id, max(i) AS last_i, arg_max(actual, i) AS last FROM history
+  WHERE split='train' GROUP BY segment_id),
+span AS (SELECT segment_id, timestamp, actual, {AHEAD} FROM (
+  SELECT h.*, l.slope, l.intercept, s.last, h.i-s.last_i AS h FROM history h
+  JOIN lines l USING (segment_id) JOIN lasts s USING (segment_id) WHERE split='test'))"""
+define("ar1_span", f"SELECT {FORECAST} FROM span", HISTORY, AR1, SPAN)
+define(
+    "ar1_future",
+    f"""SELECT {KEYS}, h AS step, {r("forecast", "forecast")} FROM (
+      SELECT *, {AHEAD} FROM (SELECT segment_id, max(timestamp)+to_minutes(15*h) AS timestamp, h,
+        arg_max(speed_kmh, timestamp) AS last
+        FROM traffic, (SELECT unnest([1::BIGINT, 2, 3, 4]) AS h) GROUP BY segment_id, h)
+      JOIN lines USING (segment_id))""",
+    HISTORY,
+    AR1,
+)
 define(
     "forecast_report",
-    "SELECT *, rmse=min(rmse) OVER () AS is_best FROM errors",
+    "SELECT *, rmse=min(rmse) OVER (PARTITION BY kind) AS is_best FROM errors",
     HISTORY,
     NAIVE,
     PROFILE,
     AR1,
-    f"""errors AS (SELECT model, {ERRORS} FROM (SELECT 'seasonal_naive' AS model, * FROM naive
-      UNION ALL SELECT 'seasonal_profile', * FROM profile UNION ALL SELECT 'ar1', * FROM ar1)
-      WHERE forecast IS NOT NULL GROUP BY model)""",
+    SPAN,
+    f"""errors AS (SELECT kind, model, {ERRORS} FROM (
+      SELECT 'one_step' AS kind, 'seasonal_naive' AS model, * FROM naive
+      UNION ALL SELECT 'span', 'seasonal_profile', * FROM profile
+      UNION ALL SELECT 'one_step', 'ar1', * FROM ar1 UNION ALL SELECT 'span', 'ar1_span', * FROM span)
+      WHERE forecast IS NOT NULL GROUP BY kind, model)""",
 )
 define(
     "future_frame",
@@ -783,3 +817,17 @@ define(
     GROUP BY segment_id, window_start, window_end
     HAVING avg((congestion_code>=2)::INT)>0.7::DOUBLE""",
 )
+
+
+# The same rows by the ways that only large tables take.
+for large, plain in (
+    ("large_label_join", "label_join"),
+    ("large_median_fill", "median_fill"),
+    ("large_positional_split", "positional_split"),
+    ("large_auc", "auc_ovr_weighted"),
+    ("cut_lag_features", "lag_features"),
+    ("cut_rolling_mean", "rolling_mean"),
+    ("cut_forward_fill", "forward_fill"),
+    ("cut_queue_balance", "queue_balance"),
+):
+    ORACLES[large] = ORACLES[plain]

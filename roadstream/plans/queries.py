@@ -25,7 +25,8 @@ from roadstream.operators import (
     signals,
     splits,
 )
-from roadstream.operators.sizes import checkpointed, run_folder
+from roadstream.operators.series import SeriesPlan, plan_series
+from roadstream.operators.sizes import checkpointed, dimension_join, run_folder
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
 from roadstream.sources.events import TrafficTables, raw_measures, road_columns
@@ -424,6 +425,11 @@ def rule_classifier(t: TrafficTables) -> DataFrame:
     return keyed(rules(t), "model", "label", "prediction")
 
 
+@query
+def argmax(t: TrafficTables) -> DataFrame:
+    return keyed(rules(t), "model", traffic.argmax(F.col("scores")).alias("best"))
+
+
 @query
 def classification_metrics(t: TrafficTables) -> DataFrame:
     return metrics.classification_metrics(rules(t), ["model"])
@@ -548,6 +554,16 @@ def fourier_seasonal(t: TrafficTables) -> DataFrame:
     return forecast.fourier_seasonal(t.readings, plan=t.plan)
 
 
+@query
+def ar1_span(t: TrafficTables) -> DataFrame:
+    return forecast.ar1_span(history(t), t.plan)
+
+
+@query
+def ar1_future(t: TrafficTables) -> DataFrame:
+    return forecast.ar1_future(t.readings, history(t), plan=t.plan)
+
+
 @query
 def future_frame(t: TrafficTables) -> DataFrame:
     return forecast.future_frame(t.readings)
@@ -695,3 +711,65 @@ def stream_alerts(t: TrafficTables) -> DataFrame:
     labelled = reports.with_road(event_stream(t), t.roads)
     shares = reports.run_latest(reports.congested_windows(labelled), run_folder(t.spark), WINDOW)
     return reports.alerts(shares)
+
+
+# The ways that only large tables take, forced on the given ones
+
+CUT_ROWS = 20
+
+
+def cut_plan(t: TrafficTables) -> SeriesPlan:
+    """Series cut into blocks of a few rows."""
+    return plan_series(t.readings, block_rows=CUT_ROWS)
+
+
+@query
+def large_label_join(t: TrafficTables) -> DataFrame:
+    limits = t.roads.select("segment_id", "speed_limit", "road_type")
+    joined = dimension_join(t.readings, limits, "segment_id", "left", limit=1)
+    labelled = features.with_labels(joined)
+    return keyed(labelled, "speed_kmh", "speed_limit", "road_type", "congestion_code")
+
+
+@query
+def large_median_fill(t: TrafficTables) -> DataFrame:
+    filled = missing.fill_missing(t.features, t.plan, limit=0)
+    return keyed(filled, *features.series_feature_names(filled))
+
+
+@query
+def large_positional_split(t: TrafficTables) -> DataFrame:
+    plan = SeriesPlan(t.plan.rows, 10**9, t.plan.block_rows)
+    return keyed(splits.positional_split(t.readings, plan=plan, limit=16), "split")
+
+
+@query
+def large_auc(t: TrafficTables) -> DataFrame:
+    return metrics.auc_ovr_weighted(rules(t), ["model"], limit=100)
+
+
+@query
+def cut_lag_features(t: TrafficTables) -> DataFrame:
+    lagged = features.add_lags(t.readings, plan=cut_plan(t))
+    return keyed(lagged, *features.series_feature_names(lagged))
+
+
+@query
+def cut_rolling_mean(t: TrafficTables) -> DataFrame:
+    rolled = features.add_rolling(t.readings, plan=cut_plan(t))
+    return keyed(rolled, *[c for c in rolled.columns if "rolling_mean" in c])
+
+
+@query
+def cut_forward_fill(t: TrafficTables) -> DataFrame:
+    names = features.series_feature_names(t.features)
+    return keyed(features.forward_fill(t.features, plan=cut_plan(t)), *names)
+
+
+@query
+def cut_queue_balance(t: TrafficTables) -> DataFrame:
+    plans = checkpointed(scenario.scenario_union(optimized(t)))
+    found = scenario.queue_balance(t.readings, plans, 2 * t.roads_at_most, cut_plan(t))
+    return found.select(
+        "signal_id", "scenario", "timestamp", "arrivals_ns", "arrivals_ew", "queue_ns", "queue_ew"
+    )

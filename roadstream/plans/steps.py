@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 
 from roadstream import params as p
 from roadstream.operators import classify, forecast, metrics, scenario, signals
-from roadstream.operators.features import add_congestion_labels
+from roadstream.operators.features import (
+    add_congestion_labels,
+    encode_road_type,
+    prepare_features_target,
+)
+from roadstream.operators.scaling import apply_scaler, scaler_statistics
 from roadstream.operators.series import plan_series
 from roadstream.operators.sizes import checkpointed
-from roadstream.plans.features import feature_tables
+from roadstream.plans.features import feature_rows, processed_table
 from roadstream.sources import synthetic
 from roadstream.sources.tables import load_table, save_model, save_splits, save_table
 
@@ -54,51 +59,90 @@ def generate_all(
 
 
 def process_all(study: Study, task: str = "classification", split: str = "temporal") -> list[str]:
-    """Processed readings, and scaled features by split; returns the feature names."""
-    made = feature_tables(study.load("traffic_data"), study.load("road_network"), task, split)
-    study.save(made.processed, "processed_traffic_data", csv=True)
-    save_splits(made.scaled, study.folder)
-    names = study.spark.createDataFrame([(f,) for f in made.features], "feature string")
+    """Processed readings, scaler, and scaled features by split; returns the feature names.
+
+    Splits and scores come from the written table, so its windows are computed once.
+    """
+    readings = study.load("traffic_data")
+    plan = plan_series(readings)
+    made = processed_table(readings, study.load("road_network"), plan)
+    processed = study.save(made, "processed_traffic_data", csv=True)
+    rows, features = feature_rows(processed, task, split, plan)
+    scaler = study.save(scaler_statistics(rows, features), "scaler")
+    save_splits(apply_scaler(rows, scaler), study.folder)
+    names = study.spark.createDataFrame([(f,) for f in features], "feature string")
     study.save(names, "feature_names")
-    return made.features
+    return features
+
+
+def scaled_by_saved(study: Study, processed: DataFrame, task: str = "classification") -> DataFrame:
+    """New processed rows scored with the saved scaler."""
+    rows = prepare_features_target(encode_road_type(processed), task)
+    scaler = study.load("scaler")
+    numbers = {r.feature: F.col(r.feature).cast("double") for r in scaler.collect()}
+    return apply_scaler(rows.withColumns(numbers), scaler)
 
 
 def train_classifiers(
     study: Study, forest: dict | None = None, boosted: dict | None = None, network: dict | None = None
 ) -> DataFrame:
-    """Fit and save the three classifiers; scores on the test rows, one row per model."""
+    """Fit and save the three classifiers; scores on the test rows, one row per model.
+
+    Saves the scores on the validation rows, and the confusion matrix and class report
+    of each model, too.
+    """
     table = checkpointed(classify.training_table(study.labelled()))
-    test = table.filter("split = 'test'")
+    test, validation = table.filter("split = 'test'"), table.filter("split = 'val'")
     fitted: dict[str, PipelineModel] = {
         "random_forest": classify.random_forest(table, **(forest or {})),
         "boosted_trees": classify.boosted_trees(table, **(boosted or {})),
         "neural_network": classify.neural_classifier(table, **(network or {})),
     }
-    importance, predictions = [], []
+    importance, predictions, validated = [], [], []
     for name, model in fitted.items():
         save_model(model, study.folder, name)
         predictions.append(classify.predict(name, model, test))
+        validated.append(classify.predict(name, model, validation))
         if name != "neural_network":
             weights = classify.feature_importance(model, table)
             importance.append(weights.withColumn("model", F.lit(name)))
     study.save(_union(importance), "feature_importance")
     found = study.save(_union(predictions), "classification_predictions")
+    checked = study.save(_union(validated), "validation_predictions")
+    study.save(classify.evaluate(checked), "validation_metrics")
+    of_each = [(n, found.filter(F.col("model") == n)) for n in fitted]
+    for table_name, make in (
+        ("confusion_matrices", metrics.confusion_matrix),
+        ("class_reports", metrics.class_report),
+    ):
+        parts = [make(rows).drop("model").withColumn("model", F.lit(n)) for n, rows in of_each]
+        study.save(_union(parts), table_name)
     return study.save(classify.evaluate(found), "classification_metrics")
 
 
 def train_forecasts(study: Study) -> DataFrame:
-    """Forecasts of every model for every segment; their errors, one row per model."""
+    """Forecasts of every model for every segment; their errors, one row per model.
+
+    The lines of the AR(1) forecasts are saved, and its forecasts of the next times.
+    """
     readings = study.load("traffic_data").select("segment_id", "timestamp", "speed_kmh")
     plan = plan_series(readings)
-    history = forecast.split_history(readings, plan=plan)
+    history = checkpointed(forecast.split_history(readings, plan=plan))
+    study.save(forecast.ar1_lines(history), "ar1_lines")
+    study.save(forecast.ar1_future(readings, history, plan=plan), "future_forecasts")
     fitted = {
-        "ar_diff5": forecast.ar_diff(readings, plan=plan),
-        "fourier_seasonal": forecast.fourier_seasonal(readings, plan=plan),
-        "direct_multi_horizon": forecast.direct_multi_horizon(readings, plan=plan).drop("step"),
+        ("ar_diff5", "one_step"): forecast.ar_diff(readings, plan=plan),
+        ("fourier_seasonal", "span"): forecast.fourier_seasonal(readings, plan=plan),
+        ("direct_multi_horizon", "four_steps"): forecast.direct_multi_horizon(
+            readings, plan=plan
+        ).drop("step"),
     }
-    columns = ["model", "segment_id", "timestamp", "actual", "forecast"]
+    columns = ["kind", "model", "segment_id", "timestamp", "actual", "forecast"]
     parts = [forecast.baseline_forecasts(history, plan)]
-    parts += [df.withColumn("model", F.lit(name)) for name, df in fitted.items()]
+    parts += [
+        df.withColumns({"model": F.lit(name), "kind": F.lit(kind)})
+        for (name, kind), df in fitted.items()
+    ]
     found = study.save(_union([part.select(columns) for part in parts]), "forecasts")
     return study.save(metrics.forecast_report(found), "forecast_metrics")
 
@@ -120,20 +164,21 @@ def run_simulation(study: Study) -> DataFrame:
 
 
 def evaluate_all(study: Study) -> DataFrame:
-    """Best classifier by accuracy and best forecast by RMSE: (kind, model, metric, score)."""
-    best = {
-        "accuracy": metrics.best_model(study.load("classification_metrics")),
-        "rmse": metrics.best_model(study.load("forecast_metrics"), "rmse", lowest=True),
-    }
-    kinds = {"accuracy": "classifier", "rmse": "forecaster"}
+    """Best classifier by accuracy and best forecast of each kind by RMSE:
+    (kind, model, metric, score)."""
+    errors = study.load("forecast_metrics")
+    best = {"classifier": ("accuracy", metrics.best_model(study.load("classification_metrics")))}
+    for kind in ("one_step", "four_steps", "span"):
+        of_kind = metrics.best_model(errors.filter(F.col("kind") == kind), "rmse", lowest=True)
+        best[f"{kind}_forecaster"] = ("rmse", of_kind)
     rows = [
         df.select(
-            F.lit(kinds[metric]).alias("kind"),
+            F.lit(kind).alias("kind"),
             "model",
             F.lit(metric).alias("metric"),
             F.col(metric).alias("score"),
         )
-        for metric, df in best.items()
+        for kind, (metric, df) in best.items()
     ]
     return study.save(_union(rows), "best_models")
 

@@ -57,8 +57,11 @@ def save_table(df: DataFrame, folder: str, name: str, csv: bool = False) -> None
         out.write.mode("overwrite").partitionBy(DAY).parquet(f"{folder}/{name}")
     else:
         out.write.mode("overwrite").parquet(f"{folder}/{name}")
-    if csv:
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}_csv")
+    if csv:  # from the written table, which is not computed again
+        written = df.sparkSession.read.schema(out.schema).parquet(f"{folder}/{name}")
+        written.select(df.columns).write.mode("overwrite").option("header", True).csv(
+            f"{folder}/{name}_csv"
+        )
 
 
 def save_splits(df: DataFrame, folder: str, name: str = "splits") -> None:

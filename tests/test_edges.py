@@ -285,3 +285,12 @@ def test_feature_tables(traffic):
     train = made.scaled.filter("split = 'train'")
     mean, std = train.agg(F.avg("speed_lag_1"), F.stddev_pop("speed_lag_1")).first()
     assert mean == pytest.approx(0, abs=1e-9) and std == pytest.approx(1)
+
+
+@pytest.mark.parametrize("name", ["latest_per_segment", "latest_row_per_segment", "map_status"])
+def test_latest_state_sorts_no_readings(spark, name):
+    from conftest import DATA
+    from roadstream.plans.queries import QUERIES
+
+    plan = QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

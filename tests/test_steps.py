@@ -27,6 +27,13 @@ def test_features(study):
     splits = study.spark.read.parquet(f"{study.folder}/splits")
     assert splits.count() == processed.count()
     assert study.load("feature_names").count() == len(names)
+    # New rows are scored from the saved folder alone, like the rows it was fitted on.
+    again = steps.scaled_by_saved(study, processed)
+    keys = ["segment_id", "timestamp"]
+    both = splits.select(*keys, F.col(names[0]).alias("a")).join(
+        again.select(*keys, F.col(names[0]).alias("b")), keys
+    )
+    assert both.count() == processed.count() and both.filter("abs(a - b) > 1e-12").isEmpty()
 
 
 def test_models(study):
@@ -35,11 +42,17 @@ def test_models(study):
     )
     assert scores.count() == 3
     errors = steps.train_forecasts(study)
-    assert errors.count() == 6
-    assert errors.filter("is_best").count() == 1
+    assert errors.count() == 7
+    assert errors.filter("is_best").count() == errors.select("kind").distinct().count() == 3
     best = {r.kind: r for r in steps.evaluate_all(study).collect()}
     assert best["classifier"].score == scores.agg(F.max("accuracy")).first()[0]
-    assert best["forecaster"].score == errors.agg(F.min("rmse")).first()[0]
+    for kind in ("one_step", "four_steps", "span"):
+        least = errors.filter(F.col("kind") == kind).agg(F.min("rmse")).first()[0]
+        assert best[f"{kind}_forecaster"].score == least
+    assert study.load("validation_metrics").count() == 3
+    assert study.load("confusion_matrices").count() == 3 * 4
+    assert study.load("class_reports").count() == 3 * 6
+    assert study.load("future_forecasts").count() == 15 * 4
 
 
 def test_signals(study):
