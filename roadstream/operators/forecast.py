@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadstream import params as p
 from roadstream.operators.features import supervised_windows
 from roadstream.operators.series import Series, SeriesPlan, plan_series, windowed
-from roadstream.operators.sizes import dimension_join
+from roadstream.operators.sizes import checkpointed, dimension_join
 
 TEST, TRAIN = "split = 'test'", "split = 'train'"
 KEYS = ["segment_id", "timestamp"]
@@ -205,6 +205,7 @@ def ar_diff(df: DataFrame, order: int = 5, plan: SeriesPlan | None = None) -> Da
     rows = history.withColumns(
         {**dict(zip(names, steps)), "change": F.col("actual") - F.col("lag_1")}
     )
+    rows = checkpointed(rows)  # read by the fit and by the forecast
     assembler, model = _regression(rows.filter(TRAIN), names, "change")
     predicted = model.transform(assembler.transform(rows.filter(TEST)))
     return predicted.select(
@@ -239,7 +240,7 @@ def fourier_seasonal(
     terms = {"trend": F.unix_date(ts.cast("date")) + F.hour(ts) / 24, **fourier_terms(ts, orders)}
     names = list(terms)
     known = F.when(F.col("actual") > 0, F.ln("actual"))
-    rows = history.withColumns({**terms, "log_actual": known})
+    rows = checkpointed(history.withColumns({**terms, "log_actual": known}))
     means = (
         rows.filter(TRAIN)
         .filter(F.col("log_actual").isNotNull())
@@ -269,14 +270,13 @@ def direct_multi_horizon(
             **{f"y_{h}": F.get("y", F.lit(h)) for h in range(horizon)},
         }
     )
-    predicted = complete.filter(TEST)
-    train = complete.filter(TRAIN).persist()
+    complete = checkpointed(complete)  # read by every fit and by the forecasts
+    predicted, train = complete.filter(TEST), complete.filter(TRAIN)
     for h in range(horizon):
         model = LinearRegression(
             labelCol=f"y_{h}", predictionCol=f"forecast_{h}", solver="normal"
         ).fit(train.filter(F.col(f"y_{h}").isNotNull()))
         predicted = model.transform(predicted)
-    train.unpersist()
     pairs = F.array(
         *[
             F.struct(

@@ -598,6 +598,94 @@ define(
       UNION ALL SELECT 'one_step', 'ar1', * FROM ar1 UNION ALL SELECT 'span', 'ar1_span', * FROM span)
       WHERE forecast IS NOT NULL GROUP BY kind, model)""",
 )
+
+
+def least_squares(features: list[str], targets: list[str], train: str) -> list[str]:
+    """CTEs from ``ls`` (features, targets) to ``fitted``, with a ``p_`` column per target.
+
+    Takes out the training means, then one feature after another from the later features
+    and the targets; what a target loses on the way is its prediction.
+    """
+    known = " AND ".join(f"{c} IS NOT NULL" for c in [*features, *targets])
+    on_train = f"WHERE {train} AND {known}"
+    both = [*features, *targets]
+    means = ", ".join(f"avg({c}) AS {c}" for c in both)
+    out = [
+        f"ls_m AS MATERIALIZED (SELECT {means} FROM ls {on_train})",
+        "ls_0 AS MATERIALIZED (SELECT l.* REPLACE ("
+        + ", ".join(f"l.{c}-m.{c} AS {c}" for c in both)
+        + "), "
+        + ", ".join(f"m.{c} AS p_{c}" for c in targets)
+        + " FROM ls l, ls_m m)",
+    ]
+    for k, x in enumerate(features):
+        rest = [*features[k + 1 :], *targets]
+        shares = ", ".join(f"sum({x}*{c})/sum({x}*{x}) AS {c}" for c in rest)
+        change = [f"l.{c}-s.{c}*l.{x} AS {c}" for c in rest]
+        change += [f"l.p_{c}+s.{c}*l.{x} AS p_{c}" for c in targets]
+        out.append(f"ls_s{k} AS MATERIALIZED (SELECT {shares} FROM ls_{k} {on_train})")
+        out.append(
+            f"ls_{k + 1} AS MATERIALIZED (SELECT l.* REPLACE ({', '.join(change)})"
+            f" FROM ls_{k} l, ls_s{k} s)"
+        )
+    out.append(f"fitted AS (SELECT * FROM ls_{len(features)})")
+    return out
+
+
+STEPS = [f"d_{k}" for k in range(1, 6)]
+define(
+    "ar_diff5",
+    f"""SELECT {KEYS}, {r("actual", "actual")}, {r("lag_1+p_change", "forecast")} FROM fitted
+    WHERE split='test' AND lag_6 IS NOT NULL""",
+    HISTORY,
+    "lagged AS (SELECT *, "
+    + ", ".join(f"lag(actual, {k}) OVER {W} AS lag_{k}" for k in range(2, 7))
+    + " FROM history)",
+    "ls AS (SELECT segment_id, timestamp, split, actual, lag_1, lag_6, actual-lag_1 AS change, "
+    + ", ".join(f"lag_{k}-lag_{k + 1} AS d_{k}" for k in range(1, 6))
+    + " FROM lagged)",
+    *least_squares(STEPS, ["change"], "split='train'"),
+)
+TERMS = {"trend": "epoch(date_trunc('day', timestamp))/86400+hour(timestamp)/24"}
+for period, order in ((24, 4), (168, 3)):
+    for k in range(1, order + 1):
+        angle = f"2*pi()*{k}*((isodow(timestamp)-1)*24+hour(timestamp)+minute(timestamp)/60)/{period}"
+        TERMS |= {f"sin_{period}_{k}": f"sin({angle})", f"cos_{period}_{k}": f"cos({angle})"}
+CENTRED = [*TERMS, "log_actual"]
+define(
+    "fourier_seasonal",
+    f"""SELECT {KEYS}, {r("actual", "actual")}, {r("exp(mean_log+p_log_actual)", "forecast")}
+    FROM fitted WHERE split='test'""",
+    HISTORY,
+    "terms AS (SELECT segment_id, timestamp, split, actual, ln(actual) AS log_actual, "
+    + ", ".join(f"{sql} AS {name}" for name, sql in TERMS.items())
+    + " FROM history)",
+    "centres AS (SELECT segment_id, "
+    + ", ".join(f"avg({c}) AS m_{c}" for c in CENTRED)
+    + " FROM terms WHERE split='train' GROUP BY segment_id)",
+    "ls AS (SELECT t.segment_id, timestamp, split, actual, m_log_actual AS mean_log, "
+    + ", ".join(f"{c}-m_{c} AS {c}" for c in CENTRED)
+    + " FROM terms t JOIN centres USING (segment_id))",
+    *least_squares(list(TERMS), ["log_actual"], "split='train'"),
+)
+BEFORE, AFTER = [f"x_{k}" for k in range(1, 25)], [f"y_{h}" for h in range(4)]
+define(
+    "direct_multi_horizon",
+    " UNION ALL ".join(
+        f"""SELECT {KEYS}, {h + 1}::BIGINT AS step, {r(f"a_{h}", "actual")}, {r(f"p_y_{h}", "forecast")}
+        FROM fitted WHERE split='test'"""
+        for h in range(4)
+    ),
+    f"placed AS (SELECT *, row_number() OVER {W}-1 AS i, count(*) OVER (PARTITION BY segment_id) AS n, "
+    + ", ".join(f"lag(speed_kmh, {k}) OVER {W} AS x_{k}" for k in range(1, 25))
+    + ", "
+    + ", ".join(f"lead(speed_kmh, {h}) OVER {W} AS y_{h}" for h in range(4))
+    + " FROM traffic)",
+    "ls AS (SELECT *, CASE WHEN i-24<floor((n-28)*0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split, "
+    + ", ".join(f"y_{h} AS a_{h}" for h in range(4))
+    + " FROM placed WHERE i>=24 AND i<n-4)",
+    *least_squares(BEFORE, AFTER, "split='train'"),
+)
 define(
     "future_frame",
     f"""SELECT {KEYS} FROM (SELECT segment_id, max(timestamp)+to_minutes(15*k) AS timestamp
