@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from roadstream.llm import words
 from roadstream.llm.store import stored
 
-FILTER_BITS = 1 << 29  # 64 MB
-EXACT_WORDS = 1 << 20  # 16 MB
+FILTER_BITS = 1 << 28  # 32 MB
+EXACT_WORDS = 1 << 18  # 4 MB
 LOG_BASE = 1.5
 PROBES = 3
 SMOOTHING = 20.0
