@@ -1,6 +1,10 @@
 """Size checks, and joins that choose their strategy from them."""
 
+import atexit
+import shutil
+import tempfile
 import uuid
+import warnings
 from functools import reduce
 from operator import and_
 
@@ -47,13 +51,18 @@ def dimension_join(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the session names; outside local mode it must be set."""
+    """The shared folder the session names; outside local mode it must be set.
+
+    In local mode a new temporary folder stands in, which goes when the process ends.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = "/tmp/roadstream-checkpoints"
+        folder = tempfile.mkdtemp(prefix="roadstream-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        warnings.warn(f"spark.checkpoint.dir is not set; tables go to {folder}", stacklevel=2)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
