@@ -447,7 +447,9 @@ def similar_nodes(docs: DataFrame, nodes: DataFrame, k: int = K, percent: int =
             return labels
         near = _group_pairs(left, nodes, percent, pivots).join(checked, ["a", "b"], "left_anti")
         near = stored(near)
-        links = stored(links.union(_checked_links(docs, near, nodes, percent, k)))
+        # What is connected stays so by one link from each node to its label.
+        known = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
+        links = stored(known.union(_checked_links(docs, near, nodes, percent, k)))
         checked = checked.union(near)
         left = left.filter(F.col("rank") > pivots).select("key", "node")
         pivots *= 16
