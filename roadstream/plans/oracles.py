@@ -4,6 +4,8 @@ Written from the definitions, on the whole given tables: plain windows over the
 segment, row-numbered candidates, joins instead of in-row work.
 """
 
+import re
+
 ORACLES: dict[str, str] = {}
 
 LAGS, WINDOWS = (1, 2, 3, 6, 12, 24), (4, 8, 12)
@@ -519,6 +521,18 @@ define(
     RULES,
     CLASS_CTE,
 )
+SHIFTED = [
+    (name, re.sub(r"ROWS BETWEEN (\d+) PRECEDING AND CURRENT ROW",
+                  lambda m: f"ROWS BETWEEN {int(m[1]) + 1} PRECEDING AND 1 PRECEDING", sql))
+    for name, sql in FEATURES
+]
+define(
+    "training_table",
+    f"""SELECT {KEYS}, split, congestion_code AS label, {rs(*FEATURE_NAMES)} FROM earlier
+    WHERE {" AND ".join(f"{c} IS NOT NULL" for c in FEATURE_NAMES)}""",
+    TEMPORAL,
+    f"earlier AS (SELECT *, {columns(SHIFTED)} FROM temporal)",
+)
 SCORES = ", ".join(f"1/(1+abs(ratio-{c}::DOUBLE))" for c in CENTERS)
 define(
     "argmax",

@@ -465,6 +465,13 @@ def training(t: TrafficTables) -> DataFrame:
     return classify.training_table(t.labelled, plan=t.plan)
 
 
+@query
+def training_table(t: TrafficTables) -> DataFrame:
+    rows = training(t)
+    names = [c for c in rows.columns if "lag_" in c or "rolling_" in c]
+    return keyed(rows, "split", "label", *names)
+
+
 def written_training(t: TrafficTables) -> DataFrame:
     """The training table written once, for the passes of a fit."""
     return checkpointed(training(t))
