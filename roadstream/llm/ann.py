@@ -211,9 +211,9 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
         )
 
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    return vectors.withColumn("shard", shard).groupBy("dim", "shard").applyInArrow(
-        shard_graph, INDEX
-    )
+    # By ranges, so that each task has about one shard; hashes would put several in some.
+    dealt = vectors.withColumn("shard", shard).repartitionByRange(shards, "dim", "shard")
+    return dealt.groupBy("dim", "shard").applyInArrow(shard_graph, INDEX)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:

@@ -107,6 +107,26 @@ def positional_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
+def number_below(value: Column, cuts: list[int]) -> Column:
+    """How many of the ascending ``cuts`` are less than ``value``.
+
+    Looks through the first cut of each piece, then through one piece.
+    """
+    piece = max(1, int(len(cuts) ** 0.5))
+    pieces = [cuts[i : i + piece] for i in range(0, len(cuts), piece)]
+    if not pieces:
+        return F.lit(0)
+
+    def longs(own: list[int]) -> Column:
+        return F.array(*[F.lit(c).cast("long") for c in own]).cast("array<long>")
+
+    table = F.array(*[longs(own) for own in pieces])
+    return bound(
+        F.size(F.filter(longs([own[0] for own in pieces[1:]]), lambda c: c < value)),
+        lambda i: i * piece + F.size(F.filter(F.get(table, i), lambda c: c < value)),
+    )
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """Adds ``anchors`` and, from the next document by id (after the last: the first),
     ``next_text`` and ``next_anchors``.
@@ -121,9 +141,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ordered = docs.withColumn("_rank", rank)
     shares = [i / ranges for i in range(1, ranges)]
     cuts = ordered.agg(F.percentile_approx("_rank", shares, 50 * ranges)).first()[0] or []
-    ends = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))])
-    below = F.size(F.filter(ends, lambda c: c < F.col("_rank")))
-    ranged = ordered.withColumn("_range", below if cuts else F.lit(0))
+    ranged = ordered.withColumn("_range", number_below(F.col("_rank"), sorted(set(cuts))))
 
     least = ranged.groupBy("_range").agg(F.min("_rank").alias("_rank"))
     every = Window.partitionBy(F.lit(0)).orderBy("_range")

@@ -172,6 +172,13 @@ def test_fingerprints_and_edits(spark):
     assert chain == [(0, "n", "a"), (1, "a", "a"), (1, "a", "b"), (1, "b", "n")]
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 101])
+def test_number_below(spark, n):
+    cuts = [3 * i for i in range(n)]
+    found = spark.range(-2, 3 * n + 3).select("id", syncmers.number_below(F.col("id"), cuts).alias("n"))
+    assert all(r.n == sum(c < r.id for c in cuts) for r in found.collect())
+
+
 def test_anchors_are_free_of_context(spark):
     rng = random.Random(8)
     middle = " ".join(f"m{rng.randrange(10**6)}" for _ in range(80))
