@@ -1,5 +1,6 @@
 """Forecasts of speed for every segment at once."""
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
@@ -197,8 +198,16 @@ def _regression(train: DataFrame, features: list[str], label: str):
     return assembler, model.fit(assembler.transform(train.filter(F.col(label).isNotNull())))
 
 
-def ar_diff(df: DataFrame, order: int = 5, plan: SeriesPlan | None = None) -> DataFrame:
-    """One-step forecast from the last ``order`` differences, one model for all."""
+def ar_diff(
+    df: DataFrame,
+    order: int = 5,
+    plan: SeriesPlan | None = None,
+    fitted: dict[str, PipelineModel | DataFrame] | None = None,
+) -> DataFrame:
+    """One-step forecast from the last ``order`` differences, one model for all.
+
+    The model is put into ``fitted``, by name.
+    """
     history = split_history(df, order + 1, plan=plan)
     steps = [F.col(f"lag_{k}") - F.col(f"lag_{k + 1}") for k in range(1, order + 1)]
     names = [f"step_{k}" for k in range(1, order + 1)]
@@ -207,6 +216,8 @@ def ar_diff(df: DataFrame, order: int = 5, plan: SeriesPlan | None = None) -> Da
     )
     rows = checkpointed(rows)  # read by the fit and by the forecast
     assembler, model = _regression(rows.filter(TRAIN), names, "change")
+    if fitted is not None:
+        fitted["ar_diff"] = PipelineModel([assembler, model])
     predicted = model.transform(assembler.transform(rows.filter(TEST)))
     return predicted.select(
         *KEYS, "actual", (F.col("lag_1") + F.col("prediction")).alias("forecast")
@@ -225,13 +236,17 @@ def fourier_terms(ts: Column, orders: dict[int, int]) -> dict[str, Column]:
 
 
 def fourier_seasonal(
-    df: DataFrame, orders: dict[int, int] | None = None, plan: SeriesPlan | None = None
+    df: DataFrame,
+    orders: dict[int, int] | None = None,
+    plan: SeriesPlan | None = None,
+    fitted: dict[str, PipelineModel | DataFrame] | None = None,
 ) -> DataFrame:
     """Multiplicative trend, daily and weekly seasonality, with a level per segment.
 
     The regression is on the log of the speed. The level of each segment is taken
     out by its training means, which gives the same coefficients as one indicator
-    per segment at any number of segments.
+    per segment at any number of segments. The model and the means are put into
+    ``fitted``, by name.
     """
     orders = orders or {24: 4, 168: 3}
     plan = plan or plan_series(df)
@@ -251,6 +266,8 @@ def fourier_seasonal(
         {c: F.col(c) - F.col(f"mean_{c}") for c in [*names, "log_actual"]}
     )
     assembler, model = _regression(centred.filter(TRAIN), names, "log_actual")
+    if fitted is not None:
+        fitted |= {"fourier": PipelineModel([assembler, model]), "fourier_means": means}
     predicted = model.transform(assembler.transform(centred.filter(TEST)))
     forecast = F.exp(F.col("mean_log_actual") + F.col("prediction"))
     return predicted.select(*KEYS, "actual", forecast.alias("forecast"))
@@ -261,8 +278,12 @@ def direct_multi_horizon(
     lookback: int = p.LOOKBACK,
     horizon: int = p.HORIZON,
     plan: SeriesPlan | None = None,
+    fitted: dict[str, PipelineModel | DataFrame] | None = None,
 ) -> DataFrame:
-    """Forecast each of the next values by its own regression on the previous ones."""
+    """Forecast each of the next values by its own regression on the previous ones.
+
+    The models are put into ``fitted``, by name and step.
+    """
     windows = supervised_windows(df, lookback, horizon, plan=plan)
     complete = windows.filter("NOT exists(x, v -> v IS NULL)").withColumns(
         {
@@ -277,6 +298,8 @@ def direct_multi_horizon(
             labelCol=f"y_{h}", predictionCol=f"forecast_{h}", solver="normal"
         ).fit(train.filter(F.col(f"y_{h}").isNotNull()))
         predicted = model.transform(predicted)
+        if fitted is not None:
+            fitted[f"direct_{h + 1}"] = PipelineModel([model])
     pairs = F.array(
         *[
             F.struct(

@@ -123,25 +123,33 @@ def train_classifiers(
 def train_forecasts(study: Study) -> DataFrame:
     """Forecasts of every model for every segment; their errors, one row per model.
 
-    The lines of the AR(1) forecasts are saved, and its forecasts of the next times.
+    The fitted models are saved, and the AR(1) forecasts of the next times.
     """
     readings = study.load("traffic_data").select("segment_id", "timestamp", "speed_kmh")
     plan = plan_series(readings)
     history = checkpointed(forecast.split_history(readings, plan=plan))
     study.save(forecast.ar1_lines(history), "ar1_lines")
     study.save(forecast.ar1_future(readings, history, plan=plan), "future_forecasts")
-    fitted = {
-        ("ar_diff5", "one_step"): forecast.ar_diff(readings, plan=plan),
-        ("fourier_seasonal", "span"): forecast.fourier_seasonal(readings, plan=plan),
+    fitted: dict[str, PipelineModel | DataFrame] = {}
+    made = {
+        ("ar_diff5", "one_step"): forecast.ar_diff(readings, plan=plan, fitted=fitted),
+        ("fourier_seasonal", "span"): forecast.fourier_seasonal(
+            readings, plan=plan, fitted=fitted
+        ),
         ("direct_multi_horizon", "four_steps"): forecast.direct_multi_horizon(
-            readings, plan=plan
+            readings, plan=plan, fitted=fitted
         ).drop("step"),
     }
+    for name, one in fitted.items():
+        if isinstance(one, DataFrame):
+            study.save(one, name)
+        else:
+            save_model(one, study.folder, name)
     columns = ["kind", "model", "segment_id", "timestamp", "actual", "forecast"]
     parts = [forecast.baseline_forecasts(history, plan)]
     parts += [
         df.withColumns({"model": F.lit(name), "kind": F.lit(kind)})
-        for (name, kind), df in fitted.items()
+        for (name, kind), df in made.items()
     ]
     found = study.save(_union([part.select(columns) for part in parts]), "forecasts")
     return study.save(metrics.forecast_report(found), "forecast_metrics")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadstream.plans import steps
+from roadstream.sources.tables import load_model
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +54,9 @@ def test_models(study):
     assert study.load("confusion_matrices").count() == 3 * 4
     assert study.load("class_reports").count() == 3 * 6
     assert study.load("future_forecasts").count() == 15 * 4
+    for name in ("ar_diff", "fourier", "direct_1", "direct_4"):
+        assert load_model(study.folder, name).stages
+    assert study.load("fourier_means").count() == study.load("ar1_lines").count() == 15
 
 
 def test_signals(study):
