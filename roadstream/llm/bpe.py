@@ -166,36 +166,40 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
 
 
 def round_trip(
-    df: DataFrame, path: str, text: str = "text", ids: str = "ids", back: str = "decoded"
+    df: DataFrame,
+    path: str,
+    text: str = "text",
+    ids: str = "ids",
+    back: str = "decoded",
+    packed: bool = True,
 ) -> DataFrame:
-    """Adds packed ids and the text decoded from them, in one pass over the rows."""
+    """Adds ids, packed or as an array of int, and the text decoded from them, in one
+    pass over the rows."""
     shared = broadcast_tables(df.sparkSession, path)
 
-    @F.arrow_udf("ids binary, decoded string")
+    @F.arrow_udf(f"ids {'binary' if packed else 'array<int>'}, decoded string")
     def both_udf(texts: pa.Array) -> pa.Array:
         tables = shared.value
         coded = _sliced(texts, lambda own: encode_texts(own, tables), pa.binary())
         plain = _sliced(coded, lambda own: [decode_ids(i, tables) for i in own], pa.string())
-        return pa.StructArray.from_arrays([coded, plain], ["ids", "decoded"])
+        kept = coded if packed else _unpacked(coded)
+        return pa.StructArray.from_arrays([kept, plain], ["ids", "decoded"])
 
     both = df.withColumn("_both", both_udf(text))
     return both.withColumns({ids: F.col("_both.ids"), back: F.col("_both.decoded")}).drop("_both")
 
 
+def _unpacked(coded: pa.Array) -> pa.Array:
+    """Packed ids as lists of int, over the same bytes."""
+    ends = np.frombuffer(coded.buffers()[1], np.int32)[: len(coded) + 1]
+    flat = pa.Array.from_buffers(
+        pa.int32(), int(ends[-1]) // 4 if len(coded) else 0, [None, coded.buffers()[2]]
+    )
+    return pa.ListArray.from_arrays(pa.array(ends // 4), flat)
+
+
 def n_tokens(packed: Column | str) -> Column:
     """Number of tokens in packed ids."""
     column = F.col(packed) if isinstance(packed, str) else packed
     return (F.octet_length(column) / 4).cast("long")
 
-
-def id_list(packed: Column | str) -> Column:
-    """Packed ids as an array of int."""
-
-    @F.arrow_udf("array<int>")
-    def list_udf(ids: pa.Array) -> pa.Array:
-        sizes = [len(i.as_py() or b"") // 4 for i in ids]
-        flat = np.frombuffer(b"".join([i.as_py() or b"" for i in ids]), "<i4")
-        upto = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(upto), pa.array(flat))
-
-    return list_udf(packed)

@@ -35,7 +35,7 @@ ROWS_PER_CLASS = 5000  # bound of the labelled sample
 MIN_Z = 2.5
 MOST_FEATURES = 600  # those whose shares differ most surely
 PENALTY = 1.0
-KEPT_WORDS = 400_000  # kept word scores of a worker, about 50 MB
+KEPT_WORDS = 200_000  # kept word scores of a worker, about 25 MB
 
 
 @dataclass(frozen=True)
