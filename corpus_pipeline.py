@@ -40,12 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether these decode to the text."""
-    coded = bpe.round_trip(docs, VOCABULARY, ids="_ids", back="_back")
+    coded = bpe.round_trip(docs, VOCABULARY, ids="_ids", back="_back", packed=False)
     same = F.col("_back") == F.coalesce("text", F.lit(""))
     return coded.select(
         *docs.columns,
-        bpe.n_tokens("_ids").alias("n_tokens"),
-        bpe.id_list("_ids").alias("token_ids"),
+        F.size("_ids").cast("long").alias("n_tokens"),
+        F.col("_ids").alias("token_ids"),
         same.alias("decodes"),
     )
 
