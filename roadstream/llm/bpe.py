@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream.llm import vocabulary as v
+from roadstream.llm.store import small_batches
 
 SLICE = 256  # texts handled at once within a batch
 
@@ -121,6 +122,7 @@ def decode_ids(packed: bytes | None, tables: dict) -> str:
 
 def broadcast_tables(spark: SparkSession, path: str):
     """The vocabulary's tables for all workers; their size is that of the file."""
+    small_batches(spark)
     return spark.sparkContext.broadcast(v.read_tables(path))
 
 

@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from roadstream.llm import words
 from roadstream.llm.components import components
-from roadstream.llm.store import stored
+from roadstream.llm.store import small_batches, stored
 
 K = 5
 SLICE = 64
@@ -460,6 +460,7 @@ def near_duplicates(docs: DataFrame, k: int = K, percent: int = 75) -> DataFrame
 
     The component's id is the smallest ``doc_id`` that links lead to.
     """
+    small_batches(docs.sparkSession)
     rows = stored(shingle_nodes(docs, k))
     usable = rows.filter("size > 0 and doc_id is not null")
     classes = stored(

@@ -135,16 +135,24 @@ def _training_rows(docs: DataFrame, trains_on: Column) -> DataFrame:
 def word_counts(docs: DataFrame, trains_on: Column) -> DataFrame:
     """``key`` and exact count ``c`` of every training token."""
 
+    def batch_of(found):
+        keys, counts = summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "c"]
+        )
+
     def rows(batches):
+        found, held = [], 0
         for batch in batches:
-            found = [
-                counted(token_rows(batch.slice(i, SLICE).column("text").to_pylist())[0])
-                for i in range(0, batch.num_rows, SLICE)
-            ]
-            keys, counts = summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "c"]
-            )
+            for i in range(0, batch.num_rows, SLICE):
+                own = counted(token_rows(batch.slice(i, SLICE).column("text").to_pylist())[0])
+                found.append(own)
+                held += len(own[0])
+                if held >= CHUNK:
+                    yield batch_of(found)
+                    found, held = [], 0
+        if held:
+            yield batch_of(found)
 
     parts = _training_rows(docs, trains_on).mapInArrow(rows, "key long, c long")
     return parts.groupBy("key").agg(F.sum("c").alias("c"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.llm import samples
+from roadstream.llm.store import small_batches
 
 ROWS_PER_CLASS = 10_000  # bound of the labelled sample
 BINS, PAIR_BINS, PAIRS = 32, 8, 8
@@ -212,6 +213,7 @@ def fit(
     rows_per_class: int = ROWS_PER_CLASS,
 ) -> Model:
     """Model from labelled documents for whose ids ``trains_on`` holds."""
+    small_batches(docs.sparkSession)
     known = samples.class_labels(labels, label).filter(trains_on)
     counts = samples.class_counts(known)
     sample = samples.labelled_sample(docs, known, rows_per_class)
@@ -229,6 +231,7 @@ def fit(
 def score(text: Column | str, model: Model, df: DataFrame) -> Column:
     """Probability of class 1; the tables (a few KB) are broadcast."""
     parts = (model.intercept, model.edges, model.tables, model.coarse, model.pairs)
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(parts)
 
     @F.arrow_udf("double")

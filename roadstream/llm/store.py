@@ -1,6 +1,6 @@
-"""Tables written once below the shared folder of the run."""
+"""Tables written once below the shared folder of the run, and the size of batches."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from roadstream.operators.sizes import run_folder
 
@@ -14,3 +14,18 @@ def stored(df: DataFrame) -> DataFrame:
     folder = f"{run_folder(spark)}/table"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+ROWS_PER_BATCH = 500
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's rows per Arrow batch to ``ROWS_PER_BATCH``.
+
+    Spark's default of 10,000 is meant for narrow rows. Of whole texts that is tens of
+    MB, held several times over by each Python worker and its executor.
+    """
+    rows = int(spark.conf.get(BATCH_SETTING, "10000"))
+    if not 0 < rows <= ROWS_PER_BATCH:
+        spark.conf.set(BATCH_SETTING, str(ROWS_PER_BATCH))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadstream.llm import samples
-from roadstream.llm.store import stored
+from roadstream.llm.store import small_batches, stored
 
 BITS = 18
 SIZES = (3, 4, 5)
@@ -158,6 +158,7 @@ def fit(
     rows_per_class: int = ROWS_PER_CLASS,
 ) -> Model:
     """Model from labelled documents for whose ids ``trains_on`` holds."""
+    small_batches(docs.sparkSession)
     known = samples.class_labels(labels, label).filter(trains_on)
     none, some = samples.class_counts(known)
     sample = stored(samples.labelled_sample(docs, known, rows_per_class))
@@ -178,14 +179,15 @@ def fit(
 
 def score(text: Column | str, model: Model, df: DataFrame) -> Column:
     """Probability of class 1; the weights (2 MB) are broadcast."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(
-        {"weights": model.weights, "intercept": model.intercept}
+        {"weights": model.weights.tolist(), "intercept": model.intercept}
     )
 
     @F.arrow_udf("double")
     def score_udf(texts: pa.Array) -> pa.Array:
         tables = shared.value
-        known, weights = tables.setdefault("kept_words", {}), tables["weights"].tolist()
+        known, weights = tables.setdefault("kept_words", {}), tables["weights"]
         out = np.empty(len(texts))
         for i, text in enumerate(texts):
             if len(known) > KEPT_WORDS:

@@ -22,7 +22,7 @@ PIECES = regex.compile(PRE_TOKEN)
 
 NO_RANK = 1 << 40
 SHORT = 48  # bytes of words that are merged in a simple scan
-KEPT = 250_000  # results of one kind a worker keeps, about 45 MB; then it starts anew
+KEPT = 400_000  # results of one kind a worker keeps, about 75 MB; then it starts anew
 
 
 def byte_alphabet() -> dict[str, int]:
