@@ -3,18 +3,22 @@
 Words and word pairs of the training texts are counted over all data. A count is
 quantised to a level on a log scale; a Bloom filter holds each n-gram once for every
 level up to its own, and probing level after level until one is missing gives the
-level back. The filter has a fixed number of bits, so it can be broadcast. It is cut
-into segments by hash, each built in one task; where a segment has no room for all
-its n-grams, the rarest are left out, so that the error rate stays as the corpus
-grows. The probability of a word after another is smoothed towards that of the word:
-``(c(uw) + m p(w)) / (c(u) + m)``, with ``c`` from the filter.
+level back. The filter grows with the corpus: it is cut into segments by hash, each
+sized by the level entries counted for it, so that it holds every n-gram. No process
+holds all of it. Documents are dealt by hash into parts; a part sends each of its
+distinct n-grams, with its training count, to the n-gram's segment. The segment's task
+adds the counts up, builds its bits, probes them and sends the levels back to the
+parts, which meet their texts again. Parts and segments grow with the corpus, a task
+holds one at a time. The probability of a word after another is smoothed towards that
+of the word: ``(c(uw) + m p(w)) / (c(u) + m)``, with ``c`` from the filter.
 
 The base score needs exact counts of words. Those of the most frequent words are
 broadcast (at most ``EXACT_WORDS``); tokens that are not among them are joined with
 the count table.
 
 Rows: a null text counts as empty and has the end token alone. Repeated rows score
-alike; all other columns are dropped. Without training rows N and V are 0.
+alike and are in one part; all other columns are dropped. Without training rows N and
+V are 0.
 """
 
 import numpy as np
@@ -25,12 +29,14 @@ from pyspark.sql import functions as F
 from roadstream.llm import words
 from roadstream.llm.store import stored
 
-FILTER_BITS = 1 << 28  # 32 MB
+FILTER_BITS = 1 << 28  # 32 MB, bound of a segment's mean size
 EXACT_WORDS = 1 << 18  # 4 MB
 LOG_BASE = 1.5
 PROBES = 3
+BITS_PER_ENTRY = 16  # a missing level is then found in one of 200 cases at most
 SMOOTHING = 20.0
 DOCS_PER_SEGMENT = 1000
+TOKENS_PER_SEGMENT = 1 << 20
 LEAST_SEGMENTS = 64
 SLICE = 128
 CHUNK = 1_500_000  # n-grams a task counts before it passes them on
@@ -64,7 +70,7 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Distinct keys, ascending, and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)])
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
@@ -88,8 +94,17 @@ def _bit_places(sub: np.ndarray, at: np.ndarray | int, bits: int) -> list[np.nda
     return [(h + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(PROBES)]
 
 
+def segment_bits(counts: np.ndarray) -> int:
+    """Bits, a power of two, for n-grams of these counts at all their levels."""
+    entries = int(level(counts).sum())
+    return 1 << max(12, (BITS_PER_ENTRY * entries - 1).bit_length())
+
+
 def build_segment(sub: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
-    """Bits of a segment from its n-grams and their counts (rows may repeat)."""
+    """Bits of a segment from its n-grams and their counts (rows may repeat).
+
+    With fewer than ``segment_bits`` the rarest are left out; ``score`` gives as many.
+    """
     sub, counts = summed(sub, counts)
     levels = level(counts)
     room = bits * np.log(2) / PROBES
@@ -114,11 +129,16 @@ def probe(keys: np.ndarray, table: np.ndarray, segments: int) -> np.ndarray:
     """Levels of n-grams: probes of ever higher levels until one is missing."""
     bits = len(table) * 8 // segments
     segment, sub = split_key(keys, segments)
-    out = np.zeros(len(keys), np.int64)
-    alive, at = np.arange(len(keys)), 0
+    return _probe_at(segment * bits, sub, table, bits)
+
+
+def _probe_at(start: np.ndarray, sub: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
+    """Levels of n-grams whose segments start at these bits of the table."""
+    out = np.zeros(len(sub), np.int64)
+    alive, at = np.arange(len(sub)), 0
     while len(alive):
         at += 1
-        offset = segment[alive] * bits
+        offset = start[alive]
         hit = np.ones(len(alive), bool)
         for place in _bit_places(sub[alive], at, bits):
             where = offset + place.astype(np.int64)
@@ -158,65 +178,78 @@ def word_counts(docs: DataFrame, trains_on: Column) -> DataFrame:
     return parts.groupBy("key").agg(F.sum("c").alias("c"))
 
 
-def build_filter(
-    docs: DataFrame, trains_on: Column, filter_bits: int = FILTER_BITS
-) -> tuple[np.ndarray, int]:
-    """Bytes of the filter over training words and word pairs, and its segments."""
-    wanted = max(LEAST_SEGMENTS, docs.count() // DOCS_PER_SEGMENT)
-    segments = min(1 << int(wanted - 1).bit_length(), filter_bits >> 12)
-    bits = filter_bits // segments
+def segments_for(docs: DataFrame, n: int, filter_bits: int = FILTER_BITS) -> int:
+    """Segments, a power of two, for these documents with ``n`` training tokens.
+
+    A level never exceeds its count, so words and pairs make at most 2n level entries.
+    """
+    by_bits = 2 * n * BITS_PER_ENTRY // filter_bits
+    by_rows = max(docs.count() // DOCS_PER_SEGMENT, n // TOKENS_PER_SEGMENT)
+    return 1 << int(max(LEAST_SEGMENTS, by_rows, by_bits) - 1).bit_length()
+
+
+def _part_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``token_rows`` of a part's texts."""
+    texts = table.column("text")
+    found = [
+        token_rows(texts.slice(i, SLICE).to_pylist()) for i in range(0, table.num_rows, SLICE)
+    ]
+    tokens, before, sizes = (np.concatenate(x) for x in zip(*found, strict=True))
+    return tokens, before, sizes
+
+
+def part_levels(dealt: DataFrame, segments: int) -> DataFrame:
+    """``_part``, ``segment`` and ``levels`` (a byte each) of the part's distinct words
+    and pairs in that segment, ascending by key.
+
+    ``dealt`` has ``_part``, ``text`` and ``_trains``.
+    """
 
-    def packed(keys, counts):
-        """A row for each segment: numbers within it and counts, packed."""
-        keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
+    def grams(table: pa.Table) -> pa.Table:
+        tokens, before, sizes = _part_tokens(table)
+        own = np.repeat(table.column("_trains").to_numpy(), sizes).astype(np.int64)
+        keys = np.concatenate([tokens, pair_keys(before, tokens)])
+        keys, counts = summed(keys, np.concatenate([own, own]))
         segment, sub = split_key(keys, segments)
         first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        upto = [*first[1:].tolist(), len(sub)]
+        spans = list(zip(first.tolist(), [*first[1:].tolist(), len(sub)], strict=True))
         counts = counts.astype(np.uint32)
-        spans = list(zip(first.tolist(), upto, strict=True))
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(segment[first]),
-                pa.array([sub[a:b].tobytes() for a, b in spans], pa.binary()),
-                pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
-            ],
-            ["segment", "sub", "n"],
+        return pa.table(
+            {
+                "_part": pa.array([table.column("_part")[0].as_py()] * len(spans), pa.int64()),
+                "segment": pa.array(segment[first]),
+                "sub": pa.array([sub[a:b].tobytes() for a, b in spans], pa.binary()),
+                "n": pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
+            }
         )
 
-    def rows(batches):
-        keys, counts, held = [], [], 0
-        for batch in batches:
-            for i in range(0, batch.num_rows, SLICE):
-                tokens, before, _ = token_rows(batch.slice(i, SLICE).column("text").to_pylist())
-                for found in (tokens, pair_keys(before, tokens)):
-                    own = counted(found)
-                    keys.append(own[0])
-                    counts.append(own[1])
-                    held += len(own[0])
-                if held >= CHUNK:
-                    yield packed(keys, counts)
-                    keys, counts, held = [], [], 0
-        if held:
-            yield packed(keys, counts)
-
-    def segment_bits(table: pa.Table) -> pa.Table:
-        number = table.column("segment")[0].as_py()
-        sub = np.frombuffer(b"".join(table.column("sub").to_pylist()), np.uint32)
+    def levels(table: pa.Table) -> pa.Table:
+        rows = table.column("sub").to_pylist()
+        sub = np.frombuffer(b"".join(rows), np.uint32)
         n = np.frombuffer(b"".join(table.column("n").to_pylist()), np.uint32)
-        own = build_segment(sub, n.astype(np.int64), bits)
-        return pa.table({"segment": pa.array([number], pa.int64()), "bits": [own]})
+        sub, place = np.unique(sub, return_inverse=True)
+        counts = np.bincount(place, n, len(sub)).astype(np.int64)
+        trained = counts > 0
+        bits = segment_bits(counts[trained])
+        held = np.frombuffer(build_segment(sub[trained], counts[trained], bits), np.uint8)
+        found = _probe_at(np.zeros(len(sub), np.int64), sub, held, bits)
+        found = np.minimum(found, 255).astype(np.uint8)[place]
+        upto = np.cumsum([len(r) // 4 for r in rows]).tolist()
+        spans = zip([0, *upto[:-1]], upto, strict=True)
+        return pa.table(
+            {
+                "_part": table.column("_part"),
+                "segment": table.column("segment"),
+                "levels": pa.array([found[a:b].tobytes() for a, b in spans], pa.binary()),
+            }
+        )
 
-    parts = (
-        _training_rows(docs, trains_on)
-        .mapInArrow(rows, "segment long, sub binary, n binary")
+    return (
+        dealt.groupBy("_part")
+        .applyInArrow(grams, "_part long, segment long, sub binary, n binary")
         .groupBy("segment")
-        .applyInArrow(segment_bits, "segment long, bits binary")
+        .applyInArrow(levels, "_part long, segment long, levels binary")
     )
-    table = np.zeros(filter_bits >> 3, np.uint8)
-    for row in parts.toLocalIterator():
-        start = row["segment"] * (bits >> 3)
-        table[start : start + (bits >> 3)] = np.frombuffer(row["bits"], np.uint8)
-    return table, segments
 
 
 def frequent_words(counts: DataFrame, most: int = EXACT_WORDS) -> tuple[int, np.ndarray, np.ndarray]:
@@ -243,60 +276,66 @@ def frequent_words(counts: DataFrame, most: int = EXACT_WORDS) -> tuple[int, np.
 def score(docs: DataFrame, trains_on: Column, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
 
-    ``trains_on`` is the condition on rows that the model learns from.
+    ``trains_on`` is the condition on rows that the model learns from; a segment of the
+    filter has ``filter_bits`` at most on average.
     """
+    trains = F.coalesce(trains_on, F.lit(False)).alias("_trains")
     docs = docs.select("doc_id", "text")
     counts = stored(word_counts(docs, trains_on))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     least, keys, exact = frequent_words(counts)
-    table, segments = build_filter(docs, trains_on, filter_bits)
-    context = docs.sparkSession.sparkContext
-    shared, frequent = context.broadcast(table), context.broadcast((keys, exact))
+    segments = segments_for(docs, n, filter_bits)
+    frequent = docs.sparkSession.sparkContext.broadcast((keys, exact))
     below = np.log10(n + v + 1.0)
 
-    def model_scores(tokens, before):
-        held = shared.value
-        distinct, inverse = np.unique(np.append(tokens, START), return_inverse=True)
-        own = level_count(probe(distinct, held, segments))
-        count = own[inverse[:-1]]
-        places = np.searchsorted(distinct, before)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments)).alias("_part")
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", trains, part)
+
+    def model_scores(tokens, before, sizes, levels):
+        """Logarithms of the tokens' probabilities, from their part's levels."""
+        distinct, place = np.unique(
+            np.concatenate([tokens, pair_keys(before, tokens)]), return_inverse=True
+        )
+        if len(distinct) != len(levels):
+            raise ValueError(f"{len(levels)} levels for {len(distinct)} n-grams")
+        own = level_count(levels)
+        count, both = own[place[: len(tokens)]], own[place[len(tokens) :]]
+        first = np.empty_like(count)
+        first[1:] = count[:-1]
         # No word comes before the start; there are as many starts as ends.
-        own[np.searchsorted(distinct, START)] = own[np.searchsorted(distinct, END)]
-        first = own[places]
-        both = level_count(probe(pair_keys(before, tokens), held, segments))
+        first[np.cumsum(sizes) - sizes] = own[np.searchsorted(distinct, END)]
         both = np.minimum(both, np.minimum(count, first))
         plain = (count + 1) / (n + v + 1.0)
         return np.log10((both + SMOOTHING * plain) / (first + SMOOTHING))
 
-    def rows(batches):
+    def rows(texts: pa.Table, held: pa.Table) -> pa.Table:
         known, c = frequent.value
-        for batch in batches:
-            for i in range(0, batch.num_rows, SLICE):
-                part = batch.slice(i, SLICE)
-                tokens, before, sizes = token_rows(part.column("text").to_pylist())
-                starts = np.cumsum(sizes) - sizes
-                place = np.minimum(np.searchsorted(known, tokens), max(0, len(known) - 1))
-                found = known[place] == tokens if len(known) else np.zeros(len(tokens), bool)
-                count = np.where(found, c[place], 0) if len(known) else np.zeros(len(tokens))
-                rest = ~found if least > 1 else np.zeros(len(tokens), bool)
-                base = np.where(rest, 0.0, np.log10(count + 1) - below)
-                upto = np.concatenate([[0], np.cumsum(np.add.reduceat(rest, starts))])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        pa.array(sizes),
-                        pa.array(np.add.reduceat(found.astype(np.int64), starts)),
-                        pa.array(np.add.reduceat(base, starts)),
-                        pa.array(np.add.reduceat(model_scores(tokens, before), starts)),
-                        pa.ListArray.from_arrays(
-                            pa.array(upto, pa.int32()), pa.array(tokens[rest].view(np.int64))
-                        ),
-                    ],
-                    ["doc_id", "n_tokens", "_known", "_base", "score", "_rest"],
-                )
+        tokens, before, sizes = _part_tokens(texts)
+        levels = b"".join(held.sort_by("segment").column("levels").to_pylist())
+        model = model_scores(tokens, before, sizes, np.frombuffer(levels, np.uint8))
+        starts = np.cumsum(sizes) - sizes
+        place = np.minimum(np.searchsorted(known, tokens), max(0, len(known) - 1))
+        found = known[place] == tokens if len(known) else np.zeros(len(tokens), bool)
+        count = np.where(found, c[place], 0) if len(known) else np.zeros(len(tokens))
+        rest = ~found if least > 1 else np.zeros(len(tokens), bool)
+        base = np.where(rest, 0.0, np.log10(count + 1) - below)
+        upto = np.concatenate([[0], np.cumsum(np.add.reduceat(rest, starts))])
+        return pa.table(
+            {
+                "doc_id": texts.column("doc_id"),
+                "n_tokens": pa.array(sizes),
+                "_known": pa.array(np.add.reduceat(found.astype(np.int64), starts)),
+                "_base": pa.array(np.add.reduceat(base, starts)),
+                "score": pa.array(np.add.reduceat(model, starts)),
+                "_rest": pa.ListArray.from_arrays(
+                    pa.array(upto, pa.int32()), pa.array(tokens[rest].view(np.int64))
+                ),
+            }
+        )
 
     schema = "doc_id long, n_tokens long, _known long, _base double, score double, _rest array<long>"
-    scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, schema)
+    levels = part_levels(dealt, segments)
+    scored = dealt.groupBy("_part").cogroup(levels.groupBy("_part")).applyInArrow(rows, schema)
     out = ["doc_id", "n_tokens"]
     end = [F.lit(int(n)).alias("train_tokens"), F.col("_base").alias("base_score"), "score"]
     if least <= 1:  # every training word is among the frequent ones

@@ -112,6 +112,34 @@ def test_language_model(spark, monkeypatch, most):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_language_model_holds_every_pair(spark):
+    """However small a segment is to be, no count level is left out."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(150))) for i in range(300)]
+    tokens = {i: plain_tokens(t) for i, t in rows}
+    c, starts = Counter(), 0
+    for i in range(200):
+        c.update(tokens[i])
+        c.update(zip(tokens[i], tokens[i][1:]))
+        starts += 1
+        c[(None, tokens[i][0])] += 1
+    c[None], words_only = starts, [k for k in c if isinstance(k, str)]
+    total = sum(c[w] for w in words_only) + len(words_only) + 1
+
+    def held(key):
+        return float(lm.level_count(lm.level(np.array([c[key]])))[0]) if c[key] else 0.0
+
+    docs = spark.createDataFrame(rows, NO_DOCS)
+    for r in lm.score(docs, F.col("doc_id") < 200, 1 << 14).collect():
+        want, before = 0.0, None
+        for t in tokens[r.doc_id]:
+            both = min(held((before, t)), held(t), held(before))
+            plain = lm.SMOOTHING * (held(t) + 1) / total
+            want += math.log10((both + plain) / (held(before) + lm.SMOOTHING))
+            before = t
+        assert abs(r.score - want) < 0.02 * abs(want), r.doc_id
+
+
 def test_language_model_without_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], NO_DOCS)
     none = lm.score(docs, F.lit(False), 1 << 20).collect()
