@@ -5,8 +5,8 @@ A document's features are the character n-grams of its distinct lower-cased word
 number of distinct words that hold it. Values are scaled by the naive Bayes log
 ratio of the bucket's shares in toxic and other documents; a logistic regression
 on the scaled values gives the weights. Buckets whose shares do not differ
-significantly get ratio 0, as do all but the ``MOST_FEATURES`` surest, so that long
-texts gather no noise and the sample's chosen features are few.
+significantly get ratio 0, so that long texts gather no noise. The sample's values in
+all other buckets come to the driver in packed pieces, 8 bytes a value.
 
 The model is a table of ``2 ** BITS`` weights. As it is linear, a word's score is
 the sum of its n-grams' weights, and a text's the sum over its distinct words.
@@ -33,7 +33,7 @@ BITS = 18
 SIZES = (3, 4, 5)
 ROWS_PER_CLASS = 5000  # bound of the labelled sample
 MIN_Z = 2.5
-MOST_FEATURES = 600  # those whose shares differ most surely
+PIECE = 1 << 20  # values that are unpacked at a time
 PENALTY = 1.0
 KEPT_WORDS = 200_000  # kept word scores of a worker, about 25 MB
 
@@ -86,67 +86,110 @@ def log_ratios(counts: np.ndarray, rows: tuple[int, int]) -> np.ndarray:
     share = (counts + 1) / (np.array(rows)[:, None] + 2)
     spread = np.sqrt(((1 - share) / (share * (np.array(rows)[:, None] + 2))).sum(axis=0))
     ratio = np.log(share[1] / share[0])
-    sure = np.abs(ratio) / spread
-    least = max(MIN_Z, np.partition(sure, -MOST_FEATURES)[-MOST_FEATURES])
-    return np.where(sure >= least, ratio, 0.0)
+    return np.where(np.abs(ratio) / spread >= MIN_Z, ratio, 0.0)
 
 
-def _selected_rows(sample: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row number, column and value of the sample's chosen buckets, and the labels."""
+@dataclass(frozen=True)
+class Piece:
+    """Some rows of the sample: chosen buckets of each, columns and values row by row."""
+
+    sizes: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
+    label: np.ndarray
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+
+def _selected_rows(sample: DataFrame, chosen: np.ndarray) -> list[Piece]:
+    """The sample's values in the chosen buckets; a partition at a time comes over."""
     shared = sample.sparkSession.sparkContext.broadcast(chosen)
 
+    def packed(held):
+        columns, values, labels = zip(*held, strict=True)
+        made = [[len(c) for c in columns], np.concatenate(columns), np.concatenate(values), labels]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([np.asarray(x, np.int32).tobytes()], pa.binary()) for x in made],
+            ["sizes", "column", "value", "label"],
+        )
+
     def rows(batches):
-        keep, ints = shared.value, pa.list_(pa.int32())
+        place = np.full(1 << BITS, -1, np.int32)
+        place[shared.value] = np.arange(len(shared.value))
+        held, size = [], 0
         for batch in batches:
-            found = [features(t) for t in batch.column("text").to_pylist()]
-            inside = [np.isin(b, keep) for b, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b[i] for (b, _), i in zip(found, inside, strict=True)], ints),
-                    pa.array([c[i] for (_, c), i in zip(found, inside, strict=True)], ints),
-                    batch.column("_label"),
-                ],
-                ["b", "c", "label"],
-            )
-
-    schema = "b array<int>, c array<int>, label int"
-    got = sample.select("text", "_label").mapInArrow(rows, schema).toPandas()
-    lengths = [len(b) for b in got.b]
-    flat = [np.concatenate([np.asarray(x, float) for x in got[k]] or [[]]) for k in "bc"]
-    column = np.searchsorted(chosen, flat[0].astype(np.int64))
-    return np.repeat(np.arange(len(got)), lengths), column, flat[1], got.label.to_numpy(float)
-
-
-def logistic(
-    row: np.ndarray, column: np.ndarray, value: np.ndarray, label: np.ndarray, width: int
-) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a ridge logistic regression, by accelerated descent."""
+            for text, label in zip(
+                batch.column("text").to_pylist(), batch.column("_label").to_pylist(), strict=True
+            ):
+                found, count = features(text)
+                column = place[found]
+                held.append((column[column >= 0], count[column >= 0], label))
+                size += len(held[-1][0])
+                if size >= PIECE:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    schema = "sizes binary, column binary, value binary, label binary"
+    parts = sample.select("text", "_label").mapInArrow(rows, schema)
+    return [
+        Piece(*(np.frombuffer(x, np.int32) for x in row)) for row in parts.toLocalIterator()
+    ]
+
+
+def logistic(pieces: list[Piece], scale: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression, by accelerated descent.
+
+    A column's values are multiplied by its ``scale``.
+    """
+    width, label = len(scale), np.concatenate([p.label for p in pieces]).astype(float)
+    upto = np.cumsum([len(p.label) for p in pieces])[:-1]
     weights, intercept = np.zeros(width), 0.0
     ahead, ahead_b = weights.copy(), 0.0
-    norms = np.bincount(row, value**2, len(label)) + 1
+
+    def sums(by_column, power=1):
+        """Of each row: its values to a power, times their columns' numbers."""
+        return np.concatenate([
+            np.bincount(p.rows(), p.value.astype(float) ** power * by_column[p.column], len(p.label))
+            for p in pieces
+        ])
+
+    def slopes(error):
+        total = np.zeros(width)
+        for p, own in zip(pieces, np.split(error, upto), strict=True):
+            total += np.bincount(p.column, p.value * own[p.rows()], width)
+        return total * scale
+
+    norms = sums(scale**2, 2) + 1
     step = 4 / (norms.max() * len(label)) if len(label) else 0.0
     step = max(step, 4 / (norms.mean() * len(label) * 8))
 
-    def loss(w, b):
-        score = np.bincount(row, value * w[column], len(label)) + b
+    def loss(w, score):
         fit = np.logaddexp(0, np.where(label > 0, -score, score)).sum()
-        return fit + PENALTY / 2 * (w @ w), score
+        return fit + PENALTY / 2 * (w @ w)
 
-    last = loss(weights, intercept)[0]
+    # Scores are linear in the weights: those of the point ahead follow from two others.
+    score = ahead_score = np.zeros(len(label))
+    last = loss(weights, score)
     momentum = 1.0
     for _ in range(400):
-        score = loss(ahead, ahead_b)[1]
-        error = 1 / (1 + np.exp(-np.clip(score, -50, 50))) - label
-        slope = np.bincount(column, value * error[row], width) + PENALTY * ahead
+        error = 1 / (1 + np.exp(-np.clip(ahead_score, -50, 50))) - label
+        slope = slopes(error) + PENALTY * ahead
         new, new_b = ahead - step * slope, ahead_b - step * error.sum()
-        now = loss(new, new_b)[0]
+        new_score = sums(new * scale) + new_b
+        now = loss(new, new_score)
         if now > last:  # overshot: shorter steps, from the last point, without momentum
             step, momentum, ahead, ahead_b = step / 2, 1.0, weights.copy(), intercept
+            ahead_score = score
             continue
         grown = (1 + math.sqrt(1 + 4 * momentum**2)) / 2
-        ahead = new + (momentum - 1) / grown * (new - weights)
-        ahead_b = new_b + (momentum - 1) / grown * (new_b - intercept)
-        weights, intercept, last, momentum = new, new_b, now, grown
+        further = (momentum - 1) / grown
+        ahead = new + further * (new - weights)
+        ahead_b = new_b + further * (new_b - intercept)
+        ahead_score = new_score + further * (new_score - score)
+        weights, intercept, score, last, momentum = new, new_b, new_score, now, grown
     return weights, intercept
 
 
@@ -170,8 +213,7 @@ def fit(
         return Model(weights, prior)
     ratio = log_ratios(_document_counts(sample), rows)
     chosen = np.flatnonzero(ratio)
-    row, column, value, target = _selected_rows(sample, chosen)
-    own, intercept = logistic(row, column, value * ratio[chosen][column], target, len(chosen))
+    own, intercept = logistic(_selected_rows(sample, chosen), ratio[chosen])
     weights[chosen] = own * ratio[chosen]
     # The sample has other class shares than the labelled rows.
     return Model(weights, intercept + prior - math.log(rows[1] / rows[0]))

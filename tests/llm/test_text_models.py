@@ -55,6 +55,32 @@ def test_classifier_holds_out(spark, module, label, column):
     assert {(r.doc_id, r.score) for r in again.collect()} == {(r.doc_id, r.score) for r in found}
 
 
+def test_toxicity_keeps_every_sure_bucket():
+    counts = np.zeros((2, 1 << toxicity.BITS))
+    counts[1, :5000] = 20 + np.arange(5000) % 70
+    ratio = toxicity.log_ratios(counts, (100, 100))
+    assert (ratio[:5000] > 0).all() and not ratio[5000:].any()
+
+
+def test_logistic_in_pieces():
+    """Cutting the rows into pieces changes nothing; the weights tell the classes apart."""
+    rng = np.random.default_rng(9)
+    sizes, label = rng.integers(0, 6, 200).astype(np.int32), rng.integers(0, 2, 200).astype(np.int32)
+    n = int(sizes.sum())
+    column = np.where(np.repeat(label, sizes) > 0, rng.integers(0, 6, n), rng.integers(4, 10, n))
+    value, scale = rng.integers(1, 4, n), np.linspace(0.5, 2, 10)
+
+    def piece(a, b):
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        own = slice(upto[a], upto[b])
+        return toxicity.Piece(sizes[a:b], column[own], value[own], label[a:b])
+
+    whole = toxicity.logistic([piece(0, 200)], scale)
+    cut = toxicity.logistic([piece(0, 70), piece(70, 71), piece(71, 200)], scale)
+    assert np.allclose(whole[0], cut[0]) and abs(whole[1] - cut[1]) < 1e-8
+    assert (whole[0][:4] > 0).all() and (whole[0][6:] < 0).all()
+
+
 @pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
 def test_classifier_without_two_classes(spark, module, label):
     docs = spark.createDataFrame([(1, "a"), (2, None)], NO_DOCS)
