@@ -8,9 +8,10 @@ passages have equal anchors, wherever they stand. A fingerprint lists the anchor
 with their places; its likeness to another is the share of the anchors in common.
 
 Rows: a null text counts as empty. A text of fewer than ``K`` units has one anchor
-for the whole sequence, none without units; two fingerprints without anchors have
-likeness 1. With null ids documents come first in order, those with equal ids
-by text. Other columns stay; an output column replaces one of the same name.
+for the whole sequence; one of ``K`` or more of which no k-mer is closed has the k-mer
+with the least hash. Only a text without units has none; two such have likeness 1.
+With null ids documents come first in order, those with equal ids by text. Other
+columns stay; an output column replaces one of the same name.
 """
 
 from collections.abc import Callable
@@ -48,11 +49,18 @@ def anchors(text: Column | str, k: int = K, s: int = S) -> Column:
             least = F.least(*[F.get(g, i + j) for j in range(last + 1)])
             return (F.get(g, i) == least) | (F.get(g, i + last) == least)
 
-        kept = F.filter(F.sequence(F.lit(0), F.size(g) - last - 1), at_edge)
+        starts = F.sequence(F.lit(0), F.size(g) - last - 1)
         parts = [*range(0, last, s), last]
-        return F.transform(
-            kept, lambda i: anchor(i, F.xxhash64(*[F.get(g, i + j) for j in parts]))
-        )
+
+        def code(i: Column) -> Column:
+            return F.xxhash64(*[F.get(g, i + j) for j in parts])
+
+        def or_least(kept: Column) -> Column:
+            every = F.transform(starts, lambda i: F.struct(code(i).alias("code"), i.alias("i")))
+            return F.when(F.size(kept) > 0, kept).otherwise(F.array(F.array_min(every)["i"]))
+
+        kept = bound(F.filter(starts, at_edge), or_least)
+        return F.transform(kept, lambda i: anchor(i, code(i)))
 
     def of_hashes(h: Column) -> Column:
         none = F.filter(F.array(anchor(F.lit(0), F.lit(0).cast("long"))), lambda x: F.lit(False))

@@ -245,6 +245,20 @@ def test_anchors_are_free_of_context(spark):
     assert max(pairs, key=lambda r: r.n).shift == 2
 
 
+def test_short_texts_have_anchors(spark):
+    """Only texts without units are without anchors, so unlike texts are never called equal."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(6 + i % 5)) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), NO_DOCS)
+    found = syncmers.with_next(docs).select(
+        F.size("anchors").alias("n"), syncmers.likeness("anchors", "next_anchors").alias("near")
+    )
+    assert all(r.n > 0 and r.near == 0 for r in found.collect())
+    none = spark.createDataFrame([(1, None), (2, " ")], NO_DOCS)
+    row = syncmers.with_next(none).select(syncmers.likeness("anchors", "next_anchors")).first()
+    assert row[0] == 1.0
+
+
 def test_fingerprint_query(spark):
     docs = sorted(
         (r.doc_id, r.text or "") for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()
