@@ -109,8 +109,8 @@ def block_keys(shingles: np.ndarray, common: np.ndarray) -> np.ndarray:
             joined = np.bitwise_xor.reduceat(words.mixed(spread[order] + words.GOLDEN), first)
             full = own[first]
             key = words.mixed(joined ^ words.mixed(full + salt))
-            rank = 3 - np.minimum(np.add.reduceat(rare[order], first), 2)
-            if len(full) < take:
+            rank = 2 - np.minimum(np.add.reduceat(rare[order], first), 2)
+            if len(full) < take:  # empty blocks come after all others in everyone's order
                 free = np.setdiff1d(np.arange(blocks, dtype=np.uint64), full)
                 key = np.concatenate([key, words.mixed(EMPTY ^ words.mixed(free + salt))])
                 rank = np.concatenate([rank, np.full(len(free), 3)])

@@ -103,6 +103,16 @@ def test_similar_sets_share_a_key():
             assert j.least_difference(j.parity_bits(a), j.parity_bits(b)) <= difference
 
 
+def test_similar_small_sets_of_common_shingles_share_a_key():
+    """Empty blocks stand last in the order, also for a set that needs none of them."""
+    rng = np.random.default_rng(4)
+    for _ in range(30_000):
+        size = int(rng.integers(3, 17))
+        pool = np.sort(rng.integers(0, 2**63, size + size // 3).astype(np.uint64))
+        a, b = np.sort(rng.permutation(pool)[:size]), pool
+        assert len(np.intersect1d(j.block_keys(a, pool), j.block_keys(b, pool))), size
+
+
 def test_word_hashes_are_those_of_words():
     texts = ["One two", "", None, "two  ONE\n", "É one"]
     hashes, counts = words.word_hashes(texts)
