@@ -44,7 +44,7 @@ class Study:
 def generate_all(
     study: Study,
     segments: int = 120,
-    signal_count: int = p.SIGNAL_COUNT,
+    signal_count: int | None = None,
     start: str = "2024-01-01 00:00:00",
     end: str = "2024-06-30 00:00:00",
     minutes: int = 15,

@@ -69,3 +69,10 @@ def test_signals(study):
     results = study.load("scenario_results")
     assert results.filter("total_vehicles_served > total_vehicles_arrived").isEmpty()
     assert results.filter("utilization < 0 OR max_queue_length < 0").isEmpty()
+
+
+def test_generated_study_has_all_signals(spark, tmp_path):
+    made = steps.Study(spark, str(tmp_path))
+    steps.generate_all(made, segments=200, end="2024-01-01 01:00:00", minutes=60)
+    every = steps.signals.signal_segments(made.load("road_network")).count()
+    assert made.load("traffic_signals").count() == every > 30
