@@ -12,6 +12,7 @@ from roadstream.llm import (
     jaccard,
     lm,
     mixing,
+    periodic,
     quality,
     samples,
     syncmers,
@@ -172,3 +173,85 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.neighbours(vectors, F.col("vec_id") % 100 == 0, 10)
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Texts of one id hash in ten with their words from some place on repeating."""
+    id_hash = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rest = F.floor(id_hash / 10)
+    n = F.size(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
+    begin = rest % n
+    period = 1 + F.floor((n - begin) / (3 + rest % 8))
+    chosen = (id_hash % 10 == 0) & (n > 0)
+    tail = periodic.repeated_tail("text", begin, period)
+    return docs.withColumn("text", F.when(chosen, tail).otherwise(F.col("text")))
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.with_runs(with_planted_runs(docs))
+    runs = F.col("periodic.runs")
+    best = found.withColumn("best", periodic.greatest(runs))
+    exponent = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return best.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        exponent.cast("long").alias("exponent_milli"),
+        F.sha2(periodic.as_lines(runs).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+# CRC-32 is computed from its polynomial, bit by bit. Pairs of equal words at most a quarter
+# of a text apart form islands; an island of distance q is a stretch with period q, and of
+# equal stretches the least period is the run's.
+ORACLES["op11_runs"] = r"""
+WITH h AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS w,
+    xor(list_reduce(list_concat([4294967295],
+      list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: coalesce(ascii(c), 0))),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+      4294967295) AS h
+  FROM documents),
+e AS (SELECT *, len(w) AS n, h // 10 AS g FROM h),
+f AS (
+  SELECT *, g % greatest(n, 1) AS a FROM e),
+d AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: w[CASE WHEN i < a THEN i
+      ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1])
+    ELSE w END AS w
+  FROM f),
+x AS (SELECT r, n, unnest(range(n)) AS i, unnest(w) AS word FROM d),
+pairs AS (
+  SELECT one.r, one.i, other.i - one.i AS q
+  FROM x AS one JOIN x AS other
+    ON one.r = other.r AND one.word = other.word AND one.i < other.i
+      AND 4 * (other.i - one.i) <= one.n),
+islands AS (
+  SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs),
+stretches AS (
+  SELECT r, q, min(i) AS s, count(*) + q AS len FROM islands GROUP BY r, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT r, s, len, min(q) AS q FROM stretches GROUP BY r, s, len),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY len::DOUBLE / q DESC, s, q) AS k,
+    string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) OVER (PARTITION BY r) AS t,
+    count(*) OVER (PARTITION BY r) AS n_runs
+  FROM runs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM x
+  WHERE NOT EXISTS (SELECT 1 FROM runs WHERE runs.r = x.r AND x.i >= s + q AND x.i < s + len)
+  GROUP BY r)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start,
+  len::BIGINT AS length, q::BIGINT AS period, (1000 * len // q)::BIGINT AS exponent_milli,
+  sha256(coalesce(best.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN best ON best.r = d.r AND k = 1 LEFT JOIN kept ON kept.r = d.r
+"""
