@@ -291,8 +291,13 @@ def repeated_tail(text: Column | str, begin: Column, period: Column) -> Column:
     first ``period`` words from there, over and over."""
     column = F.col(text) if isinstance(text, str) else text
     words = F.regexp_extract_all(column, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    place = lambda i: F.when(i < begin, i).otherwise(begin + (i - begin) % period)
-    places = F.sequence(F.lit(0), F.size(words) - 1)
-    return F.array_join(
-        F.transform(places, lambda i: F.get(words, place(i).cast("int"))), " "
-    )
+    # Bound as an array of one, so that each is computed once for a row.
+    given = F.struct(words.alias("words"), begin.alias("begin"), period.alias("period"))
+
+    def joined(x: Column) -> Column:
+        own, begin, period = x["words"], x["begin"], x["period"]
+        place = lambda i: F.when(i < begin, i).otherwise(begin + (i - begin) % period)
+        places = F.sequence(F.lit(0), F.size(own) - 1)
+        return F.array_join(F.transform(places, lambda i: F.get(own, place(i).cast("int"))), " ")
+
+    return F.get(F.transform(F.array(given), joined), F.lit(0))
