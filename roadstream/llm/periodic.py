@@ -286,18 +286,15 @@ def as_lines(runs: Column | str) -> Column:
     return F.array_join(F.transform(runs, lambda r: F.concat(line(r), F.lit("\n"))), "")
 
 
-def repeated_tail(text: Column | str, begin: Column, period: Column) -> Column:
-    """The words of a text joined by one space, those from ``begin`` on replaced by its
-    first ``period`` words from there, over and over."""
-    column = F.col(text) if isinstance(text, str) else text
-    words = F.regexp_extract_all(column, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    # Bound as an array of one, so that each is computed once for a row.
-    given = F.struct(words.alias("words"), begin.alias("begin"), period.alias("period"))
-
-    def joined(x: Column) -> Column:
-        own, begin, period = x["words"], x["begin"], x["period"]
-        place = lambda i: F.when(i < begin, i).otherwise(begin + (i - begin) % period)
-        places = F.sequence(F.lit(0), F.size(own) - 1)
-        return F.array_join(F.transform(places, lambda i: F.get(own, place(i).cast("int"))), " ")
-
-    return F.get(F.transform(F.array(given), joined), F.lit(0))
+def repeated_tail(text: str | None, rest: int) -> str | None:
+    """A text's words joined by one space, those from word a on replaced by its first p
+    words from there, over and over: of n words a = rest % n and
+    p = 1 + floor((n - a) / (3 + rest % 8)). A text without words stays."""
+    words = (text or "").encode().split()
+    if not words:
+        return text
+    begin = rest % len(words)
+    tail = words[begin:]
+    period = 1 + len(tail) // (3 + rest % 8)
+    copies = -(-len(tail) // period)
+    return b" ".join(words[:begin] + (tail[:period] * copies)[: len(tail)]).decode()

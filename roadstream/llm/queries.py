@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,14 +178,16 @@ def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """Texts of one id hash in ten with their words from some place on repeating."""
+
+    @F.arrow_udf("string")
+    def edited(texts: pa.Array, id_hashes: pa.Array) -> pa.Array:
+        given = zip(texts.to_pylist(), id_hashes.to_pylist(), strict=True)
+        return pa.array(
+            [t if h % 10 else periodic.repeated_tail(t, h // 10) for t, h in given], pa.string()
+        )
+
     id_hash = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    rest = F.floor(id_hash / 10)
-    n = F.size(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
-    begin = rest % n
-    period = 1 + F.floor((n - begin) / (3 + rest % 8))
-    chosen = (id_hash % 10 == 0) & (n > 0)
-    tail = periodic.repeated_tail("text", begin, period)
-    return docs.withColumn("text", F.when(chosen, tail).otherwise(F.col("text")))
+    return docs.withColumn("text", edited("text", id_hash))
 
 
 @query
