@@ -11,6 +11,7 @@ from roadstream.llm import (
     ann,
     bpe,
     jaccard,
+    lines,
     lm,
     mixing,
     periodic,
@@ -258,3 +259,34 @@ SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS start,
   sha256(coalesce(best.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM d LEFT JOIN best ON best.r = d.r AND k = 1 LEFT JOIN kept ON kept.r = d.r
 """
+
+
+@query
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return lines.drop_repeated(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
+ORACLES["op13_lines"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS own
+  FROM documents),
+x AS (SELECT r, doc_id, unnest(range(len(own))) AS i, unnest(own) AS line FROM d),
+k AS (
+  SELECT *, translate(
+    regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM x),
+repeated AS (
+  SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40
+  GROUP BY key
+  HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 5),
+marked AS (
+  SELECT k.*, repeated.key IS NOT NULL AND k.doc_id IS DISTINCT FROM holder AS gone
+  FROM k LEFT JOIN repeated ON repeated.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
+  count(*) FILTER (gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
