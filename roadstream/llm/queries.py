@@ -14,6 +14,7 @@ from roadstream.llm import (
     lines,
     lm,
     mixing,
+    negatives,
     periodic,
     quality,
     samples,
@@ -290,3 +291,34 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r
 """
+
+
+@query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    label = turned.otherwise(F.col("label"))
+    return negatives.mine(vectors, lambda vec_id: vec_id % 100 == 0, label=label)
+
+
+ORACLES["op12_negatives"] = """
+WITH v AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same,
+    list_dot_product(a.c, r.c)::BIGINT AS score
+  FROM v AS a, v AS r WHERE a.id % 100 = 0 AND r.id <> a.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+  (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER
+    AS rank
+FROM positives AS p JOIN scores AS s ON s.anchor_id = p.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 10
+"""
