@@ -5,7 +5,15 @@ result is written as Parquet and read again. Toxic documents go, then those of l
 quality, then all but one of each group of near duplicates; the sources are mixed to
 their target weights, some documents twice, others not at all; the rest is encoded.
 The classifiers learn from the labelled rows of ``sf_dir`` that are among ``docs`` and
-not held out. An empty table passes through all stages.
+not held out.
+
+Rows: a null text counts as empty and stays null; it is scored, mixed with size 0 and
+encoded to no tokens. Very long texts go through whole. Rows with null ids are no
+duplicates of anything; rows with equal ids and texts are one document from the third
+stage on. A score equal to the threshold counts as above it. Other columns come through
+unchanged, whatever their names and types, and only ``n_tokens``, ``token_ids`` and
+``decodes`` of the last stage replace columns of the same name. An empty table passes
+through all stages.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +21,7 @@ from pyspark.sql import functions as F
 
 from roadstream.llm import bpe, jaccard, mixing, quality, samples, toxicity
 from roadstream.llm.queries import VOCABULARY
+from roadstream.llm.store import shielded, unshielded
 from roadstream.operators.sizes import run_folder
 
 THRESHOLD = 0.3
@@ -35,19 +44,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.repeated(mixing.mix(docs)).select(docs.columns)
+    plain, names = shielded(docs, ["doc_id", "text", "source"])
+    return unshielded(mixing.repeated(mixing.mix(plain)), names)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and whether these decode to the text."""
-    coded = bpe.round_trip(docs, VOCABULARY, ids="_ids", back="_back", packed=False)
-    same = F.col("_back") == F.coalesce("text", F.lit(""))
-    return coded.select(
-        *docs.columns,
-        F.size("_ids").cast("long").alias("n_tokens"),
-        F.col("_ids").alias("token_ids"),
-        same.alias("decodes"),
+    plain, names = shielded(docs, ["text"])
+    coded = bpe.round_trip(plain, VOCABULARY, ids="token_ids", back="back", packed=False)
+    done = coded.withColumns(
+        {
+            "n_tokens": F.size("token_ids").cast("long"),
+            "decodes": F.col("back") == F.coalesce("text", F.lit("")),
+        }
     )
+    return unshielded(done, names, ["n_tokens", "token_ids", "decodes"])
 
 
 STAGES = [

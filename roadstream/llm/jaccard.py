@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 
 from roadstream.llm import words
 from roadstream.llm.components import components
-from roadstream.llm.store import small_batches, stored
+from roadstream.llm.store import shielded, small_batches, stored, unshielded
 
 K = 5
 SLICE = 64
@@ -494,14 +494,17 @@ def one_of_each(docs: DataFrame, k: int = K, percent: int = 75) -> DataFrame:
     """The documents whose id is that of their component, each once.
 
     Rows with a null id all stay. Rows with equal ids and texts count as one document.
+    Other columns stay, whatever their names.
     """
-    found = near_duplicates(docs, k, percent)
+    plain, names = shielded(docs, ["doc_id", "text"])
+    found = near_duplicates(plain, k, percent)
     kept = stored(found.filter("doc_id = component_id").select("doc_id").distinct())
-    copies = Window.partitionBy("doc_id", "_text").orderBy(F.lit(0))
+    copies = Window.partitionBy("doc_id", "digest").orderBy(F.lit(0))
     named = (
-        docs.join(kept, "doc_id", "left_semi")
-        .withColumn("_text", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter("_copy = 1")
+        plain.join(kept, "doc_id", "left_semi")
+        .withColumn("digest", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+        .withColumn("copy", F.row_number().over(copies))
+        .filter("copy = 1")
     )
-    return named.select(docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    own = named.select(plain.columns).union(plain.filter(F.col("doc_id").isNull()))
+    return unshielded(own, names)

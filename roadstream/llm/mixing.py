@@ -9,14 +9,16 @@ only the documents of the last bucket are looked at again.
 
 Rows: a null text has size 0; the null source is a source of its own, the last.
 Rows with equal ids (null counts as an empty id) share a place and are taken
-together. A source without words has target 0. An empty table gives no rows.
-Other columns stay; an output column replaces one of the same name.
+together. Documents without words are taken as often as their places say, at most
+``MOST`` times; a source without words has target 0 and is not taken. Very long texts are
+taken whole. An empty table gives no rows. Other columns stay, whatever their names; an
+output column replaces one of the same name.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadstream.llm.store import stored
+from roadstream.llm.store import shielded, stored, unshielded
 from roadstream.llm.words import WORD
 from roadstream.operators.sizes import dimension_join
 
@@ -137,29 +139,32 @@ def thresholds(rows: DataFrame, source_targets: DataFrame) -> DataFrame:
                 F.col("_sum").alias("_last"),
             )
         )
-    # The last bucket is one place; its rows are taken if that comes nearer.
+    # The last bucket is one place; its rows are taken if that comes nearer. A source that
+    # whole takes satisfy has no more, also not of its documents without words.
     closer = F.coalesce(2 * F.col("_budget") >= F.col("_last"), F.lit(False))
-    limit = (F.col("_prefix") + closer.cast("long")).alias("_limit")
-    return level.select("_key", "source_size", "target", "times", limit)
+    over = F.col("target") > F.col("times") * F.col("source_size")
+    limit = F.when(over, F.col("_prefix") + closer.cast("long")).otherwise(F.lit(0))
+    return level.select("_key", "source_size", "target", "times", limit.alias("_limit"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``times`` (how often the mix
     takes the document, at most ``MOST``) and ``taken`` words."""
-    rows = stored(sized(docs).select("_key", "_place", "size"))
+    plain, names = shielded(docs, ["doc_id", "text", "source"])
+    rows = stored(sized(plain).select("_key", "_place", "size"))
     plan = stored(thresholds(rows, targets(rows)))
     chosen = plan.select("_key", "source_size", "target", F.col("times").alias("_t"), "_limit")
-    plain = docs.drop("source_size", "target", "times", "taken")
     times = F.col("_t") + (F.col("_place") < F.col("_limit")).cast("long")
-    return (
+    mixed = (
         dimension_join(sized(plain), chosen, "_key")
         .withColumn("times", times)
         .withColumn("taken", F.col("size") * F.col("times"))
-        .drop("_key", "_place", "_t", "_limit")
     )
+    return unshielded(mixed, names, ["size", "source_size", "target", "times", "taken"])
 
 
 def repeated(mixed: DataFrame) -> DataFrame:
     """The documents of a mix as often as it takes them."""
-    taken = mixed.filter(F.col("times") > 0)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "times"))).drop("_copy")
+    plain, names = shielded(mixed.filter(F.col("times") > 0), ["times"])
+    copies = plain.withColumn("copy", F.explode(F.sequence(F.lit(1), "times")))
+    return unshielded(copies, names)

@@ -91,7 +91,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix(docs).select(
-        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", "times"
     )
 
 
@@ -124,12 +124,13 @@ c AS (
     sum(p.ps) OVER (PARTITION BY p.k ORDER BY p.place) AS upto
   FROM p JOIN b ON p.k = b.k),
 x AS (
-  SELECT k, place, upto <= budget OR
-    (upto - ps <= budget AND ps > 0 AND 2 * (budget - (upto - ps)) >= ps) AS more
+  SELECT k, place, budget > 0 AND (upto <= budget OR
+    (upto - ps <= budget AND ps > 0 AND 2 * (budget - (upto - ps)) >= ps)) AS more
   FROM c)
 SELECT d.doc_id, d.size::BIGINT AS size, b.n::BIGINT AS source_size,
   round(b.target, 6) AS target,
-  (d.size * (b.times + x.more::INT))::BIGINT AS taken
+  (d.size * (b.times + x.more::INT))::BIGINT AS taken,
+  (b.times + x.more::INT)::BIGINT AS times
 FROM d JOIN b ON d.k = b.k JOIN x ON x.k = d.k AND x.place = d.place
 """
 

@@ -25,10 +25,11 @@ def class_counts(known: DataFrame) -> tuple[int, int]:
 
 
 def labelled_sample(docs: DataFrame, known: DataFrame, rows_per_class: int) -> DataFrame:
-    """Texts of at most ``rows_per_class`` labelled ids of each class.
+    """``doc_id``, ``_label`` and text of at most ``rows_per_class`` labelled ids of each class.
 
-    Takes the ids with the least hashes, so that reruns agree. The ids are
-    broadcast: there are at most twice ``rows_per_class``.
+    Takes the ids with the least hashes, and of rows that repeat an id the least text,
+    so that reruns agree. The ids are broadcast: there are at most twice
+    ``rows_per_class``, and as many rows leave.
     """
     order = [F.xxhash64(F.col("doc_id"), F.lit(7)), F.col("doc_id")]
     own = [
@@ -36,4 +37,6 @@ def labelled_sample(docs: DataFrame, known: DataFrame, rows_per_class: int) -> D
         for value in (0, 1)
     ]
     ids = own[0].unionByName(own[1])
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    once = rows.groupBy("doc_id").agg(F.max("_label").alias("_label"), F.min("text").alias("text"))
+    return once.sortWithinPartitions("doc_id")

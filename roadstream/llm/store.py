@@ -1,6 +1,8 @@
-"""Tables written once below the shared folder of the run, and the size of batches."""
+"""Tables written once below the shared folder of the run, column names out of the way of
+an operator's own, and the size of batches."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roadstream.operators.sizes import run_folder
 
@@ -16,6 +18,21 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def shielded(df: DataFrame, used: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns other than ``used`` under names that no operator uses, and
+    the old name of each column by the new one."""
+    names = {c if c in used else f"given {i}": c for i, c in enumerate(df.columns)}
+    return df.toDF(*names), names
+
+
+def unshielded(df: DataFrame, names: dict[str, str], outputs: list[str] = ()) -> DataFrame:
+    """The columns of ``shielded`` under their old names, then ``outputs``, which replace
+    columns of the same name, in upper or lower case."""
+    taken = {c.lower() for c in outputs}
+    kept = [F.col(new).alias(old) for new, old in names.items() if old.lower() not in taken]
+    return df.select(*kept, *outputs)
+
+
 ROWS_PER_BATCH = 500
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

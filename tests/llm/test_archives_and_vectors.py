@@ -169,3 +169,43 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, DATA)
         assert docs.count() == 0
+
+
+CLASHES = (
+    "n_tokens token_ids decodes back size times target source_size taken copy digest _text _copy "
+    "_key _place _limit _t _both node sketch key rank score predicted component_id n_shingles _label"
+).split()
+
+
+def test_pipeline_with_other_columns_and_odd_rows(spark):
+    """Columns named like helpers and outputs come through unchanged, odd rows too."""
+    words = [" ".join(f"w{(7 * i + j * j) % 301}" for j in range(30 + i)) for i in range(40)]
+    rows = [(i, t, "ab"[i % 2]) for i, t in enumerate(words)]
+    rows += [(50, None, "a"), (51, "", None), (52, "x" * 200_000, "b"), (53, "long " * 50_000, "a")]
+    rows += [(None, words[0] + " more", "a"), (None, None, None)] + rows[:2] * 2
+    given = [(*row, *(f"{c} of {row[0]}" for c in CLASHES)) for row in rows]
+    schema = ", ".join(f"`{c}` string" for c in CLASHES)
+    docs = spark.createDataFrame(given, f"doc_id long, text string, source string, {schema}")
+    stored = docs
+    for name, stage in corpus_pipeline.STAGES:
+        stored = jaccard.stored(stage(spark, stored, DATA))
+        if name != "bpe":
+            assert stored.columns == docs.columns
+    assert sorted(stored.columns) == sorted(docs.columns)
+    kept = [c for c in CLASHES if c not in ("n_tokens", "token_ids", "decodes")]
+    out = stored.collect()
+    assert out and all(r[c] == f"{c} of {r.doc_id}" for r in out for c in kept)
+    assert all(r.decodes and r.n_tokens == len(r.token_ids) for r in out)
+    texts = {row[0]: row[1] for row in rows if row[0] is not None}
+    assert all(r.text == texts[r.doc_id] for r in out if r.doc_id is not None)
+
+
+def test_sample_is_bounded_with_repeated_ids(spark):
+    docs = spark.createDataFrame(
+        [(i % 20, f"text {i}") for i in range(400)], "doc_id long, text string"
+    )
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    found = samples.labelled_sample(docs, samples.class_labels(labels, "toxic"), 8).collect()
+    assert len(found) == len({r.doc_id for r in found}) == 16
+    least = {i: min(f"text {j}" for j in range(i, 400, 20)) for i in range(20)}
+    assert all(r.text == least[r.doc_id] and r._label == r.doc_id % 2 for r in found)

@@ -281,7 +281,7 @@ def oracle(documents):
 def mixed(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
     found = mixing.mix(docs)
-    out = found.select("doc_id", "size", "source_size", F.round("target", 6), "taken").collect()
+    out = found.select("doc_id", "size", "source_size", F.round("target", 6), "taken", "times").collect()
     return found, sorted((tuple(r) for r in out), key=str)
 
 
@@ -304,10 +304,15 @@ def test_mixing(spark):
         own = per_source.setdefault(row.source, [row.source_size, row.target, 0, 0])
         own[2] += row.taken
         own[3] = max(own[3], row.size)
-        assert row.taken <= 2 * row.size and row.taken == row.size * row.times
+        assert row.times <= 2 and row.taken == row.size * row.times
     assert abs(sum(t for _, t, _, _ in per_source.values()) - 1.5 * total) < 1e-6 * total
     for size, target, taken, largest in per_source.values():
         assert target <= 2 * size + 1e-6 and abs(taken - target) <= largest
     assert mixing.repeated(found).count() == sum(r.times for r in found.collect())
-    assert mixed(spark, [(1, None, None, None)])[1] == [(1, 0, 0, 0.0, 0)]
+    assert mixed(spark, [(1, None, None, None)])[1] == [(1, 0, 0, 0.0, 0, 0)]
+    # A source that whole takes satisfy: its documents without words are taken twice, too.
+    rows = [(i, "w " * (i % 50 == 0), "b" if i < 300 else "a", "x") for i in range(600)]
+    rows += [(1000 + i, "w " * 900, "a", "x") for i in range(4)]
+    found = mixed(spark, rows)[0].filter("source = 'b'")
+    assert [r.times for r in found.select("times").distinct().collect()] == [2]
     assert mixed(spark, [])[1] == []
