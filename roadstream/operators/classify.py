@@ -1,5 +1,6 @@
 """Congestion classifiers on features that are known before the reading."""
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -11,9 +12,10 @@ from pyspark.ml.classification import (
     OneVsRestModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream import params as p
@@ -26,6 +28,7 @@ from roadstream.operators.features import (
     rolling_columns,
 )
 from roadstream.operators.series import SeriesPlan, windowed
+from roadstream.operators.sizes import checkpointed
 from roadstream.operators.splits import named_split
 
 KEYS = ("segment_id", "timestamp")
@@ -115,6 +118,118 @@ def neural_classifier(
     return Pipeline(stages=[assembler(table, "raw"), scaler, network]).fit(_train(table))
 
 
+@dataclass(frozen=True)
+class Calibration:
+    """A rising step function from score to probability for each class."""
+
+    models: list[IsotonicRegressionModel]
+    least: float
+
+    def probabilities(self, predictions: DataFrame) -> DataFrame:
+        """``predictions`` with probabilities, which sum to 1, for ``scores``, and the class
+        with the greatest as ``prediction``."""
+        columns = predictions.columns
+        rows = predictions
+        for k, model in enumerate(self.models):
+            rows = model.transform(rows.withColumn(f"_score_{k}", F.get("scores", F.lit(k))))
+        bounded = [F.greatest(F.col(f"_p_{k}"), F.lit(self.least)) for k in range(len(self.models))]
+        scores = metrics.normalised(F.array(*bounded))
+        best = traffic.argmax(F.col("scores")).cast("int")
+        return rows.withColumn("scores", scores).withColumn("prediction", best).select(columns)
+
+
+def calibrate(predictions: DataFrame, bins: int = 4096) -> Calibration:
+    """Isotonic regression of each class on its score, from rows that no model learned from.
+
+    Scores are first put into at most ``bins`` bins of about equal size, so that pooling
+    works on a bounded number of points whatever the number of rows. A class seldom or
+    never seen at a score keeps the probability of half a row.
+    """
+    classes = range(len(p.LEVELS))
+    names = [f"_score_{k}" for k in classes]
+    rows = predictions.select(
+        "label", *[F.get("scores", F.lit(k)).alias(names[k]) for k in classes]
+    )
+    shares = [i / bins for i in range(1, bins)]
+    cuts = rows.approxQuantile(names, shares, 1 / (4 * bins))
+    models = []
+    for k in classes:
+        edges = [-float("inf"), *sorted(set(cuts[k])), float("inf")]
+        binned = Bucketizer(splits=edges, inputCol=names[k], outputCol="bin").transform(rows)
+        points = binned.groupBy("bin").agg(
+            F.avg(names[k]).alias(names[k]),
+            F.avg((F.col("label") == k).cast("double")).alias("share"),
+            F.count("*").cast("double").alias("weight"),
+        )
+        isotonic = IsotonicRegression(
+            featuresCol=names[k], labelCol="share", weightCol="weight", predictionCol=f"_p_{k}"
+        )
+        models.append(isotonic.fit(points))
+    return Calibration(models, 0.5 / (predictions.count() + 1))
+
+
+@dataclass(frozen=True)
+class Stopped:
+    """The best of several networks, and the validation loss after each block of rounds."""
+
+    model: PipelineModel
+    losses: list[tuple[int, float, float, bool]]
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(
+            self.losses, "rounds int, log_loss double, step double, is_best boolean"
+        )
+
+
+def neural_early_stopping(
+    table: DataFrame,
+    hidden=(128, 64, 32),
+    most_rounds: int = 50,
+    block_rounds: int = 5,
+    patience: int = 10,
+    plateau: int = 5,
+    solver: str = "l-bfgs",
+    step: float = 0.03,
+    least_step: float = 1e-6,
+    block: int = 64,
+    seed: int = p.SEED,
+) -> Stopped:
+    """Network trained in blocks of rounds, each from the weights of the one before.
+
+    After each block the validation rows are scored. Training ends when ``patience`` rounds
+    bring no lower loss, and the weights with the lowest are kept. With ``solver="gd"``
+    the step is halved after each ``plateau`` rounds without a lower loss.
+    """
+    prepared = Pipeline(
+        stages=[assembler(table, "raw"), StandardScaler(inputCol="raw", outputCol="features", withMean=True)]
+    ).fit(_train(table))
+    rows = checkpointed(prepared.transform(table).select(*KEYS, "split", "label", "features"))
+    train, held_out = _train(rows), rows.filter(F.col("split") == "val")
+    layers = [len(feature_columns(table)), *hidden, len(p.LEVELS)]
+    best, least, last, weights, losses = None, float("inf"), 0, None, []
+    at_plateau = 0
+    for done in range(block_rounds, most_rounds + 1, block_rounds):
+        network = MultilayerPerceptronClassifier(
+            layers=layers, maxIter=block_rounds, blockSize=block, seed=seed, solver=solver, stepSize=step
+        )
+        if weights is not None:
+            network = network.setInitialWeights(weights)
+        model = network.fit(train)
+        weights = model.weights
+        scored = predict("network", PipelineModel([model]), held_out)
+        loss = metrics.log_loss(scored).first()["log_loss"]
+        loss = float("inf") if loss is None or loss != loss else loss
+        better = best is None or loss < least
+        losses.append((done, loss, step, better))
+        if better:
+            best, least, last, at_plateau = model, loss, done, done
+        if done - last >= patience:
+            break
+        if done - at_plateau >= plateau:
+            step, at_plateau = max(step / 2, least_step), done
+    return Stopped(PipelineModel([*prepared.stages, best]), losses)
+
+
 def _train(table: DataFrame) -> DataFrame:
     return table.filter(F.col("split") == "train")
 

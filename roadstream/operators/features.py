@@ -157,11 +157,13 @@ def supervised_windows(
     horizon: int = p.HORIZON,
     value: str = "speed_kmh",
     plan: SeriesPlan | None = None,
+    validation_share: float = 0.0,
 ) -> DataFrame:
     """(x, y) arrays: the previous ``lookback`` values, the next ``horizon`` values.
 
     A series of n rows gives max(0, n - lookback - horizon) windows. The first
-    ``SERIES_TRAIN_SHARE`` of them are for training.
+    ``SERIES_TRAIN_SHARE`` of them are for training, of these the last
+    ``validation_share`` for validation.
     """
 
     def build(d: DataFrame, s: Series) -> DataFrame:
@@ -177,7 +179,10 @@ def supervised_windows(
         )
 
     index = F.col("_position") - lookback
-    split = F.when(index < F.floor(F.col("_windows") * p.SERIES_TRAIN_SHARE), "train")
+    learned = F.col("_windows") * p.SERIES_TRAIN_SHARE
+    split = F.when(index < F.floor(learned * (1 - validation_share)), "train").when(
+        index < F.floor(learned), "val"
+    )
     return (
         windowed(
             df.select("segment_id", "timestamp", value),

@@ -3,12 +3,13 @@
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadstream import params as p
 from roadstream.operators.features import supervised_windows
+from roadstream.operators.regression import linear, products, solve, weight_table
 from roadstream.operators.series import Series, SeriesPlan, plan_series, windowed
 from roadstream.operators.sizes import checkpointed, dimension_join
 
@@ -273,6 +274,27 @@ def fourier_seasonal(
     return predicted.select(*KEYS, "actual", forecast.alias("forecast"))
 
 
+def _complete_windows(df: DataFrame, plan: SeriesPlan | None, **sizes) -> DataFrame:
+    """Windows whose previous values are all known."""
+    windows = supervised_windows(df, plan=plan, **sizes)
+    return windows.filter("NOT exists(x, v -> v IS NULL)")
+
+
+def _by_step(rows: DataFrame, horizon: int) -> DataFrame:
+    """One row per step of columns y_0 and forecast_0 and so on."""
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(h + 1).alias("step"),
+                F.col(f"y_{h}").alias("actual"),
+                F.col(f"forecast_{h}").alias("forecast"),
+            )
+            for h in range(horizon)
+        ]
+    )
+    return rows.select(*KEYS, F.inline(pairs))
+
+
 def direct_multi_horizon(
     df: DataFrame,
     lookback: int = p.LOOKBACK,
@@ -282,32 +304,71 @@ def direct_multi_horizon(
 ) -> DataFrame:
     """Forecast each of the next values by its own regression on the previous ones.
 
-    The models are put into ``fitted``, by name and step.
+    All regressions come from one aggregate, as they share their inputs and rows: those
+    with all next values known. The weights are put into ``fitted``, by name.
     """
-    windows = supervised_windows(df, lookback, horizon, plan=plan)
-    complete = windows.filter("NOT exists(x, v -> v IS NULL)").withColumns(
-        {
-            "features": array_to_vector("x"),
-            **{f"y_{h}": F.get("y", F.lit(h)) for h in range(horizon)},
-        }
+    windows = _complete_windows(df, plan, lookback=lookback, horizon=horizon)
+    before = {f"x_{k}": F.get("x", F.lit(k)) for k in range(lookback)}
+    after = {f"y_{h}": F.get("y", F.lit(h)) for h in range(horizon)}
+    flat = windows.select(
+        *KEYS, "split", *[c.alias(name) for name, c in (before | after).items()]
     )
-    complete = checkpointed(complete)  # read by every fit and by the forecasts
-    predicted, train = complete.filter(TEST), complete.filter(TRAIN)
+    rows = checkpointed(flat)  # read by the fit and by the forecasts
+    sums = products(rows.filter(TRAIN), [*before, *after])
+    weights = solve(sums, [0.0] * (lookback + 1))[0]
+    if fitted is not None:
+        names = [f"{x}_to_{y}" for y in after for x in ("constant", *before)]
+        values = weights.T.ravel().tolist()
+        fitted["direct_weights"] = weight_table(df.sparkSession, names, values)
+    columns = [F.lit(1.0), *[F.col(name) for name in before]]
+    forecasts = {
+        f"forecast_{h}": linear(weights[:, h].tolist(), columns) for h in range(horizon)
+    }
+    return _by_step(rows.filter(TEST).withColumns(forecasts), horizon)
+
+
+def boosted_multi_horizon(
+    df: DataFrame,
+    lookback: int = p.LOOKBACK,
+    horizon: int = p.HORIZON,
+    rounds: int = 100,
+    depth: int = 5,
+    rate: float = 0.1,
+    validation_share: float = 0.125,
+    tolerance: float = 0.01,
+    plan: SeriesPlan | None = None,
+    fitted: dict[str, PipelineModel | DataFrame] | None = None,
+) -> DataFrame:
+    """Forecast each of the next values by its own boosted trees on the previous ones.
+
+    The last ``validation_share`` of each series' training windows is not learned from;
+    boosting stops when their error falls by less than ``tolerance`` of it. The models
+    are put into ``fitted``, by name and step.
+    """
+    windows = _complete_windows(
+        df, plan, lookback=lookback, horizon=horizon, validation_share=validation_share
+    )
+    after = {f"y_{h}": F.get("y", F.lit(h)) for h in range(horizon)}
+    rows = checkpointed(
+        windows.withColumns(
+            {**after, "features": array_to_vector("x"), "stop": F.col("split") == "val"}
+        ).drop("x", "y")
+    )
+    predicted = rows.filter(TEST)
     for h in range(horizon):
-        model = LinearRegression(
-            labelCol=f"y_{h}", predictionCol=f"forecast_{h}", solver="normal"
-        ).fit(train.filter(F.col(f"y_{h}").isNotNull()))
+        trees = GBTRegressor(
+            labelCol=f"y_{h}",
+            predictionCol=f"forecast_{h}",
+            maxIter=rounds,
+            maxDepth=depth,
+            stepSize=rate,
+            validationIndicatorCol="stop",
+            validationTol=tolerance,
+            seed=p.SEED,
+        )
+        known = rows.filter(F.col("split") != "test").filter(F.col(f"y_{h}").isNotNull())
+        model = trees.fit(known)
         predicted = model.transform(predicted)
         if fitted is not None:
-            fitted[f"direct_{h + 1}"] = PipelineModel([model])
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(h + 1).alias("step"),
-                F.col(f"y_{h}").alias("actual"),
-                F.col(f"forecast_{h}").alias("forecast"),
-            )
-            for h in range(horizon)
-        ]
-    )
-    return predicted.select(*KEYS, F.inline(pairs))
+            fitted[f"boosted_{h + 1}"] = PipelineModel([model])
+    return _by_step(predicted, horizon)

@@ -99,6 +99,25 @@ def class_report(df: DataFrame) -> DataFrame:
     return _cells(df, []).select(F.inline(F.array(*lines)))
 
 
+def log_loss(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Rows and mean of -ln of the probability given to the true class.
+
+    ``scores`` are probabilities, one per class; none counts as less than 1e-15.
+    """
+    given = F.greatest(F.get("scores", F.col("label").cast("int")), F.lit(1e-15))
+    return df.groupBy(*(by or [])).agg(
+        F.count("*").alias("rows"), F.avg(-F.ln(given)).alias("log_loss")
+    )
+
+
+def normalised(scores: Column | str) -> Column:
+    """Scores divided by their sum; equal ones if the sum is 0."""
+    column = F.col(scores) if isinstance(scores, str) else scores
+    total = F.reduce(column, F.lit(0.0), lambda s, x: s + x)
+    share = F.lit(1.0) / F.size(column)
+    return F.transform(column, lambda x: F.when(total > 0, x / total).otherwise(share))
+
+
 def auc_ovr_weighted(
     df: DataFrame,
     by: list[str] | None = None,

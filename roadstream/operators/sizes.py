@@ -74,9 +74,14 @@ def run_folder(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder, for steps that read it repeatedly."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written once to the shared folder, for steps that read it repeatedly.
+
+    As Parquet, so that each step reads only the columns it needs.
+    """
+    spark = df.sparkSession
+    folder = f"{run_folder(spark)}/table"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def prefix_sum(

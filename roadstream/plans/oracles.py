@@ -76,7 +76,8 @@ def rs(*names: str) -> str:
 
 
 def define(name: str, body: str, *ctes: str) -> None:
-    ORACLES[name] = "WITH " + ",".join([BASE, *ctes]) + "\n" + body
+    # RECURSIVE only allows recursion; plain CTEs mean the same.
+    ORACLES[name] = "WITH RECURSIVE " + ",".join([BASE, *ctes]) + "\n" + body
 
 
 def lag_list() -> list[tuple[str, str]]:
@@ -446,13 +447,10 @@ SCALED = ("speed_kmh", "volume_vehicles", "density_vehicles_per_km", "hour")
 define(
     "standard_scale",
     f"SELECT {KEYS}, split, "
-    + ", ".join(
-        r(f"({c}-(SELECT m_{c} FROM statistics))/(SELECT CASE d_{c} WHEN 0 THEN 1 ELSE d_{c} END FROM statistics)", c)
-        for c in SCALED
-    )
-    + " FROM temporal",
-    TEMPORAL.replace("temporal AS (", "temporal AS MATERIALIZED ("),
-    "statistics AS MATERIALIZED (SELECT "
+    + ", ".join(r(f"({c}-m_{c})/CASE d_{c} WHEN 0 THEN 1 ELSE d_{c} END", c) for c in SCALED)
+    + " FROM temporal, statistics",
+    TEMPORAL,
+    "statistics AS (SELECT "
     + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS d_{c}" for c in SCALED)
     + " FROM temporal WHERE split='train')",
 )
@@ -540,6 +538,22 @@ define(
     FROM (SELECT *, [{SCORES}] AS scores FROM rules)""",
     RULES,
 )
+LABELLED_SCORE = " ".join(f"WHEN {k} THEN 1/(1+abs(ratio-{c}::DOUBLE))" for k, c in enumerate(CENTERS))
+define(
+    "log_loss",
+    f"""SELECT model, count(*) AS rows, {r("avg(-ln(own/total))", "log_loss")} FROM (
+      SELECT model, CASE label {LABELLED_SCORE} END AS own, {SCORES.replace(", ", "+")} AS total
+      FROM rules) GROUP BY model""",
+    RULES,
+)
+define(
+    "predicted_rows",
+    f"""SELECT {KEYS}, model, congestion_code AS label, TRUE AS valid FROM earlier,
+    (SELECT unnest(['random_forest', 'boosted_trees', 'neural_network']) AS model)
+    WHERE split='test' AND {" AND ".join(f"{c} IS NOT NULL" for c in FEATURE_NAMES)}""",
+    TEMPORAL,
+    f"earlier AS (SELECT *, {columns(SHIFTED)} FROM temporal)",
+)
 define(
     "auc_ovr_weighted",
     f"""SELECT model, {r("sum(wins/(p*n)*p)/sum(p)", "auc")} FROM (
@@ -598,22 +612,6 @@ define(
     HISTORY,
     AR1,
 )
-define(
-    "forecast_report",
-    "SELECT *, rmse=min(rmse) OVER (PARTITION BY kind) AS is_best FROM errors",
-    HISTORY,
-    NAIVE,
-    PROFILE,
-    AR1,
-    SPAN,
-    f"""errors AS (SELECT kind, model, {ERRORS} FROM (
-      SELECT 'one_step' AS kind, 'seasonal_naive' AS model, * FROM naive
-      UNION ALL SELECT 'span', 'seasonal_profile', * FROM profile
-      UNION ALL SELECT 'one_step', 'ar1', * FROM ar1 UNION ALL SELECT 'span', 'ar1_span', * FROM span)
-      WHERE forecast IS NOT NULL GROUP BY kind, model)""",
-)
-
-
 def least_squares(features: list[str], targets: list[str], train: str) -> list[str]:
     """CTEs from ``ls`` (features, targets) to ``fitted``, with a ``p_`` column per target.
 
@@ -646,6 +644,188 @@ def least_squares(features: list[str], targets: list[str], train: str) -> list[s
     return out
 
 
+def sums_of_products(name: str, columns: list[str], source: str) -> str:
+    """CTE of one row with the sums g_i_j, i <= j, of the products of the columns."""
+    sums = ", ".join(
+        f"sum(({a})*({b}))::DOUBLE AS g_{i}_{j}"
+        for i, a in enumerate(columns)
+        for j, b in enumerate(columns)
+        if i <= j
+    )
+    return f"{name} AS MATERIALIZED (SELECT {sums} FROM {source})"
+
+
+def eliminated(name: str, sums: str, n: int, penalties: dict[int, str] | None = None) -> list[str]:
+    """CTEs that solve for the first ``n`` columns of ``sums`` against the next one.
+
+    The matrix is one list; each step of a recursion clears one column in all other rows.
+    ``{name}`` has the coefficients b_0 and so on, and ``rest``, what they leave of the
+    target's squares. ``penalties`` are added to squares.
+    """
+    size = n + 1
+    cells = [
+        f"g_{min(i, j)}_{max(i, j)}" + (f"+{penalties[i]}" if penalties and i == j and i < n else "")
+        for i in range(size)
+        for j in range(size)
+    ]
+    at = lambda i, j: f"g[({i})*{size}+({j})+1]"
+    cleared = (
+        f"list_transform(range({size * size}), lambda q: CASE WHEN q//{size}=k THEN g[q+1] ELSE"
+        f" g[q+1]-{at(f'q//{size}', 'k')}*{at('k', f'q%{size}')}/{at('k', 'k')} END)"
+    )
+    solved = ", ".join(f"{at(i, n)}/{at(i, i)} AS b_{i}" for i in range(n))
+    return [
+        f"{name}_steps AS (SELECT 0 AS k, [{', '.join(cells)}] AS g FROM {sums}"
+        f" UNION ALL SELECT k+1, {cleared} FROM {name}_steps WHERE k<{n})",
+        f"{name} AS MATERIALIZED (SELECT {solved}, {at(n, n)} AS rest FROM {name}_steps WHERE k={n})",
+    ]
+
+
+# The order by autocorrelation: Levinson's recursion written out, one CTE an order.
+MOST = 5
+COVARIANCES = (
+    "pairs AS (SELECT *, "
+    + ", ".join(f"lag(actual, {k}) OVER {W} AS back_{k}" for k in range(1, MOST + 1))
+    + " FROM history), means AS (SELECT segment_id, avg(actual) AS mean FROM history"
+    + " WHERE split='train' GROUP BY segment_id), cov AS (SELECT segment_id, any_value(mean) AS mean,"
+    + " count(actual) AS n, sum((actual-mean)**2)/count(actual) AS c_0, "
+    + ", ".join(
+        f"coalesce(sum((actual-mean)*(back_{k}-mean))/count(actual), 0) AS c_{k}"
+        for k in range(1, MOST + 1)
+    )
+    + " FROM pairs JOIN means USING (segment_id) WHERE split='train' GROUP BY segment_id HAVING count(actual)>0)"
+)
+LEVINSON = ["order_0 AS (SELECT *, c_0 AS e_0 FROM cov)"]
+for m in range(1, MOST + 1):
+    numerator = f"c_{m}" + "".join(f"-f_{m - 1}_{j}*c_{m - j}" for j in range(1, m))
+    coefficients = [f"f_{m - 1}_{j}-k_{m}*f_{m - 1}_{m - j} AS f_{m}_{j}" for j in range(1, m)]
+    LEVINSON.append(
+        f"order_{m} AS (SELECT *, {', '.join([*coefficients, f'k_{m} AS f_{m}_{m}', f'e_{m - 1}*(1-k_{m}*k_{m}) AS e_{m}'])}"
+        f" FROM (SELECT *, CASE WHEN e_{m - 1}>0 THEN ({numerator})/e_{m - 1} ELSE 0 END AS k_{m} FROM order_{m - 1}))"
+    )
+BEST_ORDER = (
+    "chosen AS (SELECT *, CASE "
+    + " ".join(
+        f"WHEN a_{m}<=least({', '.join(f'a_{j}' for j in range(MOST + 1))}) THEN {m}" for m in range(MOST + 1)
+    )
+    + " ELSE 0 END::BIGINT AS ar_order FROM (SELECT *, "
+    + ", ".join(f"CASE WHEN e_{m}>0 THEN n*ln(e_{m})+{2 * m} END AS a_{m}" for m in range(MOST + 1))
+    + f" FROM order_{MOST}))"
+)
+
+
+def of_order(j: int) -> str:
+    """Coefficient j of the chosen order."""
+    return "CASE ar_order " + " ".join(f"WHEN {m} THEN f_{m}_{j}" for m in range(j, MOST + 1)) + " ELSE 0 END"
+
+
+PHI = [of_order(j) for j in range(1, MOST + 1)]
+AUTO = [HISTORY, COVARIANCES, *LEVINSON, BEST_ORDER]
+define(
+    "ar_order",
+    "SELECT segment_id, n, ar_order, "
+    + ", ".join(r(phi, f"phi_{j}") for j, phi in enumerate(PHI, 1))
+    + ", "
+    + r("CASE ar_order " + " ".join(f"WHEN {m} THEN e_{m}" for m in range(MOST + 1)) + " END", "variance")
+    + " FROM chosen",
+    *AUTO,
+)
+AR_AUTO = (
+    "ar_auto AS (SELECT p.segment_id, p.timestamp, p.actual, c.mean"
+    + "".join(f"+({phi})*(p.back_{j}-c.mean)" for j, phi in enumerate(PHI, 1))
+    + " AS forecast FROM pairs p JOIN chosen c USING (segment_id) WHERE split='test')"
+)
+define("ar_auto", f"SELECT {FORECAST} FROM ar_auto", *AUTO, AR_AUTO)
+
+# Differences on earlier differences and on the errors of a longer autoregression.
+LONG, N_AR, N_MA = 8, 5, 2
+DIFFERENCES = (
+    "diffs AS (SELECT *, "
+    + ", ".join(f"lag(d_0, {k}) OVER {W} AS d_{k}" for k in range(1, LONG + 1))
+    + " FROM (SELECT *, actual-lag_1 AS d_0 FROM history))"
+)
+LONG_FIT = ["1", *[f"d_{k}" for k in range(1, LONG + 1)], "d_0"]
+ERRORS_OF_LONG = (
+    "errs AS (SELECT *, "
+    + ", ".join(f"lag(e_0, {k}) OVER {W} AS e_{k}" for k in range(1, N_MA + 1))
+    + " FROM (SELECT d.*, d_0-b_0"
+    + "".join(f"-b_{k}*d_{k}" for k in range(1, LONG + 1))
+    + " AS e_0 FROM diffs d, longfit))"
+)
+SHORT = [f"d_{k}" for k in range(1, N_AR + 1)] + [f"e_{k}" for k in range(1, N_MA + 1)]
+ARMA_NEXT = "b_0" + "".join(f"+b_{k}*s_d{k}" for k in range(1, N_AR + 1)) + "".join(
+    f"+b_{N_AR + k}*s_e{k}" for k in range(1, N_MA + 1)
+)
+ARMA = [
+    DIFFERENCES,
+    sums_of_products("longsums", LONG_FIT, f"diffs WHERE split='train' AND d_{LONG} IS NOT NULL"),
+    *eliminated("longfit", "longsums", LONG + 1),
+    ERRORS_OF_LONG,
+    sums_of_products(
+        "armasums", ["1", *SHORT, "d_0"], f"errs WHERE split='train' AND e_{N_MA} IS NOT NULL"
+    ),
+    *eliminated("armafit", "armasums", N_AR + N_MA + 1),
+    "lastrow AS (SELECT * FROM errs WHERE split='train' QUALIFY i=max(i) OVER (PARTITION BY segment_id))",
+    "spans AS (SELECT segment_id, 0 AS h, actual AS level, "
+    + ", ".join(f"d_{k} AS s_d{k + 1}" for k in range(N_AR))
+    + ", "
+    + ", ".join(f"e_{k} AS s_e{k + 1}" for k in range(N_MA))
+    + ", (SELECT max(n) FROM history) AS most FROM lastrow"
+    + f" UNION ALL SELECT segment_id, h+1, level+({ARMA_NEXT}), {ARMA_NEXT}, "
+    + ", ".join(f"s_d{k}" for k in range(1, N_AR))
+    + ", 0::DOUBLE, "
+    + ", ".join(f"s_e{k}" for k in range(1, N_MA))
+    + ", most FROM spans, armafit WHERE h<most)",
+    "arma_span AS (SELECT t.segment_id, t.timestamp, t.actual, s.level AS forecast"
+    " FROM history t JOIN lastrow l USING (segment_id)"
+    " JOIN spans s ON s.segment_id=t.segment_id AND s.h=t.i-l.i WHERE t.split='test')",
+]
+define("arma_span", f"SELECT {FORECAST} FROM arma_span", HISTORY, *ARMA)
+
+# A trend with changepoints and seasonal terms, each block with its own penalty.
+CHANGEPOINTS, REACH, SCALES = 10, 0.8, (5.0, 0.05, 10.0)
+SHARE = "((epoch(timestamp)-first)/span)"
+BENDS = {"slope": SHARE} | {
+    f"hinge_{k}": f"greatest({SHARE}-{REACH}::DOUBLE*{k + 1}/{CHANGEPOINTS + 1}, 0)"
+    for k in range(CHANGEPOINTS)
+}
+TERMS = {"trend": "epoch(date_trunc('day', timestamp))/86400+hour(timestamp)/24"}
+for period, order in ((24, 4), (168, 3)):
+    for k in range(1, order + 1):
+        angle = f"2*pi()*{k}*((isodow(timestamp)-1)*24+hour(timestamp)+minute(timestamp)/60)/{period}"
+        TERMS |= {f"sin_{period}_{k}": f"sin({angle})", f"cos_{period}_{k}": f"cos({angle})"}
+BENDS |= {name: sql for name, sql in TERMS.items() if name != "trend"}
+BENT = [*BENDS, "log_actual"]
+N_BENDS = len(BENDS)
+
+
+def penalty(k: int) -> str:
+    scale = SCALES[0] if k == 0 else SCALES[1] if k <= CHANGEPOINTS else SCALES[2]
+    return f"(SELECT rest/(rows-{N_BENDS}) FROM plain, bentrows)/{scale**2}::DOUBLE"
+
+
+TREND = [
+    "spanned AS (SELECT min(epoch(timestamp)) AS first, max(epoch(timestamp))-min(epoch(timestamp)) AS span"
+    " FROM history WHERE split='train')",
+    "bends AS (SELECT segment_id, timestamp, split, actual, ln(actual) AS log_actual, "
+    + ", ".join(f"({sql})::DOUBLE AS {name}" for name, sql in BENDS.items())
+    + " FROM history, spanned)",
+    "bentmeans AS (SELECT segment_id, "
+    + ", ".join(f"avg({c}) AS m_{c}" for c in BENT)
+    + " FROM bends WHERE split='train' GROUP BY segment_id)",
+    "bent AS MATERIALIZED (SELECT b.segment_id, timestamp, split, actual, m_log_actual, "
+    + ", ".join(f"{c}-m_{c} AS {c}" for c in BENT)
+    + " FROM bends b JOIN bentmeans USING (segment_id))",
+    "bentrows AS (SELECT count(*) AS rows FROM bent WHERE split='train')",
+    sums_of_products("bentsums", BENT, "bent WHERE split='train'"),
+    *eliminated("plain", "bentsums", N_BENDS),
+    *eliminated("ridge", "bentsums", N_BENDS, {k: penalty(k) for k in range(N_BENDS)}),
+    "trend_seasonal AS (SELECT segment_id, timestamp, actual, exp(m_log_actual"
+    + "".join(f"+b_{k}*{name}" for k, name in enumerate(BENDS))
+    + ") AS forecast FROM bent, ridge WHERE split='test')",
+]
+define("trend_seasonal", f"SELECT {FORECAST} FROM trend_seasonal", HISTORY, *TREND)
+
 STEPS = [f"d_{k}" for k in range(1, 6)]
 define(
     "ar_diff5",
@@ -660,11 +840,6 @@ define(
     + " FROM lagged)",
     *least_squares(STEPS, ["change"], "split='train'"),
 )
-TERMS = {"trend": "epoch(date_trunc('day', timestamp))/86400+hour(timestamp)/24"}
-for period, order in ((24, 4), (168, 3)):
-    for k in range(1, order + 1):
-        angle = f"2*pi()*{k}*((isodow(timestamp)-1)*24+hour(timestamp)+minute(timestamp)/60)/{period}"
-        TERMS |= {f"sin_{period}_{k}": f"sin({angle})", f"cos_{period}_{k}": f"cos({angle})"}
 CENTRED = [*TERMS, "log_actual"]
 define(
     "fourier_seasonal",
@@ -682,6 +857,27 @@ define(
     + " FROM terms t JOIN centres USING (segment_id))",
     *least_squares(list(TERMS), ["log_actual"], "split='train'"),
 )
+define(
+    "forecast_report",
+    "SELECT *, rmse=min(rmse) OVER (PARTITION BY kind) AS is_best FROM errors",
+    HISTORY,
+    NAIVE,
+    PROFILE,
+    AR1,
+    SPAN,
+    COVARIANCES,
+    *LEVINSON,
+    BEST_ORDER,
+    AR_AUTO,
+    *ARMA,
+    f"""errors AS (SELECT kind, model, {ERRORS} FROM (
+      SELECT 'one_step' AS kind, 'seasonal_naive' AS model, * FROM naive
+      UNION ALL SELECT 'span', 'seasonal_profile', * FROM profile
+      UNION ALL SELECT 'one_step', 'ar1', * FROM ar1 UNION ALL SELECT 'span', 'ar1_span', * FROM span
+      UNION ALL SELECT 'one_step', 'ar_auto', * FROM ar_auto
+      UNION ALL SELECT 'span', 'arma_span', * FROM arma_span)
+      WHERE forecast IS NOT NULL GROUP BY kind, model)""",
+)
 BEFORE, AFTER = [f"x_{k}" for k in range(1, 25)], [f"y_{h}" for h in range(4)]
 define(
     "direct_multi_horizon",
@@ -700,6 +896,17 @@ define(
     + " FROM placed WHERE i>=24 AND i<n-4)",
     *least_squares(BEFORE, AFTER, "split='train'"),
 )
+define(
+    "boosted_horizon_rows",
+    " UNION ALL ".join(
+        f"SELECT {KEYS}, {h + 1}::BIGINT AS step, {r(f'y_{h}', 'actual')}, TRUE AS known FROM placed"
+        " WHERE i>=24 AND i<n-4 AND NOT i-24<floor((n-28)*0.8::DOUBLE)"
+        for h in range(4)
+    ),
+    f"placed AS (SELECT *, row_number() OVER {W}-1 AS i, count(*) OVER (PARTITION BY segment_id) AS n, "
+    + ", ".join(f"lead(speed_kmh, {h}) OVER {W} AS y_{h}" for h in range(4))
+    + " FROM traffic)",
+)
 define(
     "future_frame",
     f"""SELECT {KEYS} FROM (SELECT segment_id, max(timestamp)+to_minutes(15*k) AS timestamp

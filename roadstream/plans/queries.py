@@ -13,6 +13,7 @@ from roadstream import params as p
 from roadstream.functions import signal, traffic
 from roadstream.functions.clock import clock_micros
 from roadstream.operators import (
+    arima,
     classify,
     features,
     forecast,
@@ -24,6 +25,7 @@ from roadstream.operators import (
     scenario,
     signals,
     splits,
+    trend,
 )
 from roadstream.operators.series import SeriesPlan, plan_series
 from roadstream.operators.sizes import checkpointed, dimension_join, run_folder
@@ -440,6 +442,12 @@ def auc_ovr_weighted(t: TrafficTables) -> DataFrame:
     return metrics.auc_ovr_weighted(rules(t), ["model"], t.plan.rows * len(RULE_LAGS))
 
 
+@query
+def log_loss(t: TrafficTables) -> DataFrame:
+    rows = rules(t).withColumn("scores", metrics.normalised("scores"))
+    return metrics.log_loss(rows, ["model"])
+
+
 @query
 def confusion_matrix(t: TrafficTables) -> DataFrame:
     return metrics.confusion_matrix(rules(t, (1,)))
@@ -495,8 +503,7 @@ def random_forest(t: TrafficTables) -> DataFrame:
 @query
 def boosted_trees(t: TrafficTables) -> DataFrame:
     rows = written_training(t)
-    model = classify.boosted_trees(rows, rounds=10, depth=4, rate=0.2)
-    return classify.evaluate(tested(rows, "boosted_trees", model), t.plan.rows)
+    return classify.evaluate(tested(rows, "boosted_trees", _boosted(rows)), t.plan.rows)
 
 
 @query
@@ -512,6 +519,56 @@ def predict(t: TrafficTables) -> DataFrame:
     return keyed(tested(rows, "random_forest", _forest(rows)), "label", "prediction", "scores")
 
 
+def _boosted(rows: DataFrame):
+    return classify.boosted_trees(rows, rounds=10, depth=4, rate=0.2)
+
+
+def calibrated(rows: DataFrame, model) -> tuple[DataFrame, DataFrame]:
+    """Test predictions of boosted trees with raw scores and with probabilities."""
+    held_out = classify.predict("boosted_trees", model, rows.filter("split = 'val'"))
+    raw = tested(rows, "boosted_trees", model)
+    return raw, classify.calibrate(checkpointed(held_out)).probabilities(raw)
+
+
+@query
+def boosted_probabilities(t: TrafficTables) -> DataFrame:
+    """Log loss of probabilities pooled on validation rows, and of raw scores' softmax."""
+    rows = written_training(t)
+    raw, done = calibrated(rows, _boosted(rows))
+    softmax = raw.withColumns(
+        {
+            "scores": metrics.normalised(F.transform("scores", lambda x: F.exp(x))),
+            "model": F.lit("softmax"),
+        }
+    )
+    return metrics.log_loss(done.unionByName(softmax), ["model"])
+
+
+@query
+def neural_early_stopping(t: TrafficTables) -> DataFrame:
+    rows = written_training(t)
+    model = classify.neural_early_stopping(rows).model
+    return classify.evaluate(tested(rows, "neural_network", model), t.plan.rows)
+
+
+@query
+def predicted_rows(t: TrafficTables) -> DataFrame:
+    """Rows that each classifier predicts, and whether its scores are probabilities that
+    name the class."""
+    rows = written_training(t)
+    network = classify.neural_early_stopping(rows, most_rounds=10).model
+    found = [
+        tested(rows, "random_forest", _forest(rows)),
+        calibrated(rows, _boosted(rows))[1],
+        tested(rows, "neural_network", network),
+    ]
+    every = found[0].unionByName(found[1]).unionByName(found[2])
+    total = F.reduce("scores", F.lit(0.0), lambda s, x: s + x)
+    named = F.get("scores", "prediction") == F.array_max("scores")
+    valid = (F.abs(total - 1) < 1e-9) & (F.array_min("scores") >= 0) & named
+    return keyed(every, "model", "label", valid.alias("valid"))
+
+
 @query
 def feature_importance(t: TrafficTables) -> DataFrame:
     rows = written_training(t)
@@ -561,6 +618,35 @@ def fourier_seasonal(t: TrafficTables) -> DataFrame:
     return forecast.fourier_seasonal(t.readings, plan=t.plan)
 
 
+@query
+def trend_seasonal(t: TrafficTables) -> DataFrame:
+    return trend.trend_seasonal(t.readings, plan=t.plan)
+
+
+AR_MOST = 5
+
+
+def lagged(t: TrafficTables) -> DataFrame:
+    return forecast.split_history(t.readings, AR_MOST, plan=t.plan)
+
+
+@query
+def ar_order(t: TrafficTables) -> DataFrame:
+    orders = arima.ar_orders(lagged(t), AR_MOST)
+    phi = [F.coalesce(F.get("phi", F.lit(k)), F.lit(0.0)).alias(f"phi_{k + 1}") for k in range(AR_MOST)]
+    return orders.select("segment_id", "n", "ar_order", *phi, "variance")
+
+
+@query
+def ar_auto(t: TrafficTables) -> DataFrame:
+    return arima.ar_auto(lagged(t), AR_MOST, t.plan)
+
+
+@query
+def arma_span(t: TrafficTables) -> DataFrame:
+    return arima.arma_span(t.readings, plan=t.plan)
+
+
 @query
 def ar1_span(t: TrafficTables) -> DataFrame:
     return forecast.ar1_span(history(t), t.plan)
@@ -581,6 +667,23 @@ def direct_multi_horizon(t: TrafficTables) -> DataFrame:
     return forecast.direct_multi_horizon(t.readings, plan=t.plan)
 
 
+def boosted_steps(t: TrafficTables) -> DataFrame:
+    return forecast.boosted_multi_horizon(t.readings, rounds=10, depth=3, plan=t.plan)
+
+
+@query
+def boosted_multi_horizon(t: TrafficTables) -> DataFrame:
+    return boosted_steps(t)
+
+
+@query
+def boosted_horizon_rows(t: TrafficTables) -> DataFrame:
+    """Rows, steps and actual values of the boosted forecasts, and whether each is known."""
+    found = boosted_steps(t)
+    known = F.col("forecast").isNotNull() & ~F.isnan("forecast")
+    return keyed(found, "step", "actual", known.alias("known"))
+
+
 @query
 def forecast_metrics(t: TrafficTables) -> DataFrame:
     return metrics.forecast_metrics(forecast.ar1_per_segment(history(t), t.plan))
@@ -588,7 +691,15 @@ def forecast_metrics(t: TrafficTables) -> DataFrame:
 
 @query
 def forecast_report(t: TrafficTables) -> DataFrame:
-    return metrics.forecast_report(forecast.baseline_forecasts(history(t), t.plan))
+    others = [
+        ("one_step", "ar_auto", arima.ar_auto(lagged(t), AR_MOST, t.plan)),
+        ("span", "arma_span", arima.arma_span(t.readings, plan=t.plan)),
+    ]
+    found = forecast.baseline_forecasts(history(t), t.plan)
+    for kind, model, rows in others:
+        named = rows.withColumns({"kind": F.lit(kind), "model": F.lit(model)})
+        found = found.unionByName(named)
+    return metrics.forecast_report(found)
 
 
 # Signals and scenarios

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream import params as p
-from roadstream.operators import classify, forecast, metrics, scenario, signals
+from roadstream.operators import arima, classify, forecast, metrics, scenario, signals, trend
 from roadstream.operators.features import (
     add_congestion_labels,
     encode_road_type,
@@ -25,6 +25,9 @@ from roadstream.sources import synthetic
 from roadstream.sources.tables import load_table, save_model, save_splits, save_table
 
 
+AR_MOST = 5
+
+
 @dataclass(frozen=True)
 class Study:
     spark: SparkSession
@@ -88,21 +91,30 @@ def train_classifiers(
 ) -> DataFrame:
     """Fit and save the three classifiers; scores on the test rows, one row per model.
 
-    Saves the scores on the validation rows, and the confusion matrix and class report
-    of each model, too.
+    The network stops early by its loss on the validation rows, and boosting's raw scores
+    become probabilities on them. Saves the scores on the validation rows, the network's
+    losses, and the confusion matrix and class report of each model, too.
     """
     table = checkpointed(classify.training_table(study.labelled()))
     test, validation = table.filter("split = 'test'"), table.filter("split = 'val'")
+    stopped = classify.neural_early_stopping(table, **(network or {}))
+    study.save(stopped.table(study.spark), "neural_losses")
     fitted: dict[str, PipelineModel] = {
         "random_forest": classify.random_forest(table, **(forest or {})),
         "boosted_trees": classify.boosted_trees(table, **(boosted or {})),
-        "neural_network": classify.neural_classifier(table, **(network or {})),
+        "neural_network": stopped.model,
     }
     importance, predictions, validated = [], [], []
     for name, model in fitted.items():
         save_model(model, study.folder, name)
-        predictions.append(classify.predict(name, model, test))
-        validated.append(classify.predict(name, model, validation))
+        found, checked = (classify.predict(name, model, rows) for rows in (test, validation))
+        if name == "boosted_trees":
+            calibration = classify.calibrate(checkpointed(checked))
+            for k, isotonic in enumerate(calibration.models):
+                isotonic.write().overwrite().save(f"{study.folder}/calibration_{k}")
+            found, checked = (calibration.probabilities(rows) for rows in (found, checked))
+        predictions.append(found)
+        validated.append(checked)
         if name != "neural_network":
             weights = classify.feature_importance(model, table)
             importance.append(weights.withColumn("model", F.lit(name)))
@@ -110,6 +122,7 @@ def train_classifiers(
     found = study.save(_union(predictions), "classification_predictions")
     checked = study.save(_union(validated), "validation_predictions")
     study.save(classify.evaluate(checked), "validation_metrics")
+    study.save(metrics.log_loss(found, ["model"]), "log_losses")
     of_each = [(n, found.filter(F.col("model") == n)) for n in fitted]
     for table_name, make in (
         ("confusion_matrices", metrics.confusion_matrix),
@@ -120,7 +133,7 @@ def train_classifiers(
     return study.save(classify.evaluate(found), "classification_metrics")
 
 
-def train_forecasts(study: Study) -> DataFrame:
+def train_forecasts(study: Study, boosted: dict | None = None) -> DataFrame:
     """Forecasts of every model for every segment; their errors, one row per model.
 
     The fitted models are saved, and the AR(1) forecasts of the next times.
@@ -130,6 +143,8 @@ def train_forecasts(study: Study) -> DataFrame:
     history = checkpointed(forecast.split_history(readings, plan=plan))
     study.save(forecast.ar1_lines(history), "ar1_lines")
     study.save(forecast.ar1_future(readings, history, plan=plan), "future_forecasts")
+    lagged = checkpointed(forecast.split_history(readings, AR_MOST, plan=plan))
+    study.save(arima.ar_orders(lagged, AR_MOST), "ar_orders")
     fitted: dict[str, PipelineModel | DataFrame] = {}
     made = {
         ("ar_diff5", "one_step"): forecast.ar_diff(readings, plan=plan, fitted=fitted),
@@ -139,6 +154,12 @@ def train_forecasts(study: Study) -> DataFrame:
         ("direct_multi_horizon", "four_steps"): forecast.direct_multi_horizon(
             readings, plan=plan, fitted=fitted
         ).drop("step"),
+        ("boosted_multi_horizon", "four_steps"): forecast.boosted_multi_horizon(
+            readings, plan=plan, fitted=fitted, **(boosted or {})
+        ).drop("step"),
+        ("ar_auto", "one_step"): arima.ar_auto(lagged, AR_MOST, plan),
+        ("arma_span", "span"): arima.arma_span(readings, plan=plan, fitted=fitted),
+        ("trend_seasonal", "span"): trend.trend_seasonal(readings, plan=plan, fitted=fitted),
     }
     for name, one in fitted.items():
         if isinstance(one, DataFrame):

@@ -106,3 +106,65 @@ def test_ar_diff_on_a_known_process(spark):
     )
     found = forecast.ar_diff(df, order=1).collect()
     assert all(r.forecast == pytest.approx(r.actual, abs=1e-6) for r in found)
+
+
+def test_probabilities_of_boosting(table):
+    """Pooled on validation rows: rising in the score, summing to 1, a lower loss."""
+    model = classify.boosted_trees(table, rounds=5, depth=4, rate=0.3)
+    held_out, test = (
+        classify.predict("m", model, table.filter(F.col("split") == split)) for split in ("val", "test")
+    )
+    calibration = classify.calibrate(held_out, bins=50)
+    done = calibration.probabilities(test)
+    assert done.columns == test.columns and done.count() == test.count()
+    for row in done.collect():
+        assert sum(row.scores) == pytest.approx(1) and min(row.scores) > 0
+        assert row.scores[row.prediction] == max(row.scores)
+    for k, isotonic in enumerate(calibration.models):
+        shares = list(isotonic.predictions)
+        assert shares == sorted(shares) and 0 <= shares[0] and shares[-1] <= 1
+        assert len(shares) <= 50 + 1, k
+    softmax = test.withColumn("scores", metrics.normalised(F.transform("scores", lambda x: F.exp(x))))
+    loss = [metrics.log_loss(d).first() for d in (done, softmax)]
+    assert loss[0].rows == loss[1].rows and loss[0].log_loss < loss[1].log_loss
+
+
+def test_pooling_equals_brute_force(spark):
+    """One row a bin: adjacent violators pooled as in the plain algorithm."""
+    rows = [(0 if i in (2, 5, 9, 11) else 1, [float(-i), float(i), 0.0, 0.0]) for i in range(12)]
+    df = spark.createDataFrame(rows, "label int, scores array<double>")
+    found = classify.calibrate(df, bins=1000).models[1]
+    pools = []
+    for label, _ in rows:
+        pools.append([float(label), 1])
+        while len(pools) > 1 and pools[-2][0] > pools[-1][0]:
+            value, n = pools.pop()
+            pools[-1] = [(pools[-1][0] * pools[-1][1] + value * n) / (pools[-1][1] + n), pools[-1][1] + n]
+    want = [value for value, n in pools for _ in range(n)]
+    scored = found.transform(df.withColumn("_score_1", F.get("scores", F.lit(1))))
+    got = [r._p_1 for r in scored.orderBy("_score_1").collect()]
+    assert got == pytest.approx(want)
+
+
+def test_network_stops_early_with_the_best_weights(spark, table):
+    done = classify.neural_early_stopping(
+        table, hidden=(8,), most_rounds=60, block_rounds=2, patience=4, plateau=2
+    )
+    rounds = [r[0] for r in done.losses]
+    losses = [r[1] for r in done.losses]
+    best = min(range(len(losses)), key=losses.__getitem__)
+    assert rounds == list(range(2, 2 * len(rounds) + 1, 2))
+    assert rounds[-1] == 60 or rounds[-1] - rounds[best] >= 4
+    assert [r[3] for r in done.losses] == [x < min([*losses[:i], math.inf]) for i, x in enumerate(losses)]
+    held_out = classify.predict("m", done.model, table.filter("split = 'val'"))
+    assert metrics.log_loss(held_out).first().log_loss == pytest.approx(losses[best])
+    assert done.table(spark).count() == len(losses)
+
+
+def test_network_halves_its_step_on_a_plateau(table):
+    done = classify.neural_early_stopping(
+        table, hidden=(4,), most_rounds=12, block_rounds=2, patience=8, plateau=2, solver="gd", step=1e-9
+    )
+    steps = [r[2] for r in done.losses]
+    for k in range(1, len(steps)):
+        assert steps[k] == (steps[k - 1] if done.losses[k - 1][3] else max(steps[k - 1] / 2, 1e-6))

@@ -39,11 +39,13 @@ def test_features(study):
 
 def test_models(study):
     scores = steps.train_classifiers(
-        study, {"trees": 5, "depth": 5}, {"rounds": 2, "depth": 3}, {"rounds": 10}
+        study, {"trees": 5, "depth": 5}, {"rounds": 2, "depth": 3}, {"most_rounds": 10}
     )
-    assert scores.count() == 3
-    errors = steps.train_forecasts(study)
-    assert errors.count() == 7
+    assert scores.count() == study.load("log_losses").count() == 3
+    losses = study.load("neural_losses").orderBy("rounds").collect()
+    assert [r.rounds for r in losses] == [5, 10] and losses[0].is_best
+    errors = steps.train_forecasts(study, {"rounds": 3, "depth": 3})
+    assert errors.count() == 11
     assert errors.filter("is_best").count() == errors.select("kind").distinct().count() == 3
     best = {r.kind: r for r in steps.evaluate_all(study).collect()}
     assert best["classifier"].score == scores.agg(F.max("accuracy")).first()[0]
@@ -54,8 +56,11 @@ def test_models(study):
     assert study.load("confusion_matrices").count() == 3 * 4
     assert study.load("class_reports").count() == 3 * 6
     assert study.load("future_forecasts").count() == 15 * 4
-    for name in ("ar_diff", "fourier", "direct_1", "direct_4"):
+    for name in ("ar_diff", "fourier", "boosted_1", "boosted_4"):
         assert load_model(study.folder, name).stages
+    assert study.load("direct_weights").count() == 4 * 25
+    assert study.load("arma_weights").count() == 9 + 8 and study.load("ar_orders").count() == 15
+    assert study.load("trend_weights").count() == 25 and study.load("trend_means").count() == 15
     assert study.load("fourier_means").count() == study.load("ar1_lines").count() == 15
 
 
