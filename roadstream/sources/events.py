@@ -82,10 +82,10 @@ class TrafficTables:
         """Row count and long series, counted once for the queries on this object."""
         return plan_series(self.readings)
 
-    @property
+    @cached_property
     def roads_at_most(self) -> int:
-        """The roads are the segments that have readings."""
-        return self.plan.segments_at_most
+        """Rows of the written road table, counted without reading the events again."""
+        return self.roads.count()
 
     @cached_property
     def labelled(self) -> DataFrame:
