@@ -32,6 +32,27 @@ def timing_objective(
     )
 
 
+def delay_objective(
+    green_ns: Column, green_ew: Column, volume_ns: Column, volume_ew: Column
+) -> Column:
+    """Mean uniform delay of a vehicle, and the square of what each green leaves waiting.
+
+    Convex in the green times and not linear: a direction's delay is its red squared over
+    twice the cycle, and vehicles of a cycle that do not fit its green are left over.
+    """
+    cycle = cycle_length(green_ns, green_ew)
+    red_ns, red_ew = cycle - green_ns, cycle - green_ew
+    delay = (red_ns * red_ns * volume_ns + red_ew * red_ew * volume_ew) / (
+        2 * cycle * (volume_ns + volume_ew + p.EPSILON)
+    )
+
+    def left(green: Column, volume: Column) -> Column:
+        over = F.greatest(volume * cycle / 3600 - green * p.SATURATION_FLOW, F.lit(0.0))
+        return over * over
+
+    return delay + left(green_ns, volume_ns) + left(green_ew, volume_ew)
+
+
 def proportional_green(volume: Column, total: Column) -> Column:
     """Green time in proportion to the direction's share, within the bounds."""
     share = F.floor(volume / (total + p.EPSILON) * 100)

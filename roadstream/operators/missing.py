@@ -162,6 +162,7 @@ def fill_missing(
     plan: SeriesPlan | None = None,
     limit: int = SMALL_ROWS,
     approx: bool = False,
+    fitted: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Forward-fill the series features, then fill what is left.
 
@@ -171,7 +172,8 @@ def fill_missing(
     The forward-filled table is written once to the shared folder; null counts,
     medians and the result read it there, so the windows are computed once. Each
     series starts with unknown lags, so those columns always need a median.
-    ``approx`` takes approximate medians in one pass.
+    ``approx`` takes approximate medians in one pass. The medians of all number
+    columns with gaps are put into ``fitted``, as the table of ``fill_from``.
     """
     plan = plan or plan_series(df)
     series = series_feature_names(df)
@@ -180,13 +182,38 @@ def fill_missing(
     others = filled.drop(*series, *HELPERS)
     nulls = null_report(others).first()
     gaps = [c for c in others.columns if nulls[c]]
-    numeric = [c for c in [*series, *gaps] if types[c] in ("int", "bigint", "float", "double")]
+    numeric = [c for c in [*series, *gaps] if types[c] in NUMBERS]
     medians: dict[str, float | None] = {}
     if numeric and approx:
         medians = approximate_medians(filled, numeric)
     elif numeric:
         medians = exact_medians(filled, numeric, plan.rows, limit)
-    fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians[c])) for c in numeric}
-    fills.update({c: F.coalesce(c, F.lit(False)) for c in gaps if types[c] == "boolean"})
-    fills.update({c: F.coalesce(c, F.lit("0")) for c in gaps if types[c] == "string"})
-    return filled.withColumns(fills) if fills else filled
+    if fitted is not None:
+        fitted["fill_values"] = df.sparkSession.createDataFrame(
+            list(medians.items()), "feature string, value double"
+        )
+    return _filled(filled, medians, [c for c in gaps if c not in medians])
+
+
+NUMBERS = ("int", "bigint", "float", "double")
+
+
+def _filled(df: DataFrame, medians: dict[str, float | None], others: list[str]) -> DataFrame:
+    types = dict(df.dtypes)
+    fills = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in medians.items()}
+    fills.update({c: F.coalesce(c, F.lit(False)) for c in others if types[c] == "boolean"})
+    fills.update({c: F.coalesce(c, F.lit("0")) for c in others if types[c] == "string"})
+    return df.withColumns(fills) if fills else df
+
+
+def fill_from(
+    df: DataFrame, saved: DataFrame, plan: SeriesPlan | None = None
+) -> DataFrame:
+    """Fills new rows from the values that ``fill_missing`` put out for earlier ones.
+
+    ``saved`` has one row per column. Nothing of ``df`` is counted or read beforehand.
+    """
+    values = {r.feature: r.value for r in saved.collect() if r.feature in df.columns}
+    filled = forward_fill(df, series_feature_names(df), plan)
+    others = [c for c in df.columns if c not in values and c not in HELPERS]
+    return _filled(filled, values, others)

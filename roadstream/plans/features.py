@@ -11,7 +11,7 @@ from roadstream.operators.features import (
     encode_road_type,
     prepare_features_target,
 )
-from roadstream.operators.missing import fill_missing
+from roadstream.operators.missing import fill_from, fill_missing
 from roadstream.operators.scaling import standard_scale
 from roadstream.operators.series import SeriesPlan, plan_series
 from roadstream.operators.splits import positional_split, random_split, temporal_split
@@ -22,12 +22,19 @@ def processed_table(
     roads: DataFrame,
     plan: SeriesPlan | None = None,
     roads_at_most: int | None = None,
+    saved: DataFrame | None = None,
+    fitted: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Labels, calendar, lags and rolling statistics, with missing values filled."""
+    """Labels, calendar, lags and rolling statistics, with missing values filled.
+
+    ``saved`` has the values to fill with, as ``fitted`` gets them for other rows.
+    """
     plan = plan or plan_series(readings)
     labelled = add_congestion_labels(readings, roads, roads_at_most)
     features = add_series_features(add_calendar(labelled), plan=plan, keep_blocks=True)
-    return fill_missing(features, plan)
+    if saved is not None:
+        return fill_from(features, saved, plan)
+    return fill_missing(features, plan, fitted=fitted)
 
 
 def split_table(

@@ -383,6 +383,13 @@ define(
 # Windows and splits
 
 define("lag_features", f"SELECT {KEYS}, {rs(*[n for n, _ in lag_list()])} FROM features", FEATURE_CTE)
+ORACLES["stored_lag_features"] = ORACLES["lag_features"]
+define(
+    "merged_sketches",
+    """SELECT (epoch(date_trunc('day', timestamp))/86400)::BIGINT AS day, count(*) AS rows,
+    count(DISTINCT segment_id) AS segments, TRUE AS count_in_bound, TRUE AS medians_in_bound
+    FROM traffic GROUP BY 1""",
+)
 for kind in ("mean", "std", "max"):
     names = [n for n, _ in rolling_list() if kind in n]
     define(f"rolling_{kind}", f"SELECT {KEYS}, {rs(*names)} FROM features", FEATURE_CTE)
@@ -957,6 +964,18 @@ define(
     VOLUMES,
     best_plan("range(20, 121, 10)", "best"),
 )
+DELAY = """((b.g+10)*(b.g+10)*ns+(a.g+10)*(a.g+10)*ew)/(2*(a.g+b.g+10)*(ns+ew+0.000001::DOUBLE))
+  +greatest(ns*(a.g+b.g+10)/3600-a.g*0.5::DOUBLE, 0)**2+greatest(ew*(a.g+b.g+10)/3600-b.g*0.5::DOUBLE, 0)**2"""
+define(
+    "search_timing",
+    f"""SELECT segment_id, green_ns, green_ew, {r("objective_value", "objective_value")} FROM (
+      SELECT segment_id, a.g AS green_ns, b.g AS green_ew, {DELAY} AS objective_value
+      FROM volumes, (SELECT unnest(range(20, 121)) AS g) a, (SELECT unnest(range(20, 121)) AS g) b)
+    QUALIFY row_number() OVER (PARTITION BY segment_id
+      ORDER BY objective_value, green_ns, green_ew)=1""",
+    PEAK,
+    VOLUMES,
+)
 define(
     "proportional_timing",
     """SELECT segment_id, green_ns, green_ew, green_ns+green_ew+10 AS cycle_length FROM (

@@ -24,6 +24,7 @@ from roadstream.operators import (
     scaling,
     scenario,
     signals,
+    sketches,
     splits,
     trend,
 )
@@ -32,7 +33,7 @@ from roadstream.operators.sizes import checkpointed, dimension_join, run_folder
 from roadstream.plans.features import processed_table
 from roadstream.sources import synthetic
 from roadstream.sources.events import TrafficTables, raw_measures, road_columns
-from roadstream.sources.tables import load_table, save_table
+from roadstream.sources.tables import load_table, save_table, series_table
 from roadstream.streaming import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +296,17 @@ def null_report(t: TrafficTables) -> DataFrame:
     return missing.null_report(t.features)
 
 
+@query
+def merged_sketches(t: TrafficTables) -> DataFrame:
+    """Exact counts of each day, and whether its merged sketches are within their bounds."""
+    # Half-day sketches, merged into those of the days.
+    half = F.expr("hour < 12")
+    parts = [sketches.daily_sketches(t.readings.filter(c)) for c in (half, ~half)]
+    daily = sketches.merged(checkpointed(parts[0].unionByName(parts[1])), ["day"])
+    found = sketches.check_rows(t.readings, daily)
+    return found.withColumn("day", F.unix_date("day").cast("bigint"))
+
+
 @query
 def median_fill(t: TrafficTables) -> DataFrame:
     filled = missing.fill_missing(t.features, t.plan)
@@ -340,6 +352,14 @@ def lag_features(t: TrafficTables) -> DataFrame:
     return keyed(lagged, *features.series_feature_names(lagged))
 
 
+@query
+def stored_lag_features(t: TrafficTables) -> DataFrame:
+    """Lags of a table stored by series, without a shuffle."""
+    stored = series_table(t.readings, f"{run_folder(t.spark)}/readings")
+    found = features.add_lags(stored, plan=t.plan)
+    return keyed(found, *features.series_feature_names(found))
+
+
 def rolling(t: TrafficTables, kind: str) -> DataFrame:
     rolled = features.add_rolling(t.readings, plan=t.plan)
     return keyed(rolled, *[c for c in rolled.columns if f"rolling_{kind}" in c])
@@ -731,6 +751,11 @@ def optimize_timing_grid(t: TrafficTables) -> DataFrame:
     return signals.best_timing(volumes(t), step=10).select("segment_id", "best.*")
 
 
+@query
+def search_timing(t: TrafficTables) -> DataFrame:
+    return signals.search_timing(volumes(t)).select("segment_id", "best.*")
+
+
 @query
 def optimized_signals(t: TrafficTables) -> DataFrame:
     return optimized(t)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadstream import params as p
-from roadstream.operators import arima, classify, forecast, metrics, scenario, signals, trend
+from roadstream.operators import arima, classify, forecast, metrics, scenario, signals, sketches, trend
 from roadstream.operators.features import (
     add_congestion_labels,
     encode_road_type,
@@ -68,8 +68,11 @@ def process_all(study: Study, task: str = "classification", split: str = "tempor
     """
     readings = study.load("traffic_data")
     plan = plan_series(readings)
-    made = processed_table(readings, study.load("road_network"), plan)
+    fitted: dict[str, DataFrame] = {}
+    made = processed_table(readings, study.load("road_network"), plan, fitted=fitted)
     processed = study.save(made, "processed_traffic_data", csv=True)
+    study.save(fitted["fill_values"], "fill_values")
+    study.save(sketches.daily_sketches(readings), "daily_sketches")
     rows, features = feature_rows(processed, task, split, plan)
     scaler = study.save(scaler_statistics(rows, features), "scaler")
     save_splits(apply_scaler(rows, scaler), study.folder)
@@ -78,6 +81,12 @@ def process_all(study: Study, task: str = "classification", split: str = "tempor
     return features
 
 
+def processed_by_saved(study: Study, readings: DataFrame) -> DataFrame:
+    """New readings processed with the saved fill values, from the folder alone."""
+    saved = study.load("fill_values")
+    return processed_table(readings, study.load("road_network"), saved=saved)
+
+
 def scaled_by_saved(study: Study, processed: DataFrame, task: str = "classification") -> DataFrame:
     """New processed rows scored with the saved scaler."""
     rows = prepare_features_target(encode_road_type(processed), task)
