@@ -4,23 +4,32 @@ Words and word pairs of the training texts are counted over all data. A count is
 quantised to a level on a log scale; a Bloom filter holds each n-gram once for every
 level up to its own, and probing level after level until one is missing gives the
 level back. The filter grows with the corpus: it is cut into segments by hash, each
-sized by the level entries counted for it, so that it holds every n-gram. No process
-holds all of it. Documents are dealt by hash into parts; a part sends each of its
-distinct n-grams, with its training count, to the n-gram's segment. The segment's task
-adds the counts up, builds its bits, probes them and sends the levels back to the
-parts, which meet their texts again. Parts and segments grow with the corpus, a task
-holds one at a time. The probability of a word after another is smoothed towards that
-of the word: ``(c(uw) + m p(w)) / (c(u) + m)``, with ``c`` from the filter.
+sized by the level entries counted for it, so that it holds every n-gram. ``fit`` builds
+the segments once and stores them.
+
+A second filter of bounded size has an equal share for each segment, which holds the
+segment's most frequent n-grams down to some level. It is broadcast, and texts probe it
+first; with a small corpus it holds everything. An n-gram found there below that level,
+or not at all, may be a rarer one: documents are dealt into parts, and a part sends its
+distinct n-grams in doubt to their segments, whose tasks probe the stored bits and
+send the levels back. A message has all n-grams of one part and segment, so there are
+never more of them than distinct n-grams of parts. Parts and segments grow with the
+corpus, and a task holds one at a time. The probability of a word after another is
+smoothed towards that of the word: ``(c(uw) + m p(w)) / (c(u) + m)``, with ``c`` from
+the filter.
 
 The base score needs exact counts of words. Those of the most frequent words are
 broadcast (at most ``EXACT_WORDS``); tokens that are not among them are joined with
 the count table.
 
 Rows: a null text counts as empty and has the end token alone. Repeated rows score
-alike and are in one part; all other columns are dropped. Without training rows N and
-V are 0.
+alike, and each input partition's go to a part of their own. A very long text stays in
+one row of one part. All other columns are dropped. Ties do not arise. Without training
+rows N and V are 0. An empty table gives no rows.
 """
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,12 +39,13 @@ from roadstream.llm import words
 from roadstream.llm.store import stored
 
 FILTER_BITS = 1 << 28  # 32 MB, bound of a segment's mean size
+TOP_BITS = 1 << 27  # 16 MB, the filter that is broadcast
 EXACT_WORDS = 1 << 18  # 4 MB
 LOG_BASE = 1.5
 PROBES = 3
 BITS_PER_ENTRY = 16  # a missing level is then found in one of 200 cases at most
 SMOOTHING = 20.0
-DOCS_PER_SEGMENT = 1000
+DOCS_PER_PART = 1000
 TOKENS_PER_SEGMENT = 1 << 20
 LEAST_SEGMENTS = 64
 SLICE = 128
@@ -100,14 +110,15 @@ def segment_bits(counts: np.ndarray) -> int:
     return 1 << max(12, (BITS_PER_ENTRY * entries - 1).bit_length())
 
 
-def build_segment(sub: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
-    """Bits of a segment from its n-grams and their counts (rows may repeat).
+def build_segment(sub: np.ndarray, counts: np.ndarray, bits: int) -> tuple[bytes, int]:
+    """Bits of a segment from its n-grams and their counts (rows may repeat), and the least
+    level of those that they hold; at most 1 if they hold all.
 
-    With fewer than ``segment_bits`` the rarest are left out; ``score`` gives as many.
+    With fewer than ``segment_bits`` the rarest levels are left out whole.
     """
     sub, counts = summed(sub, counts)
     levels = level(counts)
-    room = bits * np.log(2) / PROBES
+    room = bits / BITS_PER_ENTRY
     by_level = np.bincount(levels, minlength=2)
     needed = np.cumsum((by_level * np.arange(len(by_level)))[::-1])[::-1]
     least = int(np.argmax(needed <= room)) if (needed <= room).any() else len(by_level)
@@ -116,7 +127,7 @@ def build_segment(sub: np.ndarray, counts: np.ndarray, bits: int) -> bytes:
     for at in range(1, int(levels.max(initial=0)) + 1):
         for place in _bit_places(sub[levels >= at], at, bits):
             held[place] = 1
-    return np.packbits(held).tobytes()
+    return np.packbits(held).tobytes(), least
 
 
 def split_key(keys: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,14 +189,13 @@ def word_counts(docs: DataFrame, trains_on: Column) -> DataFrame:
     return parts.groupBy("key").agg(F.sum("c").alias("c"))
 
 
-def segments_for(docs: DataFrame, n: int, filter_bits: int = FILTER_BITS) -> int:
-    """Segments, a power of two, for these documents with ``n`` training tokens.
+def segments_for(n: int, filter_bits: int = FILTER_BITS) -> int:
+    """Segments, a power of two, for ``n`` training tokens.
 
     A level never exceeds its count, so words and pairs make at most 2n level entries.
     """
     by_bits = 2 * n * BITS_PER_ENTRY // filter_bits
-    by_rows = max(docs.count() // DOCS_PER_SEGMENT, n // TOKENS_PER_SEGMENT)
-    return 1 << int(max(LEAST_SEGMENTS, by_rows, by_bits) - 1).bit_length()
+    return 1 << int(max(LEAST_SEGMENTS, n // TOKENS_PER_SEGMENT, by_bits) - 1).bit_length()
 
 
 def _part_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,57 +208,63 @@ def _part_tokens(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tokens, before, sizes
 
 
-def part_levels(dealt: DataFrame, segments: int) -> DataFrame:
-    """``_part``, ``segment`` and ``levels`` (a byte each) of the part's distinct words
-    and pairs in that segment, ascending by key.
+def _by_segment(keys: np.ndarray, segments: int):
+    """32-bit numbers of ascending keys, and (segment, begin, end) of each segment's."""
+    segment, sub = split_key(keys, segments)
+    first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]])[: len(segment)])
+    ends = np.append(first[1:], len(sub))[: len(first)]
+    return sub, list(zip(segment[first].tolist(), first.tolist(), ends.tolist(), strict=True))
 
-    ``dealt`` has ``_part``, ``text`` and ``_trains``.
-    """
 
-    def grams(table: pa.Table) -> pa.Table:
-        tokens, before, sizes = _part_tokens(table)
-        own = np.repeat(table.column("_trains").to_numpy(), sizes).astype(np.int64)
-        keys = np.concatenate([tokens, pair_keys(before, tokens)])
-        keys, counts = summed(keys, np.concatenate([own, own]))
-        segment, sub = split_key(keys, segments)
-        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        spans = list(zip(first.tolist(), [*first[1:].tolist(), len(sub)], strict=True))
-        counts = counts.astype(np.uint32)
-        return pa.table(
-            {
-                "_part": pa.array([table.column("_part")[0].as_py()] * len(spans), pa.int64()),
-                "segment": pa.array(segment[first]),
-                "sub": pa.array([sub[a:b].tobytes() for a, b in spans], pa.binary()),
-                "n": pa.array([counts[a:b].tobytes() for a, b in spans], pa.binary()),
-            }
-        )
+def segment_table(docs: DataFrame, trains_on: Column, segments: int, top_bits: int) -> DataFrame:
+    """``segment``, ``bits`` (of all its n-grams), ``top`` (of ``top_bits`` bits) and
+    ``least``, the level from which on ``top`` holds all."""
+
+    def rows(batches):
+        found, held = [], 0
 
-    def levels(table: pa.Table) -> pa.Table:
-        rows = table.column("sub").to_pylist()
-        sub = np.frombuffer(b"".join(rows), np.uint32)
-        n = np.frombuffer(b"".join(table.column("n").to_pylist()), np.uint32)
-        sub, place = np.unique(sub, return_inverse=True)
-        counts = np.bincount(place, n, len(sub)).astype(np.int64)
-        trained = counts > 0
-        bits = segment_bits(counts[trained])
-        held = np.frombuffer(build_segment(sub[trained], counts[trained], bits), np.uint8)
-        found = _probe_at(np.zeros(len(sub), np.int64), sub, held, bits)
-        found = np.minimum(found, 255).astype(np.uint8)[place]
-        upto = np.cumsum([len(r) // 4 for r in rows]).tolist()
-        spans = zip([0, *upto[:-1]], upto, strict=True)
+        def batch_of():
+            keys, counts = summed(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            sub, spans = _by_segment(keys, segments)
+            counts = counts.astype(np.uint32)
+            columns = [
+                pa.array([segment for segment, _, _ in spans], pa.int64()),
+                pa.array([sub[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                pa.array([counts[a:b].tobytes() for _, a, b in spans], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["segment", "sub", "n"])
+
+        for batch in batches:
+            for i in range(0, batch.num_rows, SLICE):
+                texts = batch.slice(i, SLICE).column("text").to_pylist()
+                tokens, before, _ = token_rows(texts)
+                own = counted(np.concatenate([tokens, pair_keys(before, tokens)]))
+                found.append(own)
+                held += len(own[0])
+                if held >= CHUNK:
+                    yield batch_of()
+                    found, held = [], 0
+        if held:
+            yield batch_of()
+
+    def build(table: pa.Table) -> pa.Table:
+        sub = np.frombuffer(b"".join(table.column("sub").to_pylist()), np.uint32)
+        counts = np.frombuffer(b"".join(table.column("n").to_pylist()), np.uint32)
+        sub, counts = summed(sub, counts.astype(np.int64))
+        bits, _ = build_segment(sub, counts, segment_bits(counts))
+        top, least = build_segment(sub, counts, top_bits)
         return pa.table(
             {
-                "_part": table.column("_part"),
-                "segment": table.column("segment"),
-                "levels": pa.array([found[a:b].tobytes() for a, b in spans], pa.binary()),
+                "segment": table.column("segment")[:1],
+                "bits": pa.array([bits], pa.binary()),
+                "top": pa.array([top], pa.binary()),
+                "least": pa.array([least], pa.int64()),
             }
         )
 
-    return (
-        dealt.groupBy("_part")
-        .applyInArrow(grams, "_part long, segment long, sub binary, n binary")
-        .groupBy("segment")
-        .applyInArrow(levels, "_part long, segment long, levels binary")
+    parts = _training_rows(docs, trains_on).mapInArrow(rows, "segment long, sub binary, n binary")
+    return parts.groupBy("segment").applyInArrow(
+        build, "segment long, bits binary, top binary, least long"
     )
 
 
@@ -273,31 +289,132 @@ def frequent_words(counts: DataFrame, most: int = EXACT_WORDS) -> tuple[int, np.
     return least, keys[order], rows["c"].to_numpy(np.int64)[order]
 
 
-def score(docs: DataFrame, trains_on: Column, filter_bits: int = FILTER_BITS) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``.
-
-    ``trains_on`` is the condition on rows that the model learns from; a segment of the
-    filter has ``filter_bits`` at most on average.
+@dataclass(frozen=True)
+class Model:
+    """What training leaves: tables of exact word counts and of filter segments, and the
+    small parts of both that are broadcast."""
+
+    counts: DataFrame
+    n: int
+    v: int
+    least_count: int
+    frequent: tuple[np.ndarray, np.ndarray]
+    segments: int
+    bits: DataFrame
+    top: np.ndarray
+    least: np.ndarray
+
+    def score(self, docs: DataFrame) -> DataFrame:
+        """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``
+        of any documents."""
+        return _scored(docs, self)
+
+
+def fit(
+    docs: DataFrame,
+    trains_on: Column,
+    filter_bits: int = FILTER_BITS,
+    top_bits: int = TOP_BITS,
+) -> Model:
+    """Model of the rows for which ``trains_on`` holds.
+
+    A segment of the filter has ``filter_bits`` at most on average, the filter that is
+    broadcast ``top_bits``, or 64 for each segment.
     """
-    trains = F.coalesce(trains_on, F.lit(False)).alias("_trains")
-    docs = docs.select("doc_id", "text")
     counts = stored(word_counts(docs, trains_on))
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    least, keys, exact = frequent_words(counts)
-    segments = segments_for(docs, n, filter_bits)
-    frequent = docs.sparkSession.sparkContext.broadcast((keys, exact))
-    below = np.log10(n + v + 1.0)
+    least_count, keys, exact = frequent_words(counts)
+    segments = segments_for(n, filter_bits)
+    share = max(64, top_bits // segments)
+    table = stored(segment_table(docs, trains_on, segments, share))
+    top, least = np.zeros((segments, share // 8), np.uint8), np.zeros(segments, np.uint8)
+    # The broadcast filter itself, of bounded size.
+    for row in table.select("segment", "top", "least").toLocalIterator():
+        top[row.segment] = np.frombuffer(row.top, np.uint8)
+        least[row.segment] = row.least
+    bits = table.select("segment", "bits")
+    return Model(counts, n, v, least_count, (keys, exact), segments, bits, top.ravel(), least)
 
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(segments)).alias("_part")
-    dealt = docs.select(F.col("doc_id").cast("long"), "text", trains, part)
 
-    def model_scores(tokens, before, sizes, levels):
-        """Logarithms of the tokens' probabilities, from their part's levels."""
+def score(
+    docs: DataFrame, trains_on: Column, filter_bits: int = FILTER_BITS, top_bits: int = TOP_BITS
+) -> DataFrame:
+    """``Model.score`` of all documents by a model of those on which ``trains_on`` holds."""
+    return fit(docs.select("doc_id", "text"), trains_on, filter_bits, top_bits).score(docs)
+
+
+def _in_doubt(keys: np.ndarray, tables: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of n-grams by the broadcast filter, and which of them it can't be sure of."""
+    levels = probe(keys, tables["top"], tables["segments"])
+    least = tables["least"][split_key(keys, tables["segments"])[0]]
+    return levels, (least > 1) & (levels < least)
+
+
+def part_levels(dealt: DataFrame, bits: DataFrame, shared) -> DataFrame:
+    """``_part``, ``segment`` and ``levels`` (a byte each) of the part's distinct n-grams in
+    doubt in that segment, ascending by key. ``dealt`` has ``_part`` and ``text``."""
+
+    def grams(table: pa.Table) -> pa.Table:
+        tokens, before, _ = _part_tokens(table)
+        keys = np.unique(np.concatenate([tokens, pair_keys(before, tokens)]))
+        keys = keys[_in_doubt(keys, shared.value)[1]]
+        sub, spans = _by_segment(keys, shared.value["segments"])
+        return pa.table(
+            {
+                "_part": pa.array([table.column("_part")[0].as_py()] * len(spans), pa.int64()),
+                "segment": pa.array([segment for segment, _, _ in spans], pa.int64()),
+                "sub": pa.array([sub[a:b].tobytes() for _, a, b in spans], pa.binary()),
+            }
+        )
+
+    def levels(asked: pa.Table, held: pa.Table) -> pa.Table:
+        out = []
+        bits = np.frombuffer(held.column("bits")[0].as_py() if held.num_rows else b"", np.uint8)
+        for row in asked.column("sub"):
+            sub = np.frombuffer(row.as_py(), np.uint32)
+            found = np.zeros(len(sub), np.int64)
+            if len(bits):
+                found = _probe_at(found, sub, bits, 8 * len(bits))
+            out.append(np.minimum(found, 255).astype(np.uint8).tobytes())
+        return pa.table(
+            {
+                "_part": asked.column("_part"),
+                "segment": asked.column("segment"),
+                "levels": pa.array(out, pa.binary()),
+            }
+        )
+
+    asked = dealt.groupBy("_part").applyInArrow(grams, "_part long, segment long, sub binary")
+    return (
+        asked.groupBy("segment")
+        .cogroup(bits.groupBy("segment"))
+        .applyInArrow(levels, "_part long, segment long, levels binary")
+    )
+
+
+def _scored(docs: DataFrame, model: Model) -> DataFrame:
+    n, v, least, counts = model.n, model.v, model.least_count, model.counts
+    context = docs.sparkSession.sparkContext
+    frequent = context.broadcast(model.frequent)
+    shared = context.broadcast(
+        {"top": model.top, "least": model.least, "segments": model.segments}
+    )
+    below = np.log10(n + v + 1.0)
+    parts = max(LEAST_SEGMENTS, docs.count() // DOCS_PER_PART)
+    # By input partition too, so that rows repeated very often do not meet in one part.
+    salted = F.xxhash64("doc_id", "text", F.spark_partition_id())
+    part = F.pmod(salted, F.lit(parts)).alias("_part")
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", part)
+
+    def model_scores(tokens, before, sizes, told):
+        """Logarithms of the tokens' probabilities, with the levels told by segments."""
         distinct, place = np.unique(
             np.concatenate([tokens, pair_keys(before, tokens)]), return_inverse=True
         )
-        if len(distinct) != len(levels):
-            raise ValueError(f"{len(levels)} levels for {len(distinct)} n-grams")
+        levels, doubt = _in_doubt(distinct, shared.value)
+        if doubt.sum() != len(told):
+            raise ValueError(f"{len(told)} levels for {doubt.sum()} n-grams")
+        levels[doubt] = told
         own = level_count(levels)
         count, both = own[place[: len(tokens)]], own[place[len(tokens) :]]
         first = np.empty_like(count)
@@ -334,7 +451,7 @@ def score(docs: DataFrame, trains_on: Column, filter_bits: int = FILTER_BITS) ->
         )
 
     schema = "doc_id long, n_tokens long, _known long, _base double, score double, _rest array<long>"
-    levels = part_levels(dealt, segments)
+    levels = part_levels(dealt, model.bits, shared)
     scored = dealt.groupBy("_part").cogroup(levels.groupBy("_part")).applyInArrow(rows, schema)
     out = ["doc_id", "n_tokens"]
     end = [F.lit(int(n)).alias("train_tokens"), F.col("_base").alias("base_score"), "score"]

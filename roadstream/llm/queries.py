@@ -159,7 +159,7 @@ def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = samples.id_remainder("doc_id", 7) == 2
-    scored = lm.score(docs, ~held_out)
+    scored = lm.fit(docs, ~held_out).score(docs)
     columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select("doc_id", held_out.alias("held_out"), *columns)
 

@@ -138,8 +138,9 @@ def test_language_model(spark, monkeypatch, most):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
-def test_language_model_holds_every_pair(spark):
-    """However small a segment is to be, no count level is left out."""
+@pytest.mark.parametrize("top_bits", [1 << 24, 1 << 18, 1])
+def test_language_model_holds_every_pair(spark, top_bits):
+    """However small a segment or the broadcast filter is, no count level is left out."""
     rng = random.Random(11)
     rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(150))) for i in range(300)]
     tokens = {i: plain_tokens(t) for i, t in rows}
@@ -156,7 +157,7 @@ def test_language_model_holds_every_pair(spark):
         return float(lm.level_count(lm.level(np.array([c[key]])))[0]) if c[key] else 0.0
 
     docs = spark.createDataFrame(rows, NO_DOCS)
-    for r in lm.score(docs, F.col("doc_id") < 200, 1 << 14).collect():
+    for r in lm.score(docs, F.col("doc_id") < 200, 1 << 14, top_bits).collect():
         want, before = 0.0, None
         for t in tokens[r.doc_id]:
             both = min(held((before, t)), held(t), held(before))
@@ -166,6 +167,33 @@ def test_language_model_holds_every_pair(spark):
         assert abs(r.score - want) < 0.02 * abs(want), r.doc_id
 
 
+def test_stored_model_scores_new_texts(spark):
+    """A model is fitted once; broadcast levels and those of segments agree."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(f"w{min(rng.randrange(900), rng.randrange(900))}" for _ in range(120))) for i in range(300)]
+    docs = spark.createDataFrame(rows[:200], NO_DOCS)
+    new = spark.createDataFrame(rows[200:] + [(900, None), (901, "zz " * 30_000)], NO_DOCS)
+    models = [lm.fit(docs, F.lit(True), 1 << 20, bits) for bits in (1 << 26, 1 << 16)]
+    assert (models[0].least <= 1).all() and (models[1].least > 1).all()
+    found = [{r.doc_id: r.score for r in m.score(new).collect()} for m in models]
+    assert set(found[0]) == set(range(200, 300)) | {900, 901}
+    assert all(abs(found[0][i] - found[1][i]) < 0.02 * abs(found[0][i]) for i in found[0])
+    again = {r.doc_id: r.score for r in models[1].score(new.repartition(5)).collect()}
+    assert again == pytest.approx(found[1])
+
+
+def test_repeated_rows_score_alike_in_several_parts(spark):
+    rows = [(i, f"some words {i} {i % 7}") for i in range(50)]
+    docs = spark.createDataFrame(rows + [(7, "the same row again and again")] * 3000, NO_DOCS)
+    spread = docs.repartition(8)
+    found = lm.score(spread, F.lit(True), 1 << 16, 1 << 12).collect()
+    assert len(found) == 3050
+    assert len({r.score for r in found if r.doc_id == 7 and r.n_tokens == 7}) == 1
+    part = F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(lm.LEAST_SEGMENTS))
+    largest = spread.groupBy(part.alias("p")).count().agg(F.max("count")).first()[0]
+    assert largest < 2000
+
+
 def test_language_model_without_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], NO_DOCS)
     none = lm.score(docs, F.lit(False), 1 << 20).collect()
@@ -180,7 +208,9 @@ def test_filter_levels(bits, whole):
     keys = words.mixed(np.arange(20_000, dtype=np.uint64))
     counts = rng.geometric(0.05, len(keys))
     segment, sub = lm.split_key(keys, 4)
-    parts = [lm.build_segment(sub[segment == s], counts[segment == s], bits) for s in range(4)]
+    built = [lm.build_segment(sub[segment == s], counts[segment == s], bits) for s in range(4)]
+    parts = [own for own, _ in built]
+    assert all((least <= 1) == whole for _, least in built)
     table = np.frombuffer(b"".join(parts), np.uint8)
     found, true = lm.probe(keys, table, 4), lm.level(counts)
     for s in range(4):
