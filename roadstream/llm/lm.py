@@ -72,6 +72,12 @@ def pair_keys(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         return words.mixed(before * words.GOLDEN + tokens)
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Ascending; by a sort, which is several times as fast as np.unique's hashing here."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]]
+
+
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
@@ -356,7 +362,7 @@ def part_levels(dealt: DataFrame, bits: DataFrame, shared) -> DataFrame:
 
     def grams(table: pa.Table) -> pa.Table:
         tokens, before, _ = _part_tokens(table)
-        keys = np.unique(np.concatenate([tokens, pair_keys(before, tokens)]))
+        keys = distinct(np.concatenate([tokens, pair_keys(before, tokens)]))
         keys = keys[_in_doubt(keys, shared.value)[1]]
         sub, spans = _by_segment(keys, shared.value["segments"])
         return pa.table(
@@ -408,10 +414,10 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def model_scores(tokens, before, sizes, told):
         """Logarithms of the tokens' probabilities, with the levels told by segments."""
-        distinct, place = np.unique(
+        keys, place = np.unique(
             np.concatenate([tokens, pair_keys(before, tokens)]), return_inverse=True
         )
-        levels, doubt = _in_doubt(distinct, shared.value)
+        levels, doubt = _in_doubt(keys, shared.value)
         if doubt.sum() != len(told):
             raise ValueError(f"{len(told)} levels for {doubt.sum()} n-grams")
         levels[doubt] = told
@@ -420,7 +426,7 @@ def _scored(docs: DataFrame, model: Model) -> DataFrame:
         first = np.empty_like(count)
         first[1:] = count[:-1]
         # No word comes before the start; there are as many starts as ends.
-        first[np.cumsum(sizes) - sizes] = own[np.searchsorted(distinct, END)]
+        first[np.cumsum(sizes) - sizes] = own[np.searchsorted(keys, END)]
         both = np.minimum(both, np.minimum(count, first))
         plain = (count + 1) / (n + v + 1.0)
         return np.log10((both + SMOOTHING * plain) / (first + SMOOTHING))
