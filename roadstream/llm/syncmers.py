@@ -5,11 +5,14 @@ pieces. A k-mer is ``K`` units in a row; its inner substrings are ``S`` units lo
 A k-mer is an anchor (a closed syncmer) if the substring with the least hash stands
 at either edge. That depends on the k-mer alone, not on its surroundings, so equal
 passages have equal anchors, wherever they stand. A fingerprint lists the anchors
-with their places; its likeness to another is the share of the anchors in common.
+with their places; its likeness to another is the share of anchors that match at one
+common shift of places.
 
 Rows: a null text counts as empty. A text of fewer than ``K`` units has one anchor
 for the whole sequence; one of ``K`` or more of which no k-mer is closed has the k-mer
 with the least hash. Only a text without units has none; two such have likeness 1.
+Very long texts are worked on whole, in time about linear in their units. Of shifts with
+equally many matches it does not matter which. An empty table stays empty.
 With null ids documents come first in order, those with equal ids by text. Other
 columns stay; an output column replaces one of the same name.
 """
@@ -83,13 +86,41 @@ def as_text(found: Column | str) -> Column:
     return F.array_join(written, " ")
 
 
-def likeness(a: Column | str, b: Column | str) -> Column:
-    """Common anchors as a share of the mean number of distinct anchors of two texts."""
+def likeness(a: Column | str, b: Column | str, candidates: int = 8) -> Column:
+    """Anchors that agree in hash and in one common shift of places, as a share of the mean
+    number of anchors of two texts.
+
+    The shift is the best of 0 and those of the common anchors with the least hashes, up
+    to ``candidates``; an anchor's place is its first. So a passage counts wherever it
+    stands, but passages in another order, or twice, do not all count.
+    """
     left, right = (F.col(x) if isinstance(x, str) else x for x in (a, b))
-    left, right = left["hash"], right["hash"]
-    both = F.size(F.array_intersect(left, right))
-    either = F.size(F.array_union(left, right))
-    return F.when(either > 0, 2.0 * both / (either + both)).otherwise(1.0)
+
+    def placed(found: Column, shift: Column) -> Column:
+        """Place and hash of each anchor as one number."""
+        return F.transform(
+            found, lambda x: (x["pos"] + shift).cast("long") * (1 << HASH_BITS) + x["hash"]
+        )
+
+    def place(found: Column, code: Column) -> Column:
+        at = F.array_position(found["hash"], code).cast("int") - 1
+        return F.get(found["pos"], at).cast("long")
+
+    def best(common: Column) -> Column:
+        few = F.slice(F.array_sort(common), 1, candidates)
+        moves = F.transform(few, lambda h: place(right, h) - place(left, h))
+        shifts = F.array_distinct(F.array_append(moves, F.lit(0).cast("long")))
+
+        def matches(other: Column) -> Column:
+            return F.array_max(
+                F.transform(shifts, lambda s: F.size(F.array_intersect(placed(left, s), other)))
+            )
+
+        return F.when(F.size(common) > 0, bound(placed(right, F.lit(0)), matches)).otherwise(0)
+
+    total = F.size(left) + F.size(right)
+    same = bound(F.array_intersect(left["hash"], right["hash"]), best)
+    return F.when(total > 0, 2.0 * same / total).otherwise(1.0)
 
 
 def fingerprint(df: DataFrame, text: str = "text", output: str = "fingerprint") -> DataFrame:

@@ -4,12 +4,14 @@ import hashlib
 import math
 import random
 import re
+import struct
 from collections import Counter
 from zlib import crc32
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from conftest import DATA
@@ -289,6 +291,69 @@ def test_short_texts_have_anchors(spark):
     assert row[0] == 1.0
 
 
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def chain(numbers, seed=42):
+    """xxhash64 of several longs: each one's hash is the seed of the next."""
+    for n in numbers:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", n), seed)
+    return signed(seed)
+
+
+def brute_anchors(text, k=6, s=2):
+    units = re.findall(r"[^\x20\x09-\x0D]{1,12}", text)
+    h = [signed(xxhash.xxh64_intdigest(u.encode(), 42)) for u in units]
+    low = 0xFFFFFFFF
+    if len(h) < k:
+        return [(0, chain(h) & low)] if h else []
+    g = [chain(h[i : i + s]) for i in range(len(h) - s + 1)]
+    last = k - s
+    code = lambda i: chain([g[i + j] for j in (*range(0, last, s), last)])
+    starts = range(len(g) - last)
+    kept = [i for i in starts if min(g[i : i + last + 1]) in (g[i], g[i + last])]
+    kept = kept or [min((code(i), i) for i in starts)[1]]
+    return [(i, code(i) & low) for i in kept]
+
+
+def brute_likeness(a, b):
+    if not a and not b:
+        return 1.0
+    first = [{}, {}]
+    for found, own in zip(first, (a, b), strict=True):
+        for pos, code in own:
+            found.setdefault(code, pos)
+    common = sorted(set(first[0]) & set(first[1]))
+    shifts = {first[1][c] - first[0][c] for c in common[:8]} | {0}
+    most = max(len({(p + s, c) for p, c in a} & set(b)) for s in shifts)
+    return 2 * most / (len(a) + len(b))
+
+
+def test_likeness_is_positional(spark):
+    rng = random.Random(14)
+    one, two = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(200)) for _ in range(2))
+    pairs = [
+        (f"{one} {two}", f"{two} {one}", 0.3, 0.6),  # halves swapped
+        (one, f"{one} {one}", 0.5, 0.75),  # twice
+        (f"{one} {two}", f"{one} other words here", 0.5, 0.75),  # an unchanged first half
+        (one, f"in front {one}", 0.95, 1.0),  # the whole, moved
+        (one, one, 1.0, 1.0),
+        (one, two, 0.0, 0.0),
+        ("a b " * 300, "a b " * 300, 1.0, 1.0),  # few hashes, very often
+        ("", "", 1.0, 1.0),
+        ("", one, 0.0, 0.0),
+    ]
+    docs = spark.createDataFrame([(i, *p[:2]) for i, p in enumerate(pairs)], "i int, a string, b string")
+    anchored = docs.select("i", syncmers.anchors("a").alias("a"), syncmers.anchors("b").alias("b"))
+    for r in anchored.select("i", "a", "b", syncmers.likeness("a", "b").alias("near")).collect():
+        x, y, low, high = pairs[r.i]
+        assert [tuple(t) for t in r.a] == brute_anchors(x)
+        assert low <= r.near <= high and r.near == pytest.approx(
+            brute_likeness(brute_anchors(x), brute_anchors(y))
+        )
+
+
 def test_fingerprint_query(spark):
     docs = sorted(
         (r.doc_id, r.text or "") for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()
@@ -299,6 +364,15 @@ def test_fingerprint_query(spark):
     for row in found:
         n, edited = want[row.doc_id]
         assert (row.n_chars, row.edited_sha256) == (n, hashlib.sha256(edited.encode()).hexdigest())
+    texts = [t for _, t in docs]
+    for i, (doc_id, text) in enumerate(docs):
+        row = next(r for r in found if r.doc_id == doc_id)
+        own, other = brute_anchors(text), brute_anchors(texts[(i + 1) % len(texts)])
+        changed = brute_anchors(want[doc_id][1])
+        written = [" ".join(f"{p}:{c:x}" for p, c in x) for x in (own, changed)]
+        assert [row.fingerprint, row.edited_fingerprint] == written
+        near = [brute_likeness(own, x) for x in (changed, other)]
+        assert [row.near_edited, row.near_next] == pytest.approx(near)
     assert np.mean([r.near_edited for r in found]) > 0.6 > 0.1 > np.mean([r.near_next for r in found])
 
 
