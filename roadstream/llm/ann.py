@@ -14,8 +14,9 @@ neither crowd out others nor get lost.
 
 Rows: vectors that are null, empty, zero or hold nulls, NaN or infinities take no part,
 nor do null ids. Of rows with equal ids the least vector counts. Vectors meet only those
-of the same length. With fewer than ``k`` candidates all are returned. Other columns are
-ignored.
+of the same length. With fewer than ``k`` candidates all are returned. Ties go to the
+smaller id. Other columns are ignored. An empty table, or one without queries, gives no
+rows.
 """
 
 import numpy as np
@@ -31,7 +32,6 @@ BUILD_BEAM, QUERY_BEAM = 64, 128
 EXPANDED = 4  # vectors of a beam whose edges are followed at once
 ALPHAS = (1.0, 1.2)
 BATCH = 256
-QUERY_BLOCK = 4096
 
 
 def usable(vectors: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -216,67 +216,103 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     return dealt.groupBy("dim", "shard").applyInArrow(shard_graph, INDEX)
 
 
+FOUND = "query_id long, vec_id long, score double"
+
+
+class Shard:
+    """A shard's graph, and the exact search of what it finds."""
+
+    def __init__(self, pieces: list[pa.RecordBatch]):
+        rows = pa.Table.from_batches(pieces).combine_chunks()
+        self.exact = _matrix(rows.column("vector"))
+        self.x = self.exact.astype(np.float32)
+        lists = rows.column("neighbours").to_pylist()
+        self.graph = np.full((len(lists), max(1, max(map(len, lists)))), -1)
+        for i, own in enumerate(lists):
+            self.graph[i, : len(own)] = own
+        self.entry = int(np.argmax(rows.column("entry").to_numpy(zero_copy_only=False)))
+        self.norms, self.members = (self.x**2).sum(axis=1), rows.column("vec_ids")
+
+    def nearest(self, queries: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        """Each query's ``k`` nearest of the shard, without itself."""
+        q = _matrix(pa.chunked_array([queries.column("vector")]))
+        asked = [own[0] for own in queries.column("vec_ids").to_pylist()]
+        ids = beam_search(
+            self.x, self.norms, self.graph, self.entry, q.astype(np.float32), QUERY_BEAM
+        )[0]
+        far = np.sqrt(((self.exact[ids] - q[:, None, :]) ** 2).sum(axis=2))
+        out = ([], [], [])
+        for query, nodes, scores in zip(asked, ids, far, strict=True):
+            own = scores[nodes >= 0]
+            nodes = nodes[nodes >= 0]
+            order = np.argsort(own, kind="stable")[: k + 1]
+            # Nodes as far as the last one are candidates too, for their smaller ids.
+            order = np.flatnonzero(own <= own[order[-1]])
+            pairs = sorted(
+                (float(own[i]), v)
+                for i in order
+                for v in self.members[int(nodes[i])].as_py()[: k + 1]
+                if v != query
+            )[:k]
+            out[0].extend([query] * len(pairs))
+            out[1].extend(v for _, v in pairs)
+            out[2].extend(s for s, _ in pairs)
+        kinds = (pa.int64(), pa.int64(), pa.float64())
+        arrays = [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
+
+
+def _pieces(batch: pa.RecordBatch):
+    """Stretches of one shard's nodes or queries: ((dim, shard), is query, rows)."""
+    dims, shards = batch.column("dim").to_numpy(), batch.column("shard").to_numpy()
+    asked = batch.column("query").to_numpy(zero_copy_only=False)
+    change = (np.diff(dims) != 0) | (np.diff(shards) != 0) | (np.diff(asked.astype(int)) != 0)
+    cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(dims)]
+    for begin, end in zip(cuts, cuts[1:], strict=False):
+        if begin < end:
+            key = (int(dims[begin]), int(shards[begin]))
+            yield key, bool(asked[begin]), batch.slice(begin, end - begin)
+
+
 def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """The ``k`` nearest found for each query (vec_id, vector, dim), without itself:
     ``query_id``, ``rank``, ``vec_id``, ``score``.
 
-    Queries meet shards in blocks: a task holds one shard and ``QUERY_BLOCK`` queries.
+    A task holds one shard at a time, and all queries stream past it, ``BATCH`` at once: the
+    index moves once, however many queries there are.
     """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     # New column names tell the list of shards from the index itself.
     shards = index.select("dim", "shard").distinct().toDF("dim", "shard")
-    asked = queries.withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int")
-    ).join(F.broadcast(shards), "dim")
-    parts = index.withColumn(
-        "block", F.explode(F.array(*[F.lit(b) for b in range(blocks)]))
-    )
-
-    def found(graph_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
-        schema = pa.schema(
-            [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]
-        )
-        if not graph_rows.num_rows or not query_rows.num_rows:
-            return schema.empty_table()
-        graph_rows = graph_rows.sort_by("node")
-        exact = _matrix(graph_rows.column("vector"))
-        x = exact.astype(np.float32)
-        lists = graph_rows.column("neighbours").to_pylist()
-        graph = np.full((len(x), max(1, max(map(len, lists)))), -1)
-        for i, own in enumerate(lists):
-            graph[i, : len(own)] = own
-        entry = int(np.argmax(graph_rows.column("entry").to_numpy(zero_copy_only=False)))
-        norms, members = (x**2).sum(axis=1), graph_rows.column("vec_ids")
-        asked_ids = query_rows.column("vec_id").to_numpy()
-        asked_vectors = _matrix(query_rows.column("vector"))
-        out = ([], [], [])
-        for begin in range(0, len(asked_ids), BATCH):
-            q = asked_vectors[begin : begin + BATCH]
-            ids = beam_search(x, norms, graph, entry, q.astype(np.float32), QUERY_BEAM)[0]
-            far = np.sqrt(((exact[ids] - q[:, None, :]) ** 2).sum(axis=2))
-            for query, nodes, scores in zip(asked_ids[begin:], ids, far, strict=False):
-                own = scores[nodes >= 0]
-                nodes = nodes[nodes >= 0]
-                order = np.argsort(own, kind="stable")[: k + 1]
-                # Nodes as far as the last one are candidates too, for their smaller ids.
-                order = np.flatnonzero(own <= own[order[-1]])
-                pairs = sorted(
-                    (float(own[i]), v)
-                    for i in order
-                    for v in members[int(nodes[i])].as_py()[: k + 1]
-                    if v != query
-                )[:k]
-                out[0].extend([int(query)] * len(pairs))
-                out[1].extend(v for _, v in pairs)
-                out[2].extend(s for s, _ in pairs)
-        return pa.table(list(out), schema=schema)
-
-    keys = ("dim", "shard", "block")
-    near = (
-        parts.groupBy(*keys)
-        .cogroup(asked.groupBy(*keys))
-        .applyInArrow(found, "query_id long, vec_id long, score double")
+    asked = queries.join(F.broadcast(shards), "dim").select(
+        "dim",
+        "shard",
+        F.lit(True).alias("query"),
+        F.lit(None).cast("int").alias("node"),
+        F.array("vec_id").alias("vec_ids"),
+        "vector",
+        F.lit(None).cast("array<int>").alias("neighbours"),
+        F.lit(None).cast("boolean").alias("entry"),
     )
+    nodes = index.withColumn("query", F.lit(False)).select(asked.columns)
+    parts = max(1, shards.count())
+    dealt = nodes.unionByName(asked).repartition(parts, "dim", "shard")
+    in_order = dealt.sortWithinPartitions("dim", "shard", "query", "node")
+
+    def found(batches):
+        current, held, shard = None, [], None
+        for batch in batches:
+            for key, is_query, piece in _pieces(batch):
+                if key != current:
+                    current, held, shard = key, [], None
+                if not is_query:
+                    held.append(piece)
+                    continue
+                if shard is None:
+                    shard, held = Shard(held), []
+                for begin in range(0, piece.num_rows, BATCH):
+                    yield shard.nearest(piece.slice(begin, BATCH), k)
+
+    near = in_order.mapInArrow(found, FOUND)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

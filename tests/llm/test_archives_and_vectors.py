@@ -209,3 +209,29 @@ def test_sample_is_bounded_with_repeated_ids(spark):
     assert len(found) == len({r.doc_id for r in found}) == 16
     least = {i: min(f"text {j}" for j in range(i, 400, 20)) for i in range(20)}
     assert all(r.text == least[r.doc_id] and r._label == r.doc_id % 2 for r in found)
+
+
+def test_queries_stream_past_shards_that_move_once(spark):
+    """Many batches of queries, several shards and lengths: no copy of the index, same recall."""
+    rng = np.random.default_rng(17)
+    rows = [(i, rng.normal(size=12).tolist()) for i in range(3000)]
+    rows += [(5000 + i, rng.normal(size=7).tolist()) for i in range(600)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = ann.stored(ann.usable(table))
+    index = ann.stored(ann.build_index(vectors, 500))
+    asked = vectors.filter("vec_id % 2 = 0")
+    near = ann.search(index, asked, 10)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("MapInArrow") == 1
+    found = {}
+    for r in near.collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert len(found) == 1800
+    hit = 0
+    for part in (rows[:3000], rows[3000:]):
+        x, ids = np.array([v for _, v in part]), np.array([i for i, _ in part])
+        for i in range(0, len(part), 20):
+            far = ((x - x[i]) ** 2).sum(axis=1)
+            far[i] = np.inf
+            hit += len(set(ids[np.argsort(far)[:10]].tolist()) & found[ids[i]])
+    assert hit >= 0.95 * 10 * (150 + 30)
