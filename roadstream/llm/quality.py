@@ -7,8 +7,9 @@ with the strongest joint error get tables over coarser bins in the same way. A
 score is the sum of one table entry per feature and pair.
 
 Rows: null and empty texts have feature values of 0 words and score like any
-other. Without labelled rows of both classes the model is a constant, the
-smoothed share of class 1. Repeated rows score alike; other columns stay, and an
+other, very long ones are read whole. Without labelled rows of both classes, or in an
+empty table, the model is a constant, the smoothed share of class 1. A score equal to
+the threshold is predicted 1. Repeated rows score alike; other columns stay, and an
 output column replaces one of the same name.
 """
 

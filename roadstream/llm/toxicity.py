@@ -12,8 +12,9 @@ The model is a table of ``2 ** BITS`` weights. As it is linear, a word's score i
 the sum of its n-grams' weights, and a text's the sum over its distinct words.
 
 Rows: null and empty texts have no features and score the intercept. Without
-labelled rows of both classes the model is a constant, the smoothed share of
-class 1. Repeated rows score alike; other columns stay, and an output column
+labelled rows of both classes, or in an empty table, the model is a constant, the
+smoothed share of class 1. A score equal to the threshold is predicted 1. Very long texts
+are scored whole. Repeated rows score alike; other columns stay, and an output column
 replaces one of the same name.
 """
 
@@ -35,6 +36,7 @@ ROWS_PER_CLASS = 5000  # bound of the labelled sample
 MIN_Z = 2.5
 PIECE = 1 << 20  # values that are unpacked at a time
 PENALTY = 1.0
+SLICE = 100
 KEPT_WORDS = 200_000  # kept word scores of a worker, about 25 MB
 
 
@@ -54,6 +56,35 @@ def buckets(word: str) -> list[int]:
     ]
 
 
+def _crc_table() -> np.ndarray:
+    """CRC-32 of each byte, from the polynomial."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+CRC = _crc_table()
+
+
+def word_scores(words: list[str], weights: np.ndarray) -> list[float]:
+    """Sum of the weights of each word's buckets, of all ASCII words by array operations."""
+    plain = [w for w in words if w.isascii()]
+    data = np.frombuffer("".join([f" {w} " for w in plain]).encode() + bytes(SIZES[-1]), np.uint8)
+    sizes = np.array([len(w) + 2 for w in plain], np.int64)
+    owner = np.repeat(np.arange(len(plain)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(owner))
+    sums, crc = np.zeros(len(plain)), np.full(len(owner), 0xFFFFFFFF, np.uint32)
+    for n in range(1, SIZES[-1] + 1):
+        crc = CRC[(crc ^ data[n - 1 : n - 1 + len(owner)]) & 255] ^ (crc >> np.uint32(8))
+        if n in SIZES:
+            whole = left >= n
+            at = ~crc[whole] & np.uint32((1 << BITS) - 1)
+            sums += np.bincount(owner[whole], weights[at], len(plain))
+    found = dict(zip(plain, sums.tolist(), strict=True))
+    return [found[w] if w in found else float(weights[buckets(w)].sum()) for w in words]
+
+
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of a text, ascending, and their values."""
     found = [b for word in set((text or "").lower().split()) for b in buckets(word)]
@@ -223,22 +254,25 @@ def score(text: Column | str, model: Model, df: DataFrame) -> Column:
     """Probability of class 1; the weights (2 MB) are broadcast."""
     small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(
-        {"weights": model.weights.tolist(), "intercept": model.intercept}
+        {"weights": model.weights, "intercept": model.intercept}
     )
 
     @F.arrow_udf("double")
     def score_udf(texts: pa.Array) -> pa.Array:
         tables = shared.value
         known, weights = tables.setdefault("kept_words", {}), tables["weights"]
-        out = np.empty(len(texts))
-        for i, text in enumerate(texts):
+        out = []
+        for begin in range(0, len(texts), SLICE):
             if len(known) > KEPT_WORDS:
                 known.clear()
-            words = set((text.as_py() or "").lower().split())
-            for word in words:
-                if word not in known:
-                    known[word] = sum([weights[b] for b in buckets(word)])
-            out[i] = math.fsum([known[w] for w in words]) + tables["intercept"]
+            own = [
+                set((text or "").lower().split())
+                for text in texts.slice(begin, SLICE).to_pylist()
+            ]
+            fresh = [w for w in set().union(*own) if w not in known]
+            known.update(zip(fresh, word_scores(fresh, weights), strict=True))
+            out += [math.fsum([known[w] for w in words]) for words in own]
+        out = np.array(out) + tables["intercept"]
         return pa.array(1 / (1 + np.exp(-np.clip(out, -500, 500))))
 
     return score_udf(text)

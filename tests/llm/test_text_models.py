@@ -420,3 +420,13 @@ def test_mixing(spark):
     found = mixed(spark, rows)[0].filter("source = 'b'")
     assert [r.times for r in found.select("times").distinct().collect()] == [2]
     assert mixed(spark, [])[1] == []
+
+
+def test_word_scores_are_sums_of_buckets():
+    rng = random.Random(21)
+    weights = np.random.default_rng(21).normal(size=1 << toxicity.BITS)
+    own = ["".join(rng.choices("abcxyz09!é中", k=rng.randint(1, 12))) for _ in range(2000)]
+    own += ["a", "z" * 5000, "é"]
+    found = toxicity.word_scores(own, weights)
+    assert found == pytest.approx([weights[toxicity.buckets(w)].sum() for w in own])
+    assert toxicity.word_scores([], weights) == []
