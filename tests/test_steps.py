@@ -28,6 +28,12 @@ def test_features(study):
     splits = study.spark.read.parquet(f"{study.folder}/splits")
     assert splits.count() == processed.count()
     assert study.load("feature_names").count() == len(names)
+    # Fill values and daily sketches are kept; new readings need nothing else.
+    assert study.load("fill_values").count() == 27
+    daily = study.load("daily_sketches")
+    assert daily.agg(F.sum("rows")).first()[0] == processed.count()
+    new = steps.processed_by_saved(study, study.load("traffic_data"))
+    assert new.count() == processed.count() and set(new.columns) == set(processed.columns)
     # New rows are scored from the saved folder alone, like the rows it was fitted on.
     again = steps.scaled_by_saved(study, processed)
     keys = ["segment_id", "timestamp"]
