@@ -138,13 +138,18 @@ class Calibration:
         return rows.withColumn("scores", scores).withColumn("prediction", best).select(columns)
 
 
-def calibrate(predictions: DataFrame, bins: int = 4096) -> Calibration:
+def calibrate(
+    predictions: DataFrame, bins: int = 4096, rows_per_bin: int = 50
+) -> Calibration:
     """Isotonic regression of each class on its score, from rows that no model learned from.
 
     Scores are first put into at most ``bins`` bins of about equal size, so that pooling
-    works on a bounded number of points whatever the number of rows. A class seldom or
-    never seen at a score keeps the probability of half a row.
+    works on a bounded number of points whatever the number of rows, and of about
+    ``rows_per_bin`` rows at least, so that few rows are not followed one by one. A class
+    seldom or never seen at a score keeps the probability of half a row.
     """
+    count = predictions.count()
+    bins = max(2, min(bins, count // rows_per_bin))
     classes = range(len(p.LEVELS))
     names = [f"_score_{k}" for k in classes]
     rows = predictions.select(
@@ -165,7 +170,7 @@ def calibrate(predictions: DataFrame, bins: int = 4096) -> Calibration:
             featuresCol=names[k], labelCol="share", weightCol="weight", predictionCol=f"_p_{k}"
         )
         models.append(isotonic.fit(points))
-    return Calibration(models, 0.5 / (predictions.count() + 1))
+    return Calibration(models, 0.5 / (count + 1))
 
 
 @dataclass(frozen=True)

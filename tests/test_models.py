@@ -133,7 +133,7 @@ def test_pooling_equals_brute_force(spark):
     """One row a bin: adjacent violators pooled as in the plain algorithm."""
     rows = [(0 if i in (2, 5, 9, 11) else 1, [float(-i), float(i), 0.0, 0.0]) for i in range(12)]
     df = spark.createDataFrame(rows, "label int, scores array<double>")
-    found = classify.calibrate(df, bins=1000).models[1]
+    found = classify.calibrate(df, bins=1000, rows_per_bin=1).models[1]
     pools = []
     for label, _ in rows:
         pools.append([float(label), 1])
