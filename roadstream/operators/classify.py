@@ -27,7 +27,7 @@ from roadstream.operators.features import (
     lag_columns,
     rolling_columns,
 )
-from roadstream.operators.series import SeriesPlan, windowed
+from roadstream.operators.series import SeriesPlan, plan_series, windowed
 from roadstream.operators.sizes import checkpointed
 from roadstream.operators.splits import named_split
 
@@ -260,8 +260,9 @@ def rule_classifier(labelled: DataFrame, lags=(1,), plan: SeriesPlan | None = No
 
     The score of a class falls with the distance of the old ratio from its centre.
     """
+    plan = plan or plan_series(labelled)
     old = windowed(
-        labelled.select(*KEYS, "speed_kmh", "speed_limit", "congestion_code"),
+        plan.narrow(labelled, "speed_kmh", "speed_limit", "congestion_code"),
         lambda d, s: d.withColumns(
             {f"old_{k}": F.lag("speed_kmh", k).over(s.window) for k in lags}
         ),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from roadstream import params as p
 from roadstream.functions import traffic
-from roadstream.operators.series import Series, SeriesPlan, running, windowed
+from roadstream.operators.series import Series, SeriesPlan, plan_series, running, windowed
 from roadstream.operators.sizes import dimension_join
 
 MEASURES = {
@@ -138,11 +138,12 @@ def forward_fill(
 
     if not names:
         return df
+    plan = plan or plan_series(df)
     return running(
         df,
         within=lambda d, w: d.withColumns(last_known(w)),
         summarise={
-            c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))) for c in names
+            c: F.max_by(c, F.when(F.col(c).isNotNull(), plan.moment)) for c in names
         },
         combine=lambda d, w: d.withColumns(last_known(w, "_before")),
         carried=[f"{c}_before" for c in names],
@@ -180,12 +181,13 @@ def supervised_windows(
 
     index = F.col("_position") - lookback
     learned = F.col("_windows") * p.SERIES_TRAIN_SHARE
+    plan = plan or plan_series(df)
     split = F.when(index < F.floor(learned * (1 - validation_share)), "train").when(
         index < F.floor(learned), "val"
     )
     return (
         windowed(
-            df.select("segment_id", "timestamp", value),
+            plan.narrow(df, value),
             build,
             lookback=lookback,
             lookahead=horizon - 1,

@@ -33,8 +33,10 @@ def split_history(
         split = F.when(s.position < cut, "train").otherwise("test")
         return d.withColumns({**lagged, "position": s.position, "split": split})
 
-    narrow = df.select(*KEYS, value)
-    return windowed(narrow, build, lookback=lags, plan=plan).withColumnRenamed(value, "actual")
+    plan = plan or plan_series(df)
+    narrow = plan.narrow(df, value)
+    built = windowed(narrow, build, lookback=lags, plan=plan)
+    return built.drop(*(set(plan.ties) - {value})).withColumnRenamed(value, "actual")
 
 
 def seasonal_naive(history: DataFrame) -> DataFrame:

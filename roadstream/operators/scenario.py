@@ -51,10 +51,11 @@ def queue_balance(
     S the running sum of arrivals minus capacity, the queue that never goes below
     empty is S minus the least of 0 and the running minimum of S.
     """
+    plan = plan or plan_series(readings)
     per_cycle = F.col("volume_vehicles") * F.col("cycle_length") / 3600
     arrivals = {"ns": F.floor(per_cycle), "ew": F.floor(per_cycle * p.EAST_WEST_SHARE)}
     cycles = dimension_join(
-        readings.select("segment_id", "timestamp", "volume_vehicles"),
+        plan.narrow(readings, "volume_vehicles"),
         plans,
         "segment_id",
         rows_at_most=plans_at_most,
@@ -66,6 +67,7 @@ def queue_balance(
         "green_ns",
         "green_ew",
         "cycle_length",
+        *plan.ties,
         *[arrivals[d].alias(f"arrivals_{d}") for d in DIRECTIONS],
         *[
             (arrivals[d] - capacity(F.col(f"green_{d}"))).alias(f"excess_{d}")
@@ -108,10 +110,11 @@ def queue_balance(
         combine=combine,
         carried=[f"{name}_{d}" for d in DIRECTIONS for name in ("offset", "floor")],
         finish=lambda df: df.withColumns(each(queue)).drop(
-            *[f"{name}_{d}" for d in DIRECTIONS for name in ("excess", "sum", "low")]
+            *[f"{name}_{d}" for d in DIRECTIONS for name in ("excess", "sum", "low")],
+            *plan.ties,
         ),
         keys=("signal_id", "scenario"),
-        plan=plan or plan_series(readings),
+        plan=plan,
     )
 
 

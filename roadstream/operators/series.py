@@ -8,14 +8,15 @@ block), each block together with the few rows around it that its frames reach,
 and ``running`` carries unbounded frames across blocks. Both are exact, and both
 move every wide row through one shuffle.
 
-Segment and time together identify a reading, which makes the order total.
+Segment and time together identify a reading, which makes the order total. Where they
+do not, ``plan_series`` takes the columns that order readings of equal time (``ties``).
 
 The plan holds counts only: at most ``CELLS_PER_BLOCK * MAX_BLOCKS`` histogram
 cells per refinement, whatever the size of the data.
 """
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -40,11 +41,21 @@ class SeriesPlan:
     block_rows: int
     steps: list[pd.DataFrame] = field(default_factory=list)
     cells: pd.DataFrame | None = None
+    ties: tuple[str, ...] = ()
 
     @property
     def split(self) -> bool:
         return self.cells is not None
 
+    @property
+    def moment(self) -> Column:
+        """What orders the rows of a segment, as one value."""
+        return F.struct(TIMESTAMP, *self.ties)
+
+    def narrow(self, df: DataFrame, *columns: str) -> DataFrame:
+        """These columns and those that order the rows."""
+        return df.select(*dict.fromkeys([SEGMENT, TIMESTAMP, *columns, *self.ties]))
+
 
 @dataclass(frozen=True)
 class Series:
@@ -73,8 +84,18 @@ def _locate(df: DataFrame, steps: list[pd.DataFrame], how: str) -> DataFrame:
     return df.drop("_t")
 
 
-def plan_series(df: DataFrame, block_rows: int | None = None) -> SeriesPlan:
-    """Count the rows and, where a series is long, find where to cut it."""
+def plan_series(
+    df: DataFrame, block_rows: int | None = None, ties: tuple[str, ...] = ()
+) -> SeriesPlan:
+    """Count the rows and, where a series is long, find where to cut it.
+
+    Rows of equal segment and time are ordered by the ``ties`` columns, nulls first;
+    they stay in one block.
+    """
+    return replace(_cut_plan(df, block_rows), ties=tuple(ties))
+
+
+def _cut_plan(df: DataFrame, block_rows: int | None) -> SeriesPlan:
     rows = df.count()
     if block_rows is None:
         block_rows = max(SMALL_ROWS, rows // MAX_BLOCKS)
@@ -171,11 +192,11 @@ def _spread(df: DataFrame, plan: SeriesPlan, lookback: int, lookahead: int) -> D
     ).repartition(SEGMENT, "_block")
 
 
-def _series(extra: tuple[str, ...], split: bool) -> Series:
+def _series(extra: tuple[str, ...], split: bool, ties: tuple[str, ...]) -> Series:
     keys = [SEGMENT, *extra]
     if split:
         keys.append("_block")
-    ordered = Window.partitionBy(*keys).orderBy(TIMESTAMP)
+    ordered = Window.partitionBy(*keys).orderBy(TIMESTAMP, *ties)
     position = F.row_number().over(ordered).cast("bigint") - 1
     length = F.count("*").over(Window.partitionBy(*keys))
     if split:
@@ -198,8 +219,9 @@ def windowed(
     """
     plan = plan or plan_series(df)
     if not plan.split:
-        return build(df, _series((), False))
-    built = build(_spread(df, plan, lookback, lookahead), _series((), True)).filter("_own")
+        return build(df, _series((), False, plan.ties))
+    spread = _spread(df, plan, lookback, lookahead)
+    built = build(spread, _series((), True, plan.ties)).filter("_own")
     return built if keep_blocks else built.drop(*HELPERS)
 
 
@@ -223,7 +245,8 @@ def running(
     ``keys`` name columns that, beside the segment, separate series.
     """
     plan = plan or plan_series(df)
-    inner = _series(keys, plan.split).window.rowsBetween(Window.unboundedPreceding, 0)
+    ordered = _series(keys, plan.split, plan.ties).window
+    inner = ordered.rowsBetween(Window.unboundedPreceding, 0)
     if not plan.split:
         unset = {name: F.lit(None) for name in carried}
         return finish(within(df, inner).withColumns(unset)).drop(*carried)

@@ -138,7 +138,7 @@ FLAGS = "(day_of_week IN (5,6))::BIGINT AS is_weekend, is_rush_hour::BIGINT AS i
 # Sources
 
 GRID = """panel AS (SELECT *, unnest(generate_series(TIMESTAMP '2024-01-01 00:00:00',
-  TIMESTAMP '2024-01-30 00:00:00', INTERVAL 15 MINUTES)) AS timestamp FROM {0})"""
+  TIMESTAMP '{1} 00:00:00', INTERVAL 15 MINUTES)) AS timestamp FROM {0})"""
 
 
 def draw(key: str, i: int) -> str:
@@ -160,7 +160,7 @@ SYNTH_ROAD = f"""synth_road AS (
     {draw(ROAD_KEY, 3)}<0.3::DOUBLE AS has_traffic_signal
   FROM road))"""
 
-define("dense_panel", f"SELECT {KEYS} FROM panel", GRID.format("road"))
+define("dense_panel", f"SELECT {KEYS} FROM panel", GRID.format("road", "2024-06-30"))
 define(
     "synth_road_network",
     f"""SELECT segment_id, road_type, num_lanes, has_traffic_signal,
@@ -193,7 +193,7 @@ define(
     accident AS has_accident, dow AS day_of_week, hr AS hour, dow>=5 AS is_weekend,
     (hr>=7 AND hr<9) OR (hr>=17 AND hr<19) AS is_rush_hour FROM noisy""",
     SYNTH_ROAD,
-    GRID.format("synth_road"),
+    GRID.format("synth_road", "2024-01-30"),
     f"""drawn AS (SELECT *, {draw(NOISE_KEY, 0)} AS u0, {draw(NOISE_KEY, 1)} AS u1,
       {draw(NOISE_KEY, 2)}<0.15::DOUBLE AS weather, {draw(NOISE_KEY, 3)}<0.001::DOUBLE AS accident,
       (isodow(timestamp)-1)::BIGINT AS dow, hour(timestamp)::BIGINT AS hr FROM panel)""",

@@ -39,7 +39,8 @@ from roadstream.streaming import reports
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-GRID = ("2024-01-01 00:00:00", "2024-01-30 00:00:00", 15)
+SPAN = ("2024-01-01 00:00:00", "2024-06-30 00:00:00", 15)  # of the study
+MONTH = ("2024-01-01 00:00:00", "2024-01-30 00:00:00", 15)  # of the load-test readings
 RULE_LAGS = (1, 2, 4)
 
 
@@ -84,7 +85,7 @@ def keyed(df: DataFrame, *columns) -> DataFrame:
 
 @query
 def dense_panel(t: TrafficTables) -> DataFrame:
-    return synthetic.dense_panel(t.roads.select("segment_id"), *GRID)
+    return synthetic.dense_panel(t.roads.select("segment_id"), *SPAN)
 
 
 @query
@@ -95,7 +96,7 @@ def synth_road_network(t: TrafficTables) -> DataFrame:
 @query
 def synth_readings(t: TrafficTables) -> DataFrame:
     roads = synthetic.synth_road_network(t.roads.select("segment_id"))
-    return synthetic.synth_readings(roads, *GRID)
+    return synthetic.synth_readings(roads, *MONTH)
 
 
 @query

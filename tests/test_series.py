@@ -137,3 +137,45 @@ def test_zone_with_summer_time_keeps_order(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert [r.speed_lag_1 for r in lagged] == [None, *map(float, range(39))]
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        lambda d, p: features.add_lags(d, lags=(1, 2), plan=p),
+        lambda d, p: features.supervised_windows(d, 3, 2, plan=p),
+        lambda d, p: splits.temporal_split(d, plan=p),
+        lambda d, p: forecast.split_history(d, 3, plan=p),
+        lambda d, p: features.forward_fill(d, ["speed_kmh"], plan=p),
+    ],
+)
+def test_readings_of_equal_time_are_ordered_by_the_ties(spark, operator):
+    """As if each reading were a microsecond after the one before it."""
+    made = spark.range(240).select(
+        F.lit("A").alias("segment_id"),
+        (F.lit(1704067200) + 60 * F.floor(F.col("id") / 6)).cast("timestamp").cast("timestamp_ntz").alias("timestamp"),
+        (F.col("id") % 6).alias("sensor"),
+        F.when(F.col("id") % 5 != 2, F.col("id") + 0.5).alias("speed_kmh"),
+        F.col("id").cast("int").alias("volume_vehicles"),
+        F.lit(1.0).alias("density_vehicles_per_km"),
+    ).persist()
+    later = F.col("timestamp") + F.make_dt_interval(secs=F.col("sensor") / 1e6)
+    apart = made.withColumn("timestamp", later)
+
+    def found(df, plan):
+        minute = F.date_trunc("minute", "timestamp").cast("string")
+        return rows(operator(df, plan).withColumn("timestamp", minute))
+
+    expected = found(apart, plan_series(apart))
+    for block in (None, 20):
+        plan = plan_series(made, block, ties=("sensor",))
+        assert plan.split == (block is not None)
+        assert found(made.repartition(7, F.rand(3)), plan) == expected
+
+
+def test_queues_with_ties(traffic):
+    plans = scenario.scenario_union(optimized(traffic))
+    tied = traffic.readings.withColumn("k", F.lit(1))
+    cut = plan_series(tied, block_rows=9, ties=("k",))
+    found = scenario.queue_balance(tied, plans, 60, cut)
+    assert rows(found) == rows(scenario.queue_balance(traffic.readings, plans, 60, traffic.plan))
