@@ -170,7 +170,36 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
     index = warc.capture_index(warc.capture_runs(spark, folder))
     columns = ["payload_bytes", "payload_digest", "record_type", "refers_to"]
-    return index.select("page_id", *columns, "url_key", "captured", "part", "position")
+    return index.select("page_id", *columns, "url_key", "captured", "position")
+
+
+ORACLES["op2_warc"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, lower(coalesce(url, '')) AS u FROM pages),
+d AS (
+  SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+    split_part(CASE WHEN contains(u, '://') THEN substr(u, instr(u, '://') + 3) ELSE u END,
+      '#', 1) AS rest
+  FROM p),
+h AS (
+  SELECT *, split_part(regexp_replace(split_part(rest, '/', 1), '^www\.', ''), ':', 1) AS host,
+    CASE WHEN contains(rest, '/') THEN substr(rest, instr(rest, '/')) ELSE '/' END AS path,
+    CASE WHEN payload_bytes >= 1000
+      THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM d),
+c AS (
+  SELECT *, CASE WHEN rest = '' THEN ''
+      ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || path END AS url_key,
+    strftime(TIMESTAMP '2024-01-01' + to_seconds(coalesce(page_id, 0) % 1000000000),
+      '%Y-%m-%dT%H:%M:%SZ') AS captured,
+    first IS NOT NULL AND page_id IS DISTINCT FROM first AS again
+  FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN again THEN first END AS refers_to, url_key, captured,
+  row_number() OVER (ORDER BY url_key, captured, page_id NULLS FIRST) - 1 AS position
+FROM c
+"""
 
 
 @query

@@ -1,40 +1,44 @@
 """Web archives: records written and read back, and their index by external merging.
 
-Archives are WARC 1.1 files, compressed with gzip, in a shared folder; Spark's writers
-and readers move them, so any file system of the cluster will do. Of pages with equal
-payloads of at least ``LEAST_REVISIT`` bytes only the one with the largest id is stored
-(``response``), the others refer to it (``revisit``).
+Archives are WARC 1.1 files in a shared folder, every record a gzip member of its own, so
+that one is read from its offset alone. An archive closes at ``ARCHIVE_BYTES``. Spark's
+writers and readers move them, so any file system of the cluster will do (the text writer
+names them ``.txt``). Of pages with equal payloads of at least ``LEAST_REVISIT`` bytes only
+the one with the largest id is stored (``response``), the others refer to it (``revisit``).
 
 Each archive gives a run of captures sorted by URL key and time. Range partitioning
 cuts the runs at common borders; each task merges the pieces of the runs in its range
-with a loser tree, so that the ranges one after the other are the captures in order.
+with a loser tree, as they come and without another sort, so that the ranges one after
+the other are the captures in order.
 
 Rows: a null html is an empty payload; a null URL has an empty key and sorts first.
 Rows with a null id are revisits where the payload has a response, else responses.
 Repeated rows give a record each; those with the group's largest id are all responses.
-Other columns are ignored.
+A page of any length is one record, in an archive by itself if it is above the bound. No
+pages give no archive and no capture. Other columns are ignored.
 """
 
 import gzip
 import hashlib
-import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadstream.llm.store import stored
+from roadstream.llm.store import small_batches, stored
 from roadstream.operators.sizes import dimension_join
 
 LEAST_REVISIT = 1000
-RECORDS_PER_ARCHIVE = 2000
+ARCHIVE_BYTES = 16 << 20  # compressed; an archive is one cell where it is written and read
+CHUNK = 1 << 16
 CAPTURES_PER_RANGE = 200_000
 FIRST_DATE = "2024-01-01"
 
 CAPTURE = (
     "url_key string, captured string, page_id long, url string, record_type string, "
-    "refers_to long, payload_bytes long, payload_digest string, archive string, at long"
+    "refers_to long, payload_bytes long, payload_digest string, archive string, at long, span long"
 )
 ORDER = ("url_key", "captured", "page_id", "at")
 
@@ -69,7 +73,7 @@ def with_record_types(pages: DataFrame) -> DataFrame:
 
 
 def record_text(date: Column) -> Column:
-    """A WARC record without its last line end, from the columns of ``with_record_types``."""
+    """A WARC record from the columns of ``with_record_types``."""
     line = F.lit("\r\n")
     payload = F.coalesce(F.col("html"), F.lit(""))
     is_revisit = F.col("record_type") == "revisit"
@@ -104,7 +108,7 @@ def record_text(date: Column) -> Column:
         field("Content-Length", F.octet_length(block).cast("string")),
         line,
         block,
-        F.lit("\r\n\r"),
+        F.lit("\r\n\r\n"),
     )
 
 
@@ -115,41 +119,92 @@ def default_date() -> Column:
     return F.concat(F.replace(time.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
+def member(record: bytes) -> bytes:
+    """A record as a gzip member that ends with a zero byte.
+
+    A member ends with the high byte of its length, which is zero below 16 MB; above, an
+    empty member follows.
+    """
+    packed = gzip.compress(record, 6, mtime=0)
+    return packed if packed[-1] == 0 else packed + gzip.compress(b"", mtime=0)
+
+
 def write_archives(
     pages: DataFrame,
     folder: str,
     date: Column | None = None,
-    records_per_archive: int = RECORDS_PER_ARCHIVE,
+    archive_bytes: int = ARCHIVE_BYTES,
 ) -> None:
-    """One record for each row of ``pages`` (page_id, url, html) below ``folder``."""
+    """One record for each row of ``pages`` (page_id, url, html) below ``folder``.
+
+    The line end that the text writer adds is the zero byte that archives end with.
+    """
+    small_batches(pages.sparkSession)
     text = record_text(default_date() if date is None else date)
+
+    def packed(batches):
+        members, size = [], 0
+
+        def archive():
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(members)[:-1]])], ["value"])
+
+        for batch in batches:
+            for record in batch.column(0):
+                own = member(record.as_py())
+                if members and size + len(own) > archive_bytes:
+                    yield archive()
+                    members, size = [], 0
+                members.append(own)
+                size += len(own)
+        if members:
+            yield archive()
+
     (
         with_record_types(pages)
-        .select(text.alias("value"))
-        .write.option("lineSep", "\n")
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", records_per_archive)
+        .select(text.cast("binary").alias("record"))
+        .mapInArrow(packed, "value binary")
+        .select(F.col("value").cast("string").alias("value"))
+        .write.option("lineSep", "\0")
+        .option("maxRecordsPerFile", 1)
         .text(folder)
     )
 
 
-def parse_records(content: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Offset (in the plain bytes), headers and block of each record of an archive."""
-    with gzip.GzipFile(fileobj=io.BytesIO(content)) as plain:
-        while True:
-            offset = plain.tell()
-            version = plain.readline()
-            if not version.strip():
-                if not version:
-                    return
-                continue
-            if not version.startswith(b"WARC/"):
-                raise ValueError(f"no WARC record at {offset}")
-            headers = {}
-            while (line := plain.readline().rstrip(b"\r\n")):
-                name, _, value = line.decode("utf-8", "replace").partition(":")
-                headers[name.lower()] = value.strip()
-            yield offset, headers, plain.read(int(headers["content-length"]))
+def members_of(content: bytes, start: int = 0) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and plain bytes of each gzip member from ``start`` on."""
+    view = memoryview(content)
+    while start < len(view):
+        unpack, at, plain = zlib.decompressobj(31), start, []
+        while not unpack.eof:
+            if at >= len(view):
+                raise ValueError(f"cut off gzip member at {start}")
+            plain.append(unpack.decompress(view[at : at + CHUNK]))
+            at += CHUNK
+        end = min(at, len(view)) - len(unpack.unused_data)
+        yield start, end - start, b"".join(plain)
+        start = end
+
+
+def record_fields(plain: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """Headers and block of the record at a place, and the place after it."""
+    if not plain.startswith(b"WARC/", at):
+        raise ValueError("no WARC record")
+    body = plain.index(b"\r\n\r\n", at) + 4
+    headers = {}
+    for line in plain[at:body].split(b"\r\n")[1:]:
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        headers[name.lower()] = value.strip()
+    end = body + int(headers["content-length"])
+    return headers, plain[body:end], end + 4
+
+
+def parse_records(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Offset and length of the member, headers and block of each record of an archive."""
+    for offset, span, plain in members_of(content):
+        at = 0
+        while at < len(plain):
+            headers, block, at = record_fields(plain, at)
+            yield offset, span, headers, block
 
 
 def url_key(url: str | None) -> str:
@@ -177,29 +232,62 @@ def _http_body(block: bytes) -> tuple[int, bytes]:
 
 
 def _archives(spark: SparkSession, folder: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
     return files.select("path", "content")
 
 
+PAYLOADS = "page_id long, record_type string, payload binary"
+
+
+def _payload_batches(records) -> Iterator[pa.RecordBatch]:
+    """(headers, block) of records as batches of ``PAYLOADS``, some MB at a time."""
+
+    def batch(rows):
+        columns = zip(*rows, strict=True)
+        kinds = (pa.int64(), pa.string(), pa.binary())
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["page_id", "record_type", "payload"])
+
+    rows, size = [], 0
+    for headers, block in records:
+        payload = _http_body(block)[1]
+        rows.append((_page_number(headers["warc-record-id"]), headers["warc-type"], payload))
+        size += len(payload) + 100
+        if size > ARCHIVE_BYTES:
+            yield batch(rows)
+            rows, size = [], 0
+    if rows:
+        yield batch(rows)
+
+
 def read_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """``page_id``, ``record_type`` and the stored ``payload`` of every record."""
 
     def rows(batches):
         for batch in batches:
             for content in batch.column("content"):
-                found = [
-                    (_page_number(h["warc-record-id"]), h["warc-type"], _http_body(block)[1])
-                    for _, h, block in parse_records(content.as_py())
-                ]
-                columns = list(zip(*found, strict=True)) or [(), (), ()]
-                kinds = (pa.int64(), pa.string(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                    ["page_id", "record_type", "payload"],
-                )
+                yield from _payload_batches(r[2:] for r in parse_records(content.as_py()))
+
+    return _archives(spark, folder).mapInArrow(rows, PAYLOADS)
+
+
+def payloads_at(spark: SparkSession, folder: str, captures: DataFrame) -> DataFrame:
+    """The ``read_payloads`` of some captures of the index, unpacking their members alone.
+
+    A task has the places in one archive, of which there are as many as records at most.
+    """
+    places = captures.groupBy("archive").agg(F.sort_array(F.collect_set("at")).alias("places"))
+    files = _archives(spark, folder).withColumn("archive", F.element_at(F.split("path", "/"), -1))
+
+    def rows(batches):
+        for batch in batches:
+            for content, own in zip(batch["content"], batch["places"], strict=True):
+                whole = content.as_py()
+                found = (next(members_of(whole, at))[2] for at in own.as_py())
+                yield from _payload_batches(record_fields(plain)[:2] for plain in found)
 
-    schema = "page_id long, record_type string, payload binary"
-    return _archives(spark, folder).mapInArrow(rows, schema)
+    chosen = files.join(places, "archive").select("content", "places")
+    return chosen.mapInArrow(rows, PAYLOADS)
 
 
 def _sort_key(row: tuple) -> tuple:
@@ -217,7 +305,7 @@ def capture_runs(spark: SparkSession, folder: str) -> DataFrame:
     kinds = {"string": pa.string(), "long": pa.int64()}
     types = [kinds[c.split()[1]] for c in CAPTURE.split(", ")]
 
-    def capture(path: str, offset: int, headers: dict[str, str], block: bytes) -> tuple:
+    def capture(path: str, offset: int, span: int, headers: dict[str, str], block: bytes) -> tuple:
         length, body = _http_body(block)
         digest = headers["warc-payload-digest"].removeprefix("sha1:")
         if headers["warc-type"] == "response":
@@ -234,6 +322,7 @@ def capture_runs(spark: SparkSession, folder: str) -> DataFrame:
             digest,
             path.rpartition("/")[2],
             offset,
+            span,
         )
 
     def rows(batches):
@@ -283,35 +372,47 @@ def merge_runs(runs: list[list[tuple]]) -> Iterator[tuple]:
             node //= 2
 
 
+def sorted_stretches(rows: Iterator[tuple]) -> list[list[tuple]]:
+    """The rows cut where one does not come after the row before it.
+
+    A run that arrives in its order is one stretch; a run cut up or mixed with others on
+    the way gives several, which merge as well.
+    """
+    out, last = [], None
+    for row in rows:
+        key = _sort_key(row)
+        if last is None or key < last:
+            out.append([])
+        out[-1].append(row)
+        last = key
+    return out
+
+
 def capture_index(runs: DataFrame, captures_per_range: int = CAPTURES_PER_RANGE) -> DataFrame:
-    """All captures in global order: by ``part``, then ``position`` within it.
+    """All captures with their ``position``, from 0, in global order.
 
     A range holds about ``captures_per_range`` rows without payloads at most; the order
-    includes the time and the id, so a URL of any number of captures is cut too.
+    includes the time and the id, so a URL of any number of captures is cut too. Each
+    task numbers its range; the counts of the ranges, a row for each, add up the rest.
     """
     spark = runs.sparkSession
     runs = stored(runs)
     wanted = -(-runs.count() // captures_per_range)
     ranges = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    schema = f"{CAPTURE}, position long"
+    schema = f"{CAPTURE}, place long"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def merged(batches):
-        by_run: dict[str, list[tuple]] = {}
-        types = None
-        for batch in batches:
-            types = batch.schema.types
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            for row in rows:
-                by_run.setdefault(row[8], []).append(row)
-        if types is None:
-            return
-        for run in by_run.values():
-            run.sort(key=_sort_key)  # linear where the shuffle kept the run's order
-        block, position = [], 0
-        for row in merge_runs([by_run[name] for name in sorted(by_run)]):
-            block.append((*row, position))
-            position += 1
+        types = []
+
+        def received():
+            for batch in batches:
+                types[:] = batch.schema.types
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        block = []
+        for place, row in enumerate(merge_runs(sorted_stretches(received()))):
+            block.append((*row, place))
             if len(block) == 10_000:
                 yield _rows(block, [*types, pa.int64()], names)
                 block = []
@@ -319,7 +420,14 @@ def capture_index(runs: DataFrame, captures_per_range: int = CAPTURES_PER_RANGE)
             yield _rows(block, [*types, pa.int64()], names)
 
     ranged = runs.repartitionByRange(ranges, *(F.col(c).asc_nulls_first() for c in ORDER))
-    return ranged.mapInArrow(merged, schema).withColumn("part", F.spark_partition_id())
+    placed = stored(ranged.mapInArrow(merged, schema).withColumn("part", F.spark_partition_id()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before")
+    )
+    counted = dimension_join(placed, before, "part", rows_at_most=ranges)
+    position = (F.col("before") + F.col("place")).alias("position")
+    return counted.select(*names[:-1], position)
 
 
 def _rows(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.RecordBatch:

@@ -1,9 +1,11 @@
 """Web archives, nearest neighbours and the pipeline."""
 
+import gzip
 import hashlib
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ import corpus_pipeline
 from conftest import DATA
 from roadstream.llm import ann, jaccard, quality, samples, toxicity, warc
 from roadstream.llm.components import components
-from roadstream.llm.queries import QUERIES
+from roadstream.llm.queries import ORACLES, QUERIES
 from roadstream.operators.sizes import run_folder
 
 PAGES = "page_id long, url string, html string, captured int"
@@ -33,8 +35,9 @@ def test_archives(spark):
         (8, "http://d.org", "long " * 100_000, 0), (None, "http://e.org", big, 0),
         (11, "http://f.org", tricky, 0), (11, "http://f.org", tricky, 0),
     ]
-    index, folder = index_of(spark, rows, records_per_archive=2)
-    found = index.orderBy("part", "position").collect()
+    index, folder = index_of(spark, rows, archive_bytes=700)
+    found = index.orderBy("position").collect()
+    assert [r.position for r in found] == list(range(len(rows)))
     payload = {i: h or "" for i, _, h, _ in rows}
     assert Counter(r.page_id for r in found) == Counter(i for i, _, _, _ in rows)
     for row in found:
@@ -49,6 +52,65 @@ def test_archives(spark):
     assert keys == sorted(keys)
     stored = {r.page_id: bytes(r.payload) for r in warc.read_payloads(spark, folder).collect()}
     assert stored[11] == tricky.encode() and stored[8] == payload[8].encode() and stored[1] == b""
+    some = index.filter("page_id in (8, 11, 6)")
+    picked = warc.payloads_at(spark, folder, some).collect()
+    assert Counter((r.page_id, bytes(r.payload)) for r in picked) == Counter(
+        (i, payload[i].encode()) for i in (8, 11, 11, 6)
+    )
+
+
+def test_archives_close_at_their_bound(spark):
+    """Archives are sequences of gzip members that any reader unpacks."""
+    rows = [(i, f"http://a.org/{i}", random.Random(i).randbytes(400).hex(), 0) for i in range(60)]
+    folder = f"{run_folder(spark)}/archives"
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1)
+    warc.write_archives(pages, folder, archive_bytes=5000)
+    files = [bytes(r.content) for r in warc._archives(spark, folder).collect()]
+    assert len(files) > 5 and max(map(len, files)) <= 5000
+    assert sum(gzip.decompress(f).count(b"WARC/1.1\r\n") for f in files) == 60
+    for content in files:
+        ends = [at + span for at, span, _ in warc.members_of(content)]
+        assert ends[-1] == len(content)
+        at, span, plain = list(warc.members_of(content))[1]
+        assert gzip.decompress(content[at : at + span]) == plain
+
+
+def test_member_of_a_long_record():
+    """The high byte of the length is not zero; an empty member hides it."""
+    record = b"x" * (17 << 20)
+    packed = warc.member(record)
+    assert packed[-1] == 0 and gzip.decompress(packed) == record
+    assert [plain for _, _, plain in warc.members_of(packed)] == [record, b""]
+
+
+def test_stretches():
+    rows = [(k, "", 0, *[0] * 6, 0) for k in "abcabdd"]
+    assert [[r[0] for r in s] for s in warc.sorted_stretches(iter(rows))] == [
+        ["a", "b", "c"],
+        ["a", "b", "d", "d"],
+    ]
+    assert warc.sorted_stretches(iter([])) == []
+
+
+def test_query_of_pages_with_equal_payloads(spark, tmp_path):
+    """The registered query against its SQL, on the given pages and on repeated ones."""
+    pages = spark.read.parquet(f"{DATA}/pages.parquet")
+    copies = pages.select(
+        (F.col("page_id") + 100_000).alias("page_id"),
+        F.when(F.col("page_id") % 3 > 0, F.concat(F.lit("HTTP://www.X.org:80/"), "url")).alias("url"),
+        F.when(F.col("page_id") % 5 > 0, F.repeat("html", F.lit(3))).alias("html"),
+    )
+    again = copies.withColumn("page_id", F.col("page_id") + 100_000)
+    columns = ["page_id", "url", "html"]
+    both = pages.select(columns).union(copies).union(again)
+    both.write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    for folder, files in ((DATA, f"{DATA}/pages.parquet"), (tmp_path, f"{tmp_path}/pages.parquet/*.parquet")):
+        con.execute(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{files}'")
+        theirs = con.sql(ORACLES["op2_warc"])
+        ours = QUERIES["op2_warc"](spark, str(folder)).select(theirs.columns)
+        assert sorted(map(tuple, ours.collect()), key=str) == sorted(theirs.fetchall(), key=str)
+    assert sum(row[theirs.columns.index("record_type")] == "revisit" for row in theirs.fetchall()) > 20
 
 
 def test_archives_of_nothing(spark):
