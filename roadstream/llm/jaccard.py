@@ -29,7 +29,7 @@ equal ids are told apart by their sets. Other columns are ignored.
 """
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import batched, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,8 @@ SLICE = 64
 SAMPLE_ROWS = 4000  # documents looked at to tell common shingles; affects speed only
 COMMON = 4  # of them that hold a common shingle
 PIVOTS = 256  # of a group in the second round; 16 times as many in each later one
-BLOCK = 1024  # nodes of a group that a step holds, beside the pivots
+BLOCK = 1024  # nodes of a group that a step holds, beside as many pivots
+CELL = 100_000  # nodes of a group that are ranked together
 LISTED_KEYS = 64  # of a node, to tell in which of the shared groups a pair counts
 BLOOM_BITS = 1 << 26  # at most
 
@@ -334,17 +335,29 @@ def _unsettled(left: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (key, node, label, rank, n) of the groups with several components.
 
     ``rank`` counts from the group's smallest component on; ``n`` is the group's size.
+    Groups and components are counted before they are shuffled, and the ranks of a group
+    come from windows over cells of about ``CELL`` of its nodes, so a large one is spread.
     """
-    by_key = Window.partitionBy("key")
-    by_size = by_key.orderBy("_size", "label", "node")
+    labelled = left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    groups = (
+        labelled.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+        .filter("_low <> _high")
+        .select("key", "n")
+    )
+    several = stored(labelled.join(groups, "key"))
+    sizes = several.groupBy("key", "label").agg(F.count("*").alias("_size"))
+    cell = F.pmod(F.xxhash64("node"), 1 + F.floor(F.col("n") / CELL))
+    dealt = stored(several.join(sizes, ["key", "label"]).withColumn("_cell", cell))
+    cells = dealt.groupBy("key", "_size", "_cell").agg(F.count("*").alias("_in_cell"))
+    by_size = Window.partitionBy("key").orderBy("_size", "_cell")
+    earlier = F.sum("_in_cell").over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    before = cells.withColumn("_before", F.coalesce(earlier, F.lit(0))).drop("_in_cell")
+    in_cell = Window.partitionBy("key", "_size", "_cell").orderBy("label", "node")
     return (
-        left.join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
-        .withColumn("_several", F.min("label").over(by_key) != F.max("label").over(by_key))
-        .filter("_several")
-        .withColumn("_size", F.count("*").over(Window.partitionBy("key", "label")))
-        .withColumn("n", F.count("*").over(by_key))
-        .withColumn("rank", F.row_number().over(by_size))
+        dealt.withColumn("_place", F.row_number().over(in_cell))
+        .join(before, ["key", "_size", "_cell"])
+        .withColumn("rank", F.col("_before") + F.col("_place"))
         .select("key", "node", "label", "rank", "n")
     )
 
@@ -358,11 +371,24 @@ def _folded(sketches: list[bytes], length: int) -> np.ndarray:
     return rows
 
 
-def _run_pairs(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+def _run_pairs(rows: Iterator[tuple], percent: int) -> Iterator[tuple[int, int]]:
     """Pairs of a pivot and a member of one block that may be similar.
 
-    ``rows``: (key, block, pivot, node, label, rank, size, sketch, keys).
+    ``rows``: (key, block, pivot, node, label, rank, size, sketch, keys), members first.
+    However many pivots follow, at most ``BLOCK`` of them are held.
     """
+    members, pivots = [], []
+    for row in rows:
+        (pivots if row[2] else members).append(row)
+        if len(pivots) == BLOCK:
+            yield from _met(members + pivots, percent)
+            pivots = []
+    if pivots:
+        yield from _met(members + pivots, percent)
+
+
+def _met(rows: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """The pairs of ``_run_pairs`` among some rows."""
     sides = []
     for is_pivot in (True, False):
         by_length: dict[int, list[tuple]] = {}
@@ -412,8 +438,7 @@ def _group_pairs(left: DataFrame, nodes: DataFrame, percent: int, pivots: int) -
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
         )
         for _, run in groupby(flat, key=lambda row: row[:2]):
-            found = list(_run_pairs(list(run), percent))
-            if found:
+            for found in batched(_run_pairs(run, percent), 10_000):
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 

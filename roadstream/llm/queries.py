@@ -140,6 +140,32 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+ORACLES["op5_jaccard"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM w),
+c AS (SELECT s, min(doc_id) AS id, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+x AS (SELECT id, n, unnest(s) AS shingle FROM c),
+links AS (
+  SELECT one.id AS a, other.id AS b
+  FROM x AS one JOIN x AS other ON one.shingle = other.shingle AND one.id <> other.id
+  GROUP BY one.id, one.n, other.id, other.n
+  HAVING 100 * count(*) >= 75 * (one.n + other.n - count(*))),
+reached AS (
+  SELECT id AS a, id AS b FROM c
+  UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN least ON least.a = c.id
+"""
+
+
 @query
 def op7_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -4,10 +4,14 @@ import random
 import re
 from collections import defaultdict
 
+import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 
+from conftest import DATA
 from roadstream.llm import jaccard as j
 from roadstream.llm import words
+from roadstream.llm.queries import ORACLES, QUERIES
 
 SCHEMA = "doc_id long, text string"
 
@@ -85,6 +89,46 @@ def test_odd_rows(spark):
     assert {r.component_id for r in j.near_duplicates(again).collect()} == {7}
 
 
+def test_registered_query_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    theirs = con.sql(ORACLES["op5_jaccard"])
+    ours = QUERIES["op5_jaccard"](spark, DATA).select(theirs.columns).collect()
+    assert sorted(map(tuple, ours)) == sorted(theirs.fetchall())
+
+
+def test_large_group(spark, monkeypatch):
+    """One key held by many nodes: ranks cell by cell, pivots a block at a time."""
+    monkeypatch.setattr(j, "BLOCK", 16)
+    monkeypatch.setattr(j, "CELL", 50)
+    rng = np.random.default_rng(8)
+    sets, label = {}, {}
+    for i in range(300):
+        base = rng.integers(0, 2**63, 40).astype(np.uint64) if i % 4 == 0 else base
+        fresh = rng.integers(0, 2**63, int(rng.integers(0, 14))).astype(np.uint64)
+        sets[i] = np.unique(np.concatenate([base, fresh]))
+        label[i] = i // 10 * 10 if i < 100 else i
+    rows = [(i, len(s), j.parity_bits(s).tobytes()) for i, s in sets.items()]
+    nodes = spark.createDataFrame(rows, "node long, size long, sketch binary")
+    labels = spark.createDataFrame(list(label.items()), "node long, label long").filter("node < 100")
+    left = nodes.select(F.lit(7).cast("long").alias("key"), "node")
+    settled = spark.createDataFrame([(8, 1), (8, 2), (8, 3)], "key long, node long")
+    found = j._unsettled(left.union(settled), labels)
+    ranked = sorted((r["rank"], r.key, r.n, label[r.node]) for r in found.collect())
+    assert [r[:3] for r in ranked] == [(k + 1, 7, 300) for k in range(300)]
+    assert [r[3] >= 100 for r in ranked] == [True] * 200 + [False] * 100
+    met = {(r.a, r.b) for r in j._group_pairs(found, nodes, 75, 300).collect()}
+    want = set()
+    for a in sets:
+        for b in range(a + 1, 300):
+            short, long = sorted((len(sets[a]), len(sets[b])))
+            differ = j.least_difference(j.parity_bits(sets[a]), j.parity_bits(sets[b]))
+            may = 100 * short >= 75 * long and j._similar(75, short, long, differ)
+            if may and label[a] != label[b]:
+                want.add((a, b))
+    assert met == want and len(want) > 100
+
+
 def test_similar_sets_share_a_key():
     """Any two sets at the limit meet, whatever the order makes of common shingles."""
     rng = np.random.default_rng(3)
