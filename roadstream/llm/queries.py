@@ -142,16 +142,19 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op5_jaccard"] = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
-s AS (
-  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []
-    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
-  FROM w),
-c AS (SELECT s, min(doc_id) AS id, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
-x AS (SELECT id, n, unnest(s) AS shingle FROM c),
+u AS (SELECT r, len(w) AS n, unnest(range(len(w))) AS i, unnest(w) AS word FROM w),
+f AS (
+  SELECT r, n, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o,
+    lead(word, 3) OVER o, lead(word, 4) OVER o) AS shingle
+  FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
+d AS (SELECT DISTINCT r, shingle FROM f WHERE i < greatest(n - 4, 1)),
+k AS (SELECT r, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS s FROM d GROUP BY r),
+s AS (SELECT w.r, doc_id, coalesce(n, 0) AS n, s FROM w LEFT JOIN k ON w.r = k.r),
+c AS (SELECT s, min(doc_id) AS id, min(r) AS r, max(n) AS n FROM s WHERE n > 0 GROUP BY s),
+x AS (SELECT c.id, c.n, shingle FROM c JOIN d ON c.r = d.r),
 links AS (
   SELECT one.id AS a, other.id AS b
   FROM x AS one JOIN x AS other ON one.shingle = other.shingle AND one.id <> other.id
@@ -161,7 +164,7 @@ reached AS (
   SELECT id AS a, id AS b FROM c
   UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
 least AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a)
-SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
+SELECT s.doc_id, s.n::BIGINT AS n_shingles, coalesce(component_id, s.doc_id) AS component_id
 FROM s LEFT JOIN c ON s.s = c.s LEFT JOIN least ON least.a = c.id
 """
 
