@@ -179,3 +179,50 @@ def test_queues_with_ties(traffic):
     cut = plan_series(tied, block_rows=9, ties=("k",))
     found = scenario.queue_balance(tied, plans, 60, cut)
     assert rows(found) == rows(scenario.queue_balance(traffic.readings, plans, 60, traffic.plan))
+
+
+REACHES = [
+    lambda d, p: features.add_lags(d, plan=p),
+    lambda d, p: features.add_rolling(d, plan=p),
+    lambda d, p: features.supervised_windows(d, 30, 25, plan=p),
+    lambda d, p: splits.temporal_split(d, plan=p),
+    lambda d, p: features.forward_fill(d, ["speed_kmh"], plan=p),
+]
+
+
+@pytest.mark.parametrize("operator", REACHES)
+def test_a_plan_too_large_to_broadcast_stays_in_tables(hot, plans, monkeypatch, operator):
+    """With blocks of a few rows, none of the plan comes to the driver."""
+    expected = rows(operator(hot, plans[0]))
+
+    def refused(*_):
+        raise AssertionError("the plan came to the driver")
+
+    monkeypatch.setattr(type(hot), "toPandas", refused)
+    monkeypatch.setattr(type(hot.sparkSession), "createDataFrame", refused)
+    cut = plan_series(hot, block_rows=10, limit=30)
+    made = operator(hot, cut)
+    assert "SortMergeJoin" in made._jdf.queryExecution().executedPlan().toString()
+    assert rows(made) == expected
+
+
+def test_large_plan_of_queues(traffic):
+    plans = scenario.scenario_union(optimized(traffic))
+    cut = plan_series(traffic.readings, block_rows=9, limit=14)
+    found = scenario.queue_balance(traffic.readings, plans, 60, cut)
+    assert rows(found) == rows(scenario.queue_balance(traffic.readings, plans, 60, traffic.plan))
+
+
+def test_readings_without_time_or_segment(spark, hot):
+    """Without a time they come first; those without a segment are not cut."""
+    odd = hot.withColumns(
+        {
+            "timestamp": F.when(F.col("volume_vehicles") != 113, F.col("timestamp")),
+            "segment_id": F.when(F.col("segment_id") != "SEG_07", F.col("segment_id")),
+        }
+    )
+    ties = ("density_vehicles_per_km", "volume_vehicles")
+    for operator in (splits.temporal_split, splits.series_split):
+        expected = rows(operator(odd, plan=plan_series(odd, ties=ties)))
+        for limit in (12, 1_000_000):
+            assert rows(operator(odd, plan=plan_series(odd, 15, ties, limit))) == expected
