@@ -1,12 +1,17 @@
 """Tables written and read back, and generated tables."""
 
+import hashlib
 import math
+import re
 
 from pyspark.sql import functions as F
 
 from conftest import rows
 from roadstream import params as p
+from roadstream.functions.clock import clock_micros
+from roadstream.functions.hashing import uniforms
 from roadstream.operators import splits
+from roadstream.plans.queries import rounded, tidy
 from roadstream.schema import ROAD_NETWORK, TRAFFIC_DATA
 from roadstream.sources import synthetic, tables
 
@@ -83,3 +88,48 @@ def test_generated_readings_have_the_table_types(spark):
     _, readings = generated(spark, 1)
     declared = {f.name: f.dataType.simpleString() for f in TRAFFIC_DATA}
     assert dict(readings.dtypes) == declared
+
+
+def test_values_are_rounded_as_by_decimals(spark):
+    """Ties, values beside them, both signs, small, large and odd values."""
+    n = F.col("id") - 100_000
+    near = spark.range(200_000).select(
+        F.explode(
+            F.array(
+                n * 0.5e-6, n * 0.5e-6 + 4e-10, n * 0.5e-6 - 6e-10, n / 7, n / 7e9, n * 1e4 / 3, n * 1e15
+            )
+        ).alias("x")
+    )
+    odd = spark.sql("SELECT explode(array(double('NaN'), double('inf'), -0.0D, null, 1e6D)) AS x")
+    both = near.unionByName(odd).select("x", rounded(F.col("x")).alias("a"), F.round(F.round("x", 9), 6).alias("b"))
+    text = [F.col(c).cast("string") for c in "ab"]
+    assert both.filter(~text[0].eqNullSafe(text[1])).count() == 0
+
+
+def test_generated_rows_need_no_decimals_and_two_conversions(spark):
+    """Each row of a panel costs no decimal number, each digest is read in two halves."""
+    panel = tidy(synthetic.dense_panel(synthetic.segment_ids(spark, 5), *GRID))
+    assert "secondwithfraction" not in panel._jdf.queryExecution().optimizedPlan().toString().lower()
+    drawn = spark.range(3).select(*[u.alias(f"u{i}") for i, u in enumerate(uniforms(F.col("id"), seed=7))])
+    plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+    assert len(set(re.findall(r"\), (\d+), \d+\), 16, -?10", plan))) == 2
+    for row, key in zip(drawn.collect(), range(3)):
+        digest = hashlib.md5(f"7|{key}".encode()).hexdigest()
+        assert list(row) == [int(digest[8 * i : 8 * i + 8], 16) / 2**32 for i in range(4)]
+
+
+def test_clock_time_is_the_same_in_every_zone(spark):
+    made = spark.sql(
+        """SELECT explode(array(timestamp_ntz'2024-03-10 02:30:00.123456', timestamp_ntz'1969-12-31 23:59:59.999999',
+        timestamp_ntz'0001-01-01 00:00:00', timestamp_ntz'9999-12-31 23:59:59.5', null)) AS t"""
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    found = []
+    for name in ("UTC", "America/New_York", "+05:30"):
+        spark.conf.set("spark.sql.session.timeZone", name)
+        try:
+            found.append([r[0] for r in made.select(clock_micros(made, "t")).collect()])
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+    assert found[0] == found[1] == found[2]
+    assert found[0][0] == 1710037800123456 and found[0][1] == -1 and found[0][4] is None
