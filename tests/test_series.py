@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from roadstream.operators import classify, features, forecast, scenario, splits
+from roadstream.operators import classify, features, forecast, scenario, series, splits
 from roadstream.operators.series import plan_series
 from roadstream.plans.features import processed_table
 from roadstream.plans.queries import optimized
@@ -226,3 +226,15 @@ def test_readings_without_time_or_segment(spark, hot):
         expected = rows(operator(odd, plan=plan_series(odd, ties=ties)))
         for limit in (12, 1_000_000):
             assert rows(operator(odd, plan=plan_series(odd, 15, ties, limit))) == expected
+
+
+def test_no_estimate_broadcasts_the_blocks_of_a_plan(hot, plans):
+    """Blocks and cells meet by shuffle, and tables of a plan are broadcast up to a bound."""
+    cut = plan_series(hot, block_rows=10)
+    assert cut.limit == series.PLAN_ROWS <= 200_000
+    made = series._targets(cut, 24, 0)
+    made.collect()
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    expected = rows(features.add_lags(hot, plan=plans[0]))
+    assert rows(features.add_lags(hot, plan=cut)) == expected
