@@ -27,6 +27,7 @@ from roadstream.operators.features import (
     lag_columns,
     rolling_columns,
 )
+from roadstream.operators.network import fit_network, matrices
 from roadstream.operators.series import SeriesPlan, plan_series, windowed
 from roadstream.operators.sizes import checkpointed
 from roadstream.operators.splits import named_split
@@ -115,7 +116,11 @@ def neural_classifier(
         layers=layers, maxIter=rounds, blockSize=block, seed=seed
     )
     scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
-    return Pipeline(stages=[assembler(table, "raw"), scaler, network]).fit(_train(table))
+    train = _train(table)
+    prepared = Pipeline(stages=[assembler(table, "raw"), scaler]).fit(train)
+    rows = prepared.transform(train)
+    model = fit_network(rows, network, matrices(rows, layers[-1], block))
+    return PipelineModel([*prepared.stages, model])
 
 
 @dataclass(frozen=True)
@@ -213,13 +218,14 @@ def neural_early_stopping(
     layers = [len(feature_columns(table)), *hidden, len(p.LEVELS)]
     best, least, last, weights, losses = None, float("inf"), 0, None, []
     at_plateau = 0
+    blocks = matrices(train, layers[-1], block) if solver == "l-bfgs" else None
     for done in range(block_rounds, most_rounds + 1, block_rounds):
         network = MultilayerPerceptronClassifier(
             layers=layers, maxIter=block_rounds, blockSize=block, seed=seed, solver=solver, stepSize=step
         )
         if weights is not None:
             network = network.setInitialWeights(weights)
-        model = network.fit(train)
+        model = network.fit(train) if blocks is None else fit_network(train, network, blocks)
         weights = model.weights
         scored = predict("network", PipelineModel([model]), held_out)
         loss = metrics.log_loss(scored).first()["log_loss"]

@@ -168,3 +168,36 @@ def test_network_halves_its_step_on_a_plateau(table):
     steps = [r[2] for r in done.losses]
     for k in range(1, len(steps)):
         assert steps[k] == (steps[k - 1] if done.losses[k - 1][3] else max(steps[k - 1] / 2, 1e-6))
+
+
+def test_network_takes_the_steps_of_spark(table):
+    """Weights after some rounds, from the first ones and from given ones."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.feature import StandardScaler
+
+    from roadstream.operators import network
+
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
+    stages = [classify.assembler(table, "raw"), scaler]
+    train = table.filter("split = 'train'")
+    rows = Pipeline(stages=stages).fit(train).transform(train).persist()
+    layers = [len(classify.feature_columns(table)), 16, 8, 4]
+    perceptron = MultilayerPerceptronClassifier(layers=layers, maxIter=12, blockSize=64, seed=42)
+    blocks = network.matrices(rows, 4, 64)
+    want, found = perceptron.fit(rows), network.fit_network(rows, perceptron, blocks)
+    assert found.weights.toArray() == pytest.approx(want.weights.toArray(), rel=1e-4, abs=1e-5)
+    perceptron = perceptron.setInitialWeights(want.weights)
+    want, found = perceptron.fit(rows), network.fit_network(rows, perceptron, blocks)
+    assert found.weights.toArray() == pytest.approx(want.weights.toArray(), rel=1e-3, abs=1e-4)
+
+
+def test_network_refuses_labels_that_are_no_class(table):
+    from pyspark.ml.feature import VectorAssembler
+
+    from roadstream.operators import network
+
+    odd = table.filter("split = 'train'").withColumn("label", F.lit(4))
+    rows = VectorAssembler(inputCols=["speed_limit"], outputCol="features").transform(odd)
+    with pytest.raises(Exception, match="numbers below 4"):
+        network.matrices(rows, 4, 64)
