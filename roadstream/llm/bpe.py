@@ -22,6 +22,7 @@ from roadstream.llm import vocabulary as v
 from roadstream.llm.store import small_batches
 
 SLICE = 256  # texts handled at once within a batch
+FEW = 64  # words that are no longer worth a step of all at once
 
 
 def propose(word: bytes, tables: dict) -> list[int]:
@@ -41,6 +42,52 @@ def propose(word: bytes, tables: dict) -> list[int]:
     return tokens
 
 
+def propose_all(words: list[bytes], tables: dict) -> tuple[np.ndarray, np.ndarray]:
+    """``propose`` of many words: all tokens, and the place of each one's word.
+
+    All words go down the trie of the vocabulary a byte at a time. One that finds no way
+    on takes the longest string it passed and starts anew behind it. The last few words
+    are cut one by one.
+    """
+    base, parent, token = tables["base"], tables["parent"], tables["token"]
+    raw = np.frombuffer(b"\0".join([*words, b""]), np.uint8).astype(np.int16)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    stops = np.cumsum(size) - 1
+    raw[stops] = v.END
+    found = np.full(len(raw), -1, np.int32)  # tokens by the place of their first byte
+    begin = stops - size + 1
+    begin = begin[raw[begin] != v.END]
+    at, node = begin.copy(), np.zeros(len(begin), np.int64)
+    longest, after = node.copy(), begin.copy()
+    while len(begin) > FEW:
+        child = base[node] + raw[at]
+        on = parent[child] == node
+        at += on
+        node = child * on
+        passed = token[child]
+        hit = on & (passed >= 0)
+        np.copyto(longest, passed, where=hit)
+        np.copyto(after, at, where=hit)
+        halted = np.flatnonzero(~on)
+        if not len(halted):
+            continue
+        found[begin[halted]] = longest[halted]
+        start = after[halted]
+        begin[halted] = at[halted] = start
+        if (done := raw[start] == v.END).any():
+            left = np.ones(len(begin), bool)
+            left[halted[done]] = False
+            begin, at, node, longest, after = (x[left] for x in (begin, at, node, longest, after))
+    for start in begin.tolist():
+        word = np.searchsorted(stops, start)
+        rest = words[word][start - stops[word] :]
+        for one in propose(rest, tables):
+            found[start] = one
+            start += len(tables["token_bytes"][one])
+    is_token = found >= 0
+    return found[is_token], np.repeat(np.arange(len(words), dtype=np.int32), size)[is_token]
+
+
 def compatible(first: np.ndarray, second: np.ndarray, tables: dict) -> np.ndarray:
     """Whether merging the joint bytes of two tokens leaves just these two.
 
@@ -71,42 +118,36 @@ def encode_words(words: list[bytes], tables: dict) -> list[list[int]]:
     """Token ids of each pre-token."""
     if not tables["one_way"]:  # a token with two merges has no single history
         return v.merge_all(words, tables)
-    proposed = [propose(w, tables) for w in words]
-    if not proposed:
-        return []
-    flat = np.array([t for p in proposed for t in p], np.int64)
-    owner = np.repeat(np.arange(len(words)), [len(p) for p in proposed])
+    flat, owner = propose_all(words, tables)
     failed = np.zeros(len(words), bool)
     failed[owner[~tables["alone"][flat]]] = True
     within = owner[1:] == owner[:-1]
     fits = compatible(flat[:-1][within], flat[1:][within], tables)
     failed[owner[1:][within][~fits]] = True
+    upto = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+    values = flat.tolist()
+    coded = [values[a:b] for a, b in zip([0, *upto], upto, strict=False)]
     again = np.flatnonzero(failed).tolist()
     for i, tokens in zip(again, v.merge_all([words[i] for i in again], tables), strict=True):
-        proposed[i] = tokens
-    return proposed
+        coded[i] = tokens
+    return coded
 
 
 def encode_texts(texts: list[str | None], tables: dict) -> list[bytes]:
     """Ids of each text as little-endian unsigned 32-bit integers."""
-    known: dict[str, bytes] = v.kept(tables, "chunks")
-    ids: dict[str, bytes] = v.kept(tables, "words")
+    known: dict[str, bytes] = v.kept(tables, "words")
     special = v.special_pattern(tables)
     parts = [[t] if special is None else special.split(t) for t in (t or "" for t in texts)]
-    chunks = [[v.CHUNK.findall(p) for p in own[::2]] for own in parts]
-    seen = set().union(*(part for own in chunks for part in own))
-    fresh = [c for c in seen if c not in known]
-    pieces = [v.PIECES.findall(c) for c in fresh]
-    words = [p for p in set().union(*pieces) if p not in ids]
-    coded_words = encode_words([w.encode() for w in words], tables)
-    for word, tokens in zip(words, coded_words, strict=True):
-        ids[word] = struct.pack(f"<{len(tokens)}I", *tokens)
-    for chunk, own in zip(fresh, pieces, strict=True):
-        known[chunk] = b"".join([ids[p] for p in own])
+    pieces = [[v.PIECES.findall(p) for p in own[::2]] for own in parts]
+    seen = set().union(*(part for own in pieces for part in own))
+    fresh = list(seen.difference(known))
+    coded_words = encode_words([w.encode() for w in fresh], tables)
+    for word, tokens in zip(fresh, coded_words, strict=True):
+        known[word] = struct.pack(f"<{len(tokens)}I", *tokens)
     names = {s: np.array([i], "<u4").tobytes() for s, i in tables["specials"].items()}
     out = []
-    for own, cut in zip(parts, chunks, strict=True):
-        coded = [b"".join([known[c] for c in part]) for part in cut]
+    for own, cut in zip(parts, pieces, strict=True):
+        coded = [b"".join([known[p] for p in part]) for part in cut]
         for k, name in enumerate(own[1::2]):
             coded[k] += names[name]
         out.append(b"".join(coded))

@@ -27,29 +27,22 @@ def whole_tokens(tables: dict) -> frozenset[bytes]:
 def count_tokens(texts: list[str | None], tables: dict) -> list[int]:
     """Number of tokens of each text."""
     known: dict[str, int] = v.kept(tables, "counts")
-    merged: dict[str, int] = v.kept(tables, "merged")
     whole = tables.get("whole") or tables.setdefault("whole", whole_tokens(tables))
     special = v.special_pattern(tables)
     parts = [[t] if special is None else special.split(t) for t in (t or "" for t in texts)]
-    chunks = [[c for p in own[::2] for c in v.CHUNK.findall(p)] for own in parts]
-    fresh = [c for c in set().union(*chunks) if c not in known]
-    pieces = [v.PIECES.findall(c) for c in fresh]
+    pieces = [[w for p in own[::2] for w in v.PIECES.findall(p)] for own in parts]
     rest = []
-    for piece in set().union(*pieces):
-        if piece in merged:
-            continue
+    for piece in set().union(*pieces).difference(known):
         if (raw := piece.encode()) in whole:
-            merged[piece] = 1
+            known[piece] = 1
         else:
             rest.append((piece, raw))
     for (piece, _), tokens in zip(rest, v.merge_all([w for _, w in rest], tables), strict=True):
-        merged[piece] = len(tokens)
-    for chunk, own in zip(fresh, pieces, strict=True):
-        known[chunk] = sum([merged[p] for p in own])
+        known[piece] = len(tokens)
     # Every second part is a special string, one token.
     return [
-        len(own) // 2 + sum([known[c] for c in cut])
-        for own, cut in zip(parts, chunks, strict=True)
+        len(own) // 2 + sum([known[w] for w in cut])
+        for own, cut in zip(parts, pieces, strict=True)
     ]
 
 

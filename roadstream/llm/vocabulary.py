@@ -11,17 +11,50 @@ import re
 import numpy as np
 import regex
 
-# The white space and the pre-token pattern of byte-level BPE.
+# Fixed value: the white space of byte-level BPE.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# A run without white space, with a space before it, never shares a pre-token
-# with its surroundings, so what is found for it may be kept.
-CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-PIECES = regex.compile(PRE_TOKEN)
+
+def _ranges(kind: str, below: int) -> str:
+    """The characters of a Unicode property as ranges for a class of ``re``."""
+    every = "".join(chr(c) for c in range(below) if not 0xD800 <= c < 0xE000)
+    runs = (m[0] for m in regex.finditer(f"{kind}+", every))
+    return "".join(r if len(r) == 1 else f"{r[0]}-{r[-1]}" for r in runs)
+
+
+def pre_token_pattern() -> str:
+    r"""Byte-level BPE's pattern of pre-tokens, for ``re``, which is faster than ``regex``:
+
+    's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+
+    At any place at most one kind of alternative matches, so their order is free, but for
+    the contractions. Classes of ``re`` are slow beyond U+FFFF: runs that neither hold nor
+    meet such characters come first.
+    """
+    high = "\U00010000-\U0010ffff"
+    few, numbers = _ranges(r"\p{L}", 0x10000), _ranges(r"\p{N}", 0x10000)
+    all_letters, all_numbers = _ranges(r"\p{L}", 0x110000), _ranges(r"\p{N}", 0x110000)
+    return "|".join(
+        [
+            f" ?[{few}]++(?![{high}])",
+            "'(?:s|t|re|ve|m|ll|d)",
+            f" ?[^{SPACE}{few}{numbers}{high}]++(?![{high}])",
+            f" ?[{numbers}]++(?![{high}])",
+            f"[{SPACE}]+(?![^{SPACE}])",
+            f"[{SPACE.replace(' ', '')}]",
+            f" ?[{all_letters}]+",
+            f" ?[{all_numbers}]+",
+            f" ?[^{SPACE}{all_letters}{all_numbers}]+",
+            f"[{SPACE}]+",
+        ]
+    )
+
+
+PIECES = re.compile(pre_token_pattern())
 
 NO_RANK = 1 << 40
 SHORT = 48  # bytes of words that are merged in a simple scan
+END = 256  # stands for the end of a word among its bytes
 KEPT = 400_000  # results of one kind a worker keeps, about 75 MB; then it starts anew
 
 
@@ -110,7 +143,50 @@ def merge_tables(
     alone = np.zeros(size, bool)
     for token, i in ids.items():
         alone[i] = merge_exact(token, tables) == [i]
-    return tables | {"alone": alone}
+    return tables | {"alone": alone} | trie_tables(ids)
+
+
+def trie_tables(ids: dict[bytes, int]) -> dict:
+    """The vocabulary's strings as a trie in three arrays.
+
+    The child of node n by byte b is cell ``base[n] + b``, if its ``parent`` is n; the
+    ``token`` of a cell is -1 if no string ends there. Node 0 is the root. No node has a
+    child by END, which stands after the last byte of a word.
+    """
+    prefixes = {t[:i] for t in ids for i in range(1, len(t) + 1)}
+    children: dict[bytes, list[int]] = {}
+    for p in sorted(prefixes):
+        children.setdefault(p[:-1], []).append(p[-1])
+    used, base, cells = bytearray(b"\1") + bytes(2 * END), {}, {b"": 0}
+    last, cell = 0, 0
+
+    def free(start: int) -> int:
+        """The first free cell from ``start`` on, with room for every byte behind it."""
+        at = used.find(0, start)
+        if at + 2 * END > len(used):
+            used.extend(bytes(len(used)))
+        return at
+
+    for p in sorted(children, key=lambda p: (-len(children[p]), p)):
+        own = children[p]
+        if len(own) != last:  # nodes of equally many children go to rising cells
+            last, cell = len(own), 0
+        cell = free(max(cell, own[0] + 1))
+        while any(used[cell - own[0] + b] for b in own[1:]):
+            cell = free(cell + 1)
+        base[p] = cell - own[0]
+        for b in own:
+            used[base[p] + b] = 1
+            cells[p + bytes([b])] = base[p] + b
+    size = max(cells.values()) + END + 1
+    arrays = {"base": np.zeros(size, np.int64)}
+    arrays |= {"parent": np.full(size, -1), "token": np.full(size, -1)}
+    for p, at in cells.items():
+        arrays["base"][at] = base.get(p, 0)
+        arrays["token"][at] = ids.get(p, -1)
+        if p:
+            arrays["parent"][at] = cells[p[:-1]]
+    return arrays
 
 
 def merge_exact(word: bytes, tables: dict) -> list[int]:

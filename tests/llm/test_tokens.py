@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -30,6 +31,11 @@ def packed(ids):
     return np.array(ids, "<u4").tobytes()
 
 
+PRE_TOKEN = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+
+
 def check(texts, tables, library):
     ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
     found = bpe.encode_texts(texts, tables)
@@ -63,6 +69,38 @@ def test_words_merge_alike(tables):
     assert any(bpe.propose(w, tables) != e for w, e in zip(words, exact, strict=True))
 
 
+def test_words_are_cut_together(tables, monkeypatch):
+    """Greedy cuts of many words take few cuts of single ones, and are the same."""
+    rng = np.random.default_rng(3)
+    cut = ["".join(rng.choice(list("etaoinsh rd.é日"), rng.integers(1, 40))).encode() for _ in range(900)]
+    words = [*cut, b"", b"a" * 3000, b"ab" * 2000, b"\xff\x00", " 日本語".encode() * 300, b" the", b""]
+    single = bpe.propose
+    expected = [single(w, tables) for w in words]
+    calls = []
+    monkeypatch.setattr(bpe, "propose", lambda w, t: calls.append(w) or single(w, t))
+    for own, exact in ((words, expected), (words[:5], expected[:5]), ([], []), ([b""], [[]])):
+        flat, owner = bpe.propose_all(own, tables)
+        assert [flat[owner == i].tolist() for i in range(len(own))] == exact
+        assert len(calls) <= bpe.FEW
+        calls.clear()
+    bpe.encode_words(cut, tables)
+    assert len(calls) <= bpe.FEW
+
+
+def test_pieces_of_every_character():
+    """The pattern cuts as the one of the library, beside each character of Unicode."""
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(every), 5000):
+        text = "".join(f"{c}a{c}1 {c}{c}é.{c}" for c in every[i : i + 5000])
+        assert v.PIECES.findall(text) == PRE_TOKEN.findall(text)
+
+
+@settings(max_examples=500, deadline=None)
+@given(text=st.text(st.one_of(ALPHABET, st.sampled_from(list("'tvl²½٣𝟘𐐀ªɐ\u200b\u2028")), st.characters(codec="utf-8"))))
+def test_pieces_of_random_texts(text):
+    assert v.PIECES.findall(text) == PRE_TOKEN.findall(text)
+
+
 def test_compatible_pairs(tables):
     rng = np.random.default_rng(2)
     alone = np.flatnonzero(tables["alone"])
